@@ -81,3 +81,12 @@ def alert_band(severity) -> Column:
 def confidence_of(pos, neu, neg) -> Column:
     """F8: the largest of the three shares."""
     return F.greatest(_c(pos), _c(neu), _c(neg))
+
+
+def round_binary(c, digits: int) -> Column:
+    """Round half away from zero on the binary value (``x * 10^d`` then nearest integer),
+    as C's ``round`` and most SQL engines do; Spark's ``round`` instead rounds the shortest
+    decimal string, which differs on values just below a tie. ``+ 0.0`` folds -0.0 to 0.0."""
+    x = _c(c)
+    m = F.lit(float(10 ** digits))
+    return F.signum(x) * F.floor(F.abs(x) * m + F.lit(0.5)) / m + F.lit(0.0)
