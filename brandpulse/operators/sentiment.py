@@ -4,16 +4,18 @@ The scorer follows the published lexicon-and-rules method (Hutto & Gilbert, ICWS
 with the lexicon as a *table argument* ``(term string, valence double)``; the modifier word
 lists are parameters too. Constants are the published defaults and can be overridden.
 
-Plan shape (one shuffle of the posts at most, none when the input is already hash
-partitioned by the id, e.g. a table bucketed by ``post_id``):
+Plan shape (one scan, one shuffle of about one row per post, none when the input is
+already hash partitioned by the id, e.g. a table bucketed by ``post_id``):
 
-1. ``repartition(id)`` — every later step keeps this partitioning;
-2. per-post features computed in-row from the whole text (tokens, each token's three
+1. per-post features computed in-row from the whole text (tokens, each token's three
    predecessors, ALL-CAPS differential, first "but", ``!`` and ``?`` counts);
-3. ``explode`` to one row per token (narrow) and a broadcast hash join with the lexicon
-   (its size is checked against ``max_lexicon_rows`` before it is broadcast);
-4. modifier rules as column arithmetic, then ``groupBy(id)`` — already partitioned, so
-   no exchange — and a join back to the posts on the same partitioning.
+2. ``explode`` to one row per token plus one header row carrying the post's columns
+   (narrow), and a broadcast hash join with the lexicon (its size is checked against
+   ``max_lexicon_rows`` first; larger lexicons use a shuffle join);
+3. modifier rules as column arithmetic, one projection per rule;
+4. ``groupBy(id)``: partial aggregation inside each task collapses a post's tokens
+   (they come from one input row), the shuffle moves one row per post, and the header
+   row restores the post's columns — no join back to the posts.
 
 Tiers: 1 = lexicon sum + normalisation (SQL-checkable); 2 = + ALL-CAPS emphasis, degree
 words and negation over the three preceding tokens; 3 = + contrastive "but" and ``!``/``?``
@@ -67,32 +69,42 @@ def _literal_map(d: dict) -> Column | None:
 
 
 def _token_rows(posts: DataFrame, id_col: str, text_col: str, but_word: str = "but") -> DataFrame:
+    """One row per token plus one *header* row per post (``pos = -1``) that carries the
+    post's own columns, so the per-post aggregate can rebuild the row without a join back."""
     text = F.col(text_col)
     toks = tokens(text)
     low = F.transform(toks, F.lower)
     n_caps = F.size(F.filter(toks, lambda t: (t == F.upper(t)) & (t != F.lower(t))))
+    others = [f for f in posts.schema.fields if f.name != id_col]
     feats = posts.select(
-        F.col(id_col).alias("_id"),
+        F.col(id_col),
+        *[F.col(f.name).alias(f"_b{i}") for i, f in enumerate(others)],
         toks.alias("_toks"), low.alias("_low"),
         ((n_caps > 0) & (n_caps < F.size(toks))).alias("_cap_diff"),
         count_char(text, "!").alias("_n_excl"),
         count_char(text, "?").alias("_n_q"),
     )
+
+    def element(pos, term, caps, p1, p2, p3, base):
+        return F.struct(pos.alias("pos"), term.alias("term"), caps.alias("caps"),
+                        p1.alias("p1"), p2.alias("p2"), p3.alias("p3"),
+                        *[b.alias(f"b{i}") for i, b in enumerate(base)])
+
+    null_s = F.lit(None).cast("string")
+    header = element(F.lit(-1), null_s, F.lit(False), null_s, null_s, null_s,
+                     [F.col(f"_b{i}") for i in range(len(others))])
+    null_base = [F.lit(None).cast(f.dataType) for f in others]
     per_token = F.transform(
         F.col("_toks"),
-        lambda t, i: F.struct(
-            i.alias("pos"),
-            F.lower(t).alias("term"),
-            ((t == F.upper(t)) & (t != F.lower(t))).alias("caps"),
-            F.get(F.col("_low"), i - 1).alias("p1"),
-            F.get(F.col("_low"), i - 2).alias("p2"),
-            F.get(F.col("_low"), i - 3).alias("p3"),
-        ))
-    return feats.select(
-        "_id", "_cap_diff", "_n_excl", "_n_q",
+        lambda t, i: element(i, F.lower(t), (t == F.upper(t)) & (t != F.lower(t)),
+                             F.get(F.col("_low"), i - 1), F.get(F.col("_low"), i - 2),
+                             F.get(F.col("_low"), i - 3), null_base))
+    rows = feats.select(
+        F.col(id_col), "_cap_diff", "_n_excl", "_n_q",
         (F.array_position(F.col("_low"), F.lit(but_word.lower())) - F.lit(1)).alias("_but_pos"),  # -1: none
-        F.explode(per_token).alias("_t"),
+        F.explode(F.concat(F.array(header), per_token)).alias("_t"),
     )
+    return rows, others
 
 
 def _adjusted_valence(df: DataFrame, rules: Rules, tier: int) -> DataFrame:
@@ -130,7 +142,7 @@ def _adjusted_valence(df: DataFrame, rules: Rules, tier: int) -> DataFrame:
 
 def score_sentiment(posts: DataFrame, lexicon: DataFrame, text_col: str = "content", id_col: str = "post_id",
                     tier: int = 3, rules: Rules | None = None, details: bool = False,
-                    prepartitioned: bool = False, max_lexicon_rows: int = 2_000_000) -> DataFrame:
+                    max_lexicon_rows: int = 2_000_000) -> DataFrame:
     """``posts`` + ``sentiment_label``, ``sentiment_score`` (0..1), ``confidence``
     (+ ``compound``, ``pos``, ``neu``, ``neg`` when ``details``)."""
     rules = rules or Rules()
@@ -139,17 +151,21 @@ def score_sentiment(posts: DataFrame, lexicon: DataFrame, text_col: str = "conte
     if is_small(lexicon, max_lexicon_rows):
         lex = F.broadcast(lex)
     # else: a shuffle join on the term; AQE splits the partitions of very frequent terms.
-    base = posts if prepartitioned else posts.repartition(id_col)
-    toks = _token_rows(base, id_col, text_col, rules.but_word)
+    toks, others = _token_rows(posts, id_col, text_col, rules.but_word)
     scored = toks.join(lex, F.col("_t.term") == F.col("_term"), "left")
-    scored = scored.withColumn("_v", F.coalesce(F.col("_valence"), F.lit(0.0)))
-    scored = _adjusted_valence(scored, rules, tier).select("_id", "_n_excl", "_n_q", "_v")
-    agg = (scored.groupBy("_id")
+    is_token = F.col("_t.pos") >= F.lit(0)
+    scored = scored.withColumn("_v", F.when(is_token, F.coalesce(F.col("_valence"), F.lit(0.0))))
+    scored = _adjusted_valence(scored, rules, tier)
+    # One row per post again. Tokens of a post come from one input row, so map-side
+    # partial aggregation leaves ~one row per post per task before the only shuffle.
+    agg = (scored.groupBy(id_col)
            .agg(F.sum("_v").alias("_s"),
                 F.sum(F.when(F.col("_v") > 0, F.col("_v") + F.lit(1.0)).otherwise(F.lit(0.0))).alias("_pos"),
                 F.sum(F.when(F.col("_v") < 0, F.col("_v") - F.lit(1.0)).otherwise(F.lit(0.0))).alias("_neg"),
                 F.count_if(F.col("_v") == 0).alias("_neu"),
-                F.max("_n_excl").alias("_n_excl"), F.max("_n_q").alias("_n_q")))
+                F.max("_n_excl").alias("_n_excl"), F.max("_n_q").alias("_n_q"),
+                *[F.first(F.col(f"_t.b{i}"), ignorenulls=True).alias(f.name) for i, f in enumerate(others)]))
+    base_cols = [c for c in posts.columns if c != id_col]
     s, pos_sum, neg_sum = F.col("_s"), F.col("_pos"), F.col("_neg")
     if tier >= 3:
         ep = F.least(F.col("_n_excl"), F.lit(rules.exclamation_max)) * F.lit(rules.exclamation_increment)
@@ -166,14 +182,13 @@ def score_sentiment(posts: DataFrame, lexicon: DataFrame, text_col: str = "conte
     # Sums are snapped to a 1e-6 grid so that summation order (task layout) cannot change
     # the rounded outputs; shares and compound are rounded like the published method.
     snap = lambda c: SC.round_binary(c, 6)
-    agg = agg.select("_id", snap(s).alias("_s"), snap(pos_sum).alias("_pos"), snap(neg_sum).alias("_neg"), "_neu")
+    agg = agg.select(id_col, *base_cols, F.coalesce(snap(s), F.lit(0.0)).alias("_s"), snap(pos_sum).alias("_pos"),
+                     snap(neg_sum).alias("_neg"), "_neu")
     compound = SC.round_binary(F.col("_s") / F.sqrt(F.col("_s") * F.col("_s") + F.lit(rules.alpha)), 4)
     total = F.col("_pos") + F.abs(F.col("_neg")) + F.col("_neu")
     share = lambda c: F.coalesce(SC.round_binary(F.abs(F.try_divide(c, total)), 3), F.lit(0.0))
-    agg = agg.select("_id", compound.alias("compound"), share(F.col("_pos")).alias("pos"),
-                     share(F.col("_neu").cast("double")).alias("neu"), share(F.col("_neg")).alias("neg"))
-
-    joined = base.join(agg, base[id_col] == agg["_id"], "left")
+    joined = agg.select(id_col, *base_cols, compound.alias("compound"), share(F.col("_pos")).alias("pos"),
+                        share(F.col("_neu").cast("double")).alias("neu"), share(F.col("_neg")).alias("neg"))
     blank = SC.is_blank(F.col(text_col))
     comp = F.coalesce(F.col("compound"), F.lit(0.0))
     label = F.when(blank, F.lit(S.BLANK_RESULT[0])).otherwise(SC.label_from_compound(comp))
