@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from brandpulse import schemas as S
 from brandpulse.functions import scoring as SC
 from brandpulse.functions.text import count_char, tokens
+from brandpulse.session import spread_thin_input
 
 
 @dataclass(frozen=True)
@@ -70,25 +71,32 @@ def _literal_map(d: dict) -> Column | None:
 
 def _token_rows(posts: DataFrame, id_col: str, text_col: str, but_word: str = "but") -> DataFrame:
     """One row per token plus one *header* row per post (``pos = -1``) that carries the
-    post's own columns, so the per-post aggregate can rebuild the row without a join back."""
+    post's own columns, so the per-post aggregate can rebuild the row without a join back.
+
+    Built in stages so that the token array is computed once per post, and every per-post
+    value used after the explode is a scalar (an array column kept across ``explode`` would
+    be copied into every token row)."""
     text = F.col(text_col)
-    toks = tokens(text)
-    low = F.transform(toks, F.lower)
-    n_caps = F.size(F.filter(toks, lambda t: (t == F.upper(t)) & (t != F.lower(t))))
     others = [f for f in posts.schema.fields if f.name != id_col]
-    feats = posts.select(
+    base = posts.select(
         F.col(id_col),
         *[F.col(f.name).alias(f"_b{i}") for i, f in enumerate(others)],
-        toks.alias("_toks"), low.alias("_low"),
-        ((n_caps > 0) & (n_caps < F.size(toks))).alias("_cap_diff"),
+        tokens(text).alias("_toks"),
         count_char(text, "!").alias("_n_excl"),
         count_char(text, "?").alias("_n_q"),
     )
+    with_low = base.withColumn("_low", F.transform("_toks", F.lower))
+    n_caps = F.size(F.filter("_toks", lambda t: (t == F.upper(t)) & (t != F.lower(t))))
+    feats = with_low.select(
+        "*",
+        ((n_caps > 0) & (n_caps < F.size("_toks"))).alias("_cap_diff"),
+        (F.array_position(F.col("_low"), F.lit(but_word.lower())) - F.lit(1)).alias("_but_pos"),  # -1: none
+    )
 
-    def element(pos, term, caps, p1, p2, p3, base):
+    def element(pos, term, caps, p1, p2, p3, base_cols):
         return F.struct(pos.alias("pos"), term.alias("term"), caps.alias("caps"),
                         p1.alias("p1"), p2.alias("p2"), p3.alias("p3"),
-                        *[b.alias(f"b{i}") for i, b in enumerate(base)])
+                        *[b.alias(f"b{i}") for i, b in enumerate(base_cols)])
 
     null_s = F.lit(None).cast("string")
     header = element(F.lit(-1), null_s, F.lit(False), null_s, null_s, null_s,
@@ -96,12 +104,11 @@ def _token_rows(posts: DataFrame, id_col: str, text_col: str, but_word: str = "b
     null_base = [F.lit(None).cast(f.dataType) for f in others]
     per_token = F.transform(
         F.col("_toks"),
-        lambda t, i: element(i, F.lower(t), (t == F.upper(t)) & (t != F.lower(t)),
+        lambda t, i: element(i, F.get(F.col("_low"), i), (t == F.upper(t)) & (t != F.lower(t)),
                              F.get(F.col("_low"), i - 1), F.get(F.col("_low"), i - 2),
                              F.get(F.col("_low"), i - 3), null_base))
     rows = feats.select(
-        F.col(id_col), "_cap_diff", "_n_excl", "_n_q",
-        (F.array_position(F.col("_low"), F.lit(but_word.lower())) - F.lit(1)).alias("_but_pos"),  # -1: none
+        F.col(id_col), "_cap_diff", "_n_excl", "_n_q", "_but_pos",
         F.explode(F.concat(F.array(header), per_token)).alias("_t"),
     )
     return rows, others
@@ -151,7 +158,7 @@ def score_sentiment(posts: DataFrame, lexicon: DataFrame, text_col: str = "conte
     if is_small(lexicon, max_lexicon_rows):
         lex = F.broadcast(lex)
     # else: a shuffle join on the term; AQE splits the partitions of very frequent terms.
-    toks, others = _token_rows(posts, id_col, text_col, rules.but_word)
+    toks, others = _token_rows(spread_thin_input(posts), id_col, text_col, rules.but_word)
     scored = toks.join(lex, F.col("_t.term") == F.col("_term"), "left")
     is_token = F.col("_t.pos") >= F.lit(0)
     scored = scored.withColumn("_v", F.when(is_token, F.coalesce(F.col("_valence"), F.lit(0.0))))

@@ -25,6 +25,7 @@ from pyspark.sql import types as T
 
 from brandpulse import schemas as S
 from brandpulse.functions.text import keyword_match
+from brandpulse.session import spread_thin_input
 
 EXPRESSION_KEYWORD_LIMIT = 512
 
@@ -119,6 +120,7 @@ def tag_topics(df: DataFrame, text_col: str = "content", vocabulary=None, lower_
     n_kw = sum(len(k) for _, k in vocab)
     if method == "auto":
         method = "expr" if n_kw <= EXPRESSION_KEYWORD_LIMIT else "automaton"
+    df = spread_thin_input(df)
     if method == "expr":
         return df.withColumn(out_col, topics_expr(text_col, vocab, lower_keywords=False, whole_word=whole_word))
     if method == "automaton":

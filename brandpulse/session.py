@@ -12,7 +12,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -73,3 +73,13 @@ def work_dir(spark: SparkSession, name: str, fresh: bool = True) -> str:
         local = path[len("file:"):] if path.startswith("file:") else path
         os.makedirs(local, exist_ok=True)
     return path
+
+
+def spread_thin_input(df: DataFrame) -> DataFrame:
+    """Round-robin a DataFrame that has fewer partitions than the cluster has task slots,
+    before CPU-heavy per-row work (tokenising whole texts). Large inputs already have far
+    more splits than slots and pass through untouched, so no shuffle is added at scale."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < slots:
+        return df.repartition(slots)
+    return df
