@@ -129,3 +129,18 @@ def normalize_feed(entries: DataFrame, now=None, keep: int = S.FEED_ENTRIES_KEPT
         F.struct(F.col("feed_url"), F.coalesce(feed_title, F.lit("")).alias("feed_title"),
                  brand_from_feed_url(F.col("feed_url")).alias("brand_monitored")).alias("raw_metadata"),
     )
+
+
+def write_kafka(df: DataFrame, options: dict[str, str], key_col: str | None = "post_id") -> None:
+    """S4 (batch): send rows as JSON messages (``kafka_sink_options`` gives acks / retries)."""
+    to_messages(df, key_col).write.format("kafka").options(**options).save()
+
+
+def start_kafka_sink(df: DataFrame, options: dict[str, str], checkpoint: str, key_col: str | None = "post_id",
+                     trigger: dict | None = None):
+    """S4 (stream): continuously send a streaming DataFrame's rows as JSON messages."""
+    w = (to_messages(df, key_col).writeStream.format("kafka").options(**options)
+         .option("checkpointLocation", checkpoint))
+    if trigger:
+        w = w.trigger(**trigger)
+    return w.start()

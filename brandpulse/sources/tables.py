@@ -97,6 +97,15 @@ def refresh_view(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def read_table(spark: SparkSession, path: str, schema=None) -> DataFrame:
+    """A serving table (parquet). Filters and projections on the result reach the scan
+    (``PushedFilters`` / ``ReadSchema``); partition columns prune folders."""
+    r = spark.read
+    if schema is not None:
+        r = r.schema(schema)
+    return r.parquet(path)
+
+
 # ------------------------------------------------------------------------------ S7 S8
 def jdbc_options(url: str, table: str, user: str | None = None, password: str | None = None,
                  driver: str | None = None, batchsize: int = 10_000, num_partitions: int | None = None,

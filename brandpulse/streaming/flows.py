@@ -79,6 +79,8 @@ def window_counts(df: DataFrame, time_col: str = "created_at", width: str = S.ST
 def _fan_out(base: str, lexicon: DataFrame, vocabulary, tier: int, rules, now):
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        if batch.isEmpty():          # P12: an empty micro-batch writes nothing
+            return
         analyzed = now if now is not None else _dt.datetime.now(_dt.timezone.utc)
         b = batch.persist()
         try:

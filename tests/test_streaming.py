@@ -86,3 +86,12 @@ def test_console_and_ingest_run_side_by_side(spark):
     FL.run_to_end(q1, q2)
     assert not q1.isActive and not q2.isActive
     assert spark.read.parquet(f"{base}/tables/silver_sentiment").count() == 1
+
+
+def test_empty_batch_writes_nothing(spark):
+    base = work_dir(spark, "t-empty")
+    run = FL._fan_out(base, SE.lexicon_frame(spark, LEX), None, 1, None, "2025-01-06 11:00:00")
+    empty = IN.decode_posts(spark.createDataFrame([], "value string"), now="2025-01-06 11:00:00")
+    run(empty, 0)
+    import os
+    assert not os.path.exists(base.replace("file:", "") + "/silver_sentiment")
