@@ -173,24 +173,25 @@ def score_sentiment(posts: DataFrame, lexicon: DataFrame, text_col: str = "conte
                 F.max("_n_excl").alias("_n_excl"), F.max("_n_q").alias("_n_q"),
                 *[F.first(F.col(f"_t.b{i}"), ignorenulls=True).alias(f.name) for i, f in enumerate(others)]))
     base_cols = [c for c in posts.columns if c != id_col]
-    s, pos_sum, neg_sum = F.col("_s"), F.col("_pos"), F.col("_neg")
+    # Sums are snapped to a 1e-6 grid so that summation order (task layout) can change
+    # neither the sign tests below nor the rounded outputs.
+    snap = lambda c: SC.round_binary(c, 6)
+    agg = agg.select(id_col, *base_cols, "_neu", "_n_excl", "_n_q",
+                     F.coalesce(snap(F.col("_s")), F.lit(0.0)).alias("_s"),
+                     snap(F.col("_pos")).alias("_pos"), snap(F.col("_neg")).alias("_neg"))
     if tier >= 3:
+        s, pos_sum, neg_sum = F.col("_s"), F.col("_pos"), F.col("_neg")
         ep = F.least(F.col("_n_excl"), F.lit(rules.exclamation_max)) * F.lit(rules.exclamation_increment)
         qm = F.col("_n_q")
         qp = (F.when(qm <= 1, F.lit(0.0))
                .when(qm <= 3, qm * F.lit(rules.question_increment))
                .otherwise(F.lit(rules.question_cap)))
         amp = ep + qp
-        s = F.when(s > 0, s + amp).when(s < 0, s - amp).otherwise(s)
         abs_neg = F.abs(neg_sum)
-        new_pos = F.when(pos_sum > abs_neg, pos_sum + amp).otherwise(pos_sum)
-        new_neg = F.when(pos_sum < abs_neg, neg_sum - amp).otherwise(neg_sum)
-        pos_sum, neg_sum = new_pos, new_neg
-    # Sums are snapped to a 1e-6 grid so that summation order (task layout) cannot change
-    # the rounded outputs; shares and compound are rounded like the published method.
-    snap = lambda c: SC.round_binary(c, 6)
-    agg = agg.select(id_col, *base_cols, F.coalesce(snap(s), F.lit(0.0)).alias("_s"), snap(pos_sum).alias("_pos"),
-                     snap(neg_sum).alias("_neg"), "_neu")
+        agg = agg.select(id_col, *base_cols, "_neu",
+                         snap(F.when(s > 0, s + amp).when(s < 0, s - amp).otherwise(s)).alias("_s"),
+                         snap(F.when(pos_sum > abs_neg, pos_sum + amp).otherwise(pos_sum)).alias("_pos"),
+                         snap(F.when(pos_sum < abs_neg, neg_sum - amp).otherwise(neg_sum)).alias("_neg"))
     compound = SC.round_binary(F.col("_s") / F.sqrt(F.col("_s") * F.col("_s") + F.lit(rules.alpha)), 4)
     total = F.col("_pos") + F.abs(F.col("_neg")) + F.col("_neu")
     share = lambda c: F.coalesce(SC.round_binary(F.abs(F.try_divide(c, total)), 3), F.lit(0.0))

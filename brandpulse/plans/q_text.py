@@ -108,14 +108,110 @@ def q_label_distribution_by_lang(spark, sf_dir):
                  (SC.round_binary(F.sum("sentiment_score"), 6) / F.count(F.lit(1))).alias("avg_score")))
 
 
-@register("lexicon_sentiment_rules", "U1 tiers 2-3 (caps, degree, negation, but, punctuation)", None)
+# Test modifier words that occur in the prose, so every rule fires on real text.
+TEST_RULES = SE.Rules(degree={"is": 0.293, "in": 0.293, "die": 0.293, "le": -0.293, "en": -0.293},
+                      negations=("a", "zu", "el", "un"), but_word="for")
+
+
+def _rules_sql(rows, rules: SE.Rules) -> str:
+    """Tiers 2-3 in SQL: per-token steps in the same order and arithmetic as the Spark job."""
+    r = rules
+    f1, f2, f3 = (float(x) for x in r.distance_factors)
+    deg_values = ", ".join(f"({_sql_str(k.lower())}, {float(v)!r}e0)" for k, v in sorted(r.degree.items()))
+    neg_values = ", ".join(f"({_sql_str(n.lower())})" for n in r.negations)
+    sgn = "(CASE WHEN {v} >= 0 THEN 1.0 ELSE -1.0 END)"
+
+    def deg_step(src, dst, p, f):
+        return (f"{dst} AS (SELECT x.*, CASE WHEN x.{p} IS NOT NULL AND x.v <> 0 THEN x.v + coalesce(d.scalar, 0.0) * "
+                f"{sgn.format(v='x.v')} * {f!r} ELSE x.v END AS v2 FROM {src} x LEFT JOIN deg d ON x.{p} = d.term),\n"
+                f"{dst}n AS (SELECT * EXCLUDE (v, v2), CASE WHEN {p} IN (SELECT term FROM negs) AND v2 <> 0 "
+                f"THEN v2 * {float(r.negation_scalar)!r} ELSE v2 END AS v FROM {dst})")
+    return f"""
+, {_lexicon_values_sql(rows)},
+lexg AS (SELECT lower(term) AS term, avg(valence) AS valence FROM lex GROUP BY 1),
+deg(term, scalar) AS (VALUES {deg_values}),
+negs(term) AS (VALUES {neg_values}),
+tk AS (
+  SELECT post_id, coalesce(content, '') AS c,
+         list_filter(regexp_split_to_array(coalesce(content, ''), {_sql_str(TOKEN_SPLIT)}), lambda t: t <> '') AS toks
+  FROM texts
+),
+tk2 AS (
+  SELECT post_id, toks, list_transform(toks, lambda t: lower(t)) AS low,
+         len(list_filter(toks, lambda t: t = upper(t) AND t <> lower(t))) AS n_caps,
+         length(c) - length(replace(c, '!', '')) AS n_excl, length(c) - length(replace(c, '?', '')) AS n_q
+  FROM tk
+),
+idx AS (
+  SELECT post_id, toks, low, n_excl, n_q, n_caps > 0 AND n_caps < len(toks) AS cap_diff,
+         coalesce(list_position(low, {_sql_str(r.but_word.lower())}), 0) - 1 AS but_pos,
+         unnest(generate_series(1, len(toks))) AS i
+  FROM tk2
+),
+t0 AS (
+  SELECT post_id, n_excl, n_q, cap_diff, but_pos, i - 1 AS pos, low[i] AS term,
+         toks[i] = upper(toks[i]) AND toks[i] <> lower(toks[i]) AS caps,
+         CASE WHEN i > 1 THEN low[i - 1] END AS p1, CASE WHEN i > 2 THEN low[i - 2] END AS p2,
+         CASE WHEN i > 3 THEN low[i - 3] END AS p3
+  FROM idx
+),
+t1 AS (SELECT t0.*, coalesce(l.valence, 0.0) AS v0 FROM t0 LEFT JOIN lexg l ON t0.term = l.term),
+tc AS (SELECT * EXCLUDE (v0), CASE WHEN caps AND cap_diff AND v0 <> 0 THEN v0 + {sgn.format(v='v0')} * {float(r.caps_increment)!r}
+       ELSE v0 END AS v FROM t1),
+{deg_step("tc", "k1", "p1", f1)},
+{deg_step("k1n", "k2", "p2", f2)},
+{deg_step("k2n", "k3", "p3", f3)},
+tb AS (SELECT * EXCLUDE (v), CASE WHEN but_pos >= 0 AND pos < but_pos THEN v * {float(r.but_before)!r}
+       WHEN but_pos >= 0 AND pos > but_pos THEN v * {float(r.but_after)!r} ELSE v END AS v FROM k3n),
+agg0 AS (
+  SELECT post_id, round(sum(v), 6) + 0.0 AS s, round(sum(CASE WHEN v > 0 THEN v + 1.0 ELSE 0.0 END), 6) + 0.0 AS ps,
+         round(sum(CASE WHEN v < 0 THEN v - 1.0 ELSE 0.0 END), 6) + 0.0 AS ns,
+         count(*) FILTER (WHERE v = 0) AS neu_n, max(n_excl) AS n_excl, max(n_q) AS n_q
+  FROM tb GROUP BY post_id
+),
+amp AS (
+  SELECT *, least(n_excl, {int(r.exclamation_max)}) * {float(r.exclamation_increment)!r}
+            + CASE WHEN n_q <= 1 THEN 0.0 WHEN n_q <= 3 THEN n_q * {float(r.question_increment)!r}
+                   ELSE {float(r.question_cap)!r} END AS a
+  FROM agg0
+),
+agg AS (
+  SELECT post_id, neu_n,
+         round(CASE WHEN s > 0 THEN s + a WHEN s < 0 THEN s - a ELSE s END, 6) + 0.0 AS s,
+         round(CASE WHEN ps > abs(ns) THEN ps + a ELSE ps END, 6) + 0.0 AS pos_sum,
+         round(CASE WHEN ps < abs(ns) THEN ns - a ELSE ns END, 6) + 0.0 AS neg_sum
+  FROM amp
+),
+sc AS (
+  SELECT post_id, round(s / sqrt(s * s + {float(r.alpha)!r}), 4) + 0.0 AS compound,
+         coalesce(round(abs(pos_sum / nullif(pos_sum + abs(neg_sum) + neu_n, 0)), 3) + 0.0, 0.0) AS pos,
+         coalesce(round(abs(neu_n / nullif(pos_sum + abs(neg_sum) + neu_n, 0)), 3) + 0.0, 0.0) AS neu,
+         coalesce(round(abs(neg_sum / nullif(pos_sum + abs(neg_sum) + neu_n, 0)), 3) + 0.0, 0.0) AS neg
+  FROM agg
+),
+scored AS (
+  SELECT x.post_id, x.brand, x.source,
+         coalesce(trim(x.content), '') = '' AS blank, coalesce(sc.compound, 0.0) AS c,
+         coalesce(sc.pos, 0.0) AS pos, coalesce(sc.neu, 0.0) AS neu, coalesce(sc.neg, 0.0) AS neg
+  FROM texts x LEFT JOIN sc ON x.post_id = sc.post_id
+)"""
+
+
+@register("lexicon_sentiment_rules", "U1 tiers 2-3 (caps, degree, negation, contrast word, punctuation)",
+          with_(TEXTS_CTE) + _rules_sql(TEST_LEXICON, TEST_RULES) + """
+SELECT post_id, brand,
+       CASE WHEN blank THEN 'NEUTRAL' WHEN c >= 0.05 THEN 'POSITIVE' WHEN c <= -0.05 THEN 'NEGATIVE'
+            ELSE 'NEUTRAL' END AS sentiment_label,
+       CASE WHEN blank THEN 0.5 ELSE (c + 1.0) / 2.0 END AS sentiment_score,
+       CASE WHEN blank THEN 0.0 ELSE greatest(pos, neu, neg) END AS confidence,
+       CASE WHEN blank THEN 0.0 ELSE c END AS compound
+FROM scored
+""")
 def q_lexicon_sentiment_rules(spark, sf_dir):
-    """Full rule set on whole texts; checked against hand-computed cases in tests."""
+    """Full rule set on whole texts (tiers 2 and 3)."""
     texts = AD.texts_table(spark, sf_dir)
     lex = SE.lexicon_frame(spark, TEST_LEXICON)
-    rules = SE.Rules(degree={"very": 0.293, "sehr": 0.293, "muy": 0.293, "slightly": -0.293},
-                     negations=("not", "nicht", "pas", "no"))
-    return SE.score_sentiment(texts, lex, tier=3, rules=rules, details=True).select(
+    return SE.score_sentiment(texts, lex, tier=3, rules=TEST_RULES, details=True).select(
         "post_id", "brand", "sentiment_label", "sentiment_score", "confidence", "compound")
 
 

@@ -79,6 +79,8 @@ def spread_thin_input(df: DataFrame) -> DataFrame:
     """Round-robin a DataFrame that has fewer partitions than the cluster has task slots,
     before CPU-heavy per-row work (tokenising whole texts). Large inputs already have far
     more splits than slots and pass through untouched, so no shuffle is added at scale."""
+    if df.isStreaming:
+        return df
     slots = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < slots:
         return df.repartition(slots)
