@@ -69,7 +69,7 @@ def _literal_map(d: dict) -> Column | None:
     return F.create_map(*kv)
 
 
-def _token_rows(posts: DataFrame, id_col: str, text_col: str, but_word: str = "but") -> DataFrame:
+def _token_rows(posts: DataFrame, id_col: str, text_col: str, but_word: str = "but", tier: int = 3) -> DataFrame:
     """One row per token plus one *header* row per post (``pos = -1``) that carries the
     post's own columns, so the per-post aggregate can rebuild the row without a join back.
 
@@ -94,8 +94,8 @@ def _token_rows(posts: DataFrame, id_col: str, text_col: str, but_word: str = "b
     )
 
     def element(pos, term, caps, p1, p2, p3, base_cols):
-        return F.struct(pos.alias("pos"), term.alias("term"), caps.alias("caps"),
-                        p1.alias("p1"), p2.alias("p2"), p3.alias("p3"),
+        context = [caps.alias("caps"), p1.alias("p1"), p2.alias("p2"), p3.alias("p3")] if tier >= 2 else []
+        return F.struct(pos.alias("pos"), term.alias("term"), *context,
                         *[b.alias(f"b{i}") for i, b in enumerate(base_cols)])
 
     null_s = F.lit(None).cast("string")
@@ -158,7 +158,7 @@ def score_sentiment(posts: DataFrame, lexicon: DataFrame, text_col: str = "conte
     if is_small(lexicon, max_lexicon_rows):
         lex = F.broadcast(lex)
     # else: a shuffle join on the term; AQE splits the partitions of very frequent terms.
-    toks, others = _token_rows(spread_thin_input(posts), id_col, text_col, rules.but_word)
+    toks, others = _token_rows(spread_thin_input(posts), id_col, text_col, rules.but_word, tier)
     scored = toks.join(lex, F.col("_t.term") == F.col("_term"), "left")
     is_token = F.col("_t.pos") >= F.lit(0)
     scored = scored.withColumn("_v", F.when(is_token, F.coalesce(F.col("_valence"), F.lit(0.0))))
