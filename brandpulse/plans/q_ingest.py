@@ -15,7 +15,7 @@ from brandpulse.plans import adapters as AD
 from brandpulse.plans.oracle import SENTIMENT_CTE, with_
 from brandpulse.plans.q_text import _lexicon_sql_body
 from brandpulse.plans.registry import AS_OF, register
-from brandpulse.session import work_dir
+from brandpulse.session import spread_thin_input, work_dir
 from brandpulse.sources import ingest as IN
 from brandpulse.sources import tables as TB
 from brandpulse.streaming import flows as FL
@@ -45,9 +45,12 @@ def _event_posts(spark, sf_dir):
     )
 
 
-def _messages(spark, sf_dir, malformed_errors: bool = True):
-    """JSON messages for every event; 'error' events are sent as broken JSON when asked."""
+def _messages(spark, sf_dir, malformed_errors: bool = True, spread: bool = False):
+    """JSON messages for every event; 'error' events are sent as broken JSON when asked.
+    ``spread`` lays them over the task slots like the partitions of a message-bus topic."""
     p = _event_posts(spark, sf_dir)
+    if spread:
+        p = spread_thin_input(p)
     good = IN.to_messages(p.drop("event_type"), key_col=None)
     if not malformed_errors:
         return good
@@ -68,7 +71,7 @@ SELECT CASE WHEN event_type = 'error' THEN NULL ELSE CAST(event_id AS VARCHAR) E
 FROM events
 """)
 def q_decode_messages(spark, sf_dir):
-    d = IN.decode_posts(_messages(spark, sf_dir), now=AS_OF)
+    d = IN.decode_posts(_messages(spark, sf_dir, spread=True), now=AS_OF)
     return d.select("post_id", "source", "title", "content", F.col("created_at").cast("timestamp_ntz").alias("created_at"),
                     "brand", F.col("post_id").isNotNull().alias("is_valid"))
 

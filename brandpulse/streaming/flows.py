@@ -78,12 +78,12 @@ def window_counts(df: DataFrame, time_col: str = "created_at", width: str = S.ST
 
 def _fan_out(base: str, lexicon: DataFrame, vocabulary, tier: int, rules, now):
     def run(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        if batch.isEmpty():          # P12: an empty micro-batch writes nothing
-            return
         analyzed = now if now is not None else _dt.datetime.now(_dt.timezone.utc)
-        b = batch.persist()
+        b = batch.persist()          # one evaluation of the micro-batch feeds every write
+        staged = None
         try:
+            if b.isEmpty():          # P12: an empty micro-batch writes nothing
+                return
             good, bad = IN.split_quarantine(b)
             write_batch_folder(bad.select("raw", "ingested_at"), f"{base}/quarantine", batch_id)
             write_batch_folder(
@@ -95,9 +95,9 @@ def _fan_out(base: str, lexicon: DataFrame, vocabulary, tier: int, rules, now):
             sentiment = scored.select(
                 "post_id", "content", "sentiment_label", "sentiment_score", "confidence",
                 TM.ts_lit(analyzed).alias("analyzed_at"), "created_at", "source", "brand")
-            # Scored rows are materialised once (checkpoint in the shared folder cuts the
-            # lineage, and survives executor loss) and feed both silver tables.
-            staged = sentiment.checkpoint(eager=True) if spark.sparkContext.getCheckpointDir() else sentiment
+            # Scored rows are kept once and feed both silver tables; a lost block is
+            # recomputed from the persisted batch (deterministic: fixed clock, pure scoring).
+            staged = sentiment.persist()
             write_batch_folder(staged, f"{base}/silver_sentiment", batch_id)
             topics = TP.explode_topics(TP.tag_topics(staged, vocabulary=vocabulary))
             write_batch_folder(
@@ -105,6 +105,8 @@ def _fan_out(base: str, lexicon: DataFrame, vocabulary, tier: int, rules, now):
                               "created_at", "brand"),
                 f"{base}/silver_topic", batch_id)
         finally:
+            if staged is not None:
+                staged.unpersist()
             b.unpersist()
     return run
 
