@@ -41,7 +41,9 @@ def whole_word_pattern(keyword: str) -> str:
 def keyword_match(lowered: Column, keyword: str, whole_word: bool = False) -> Column:
     """substring containment (Q4 default) or whole-word match."""
     if whole_word:
-        return lowered.rlike(whole_word_pattern(keyword))
+        # The literal search is cheap and rules out most texts; the boundary regex (a scan
+        # from every position) runs only on texts that contain the keyword at all.
+        return lowered.contains(F.lit(keyword)) & lowered.rlike(whole_word_pattern(keyword))
     return lowered.contains(F.lit(keyword))
 
 
