@@ -30,8 +30,8 @@ def main() -> None:
     from brandpulse.session import get_spark
     extra = {"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")}
     spark = get_spark(f"local[{cpus}]", app="brandpulse-bench", shuffle_partitions=max(8, 2 * cpus), extra=extra)
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="brandpulse-bench-"))
+    if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="brandpulse-bench-"))
 
     from brandpulse.plans import catalog
     names = only or list(catalog.REGISTRY)

@@ -3,7 +3,7 @@
 Scratch space (stream checkpoints, staged upserts, sink tables) always lives under the
 shared folder the cluster names in ``spark.checkpoint.dir``. A job never invents a
 machine-local folder when that setting exists; only an unset session (tests, a laptop)
-gets a fresh temporary folder, which is then written back into the session conf.
+gets a fresh temporary folder, registered as the context's checkpoint folder.
 """
 
 from __future__ import annotations
@@ -53,12 +53,11 @@ def get_spark(master: str | None = None, app: str = "brandpulse", shuffle_partit
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared scratch root: ``spark.checkpoint.dir``; set to a temp folder only if unset."""
-    root = spark.conf.get(CHECKPOINT_CONF, None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    root = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        # The conf is fixed once the context is up (a core setting), so an unset session
+        # gets its folder through the context; later calls find it there.
         root = tempfile.mkdtemp(prefix="brandpulse-")
-        spark.conf.set(CHECKPOINT_CONF, root)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(root)
     return root

@@ -109,3 +109,36 @@ def test_decode_quarantines_malformed(spark):
     good, bad = IN.split_quarantine(IN.decode_posts(msgs, now="2025-01-06 10:00:00"))
     assert [(r.post_id, r.brand) for r in good.collect()] == [("p1", "B")]
     assert bad.count() == 2
+
+
+class _StubContext:
+    def __init__(self):
+        self.dir = None
+
+    def getCheckpointDir(self):
+        return self.dir
+
+    def setCheckpointDir(self, d):
+        self.dir = f"file:{d}/ctx"
+
+
+class _StubConf:
+    def get(self, key, default=None):
+        return default
+
+    def set(self, key, value):   # the real session refuses: a core setting
+        raise AssertionError("spark.checkpoint.dir cannot be changed at run time")
+
+
+class _StubSession:
+    def __init__(self):
+        self.conf = _StubConf()
+        self.sparkContext = _StubContext()
+
+
+def test_scratch_root_when_checkpoint_dir_unset():
+    from brandpulse.session import checkpoint_root
+    s = _StubSession()
+    first = checkpoint_root(s)
+    assert s.sparkContext.dir is not None and s.sparkContext.dir.startswith(f"file:{first}")
+    assert checkpoint_root(s) == s.sparkContext.dir       # later calls reuse the context's folder
