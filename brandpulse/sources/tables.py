@@ -53,6 +53,11 @@ def _exists(spark: SparkSession, path: str) -> bool:
         return False
 
 
+# A batch touching more partitions than this is matched with a semi join alone (dynamic
+# pruning when Spark can apply it) instead of listing the values on the driver.
+MAX_LISTED_PARTITIONS = 10_000
+
+
 def upsert_table(spark: SparkSession, new: DataFrame, path: str, keys: list[str],
                  partition_by: list[str]) -> DataFrame:
     """S11 on a parquet table partitioned by ``partition_by`` (a subset of ``keys``).
@@ -68,7 +73,21 @@ def upsert_table(spark: SparkSession, new: DataFrame, path: str, keys: list[str]
         return spark.read.parquet(path)
     target = spark.read.parquet(path)
     touched = new.select(*partition_by).distinct()
-    affected = target.join(touched, partition_by, "left_semi")   # partition-pruned scan
+    listed = touched.limit(MAX_LISTED_PARTITIONS + 1).collect()   # bounded, size-checked
+    if len(listed) <= MAX_LISTED_PARTITIONS:
+        # Static partition pruning: the scan lists only folders holding a touched value.
+        for c in partition_by:
+            vals = {r[c] for r in listed}
+            keep = F.col(c).isin([v for v in vals if v is not None])
+            target = target.filter(keep | F.col(c).isNull() if None in vals else keep)
+    # Exact tuples, null-safe: a NULL partition value is a folder like any other, and its
+    # stored rows must be carried into the rewrite (NULL keys never conflict in the merge).
+    t, n = target.alias("_t"), touched.alias("_n")
+    cond = None
+    for c in partition_by:
+        eq = F.col(f"_t.{c}").eqNullSafe(F.col(f"_n.{c}"))
+        cond = eq if cond is None else (cond & eq)
+    affected = t.join(n, cond, "left_semi").select(*[F.col(f"_t.{c}").alias(c) for c in target.columns])
     merged = merge_upsert(affected, new.select(*target.columns), keys)
     stage = work_dir(spark, "upsert-stage")
     merged.write.mode("overwrite").partitionBy(*partition_by).parquet(stage)

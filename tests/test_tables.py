@@ -142,3 +142,20 @@ def test_scratch_root_when_checkpoint_dir_unset():
     first = checkpoint_root(s)
     assert s.sparkContext.dir is not None and s.sparkContext.dir.startswith(f"file:{first}")
     assert checkpoint_root(s) == s.sparkContext.dir       # later calls reuse the context's folder
+
+
+def test_upsert_table_keeps_rows_of_a_null_partition(spark):
+    path = work_dir(spark, "test-upsert-null") + "/t"
+    TB.upsert_table(spark, _df(spark, [(None, 1, 0.1), ("a", 1, 0.2)]), path, KEYS, ["k1"])
+    TB.upsert_table(spark, _df(spark, [(None, 1, 0.5), ("a", 1, 0.7)]), path, KEYS, ["k1"])
+    got = sorted(((r.k1 or ""), r.k2, r.v) for r in spark.read.parquet(path).collect())
+    # NULL keys never conflict: both NULL-partition rows stay; ("a", 1) is replaced
+    assert got == [("", 1, 0.1), ("", 1, 0.5), ("a", 1, 0.7)]
+
+
+def test_upsert_table_prunes_the_target_scan(spark):
+    path = work_dir(spark, "test-upsert-prune") + "/t"
+    TB.upsert_table(spark, _df(spark, [("a", 1, 0.1), ("b", 1, 0.2), ("c", 1, 0.3)]), path, KEYS, ["k1"])
+    TB.upsert_table(spark, _df(spark, [("b", 1, 0.9)]), path, KEYS, ["k1"])
+    got = sorted((r.k1, r.k2, r.v) for r in spark.read.parquet(path).collect())
+    assert got == [("a", 1, 0.1), ("b", 1, 0.9), ("c", 1, 0.3)]
