@@ -58,20 +58,8 @@ def _exists(spark: SparkSession, path: str) -> bool:
 MAX_LISTED_PARTITIONS = 10_000
 
 
-def upsert_table(spark: SparkSession, new: DataFrame, path: str, keys: list[str],
-                 partition_by: list[str]) -> DataFrame:
-    """S11 on a parquet table partitioned by ``partition_by`` (a subset of ``keys``).
-
-    Only partitions touched by ``new`` are read, merged and rewritten (dynamic partition
-    overwrite); the merged partitions are materialised in a staging folder before the
-    overwrite, so the job never reads from the files it replaces. Returns the staged rows.
-    """
-    if not set(partition_by) <= set(keys):
-        raise ValueError("partition columns must be part of the upsert key")
-    if not _exists(spark, path):
-        new.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
-        return spark.read.parquet(path)
-    target = spark.read.parquet(path)
+def _touched_partitions(target: DataFrame, new: DataFrame, partition_by: list[str]) -> DataFrame:
+    """Rows of ``target`` in the partitions ``new`` has rows for."""
     touched = new.select(*partition_by).distinct()
     listed = touched.limit(MAX_LISTED_PARTITIONS + 1).collect()   # bounded, size-checked
     if len(listed) <= MAX_LISTED_PARTITIONS:
@@ -81,13 +69,30 @@ def upsert_table(spark: SparkSession, new: DataFrame, path: str, keys: list[str]
             keep = F.col(c).isin([v for v in vals if v is not None])
             target = target.filter(keep | F.col(c).isNull() if None in vals else keep)
     # Exact tuples, null-safe: a NULL partition value is a folder like any other, and its
-    # stored rows must be carried into the rewrite (NULL keys never conflict in the merge).
+    # stored rows must be carried into a rewrite (NULL keys never conflict in the merge).
     t, n = target.alias("_t"), touched.alias("_n")
     cond = None
     for c in partition_by:
         eq = F.col(f"_t.{c}").eqNullSafe(F.col(f"_n.{c}"))
         cond = eq if cond is None else (cond & eq)
-    affected = t.join(n, cond, "left_semi").select(*[F.col(f"_t.{c}").alias(c) for c in target.columns])
+    return t.join(n, cond, "left_semi").select(*[F.col(f"_t.{c}").alias(c) for c in target.columns])
+
+
+def upsert_table(spark: SparkSession, new: DataFrame, path: str, keys: list[str],
+                 partition_by: list[str]) -> DataFrame:
+    """S11 on a parquet table partitioned by ``partition_by`` (a subset of ``keys``).
+
+    Only partitions touched by ``new`` are read, merged and rewritten (dynamic partition
+    overwrite); the merged partitions are materialised in a staging folder before the
+    overwrite, so the job never reads from the files it replaces. Returns the staged rows.
+    """
+    if not set(partition_by) <= set(keys):
+        raise ValueError("partition columns must be part of the upsert key")
+    if not _exists(spark, path):
+        new.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+        return spark.read.parquet(path)
+    target = spark.read.parquet(path)
+    affected = _touched_partitions(target, new, partition_by)
     merged = merge_upsert(affected, new.select(*target.columns), keys)
     stage = work_dir(spark, "upsert-stage")
     merged.write.mode("overwrite").partitionBy(*partition_by).parquet(stage)
@@ -99,16 +104,26 @@ def upsert_table(spark: SparkSession, new: DataFrame, path: str, keys: list[str]
 
 def append_if_absent(spark: SparkSession, new: DataFrame, path: str, keys: list[str],
                      partition_by: list[str] | None = None) -> DataFrame:
-    """Append rows of ``new`` whose key is not stored yet; returns the appended rows."""
+    """Append rows of ``new`` whose key is not stored yet; returns the appended rows.
+
+    When the partition columns are part of the key, only the touched partitions' keys are
+    read. The rows to append are staged under the shared scratch folder first: the append
+    copies durable files, and the returned rows do not change once the table has them."""
     if not _exists(spark, path):
         rows = append_new(new, new.limit(0), keys)
     else:
-        rows = append_new(new, spark.read.parquet(path), keys)
-    w = rows.write.mode("append")
+        stored = spark.read.parquet(path)
+        if partition_by and set(partition_by) <= set(keys):
+            stored = _touched_partitions(stored, new, partition_by)
+        rows = append_new(new, stored, keys)
+    stage = work_dir(spark, "append-stage")
+    rows.write.mode("overwrite").parquet(stage)
+    staged = spark.read.parquet(stage)
+    w = staged.write.mode("append")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
-    return rows
+    return staged
 
 
 def refresh_view(df: DataFrame, path: str) -> None:

@@ -62,6 +62,15 @@ def test_append_if_absent_on_disk(spark):
     assert sorted(tuple(r) for r in spark.read.parquet(path).collect()) == [("a", 1, 0.1), ("b", 1, 0.2)]
 
 
+def test_append_if_absent_returns_the_appended_rows(spark):
+    path = work_dir(spark, "test-append-ret") + "/t"
+    TB.append_if_absent(spark, _df(spark, [("a", 1, 0.1), ("b", 1, 0.3)]), path, KEYS, ["k1"])
+    got = TB.append_if_absent(spark, _df(spark, [("a", 1, 0.5), ("c", 2, 0.2)]), path, KEYS, ["k1"])
+    assert _rows(got.select("k1", "k2", "v")) == [("c", 2, 0.2)]
+    stored = sorted((r.k1, r.k2, r.v) for r in spark.read.parquet(path).collect())
+    assert stored == [("a", 1, 0.1), ("b", 1, 0.3), ("c", 2, 0.2)]
+
+
 def test_constraint_report(spark):
     df = spark.createDataFrame([("p1", "x" * 60, "POSITIVE"), ("p1", None, "MAYBE"), ("p2", "ok", None)],
                                "post_id string, source string, sentiment_label string")
