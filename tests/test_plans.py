@@ -63,3 +63,10 @@ def test_lexicon_scoring_has_one_shuffle_and_one_scan(spark):
     assert plan.count("Exchange hashpartitioning") == 2
     assert plan.count("FileScan parquet") == 1
     assert "BroadcastHashJoin" in plan
+
+
+def test_topic_explode_evaluates_tagging_once(spark):
+    # no filter inferred from the explode may carry a second copy of the tagging expression
+    plan = catalog.REGISTRY["topic_tagging_explode_counts"].run(spark, SF)._jdf.queryExecution().optimizedPlan()
+    filters = [l for l in plan.toString().splitlines() if "Filter" in l]
+    assert not any("Contains" in l for l in filters)
