@@ -8,10 +8,12 @@ is a sum over one row per partition.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from brandpulse.llm.common import partitions, written
+from brandpulse.llm.common import partitions, shared_dir
 
 _BITS = 33
 _MASK = (1 << _BITS) - 1
@@ -23,13 +25,22 @@ def ordered(df: DataFrame, by: list[Column], name: str) -> DataFrame:
     Equal keys are dealt out by the place at which they were read, so that one key that holds
     most rows still spreads over many partitions.
     """
-    cols = df.columns
-    keyed = df.select("*", *[c.alias(f"_by{i}") for i, c in enumerate(by)],
+    return ordered_path(df, by, shared_dir(df.sparkSession, name))
+
+
+def ordered_path(df: DataFrame, by: list, path: str, codec: str = "snappy",
+                 then: Callable[[DataFrame], DataFrame] = lambda d: d) -> DataFrame:
+    """:func:`ordered`, written to ``path``; ``then`` maps the sorted rows one to one, in order."""
+    spark = df.sparkSession
+    keyed = df.select("*", *[(F.col(c) if isinstance(c, str) else c).alias(f"_by{i}") for i, c in enumerate(by)],
                       F.monotonically_increasing_id().alias("_tie"))
     keys = [f"_by{i}" for i in range(len(by))] + ["_tie"]
-    dealt = keyed.repartitionByRange(partitions(df.sparkSession), *keys).sortWithinPartitions(*keys)
-    at = F.monotonically_increasing_id()
-    return written(dealt.select(*cols, at.alias("_at")), name).select(
+    dealt = keyed.repartitionByRange(partitions(spark), *keys).sortWithinPartitions(*keys)
+    rows = then(dealt.select(*df.columns))
+    cols = rows.columns
+    out = rows.select("*", F.monotonically_increasing_id().alias("_at"))
+    out.write.option("compression", codec).parquet(path)
+    return spark.read.schema(out.schema).parquet(path).select(
         *cols, F.shiftright("_at", _BITS).cast("int").alias("_pid"), F.col("_at").bitwiseAND(_MASK).alias("_row"))
 
 

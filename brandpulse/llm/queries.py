@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from brandpulse.llm import op06_interleave, op07_quality, op09_mix
+from brandpulse.llm import op03_vbyte, op06_interleave, op07_quality, op08_pack, op09_mix
 
 QUERIES = {
+    "op3_token_output": op03_vbyte.op3_token_output,
     "op6_sharding": op06_interleave.op6_sharding,
     "op7_quality": op07_quality.op7_quality,
+    "op8_packing": op08_pack.op8_packing,
     "op9_mixing": op09_mix.op9_mixing,
 }
 
