@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from brandpulse.llm import op03_vbyte, op06_interleave, op07_quality, op08_pack, op09_mix
+from brandpulse.llm import op01_winnow, op03_vbyte, op05_chat, op06_interleave, op07_quality, op08_pack, op09_mix
 
 QUERIES = {
+    "op1_fingerprints": op01_winnow.op1_fingerprints,
     "op3_token_output": op03_vbyte.op3_token_output,
+    "op5_chat": op05_chat.op5_chat,
     "op6_sharding": op06_interleave.op6_sharding,
     "op7_quality": op07_quality.op7_quality,
     "op8_packing": op08_pack.op8_packing,
@@ -13,6 +15,7 @@ QUERIES = {
 }
 
 SQL = {
+    "op5_chat": op05_chat.OP5_SQL,
     "op7_quality": op07_quality.OP7_SQL,
     "op9_mixing": op09_mix.OP9_SQL,
 }
