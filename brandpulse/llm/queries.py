@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from brandpulse.llm import op01_winnow, op03_vbyte, op05_chat, op06_interleave, op07_quality, op08_pack, op09_mix
+from brandpulse.llm import op01_winnow, op02_toxic, op03_vbyte, op05_chat, op06_interleave, op07_quality, op08_pack, op09_mix
 
 QUERIES = {
     "op1_fingerprints": op01_winnow.op1_fingerprints,
+    "op2_toxicity": op02_toxic.op2_toxicity,
     "op3_token_output": op03_vbyte.op3_token_output,
     "op5_chat": op05_chat.op5_chat,
     "op6_sharding": op06_interleave.op6_sharding,
