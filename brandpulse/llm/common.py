@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,7 +13,17 @@ SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+def workers_import(spark: SparkSession) -> None:
+    """Python workers import this package from where the driver has it, or from what was shipped
+    with the job if that path isn't there."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(x for x in (root, env.get("PYTHONPATH")) if x)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    workers_import(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
@@ -22,6 +33,7 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     Where that is unset a folder is made only for a local master, whose driver and executors
     share one disk; anywhere else the job stops with an error.
     """
+    workers_import(spark)
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
         master = spark.sparkContext.master

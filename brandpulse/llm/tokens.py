@@ -14,6 +14,7 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 
 from brandpulse.llm.words import chunks, runs, span_hashes
@@ -84,14 +85,11 @@ class Encoder:
 
     def _learn(self, hashes: np.ndarray, units: list[bytes]) -> None:
         """Adds units; ``hashes`` ascend and are new."""
-        if len(self.hashes) + len(hashes) > MEMO:
-            self.forget()
         flat, starts, lens = self._units(units)
-        merged = np.concatenate([self.hashes, hashes])
-        order = np.argsort(merged, kind="stable")
-        self.starts = np.concatenate([self.starts, len(self.ids) + starts])[order]
-        self.lens = np.concatenate([self.lens, lens])[order]
-        self.hashes = merged[order]
+        at = np.searchsorted(self.hashes, hashes)
+        self.starts = np.insert(self.starts, at, len(self.ids) + starts)
+        self.lens = np.insert(self.lens, at, lens)
+        self.hashes = np.insert(self.hashes, at, hashes)
         self.ids = np.concatenate([self.ids, flat])
 
     def _find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -109,15 +107,17 @@ class Encoder:
         first = np.flatnonzero(~inner)
         lead[first] = ~np.isin(starts[first], at)
         starts = starts - (inner | lead)
-        seen, where, back = np.unique(span_hashes(buf, starts, ends), return_index=True, return_inverse=True)
+        back, seen = pd.factorize(span_hashes(buf, starts, ends))
         place, known = self._find(seen)
         if not known.all():
             new = np.flatnonzero(~known)
             if len(self.hashes) + len(new) > MEMO:
                 self.forget()
                 new = np.arange(len(seen))
+            new = new[np.argsort(seen[new])]
+            where = np.flatnonzero(np.diff(np.maximum.accumulate(back), prepend=-1))  # where each is seen first
             raw = buf.tobytes()
-            self._learn(seen[new], [raw[starts[i]:ends[i]] for i in where[new]])
+            self._learn(seen[new], [raw[a:b] for a, b in zip(starts[where[new]].tolist(), ends[where[new]].tolist(), strict=True)])
             place, _ = self._find(seen)
         lens = self.lens[place][back]
         upto = np.cumsum(lens)
