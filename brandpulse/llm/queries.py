@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from brandpulse.llm import op01_winnow, op02_toxic, op03_vbyte, op05_chat, op06_interleave, op07_quality, op08_pack, op09_mix
+from brandpulse.llm import op01_winnow, op02_toxic, op03_vbyte, op05_chat, op06_interleave, op07_quality, op08_pack, op09_mix, op10_jaccard
 
 QUERIES = {
     "op1_fingerprints": op01_winnow.op1_fingerprints,
@@ -13,6 +13,7 @@ QUERIES = {
     "op7_quality": op07_quality.op7_quality,
     "op8_packing": op08_pack.op8_packing,
     "op9_mixing": op09_mix.op9_mixing,
+    "op10_ngram_join": op10_jaccard.op10_ngram_join,
 }
 
 SQL = {
