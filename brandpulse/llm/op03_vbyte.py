@@ -70,10 +70,10 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row per id that a task has seen."""
     total = np.zeros(0, np.int64)
     for b in batches:
-        for raw, wide in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-            n = np.bincount(_ids(raw, wide), minlength=len(total))
-            n[:len(total)] += total
-            total = n
+        rows = zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)
+        n = np.bincount(np.concatenate([_ids(raw, wide) for raw, wide in rows]), minlength=len(total))
+        n[:len(total)] += total
+        total = n
     at = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at], pa.int64())], ["id", "n"])
 
