@@ -31,12 +31,14 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from brandpulse.llm.common import documents
-from brandpulse.llm.words import chunks, mix, runs, span_hashes
+from brandpulse.llm.common import documents, written
+from brandpulse.llm.words import chunks, mix, runs, span_hashes, text_buffer
 
 #: Bounds of what is sampled: labelled rows to mine voters from, and rows that train the classifier.
 LABELLED, TRAINING = 12_000, 24_000
 VOTERS, VOCABULARY = 240, 2_000
+#: Bytes of text that a task works on at once.
+CHUNK = 1 << 19
 PREFIXES = (4, 5, 6)
 #: Toxic rows among the labelled ones with a pattern, plus one more row that isn't, from which it votes.
 MIN_PRECISION = 0.8
@@ -58,7 +60,8 @@ _NOT_LETTER[[*range(0x61, 0x7B), *range(0x80, 0x100)]] = False
 
 def features(col: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Chunks of texts: first row, rows, and the (row in the chunk, feature) pairs, with repeats."""
-    for first, n, buf, at in chunks(pc.utf8_lower(col)):
+    for first, n, *_ in chunks(col, CHUNK):
+        buf, at = text_buffer(pc.utf8_lower(col.slice(first, n)))
         starts, ends, before = runs(buf, at, _NOT_LETTER)
         row = np.repeat(np.arange(n), np.diff(before))
         rows, feats = [row], [mix(span_hashes(buf, starts, ends) ^ _SALT[0])]
@@ -245,13 +248,13 @@ def score(docs: DataFrame, labels: DataFrame, key: str = "doc_id") -> DataFrame:
     docs = docs.select(key, F.coalesce("text", F.lit("")).alias("text"))
     known = labels.where("toxic is not null").groupBy(key).agg(F.max("toxic").cast("double").alias("weight"))
     some = sample(known, F.col(key), LABELLED)
-    labelled = docs.join(F.broadcast(some), key).groupBy("text").agg(F.max("weight").alias("weight"))
+    labelled = written(docs.join(F.broadcast(some), key).groupBy("text").agg(F.max("weight").alias("weight")), "toxic-labelled")
     voters, counts, prior, n = mine(labelled)
     both, texts = firing(docs, voters)
     model = LabelModel(both, texts, counts, prior, n)
     ids = sample(docs.select(key).where(~held_out(F.col(key))), F.col(key), TRAINING)
     train = docs.join(F.broadcast(ids.distinct()), key).select("text").distinct()
-    soft = posteriors(train, voters, model)
+    soft = written(posteriors(train, voters, model), "toxic-soft")
     q = soft.agg(F.avg("weight")).first()[0] or prior
     z = (F.col("w") - F.col("n") * q) / F.sqrt(F.col("n") * (q * (1 - q) + 1e-9))
     picked = _associations(soft).where("n > 1").orderBy(F.desc(F.abs(z)), "feature").limit(VOCABULARY).collect()

@@ -49,9 +49,10 @@ def text_buffer(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     (one more for the end)."""
     if isinstance(col, pa.ChunkedArray):
         col = col.combine_chunks()
-    col = pc.fill_null(col, "")
-    col = col.cast(pa.large_string()) if col.type != pa.large_string() else col
-    at = np.frombuffer(col.buffers()[1], np.int64)[col.offset:col.offset + len(col) + 1]
+    if col.null_count:
+        col = pc.fill_null(col, "")
+    wide = np.int64 if pa.types.is_large_string(col.type) else np.int32
+    at = np.frombuffer(col.buffers()[1], wide)[col.offset:col.offset + len(col) + 1].astype(np.int64) if len(col) else np.zeros(1, np.int64)
     data = col.buffers()[2]
     buf = np.frombuffer(data, np.uint8)[at[0]:at[-1]] if data else np.zeros(0, np.uint8)
     return buf, at - at[0]
