@@ -353,3 +353,19 @@ def joined(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 def op10_ngram_join(spark, sf_dir: str) -> DataFrame:
     return joined(documents(spark, sf_dir).select("doc_id", "text")).select("doc_id", "n_shingles", "component_id")
+
+
+def kept_documents(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """One document of every component: the one of smallest doc_id, with the columns of ``docs``.
+
+    Texts without a word are components of their own and stay. Of rows that repeat a doc_id the
+    one of the smallest text stays. Rows without doc_id stay.
+    """
+    named = docs.where("doc_id is not null")
+    found = joined(named.select("doc_id", "text"), percent).where("doc_id = component_id").select("doc_id")
+    keep = written(found.groupBy("doc_id").agg(F.count("*").alias("_rows")), "jaccard-keep")
+    rows = named.join(side(keep, keep.count()), "doc_id")
+    once = rows.where("_rows = 1").select(docs.columns)
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    several = rows.where("_rows > 1").groupBy("doc_id").agg(F.min(F.struct("text", *others)).alias("_r")).select("doc_id", "_r.*").select(docs.columns)
+    return once.unionByName(several).unionByName(docs.where("doc_id is null"))
