@@ -16,10 +16,12 @@ without a word are kept as they are and judged by no rule.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from brandpulse.llm.common import SPACE, documents
+from brandpulse.llm.common import SPACE, WORD, documents
 
 MIN_WORDS = 50
 MAX_REPEAT_PCT = 50
@@ -51,10 +53,14 @@ def line_fails(line: Column) -> Column:
     navigation = _count(line, r"(?:^|[\x20\x09-\x0D])[|»›·>]+(?=[\x20\x09-\x0D]|$)")
     symbols = _count(line, r"[#*$%&|<>]{2,}(?=[\x20\x09-\x0D.,;:!?]|$)")
     shout = _count(line, r"(?:^|[\x20\x09-\x0D])[\p{Lu}\p{P}]*\p{Lu}[\p{Lu}\p{P}]*!(?=[\x20\x09-\x0D]|$)")
-    phrase = F.lower(line).rlike("|".join(BOILERPLATE))
-    sentence = line.rlike(r"[.!?…。！？؟।]")
-    return (((n >= SENTENCE_WORDS) & ~sentence) | (navigation >= n * NAVIGATION_SHARE)
-            | (symbols >= n * SYMBOL_SHARE) | (shout >= n * SHOUT_SHARE) | phrase)
+    # the array binds the lowered line, so that it is made once
+    phrase = F.exists(F.array(F.lower(line)), lambda low: reduce(Column.__or__, [low.contains(x) for x in BOILERPLATE]))
+    # a rule is only worked out where its characters occur: most lines have none of them
+    sentence = line.contains(".") | line.contains("!") | line.contains("?") | line.rlike(r"[…。！？؟।]")
+    return ((~sentence & (n >= SENTENCE_WORDS))
+            | (line.rlike(r"[|»›·>]") & (navigation >= n * NAVIGATION_SHARE))
+            | (line.rlike(r"[#*$%&|<>]{2}") & (symbols >= n * SYMBOL_SHARE))
+            | (line.contains("!") & (shout >= n * SHOUT_SHARE)) | phrase)
 
 
 def _shifted(array: Column, by: int) -> Column:
@@ -101,22 +107,23 @@ def judge(docs: DataFrame) -> DataFrame:
     cols = [F.col(c) for c in docs.columns]
     d = docs.select(*cols, F.filter(F.split(text, SPACE), lambda w: w != "").alias("_words"),
                     F.split(text, "\n").alias("_lines"))
+    d = d.withColumn("_chars", F.aggregate("_words", F.lit(0).cast("long"), lambda n, w: n + F.length(w)))
     d = _repeat_words(d).withColumn("_n", F.size("_words").cast("long")).drop("_words")
-    d = d.withColumn("_full", F.filter("_lines", lambda x: x.rlike(r"[^\x20\x09-\x0D]")))
+    d = d.withColumn("_full", F.filter("_lines", lambda x: x.rlike(WORD)))
+    d = d.withColumn("_fails", F.transform("_lines", lambda x: x.rlike(WORD) & line_fails(x)))
+    d = d.withColumn("_gone", F.filter(F.zip_with("_lines", "_fails", lambda x, f: F.when(f, x)), lambda x: x.isNotNull()))
+    good = F.filter(F.zip_with("_lines", "_fails", lambda x, f: F.when(~f, x)), lambda x: x.isNotNull())
+    gone = F.aggregate("_gone", F.lit(0).cast("long"), lambda n, x: n + F.length(F.regexp_replace(x, SPACE, "")))
     base = (F.col("_n") < MIN_WORDS) | (F.col("_rep") * 100 > F.col("_n") * MAX_REPEAT_PCT)
-    bare = F.translate(text, " \t\n\x0b\f\r", "")
     d = d.select(
-        *[F.col(c) for c in docs.columns if c not in RESULT], "_lines",
-        F.col("_n").alias("n_words"), F.length(bare).cast("long").alias("word_chars"),
-        (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long").alias("n_symbols"),
+        *[F.col(c) for c in docs.columns if c not in RESULT],
+        F.col("_n").alias("n_words"), F.col("_chars").alias("word_chars"),
+        F.regexp_count(text, F.lit("[" + SYMBOLS + "]")).cast("long").alias("n_symbols"),
         (F.size("_full") - F.size(F.array_distinct("_full"))).cast("long").alias("n_dup_lines"),
         F.col("_rep").alias("n_repeat_words"), base.alias("base_failed"),
-        F.filter("_lines", lambda x: ~(x.rlike(r"[^\x20\x09-\x0D]") & line_fails(x))).alias("_good"))
-    d = d.withColumn("cleaned", F.array_join("_good", "\n"))
-    left = F.length(F.translate("cleaned", " \t\n\x0b\f\r", ""))
-    d = d.withColumn("lost", F.when(F.col("word_chars") > 0, (F.col("word_chars") - left) / F.col("word_chars"))
-                     .otherwise(0.0))
-    return d.withColumn("kept", ~F.col("base_failed") & (F.col("lost") <= MAX_LOST)).drop("_lines", "_good")
+        F.when(F.col("_chars") > 0, gone / F.col("_chars")).otherwise(0.0).alias("lost"),
+        F.array_join(good, "\n").alias("cleaned"))
+    return d.withColumn("kept", ~F.col("base_failed") & (F.col("lost") <= MAX_LOST))
 
 
 RESULT = {"n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "lost", "kept", "cleaned"}
