@@ -70,12 +70,12 @@ def paths(messages: DataFrame, branches: int = 1) -> DataFrame:
     leaves = step.where("up is null").join(inner, ["tree", "id"], "left_anti")
     best = Window.partitionBy("tree").orderBy((F.col("score") / (F.col("dist") + 1)).desc(), "id")
     chosen = leaves.withColumn("branch", F.row_number().over(best)).where(F.col("branch") <= branches)
-    on = chosen.select("tree", F.col("id").alias("leaf"), "id", F.col("dist").alias("depth"), "branch")
+    on = written(chosen.select("tree", F.col("id").alias("leaf"), "id", F.col("dist").alias("depth"), "branch"), "chat-leaves")
     for k in range(len(rounds) - 2, -1, -1):  # each row has the ancestor 2**k above, if there is one
         jump = rounds[k].where("up is not null").select("tree", "id", "up")
         above = on.join(jump, ["tree", "id"]).select(
             "tree", "leaf", F.col("up").alias("id"), (F.col("depth") - (1 << k)).alias("depth"), "branch")
-        on = on.unionByName(above)
+        on = written(on.unionByName(above), f"chat-path{k}")  # else the plan doubles with every round
     return on
 
 
@@ -134,6 +134,7 @@ def op5_chat(spark, sf_dir: str) -> DataFrame:
     order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
     messages = rows.select(F.col("conv_id").alias("tree"), F.row_number().over(order).cast("long").alias("id"), "role", "text",
                            F.lit(0.0).alias("score")).withColumn("parent", F.when(F.col("id") > 1, F.col("id") - 1))
+    messages = written(messages, "chat-messages")
     path = shared_dir(spark, "chat")
     format_paths(messages).write.parquet(path)
     back = spark.read.schema("tree long, leaf long, branch int, formatted string, loss array<struct<start:bigint,end:bigint>>").parquet(path)
