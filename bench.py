@@ -39,12 +39,13 @@ def main() -> None:
     # warm-up: every query once on the smallest input (JVM class loading, codegen caches),
     # so that the timed run measures the work at the target scale, not the first compile
     warm = "/root/testdata/sf0.001"
+    warmup_errors: dict[str, str] = {}
     if os.path.isdir(warm) and os.environ.get("BENCH_WARMUP", "1") == "1":
         for name in names:
             try:
                 catalog.REGISTRY[name].run(spark, warm).write.format("noop").mode("overwrite").save()
-            except Exception:
-                pass
+            except Exception as e:  # reported; the timed run decides
+                warmup_errors[name] = repr(e)[:300]
 
     times: dict[str, float] = {}
     errors: dict[str, str] = {}
@@ -77,6 +78,8 @@ def main() -> None:
     }
     if errors:
         out["errors"] = errors
+    if warmup_errors:
+        out["warmup_errors"] = warmup_errors
     print(json.dumps(out), flush=True)
     spark.stop()
 

@@ -50,8 +50,11 @@ def hours_before(as_of_col: Column, hours: float) -> Column:
 
 
 def within_last(df: DataFrame, time_col: str, as_of, hours: float) -> Column:
-    """P5: ``time_col >= as_of - hours`` (no upper bound, as in the dashboards)."""
-    return F.col(time_col) >= hours_before(as_of_for(df, time_col, as_of), hours)
+    """P5: ``as_of - hours <= time_col <= as_of``. The dashboards bound the range from below
+    alone because their clock is the server's, past every stored row; with an explicit clock
+    the upper bound keeps later rows out."""
+    a = as_of_for(df, time_col, as_of)
+    return (F.col(time_col) >= hours_before(a, hours)) & (F.col(time_col) <= a)
 
 
 def in_band(df: DataFrame, time_col: str, as_of, start_minutes: float, end_minutes: float) -> Column:
@@ -75,12 +78,13 @@ def hour_bucket(df: DataFrame, time_col: str) -> Column:
 
 # --------------------------------------------------------------------------------------
 # F1 / Q1: total event-time parsing. Fixed formats accepted, in order of preference:
-#   RFC-822 with a zone name ("Mon, 06 Jan 2025 10:00:00 GMT", weekday optional),
-#   RFC-822 with a numeric offset ("... +0000", "... -0500"),
-#   anything the ISO/standard cast accepts ("2025-01-06T10:00:00Z", "2025-01-06 10:00:00").
+#   RFC-822 with a zone name ("Mon, 06 Jan 2025 10:00:00 GMT"; weekday and seconds are
+#   optional, the year has four digits or two) or a numeric offset ("... +0000", "... -0500"),
+#   anything with a date that the ISO/standard cast accepts ("2025-01-06T10:00:00Z", "2025-01-06 10:00:00").
 # --------------------------------------------------------------------------------------
-RFC822_ZONE_NAME = "d MMM yyyy HH:mm:ss zzz"
-RFC822_OFFSET = "d MMM yyyy HH:mm:ss xx"
+RFC822_FORMATS = tuple(f"d MMM {year} HH:mm{seconds} {zone}" for year in ("yyyy", "yy")
+                       for seconds in (":ss", "") for zone in ("zzz", "xx"))
+HAS_DATE = r"^\s*[+-]?\d{4,}-\d{1,2}"
 WEEKDAY_PREFIX = r"^\s*[A-Za-z]{3},\s*"
 
 
@@ -90,9 +94,10 @@ def parse_event_time(c: Column | str) -> Column:
     s = F.trim(c)
     bare = F.regexp_replace(s, WEEKDAY_PREFIX, "")
     return F.coalesce(
-        F.try_to_timestamp(bare, F.lit(RFC822_ZONE_NAME)),
-        F.try_to_timestamp(bare, F.lit(RFC822_OFFSET)),
-        s.try_cast("timestamp"),
+        *[F.when(bare.rlike(r"^\S+\s+\S+\s+\d{2}\s" if " yy " in f else r"^\S+\s+\S+\s+\d{4}\s"),
+                 F.try_to_timestamp(bare, F.lit(f))) for f in RFC822_FORMATS],
+        # a time without a date would be read as of today
+        F.when(s.rlike(HAS_DATE), s.try_cast("timestamp")),
     )
 
 

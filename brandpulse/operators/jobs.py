@@ -7,6 +7,7 @@ writers in :mod:`brandpulse.sources.tables` apply append / upsert / overwrite.
 from __future__ import annotations
 
 import datetime as _dt
+import math
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -98,7 +99,8 @@ def detect_shift(topic: DataFrame, as_of, alerts: DataFrame | None = None,
     ``n_recent * n_base``. So one scan, one aggregation per topic (O(n) instead of
     O(n1*n2) rows; map-side combine absorbs a hot topic).
 
-    J3: topics with an alert in the last ``cooldown_minutes`` (from ``alerts``) are skipped.
+    J3: topics with an alert in ``[as_of - cooldown, as_of]`` (from ``alerts``) are skipped;
+    alerts after ``as_of`` don't count, as in a run of that time.
     """
     rb = TM.in_band(topic, time_col, as_of, *recent)
     bb = TM.in_band(topic, time_col, as_of, *baseline)
@@ -110,7 +112,8 @@ def detect_shift(topic: DataFrame, as_of, alerts: DataFrame | None = None,
     out = _alerts_from_band_stats(g, TM.as_of_for(topic, time_col, as_of), threshold, direction, details)
     if alerts is not None:
         a = TM.as_of_for(alerts, "detected_at", as_of)
-        recent_alerts = (alerts.filter(F.col("detected_at") >= TM.minutes_before(a, cooldown_minutes))
+        recent_alerts = (alerts.filter((F.col("detected_at") >= TM.minutes_before(a, cooldown_minutes))
+                                       & (F.col("detected_at") <= a))
                          .select(F.col("affected_topic")).distinct())
         out = out.join(recent_alerts, "affected_topic", "left_anti")
     return out
@@ -129,9 +132,10 @@ def detect_shift_series(topic: DataFrame, start, end, step_minutes: float = 60,
     """Backfill: the result of :func:`detect_shift` run at every ``as_of`` on the grid
     ``start, start + step, ..., <= end``, in one job.
 
-    Each row is routed to the grid points whose bands contain it (a band of width w
-    holds a row for at most ceil(w / step) points), so the work is one explode of a
-    short array plus one aggregation keyed by (as_of, topic) — no cross join with the grid.
+    The range that any band can reach is a plain predicate, so it is pushed to the scan.
+    Rows are then combined to (topic, bucket), a bucket being as wide as the greatest common
+    divisor of the step and the band limits; every band is a run of whole buckets. Only
+    buckets are routed to the grid points whose bands contain them — no cross join with the grid.
     Runs on the grid cannot suppress each other when ``step > cooldown``; alerts already
     in ``alerts`` suppress the grid points within ``cooldown`` after them.
     """
@@ -143,26 +147,39 @@ def detect_shift_series(topic: DataFrame, start, end, step_minutes: float = 60,
     start_c = TM.ts_lit(s0, dtype)
     n_points = int((_dt.datetime.fromisoformat(TM._as_text(end)) - _dt.datetime.fromisoformat(s0)).total_seconds()
                    * 1e6 // step)
-    t_rel = _epoch_micros(F.col(time_col)) - _epoch_micros(start_c)
-
-    def points(band):   # grid indexes k with  start + k*step - band[0] <= t < start + k*step - band[1]
-        lo = F.floor((t_rel + F.lit(int(band[1] * 60e6))) / F.lit(step)) + F.lit(1)   # k*step > t + end_off
-        hi = F.floor((t_rel + F.lit(int(band[0] * 60e6))) / F.lit(step))             # k*step <= t + start_off
+    width = math.gcd(step, *[int(round(m * 60e6)) for m in (*recent, *baseline)])
+    far, near = max(recent[0], baseline[0]), min(recent[1], baseline[1])
+    last = TM.ts_lit((_dt.datetime.fromisoformat(s0) + _dt.timedelta(microseconds=n_points * step)), dtype)
+    c = F.col(time_col)
+    score = F.col("sentiment_score")
+    at = F.floor((_epoch_micros(c) - _epoch_micros(start_c)) / F.lit(width)).cast("long")
+    buckets = (topic.filter(F.col("topic").isNotNull() & (c >= TM.minutes_before(start_c, far))
+                            & (c < TM.minutes_before(last, near)))
+               .groupBy("topic", at.alias("_at"))
+               .agg(F.count(F.lit(1)).alias("_n"), F.sum(score).alias("_s"), F.count(score).alias("_c")))
+
+    def points(band):   # grid indexes k with  start + k*step - band[0] <= bucket < start + k*step - band[1]
+        rel = F.col("_at") * F.lit(width)
+        lo = F.floor((rel + F.lit(int(round(band[1] * 60e6)))) / F.lit(step)) + F.lit(1)
+        hi = F.floor((rel + F.lit(int(round(band[0] * 60e6)))) / F.lit(step))
         lo = F.greatest(lo, F.lit(0)).cast("int")
         hi = F.least(hi, F.lit(n_points)).cast("int")
         return F.when(lo <= hi, F.sequence(lo, hi)).otherwise(F.array().cast("array<int>"))
 
-    score = F.col("sentiment_score")
-    rows = topic.filter(F.col("topic").isNotNull()).select(
-        "topic", score.alias("sentiment_score"),
+    rows = buckets.select(
+        "topic", "_n", "_s", "_c",
         F.transform(points(recent), lambda k: F.struct(k.alias("k"), F.lit(True).alias("r"))).alias("_r"),
         F.transform(points(baseline), lambda k: F.struct(k.alias("k"), F.lit(False).alias("r"))).alias("_b"),
-    ).select("topic", "sentiment_score", F.explode(F.concat("_r", "_b")).alias("_p"))
+    ).select("topic", "_n", "_s", "_c", F.explode(F.concat("_r", "_b")).alias("_p"))
     rb = F.col("_p.r")
+
+    def total(col, cond):
+        return F.coalesce(F.sum(F.when(cond, F.col(col))), F.lit(0))
+
     g = (rows.groupBy(F.col("_p.k").alias("k"), "topic")
-         .agg(F.count_if(rb).alias("n_recent"), F.count_if(~rb).alias("n_base"),
-              F.avg(F.when(rb, F.col("sentiment_score"))).alias("avg_recent"),
-              F.avg(F.when(~rb, F.col("sentiment_score"))).alias("avg_base")))
+         .agg(total("_n", rb).alias("n_recent"), total("_n", ~rb).alias("n_base"),
+              F.try_divide(F.sum(F.when(rb, F.col("_s"))), total("_c", rb)).alias("avg_recent"),
+              F.try_divide(F.sum(F.when(~rb, F.col("_s"))), total("_c", ~rb)).alias("avg_base")))
     detected = start_c + F.make_dt_interval(secs=(F.col("k").cast("long") * F.lit(step) / F.lit(1_000_000))
                                             .cast("decimal(18,6)"))
     out = _alerts_from_band_stats(g.withColumn("detected_at_", detected), F.col("detected_at_"), threshold,

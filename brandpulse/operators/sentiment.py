@@ -4,22 +4,24 @@ The scorer follows the published lexicon-and-rules method (Hutto & Gilbert, ICWS
 with the lexicon as a *table argument* ``(term string, valence double)``; the modifier word
 lists are parameters too. Constants are the published defaults and can be overridden.
 
-Plan shape (one scan, one shuffle of about one row per post, none when the input is
-already hash partitioned by the id, e.g. a table bucketed by ``post_id``):
+Plan shape:
 
 1. per-post features computed in-row from the whole text (tokens, each token's three
    predecessors, ALL-CAPS differential, first "but", ``!`` and ``?`` counts);
-2. ``explode`` to one row per token plus one header row carrying the post's columns
-   (narrow), and a broadcast hash join with the lexicon (its size is checked against
-   ``max_lexicon_rows`` first; larger lexicons use a shuffle join);
+2. ``explode`` to one narrow row per token, which carries the post's key and never its text,
+   joined with the lexicon (statistics and AQE choose how);
 3. modifier rules as column arithmetic, one projection per rule;
-4. ``groupBy(id)``: partial aggregation inside each task collapses a post's tokens
-   (they come from one input row), the shuffle moves one row per post, and the header
-   row restores the post's columns — no join back to the posts.
+4. sums of numbers per key: a hash aggregate whose partial half collapses a post's tokens in
+   the task that made them, so about one narrow row per post is shuffled;
+5. one join with the posts on the key.
 
 Tiers: 1 = lexicon sum + normalisation (SQL-checkable); 2 = + ALL-CAPS emphasis, degree
 words and negation over the three preceding tokens; 3 = + contrastive "but" and ``!``/``?``
-emphasis. Precondition: ``id_col`` is unique (dedupe replays first, see T4/T5).
+emphasis. The key is the id with a hash of the text, so rows that share an id but not a text
+are scored each by itself, and rows that share both get one score each.
+
+Terms of the lexicon that are not one token (several words, symbols) can't match a token;
+:func:`unmatched_terms` lists them.
 """
 
 from __future__ import annotations
@@ -32,7 +34,6 @@ from pyspark.sql import functions as F
 from brandpulse import schemas as S
 from brandpulse.functions import scoring as SC
 from brandpulse.functions.text import count_char, tokens
-from brandpulse.session import spread_thin_input
 
 
 @dataclass(frozen=True)
@@ -54,12 +55,6 @@ class Rules:
     negations: tuple = ()
 
 
-def is_small(df: DataFrame, max_rows: int) -> bool:
-    """Broadcast guard: true when ``df`` has at most ``max_rows`` rows (reads at most
-    ``max_rows + 1`` rows of it)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
 def _literal_map(d: dict) -> Column | None:
     if not d:
         return None
@@ -70,17 +65,14 @@ def _literal_map(d: dict) -> Column | None:
 
 
 def _token_rows(posts: DataFrame, id_col: str, text_col: str, but_word: str = "but", tier: int = 3) -> DataFrame:
-    """One row per token plus one *header* row per post (``pos = -1``) that carries the
-    post's own columns, so the per-post aggregate can rebuild the row without a join back.
+    """One row per token with the post's key and its scalars.
 
     Built in stages so that the token array is computed once per post, and every per-post
-    value used after the explode is a scalar (an array column kept across ``explode`` would
+    value used after the explode is a number (an array column kept across ``explode`` would
     be copied into every token row)."""
     text = F.col(text_col)
-    others = [f for f in posts.schema.fields if f.name != id_col]
     base = posts.select(
-        F.col(id_col),
-        *[F.col(f.name).alias(f"_b{i}") for i, f in enumerate(others)],
+        F.col(id_col).alias("_id"), F.xxhash64(text).alias("_text"),
         tokens(text).alias("_toks"),
         count_char(text, "!").alias("_n_excl"),
         count_char(text, "?").alias("_n_q"),
@@ -93,25 +85,13 @@ def _token_rows(posts: DataFrame, id_col: str, text_col: str, but_word: str = "b
         (F.array_position(F.col("_low"), F.lit(but_word.lower())) - F.lit(1)).alias("_but_pos"),  # -1: none
     )
 
-    def element(pos, term, caps, p1, p2, p3, base_cols):
-        context = [caps.alias("caps"), p1.alias("p1"), p2.alias("p2"), p3.alias("p3")] if tier >= 2 else []
-        return F.struct(pos.alias("pos"), term.alias("term"), *context,
-                        *[b.alias(f"b{i}") for i, b in enumerate(base_cols)])
-
-    null_s = F.lit(None).cast("string")
-    header = element(F.lit(-1), null_s, F.lit(False), null_s, null_s, null_s,
-                     [F.col(f"_b{i}") for i in range(len(others))])
-    null_base = [F.lit(None).cast(f.dataType) for f in others]
-    per_token = F.transform(
-        F.col("_toks"),
-        lambda t, i: element(i, F.get(F.col("_low"), i), (t == F.upper(t)) & (t != F.lower(t)),
-                             F.get(F.col("_low"), i - 1), F.get(F.col("_low"), i - 2),
-                             F.get(F.col("_low"), i - 3), null_base))
-    rows = feats.select(
-        F.col(id_col), "_cap_diff", "_n_excl", "_n_q", "_but_pos",
-        F.explode(F.concat(F.array(header), per_token)).alias("_t"),
-    )
-    return rows, others
+    def element(t, i):
+        before = [F.get(F.col("_low"), i - k).alias(f"p{k}") for k in (1, 2, 3)] if tier >= 2 else []
+        caps = [((t == F.upper(t)) & (t != F.lower(t))).alias("caps")] if tier >= 2 else []
+        return F.struct(i.alias("pos"), F.get(F.col("_low"), i).alias("term"), *caps, *before)
+
+    return feats.select("_id", "_text", "_cap_diff", "_n_excl", "_n_q", "_but_pos",
+                        F.explode(F.transform("_toks", element)).alias("_t"))
 
 
 def _adjusted_valence(df: DataFrame, rules: Rules, tier: int) -> DataFrame:
@@ -148,31 +128,32 @@ def _adjusted_valence(df: DataFrame, rules: Rules, tier: int) -> DataFrame:
 
 
 def score_sentiment(posts: DataFrame, lexicon: DataFrame, text_col: str = "content", id_col: str = "post_id",
-                    tier: int = 3, rules: Rules | None = None, details: bool = False,
-                    max_lexicon_rows: int = 2_000_000) -> DataFrame:
+                    tier: int = 3, rules: Rules | None = None, details: bool = False) -> DataFrame:
     """``posts`` + ``sentiment_label``, ``sentiment_score`` (0..1), ``confidence``
     (+ ``compound``, ``pos``, ``neu``, ``neg`` when ``details``)."""
     rules = rules or Rules()
     lex = (lexicon.select(F.lower("term").alias("_term"), F.col("valence").alias("_valence"))
            .groupBy("_term").agg(F.avg("_valence").alias("_valence")))
-    if is_small(lexicon, max_lexicon_rows):
-        lex = F.broadcast(lex)
-    # else: a shuffle join on the term; AQE splits the partitions of very frequent terms.
-    toks, others = _token_rows(spread_thin_input(posts), id_col, text_col, rules.but_word, tier)
+    toks = _token_rows(posts, id_col, text_col, rules.but_word, tier)
     scored = toks.join(lex, F.col("_t.term") == F.col("_term"), "left")
-    is_token = F.col("_t.pos") >= F.lit(0)
-    scored = scored.withColumn("_v", F.when(is_token, F.coalesce(F.col("_valence"), F.lit(0.0))))
+    scored = scored.withColumn("_v", F.coalesce(F.col("_valence"), F.lit(0.0)))
     scored = _adjusted_valence(scored, rules, tier)
-    # One row per post again. Tokens of a post come from one input row, so map-side
-    # partial aggregation leaves ~one row per post per task before the only shuffle.
-    agg = (scored.groupBy(id_col)
+    # One row per key; numbers only, so both halves are hash aggregates.
+    agg = (scored.groupBy("_id", "_text")
            .agg(F.sum("_v").alias("_s"),
                 F.sum(F.when(F.col("_v") > 0, F.col("_v") + F.lit(1.0)).otherwise(F.lit(0.0))).alias("_pos"),
                 F.sum(F.when(F.col("_v") < 0, F.col("_v") - F.lit(1.0)).otherwise(F.lit(0.0))).alias("_neg"),
-                F.count_if(F.col("_v") == 0).alias("_neu"),
+                F.count_if(F.col("_v") == 0).alias("_neu"), F.count(F.lit(1)).alias("_count"),
                 F.max("_n_excl").alias("_n_excl"), F.max("_n_q").alias("_n_q"),
-                *[F.first(F.col(f"_t.b{i}"), ignorenulls=True).alias(f.name) for i, f in enumerate(others)]))
+                F.count_if(F.col("_t.pos") == 0).alias("_rows")))
+    # rows that repeat id and text are summed together: each has its share
+    agg = agg.select("_id", "_text", "_n_excl", "_n_q", *[(F.col(c) / F.col("_rows")).alias(c) for c in ("_s", "_pos", "_neg", "_neu")])
     base_cols = [c for c in posts.columns if c != id_col]
+    keyed = posts.withColumn("_hash", F.xxhash64(text_col))
+    agg = keyed.join(agg, keyed[id_col].eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_text")), "left").select(
+        id_col, *base_cols, F.coalesce("_neu", F.lit(0.0)).alias("_neu"), F.coalesce("_n_excl", F.lit(0)).alias("_n_excl"),
+        F.coalesce("_n_q", F.lit(0)).alias("_n_q"), F.coalesce("_s", F.lit(0.0)).alias("_s"),
+        F.coalesce("_pos", F.lit(0.0)).alias("_pos"), F.coalesce("_neg", F.lit(0.0)).alias("_neg"))
     # Sums are snapped to a 1e-6 grid so that summation order (task layout) can change
     # neither the sign tests below nor the rounded outputs.
     snap = lambda c: SC.round_binary(c, 6)
@@ -196,7 +177,7 @@ def score_sentiment(posts: DataFrame, lexicon: DataFrame, text_col: str = "conte
     total = F.col("_pos") + F.abs(F.col("_neg")) + F.col("_neu")
     share = lambda c: F.coalesce(SC.round_binary(F.abs(F.try_divide(c, total)), 3), F.lit(0.0))
     joined = agg.select(id_col, *base_cols, compound.alias("compound"), share(F.col("_pos")).alias("pos"),
-                        share(F.col("_neu").cast("double")).alias("neu"), share(F.col("_neg")).alias("neg"))
+                        share(F.col("_neu")).alias("neu"), share(F.col("_neg")).alias("neg"))
     blank = SC.is_blank(F.col(text_col))
     comp = F.coalesce(F.col("compound"), F.lit(0.0))
     label = F.when(blank, F.lit(S.BLANK_RESULT[0])).otherwise(SC.label_from_compound(comp))
@@ -212,6 +193,12 @@ def score_sentiment(posts: DataFrame, lexicon: DataFrame, text_col: str = "conte
     return joined.select(*out_cols)
 
 
+def unmatched_terms(lexicon: DataFrame) -> DataFrame:
+    """The lexicon's terms that no token can equal: several words, symbols, blanks."""
+    t = tokens(F.lower(F.col("term")))
+    return lexicon.where(F.col("term").isNotNull() & ((F.size(t) != 1) | (t[0] != F.lower(F.col("term")))))
+
+
 def lexicon_frame(spark, rows) -> DataFrame:
     """A lexicon DataFrame from ``(term, valence)`` pairs."""
     return spark.createDataFrame([(str(t), float(v)) for t, v in rows], S.LEXICON)

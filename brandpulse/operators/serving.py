@@ -194,15 +194,19 @@ def negative_mentions(sentiment: DataFrame, as_of, hours: float = 24, brand: str
 def mention_cards(sentiment: DataFrame, as_of, hours: float = 24, brand: str | None = None,
                   limit: int = 10, time_col: str = "analyzed_at", preview_chars: int = 50) -> DataFrame:
     """Negative mentions with their display fields: F10 severity, F4 time text, F14 upper
-    source, F18 preview, F21 score text."""
+    source, the whole content with its F18 preview, F21 score texts (3 and 2 digits)."""
     nm = negative_mentions(sentiment, as_of, hours, brand, limit, time_col)
     return nm.select(
         "post_id", "sentiment_score", "created_at",
         SC.mention_severity("sentiment_score").alias("severity"),
         F.date_format("created_at", "yyyy-MM-dd HH:mm").alias("time_text"),
         F.upper("source").alias("source_text"),
+        "content",
         F.substring("content", 1, preview_chars).alias("preview"),
         F.format_string("%.3f", F.col("sentiment_score")).alias("score_text"),
+        F.format_string("%.2f", F.col("sentiment_score")).alias("score_short"),
+        # the cards' order as a column (over at most ``limit`` rows)
+        F.row_number().over(Window.orderBy(F.asc("sentiment_score"), F.desc("created_at"), F.asc("post_id"))).alias("card"),
     )
 
 

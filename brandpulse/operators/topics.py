@@ -1,14 +1,15 @@
 """Keyword topic tagging.
 
 ``tag_topics`` adds ``topics: array<string>`` — the vocabulary's topics, in vocabulary
-order, each at most once, whose keywords occur in the lower-cased text.
+order, each at most once, whose keywords occur in the lower-cased text. Both ways run on
+the JVM and give the same rows; the caller chooses:
 
-* Small vocabularies (the default 8 topics / 39 keywords) compile to one JVM expression
-  per row: ``filter(array(when(contains..., topic), ...), x -> x is not null)``. No join,
-  no shuffle, whole-stage codegen keeps it in the scan's pipeline.
-* Large vocabularies (thousands of keywords) would make that expression O(keywords) per
-  row; ``method="automaton"`` instead runs one Aho-Corasick pass per text inside an
-  Arrow-batched pandas UDF (the automaton is built once per Python worker).
+* ``method="expr"`` (default): one expression per row, ``filter(array(when(contains.., topic),
+  ..))``. No join and no shuffle; its cost grows with the number of keywords.
+* ``method="join"``: for vocabularies of thousands of keywords. A keyword's first ``GRAM``
+  characters (all of a shorter one) are its anchor; a text's distinct character grams of the
+  lengths that anchors have are joined with the anchors, and what matches is verified with
+  ``contains`` (or the whole-word pattern). Matches are small numbers, combined per text.
 
 Q3: the original lower-cases the text but not the keywords, so "CEO" never matches;
 ``lower_keywords=True`` (default) fixes it, ``False`` reproduces it.
@@ -18,18 +19,14 @@ requires word boundaries.
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from brandpulse import schemas as S
-from brandpulse.functions.text import keyword_match
-from brandpulse.session import spread_thin_input
+from brandpulse.functions.text import keyword_match, whole_word_pattern
 
-# Measured at sf0.1 (10k texts of ~2.5k characters, local[8]): the expression costs about
-# 25 ms per keyword, the automaton a flat ~0.8 s; they meet near 20-40 keywords.
-EXPRESSION_KEYWORD_LIMIT = 64
+# Characters of a keyword that the join looks up.
+GRAM = 4
 
 
 def _prepared(vocabulary, lower_keywords: bool):
@@ -56,78 +53,44 @@ def topics_expr(text, vocabulary=None, lower_keywords: bool = True, whole_word:
     return F.filter(F.array(*items), lambda x: x.isNotNull())
 
 
-def _automaton_udf(vocab, whole_word: bool):
-    """The Aho-Corasick tagger as a pandas UDF. Everything it runs is defined in this
-    closure, so cloudpickle ships it by value and executors need no copy of this package.
-    The automaton is built once per task (O(keywords)), on the first Arrow batch."""
-    topics_order = [t for t, _ in vocab]
-    by_kw: dict[str, frozenset] = {}
-    for topic, kws in vocab:
-        for kw in kws:
-            by_kw[kw] = by_kw.get(kw, frozenset()) | {topic}
-
-    def build_matcher():
-        def is_word_char(ch: str) -> bool:
-            return ch.isalnum()
-
-        try:
-            import ahocorasick
-            A = ahocorasick.Automaton()
-            for kw, tps in by_kw.items():
-                A.add_word(kw, (len(kw), tps))
-            A.make_automaton()
-
-            def match(text: str) -> set:
-                found = set()
-                for end, (n, tps) in A.iter(text):
-                    if whole_word:
-                        start = end - n + 1
-                        if (start > 0 and is_word_char(text[start - 1])) or \
-                                (end + 1 < len(text) and is_word_char(text[end + 1])):
-                            continue
-                    found |= tps
-                return found
-        except ImportError:   # plain scan fallback
-            import re
-
-            def match(text: str) -> set:
-                found = set()
-                for kw, tps in by_kw.items():
-                    if whole_word:
-                        if re.search(r"(?<!\w)" + re.escape(kw) + r"(?!\w)", text):
-                            found |= tps
-                    elif kw in text:
-                        found |= tps
-                return found
-        return match
-
-    built = []
-
-    @F.pandas_udf(T.ArrayType(T.StringType()))
-    def tag(texts: pd.Series) -> pd.Series:
-        if not built:
-            built.append(build_matcher())
-        match = built[0]
-        out = []
-        for t in texts:
-            if t is None:
-                out.append([])
-                continue
-            found = match(t.lower())
-            out.append([tp for tp in topics_order if tp in found])
-        return pd.Series(out)
-
-    return tag
+def _char_grams(chars: Column, n: int) -> Column:
+    """Distinct runs of ``n`` characters of an array of characters."""
+    grams = chars
+    for k in range(1, n):
+        grams = F.zip_with(grams, F.slice(chars, k + 1, F.greatest(F.size(chars) - k, F.lit(0))), lambda a, b: F.concat(a, b))
+    return F.array_distinct(F.filter(grams, lambda g: g.isNotNull()))
+
+
+def _tag_by_join(df: DataFrame, text_col: str, vocab, whole_word: bool, out_col: str) -> DataFrame:
+    spark = df.sparkSession
+    topics = [t for t, _ in vocab]
+    words = [(kw[:GRAM], kw, whole_word_pattern(kw), i) for i, (_, kws) in enumerate(vocab) for kw in kws if kw]
+    always = sorted({i for i, (_, kws) in enumerate(vocab) if "" in kws})
+    if not words:
+        return df.withColumn(out_col, F.array(*[F.lit(topics[i]) for i in always]).cast("array<string>"))
+    anchors = spark.createDataFrame(words, "_gram string, _kw string, _pattern string, _topic int")
+    # grams travel with the text's key, not with the text; equal texts are looked up as one
+    keys = [F.xxhash64("_low").alias("_k"), F.length("_low").alias("_l")]
+    low = df.withColumn("_low", lowered_text(text_col))
+    lengths = sorted({len(w[0]) for w in words})
+    chars = low.select(*keys, F.split("_low", "").alias("_chars"))
+    grams = chars.select("_k", "_l", F.explode(F.flatten(F.array(*[_char_grams(F.col("_chars"), n) for n in lengths]))).alias("_gram"))
+    maybe = grams.join(anchors, "_gram").groupBy("_k", "_l").agg(
+        F.collect_set(F.struct("_kw", "_pattern", "_topic")).alias("_maybe"))
+    tagged = low.select("*", *keys).join(maybe, ["_k", "_l"], "left")
+    sure = F.filter(F.coalesce("_maybe", F.array().cast(maybe.schema["_maybe"].dataType)),
+                    lambda x: F.col("_low").contains(x["_kw"]) & (F.rlike(F.col("_low"), x["_pattern"]) if whole_word else F.lit(True)))
+    ids = F.transform(sure, lambda x: x["_topic"])
+    ids = F.sort_array(F.array_distinct(F.concat(ids, F.array(*[F.lit(i) for i in always]).cast("array<int>"))))
+    names = F.array(*[F.lit(t) for t in topics])
+    return (tagged.withColumn(out_col, F.transform(ids, lambda i: F.element_at(names, i + 1)))
+            .select(*[c for c in df.columns if c != out_col], out_col))
 
 
 def tag_topics(df: DataFrame, text_col: str = "content", vocabulary=None, lower_keywords: bool = True,
-               whole_word: bool = False, method: str = "auto", out_col: str = "topics") -> DataFrame:
+               whole_word: bool = False, method: str = "expr", out_col: str = "topics") -> DataFrame:
     """Add ``out_col`` with the matched topics."""
     vocab = _prepared(vocabulary or S.TOPIC_KEYWORDS, lower_keywords)
-    n_kw = sum(len(k) for _, k in vocab)
-    if method == "auto":
-        method = "expr" if n_kw <= EXPRESSION_KEYWORD_LIMIT else "automaton"
-    df = spread_thin_input(df)
     if method == "expr":
         # The lower-cased text is its own projection: inside the OR / CASE chains Catalyst
         # does not share it, and lower-casing a whole text once per keyword doubles the cost.
@@ -136,8 +99,8 @@ def tag_topics(df: DataFrame, text_col: str = "content", vocabulary=None, lower_
                 .withColumn(out_col, topics_expr(lc, vocab, lower_keywords=False, whole_word=whole_word,
                                                  already_lowered=True))
                 .drop(lc))
-    if method == "automaton":
-        return df.withColumn(out_col, _automaton_udf(vocab, whole_word)(F.col(text_col)))
+    if method == "join":
+        return _tag_by_join(df, text_col, vocab, whole_word, out_col)
     raise ValueError(f"unknown method {method!r}")
 
 

@@ -13,9 +13,9 @@ from brandpulse.operators import quality as QA
 from brandpulse.operators import sentiment as SE
 from brandpulse.plans import adapters as AD
 from brandpulse.plans.oracle import SENTIMENT_CTE, with_
-from brandpulse.plans.q_text import _lexicon_sql_body
+from brandpulse.plans.q_text import _lexicon_sql_body, _topics_sql
 from brandpulse.plans.registry import AS_OF, register
-from brandpulse.session import spread_thin_input, work_dir
+from brandpulse.session import work_dir
 from brandpulse.sources import ingest as IN
 from brandpulse.sources import tables as TB
 from brandpulse.streaming import flows as FL
@@ -50,7 +50,7 @@ def _messages(spark, sf_dir, malformed_errors: bool = True, spread: bool = False
     ``spread`` lays them over the task slots like the partitions of a message-bus topic."""
     p = _event_posts(spark, sf_dir)
     if spread:
-        p = spread_thin_input(p)
+        p = p.repartition(spark.sparkContext.defaultParallelism)
     good = IN.to_messages(p.drop("event_type"), key_col=None)
     if not malformed_errors:
         return good
@@ -120,16 +120,17 @@ def _feed_entries(spark, sf_dir):
     pg = AD.read(spark, sf_dir, "pages")
     pid = F.col("page_id")
     site = F.regexp_extract("url", r"://(?:m\.)?([^./]+)", 1)
-    t = F.to_timestamp_ntz(F.lit("2024-01-01 00:00:00")) + F.make_dt_interval(hours=pid.cast("int"))
+    t = F.to_timestamp_ntz(F.lit("2024-01-01 00:00:00")) + F.make_dt_interval(hours=(pid % 100_000).cast("int"))
     return pg.select(
         F.concat(F.lit("https://news.example.com/rss/search?q="), site, F.lit("&hl=en-US")).alias("feed_url"),
         F.when(pid % 5 != 0, F.concat(site, F.lit(" - Google News"))).alias("feed_title"),
         F.lit("newsroom").alias("feed_author"),
-        pid.cast("int").alias("position"),
+        (pid % 20).cast("int").alias("position"),
+        F.floor(pid / 20).alias("poll"),
         F.when(pid % 4 != 0, F.concat(F.lit("page-"), pid.cast("string"))).alias("id"),
         F.col("url").alias("link"),
         F.regexp_extract("html", "<title>(.*?)</title>", 1).alias("title"),
-        F.when(pid % 3 != 0, F.regexp_extract("html", "<p>(.*?)</p>", 1)).alias("summary"),
+        F.when(pid % 3 != 0, F.col("html")).alias("summary"),
         F.concat(F.lit("desc "), pid.cast("string")).alias("description"),
         F.when(pid % 2 != 0, F.lit("staff")).alias("author"),
         F.when(pid % 3 != 0, F.date_format(t, "EEE, dd MMM yyyy HH:mm:ss 'GMT'")).alias("published"),
@@ -141,18 +142,18 @@ def _feed_entries(spark, sf_dir):
 WITH e AS (
   SELECT 'https://news.example.com/rss/search?q=' || regexp_extract(url, '://(?:m\.)?([^./]+)', 1) || '&hl=en-US' AS feed_url,
          CASE WHEN page_id % 5 <> 0 THEN regexp_extract(url, '://(?:m\.)?([^./]+)', 1) || ' - Google News' END AS feed_title,
-         'newsroom' AS feed_author, CAST(page_id AS INTEGER) AS position,
+         'newsroom' AS feed_author, page_id % 20 AS position, page_id // 20 AS poll,
          CASE WHEN page_id % 4 <> 0 THEN 'page-' || CAST(page_id AS VARCHAR) END AS id,
          url AS link, regexp_extract(html, '<title>(.*?)</title>', 1) AS title,
-         CASE WHEN page_id % 3 <> 0 THEN regexp_extract(html, '<p>(.*?)</p>', 1) END AS summary,
+         CASE WHEN page_id % 3 <> 0 THEN html END AS summary,
          'desc ' || CAST(page_id AS VARCHAR) AS description,
          CASE WHEN page_id % 2 <> 0 THEN 'staff' END AS author,
-         CASE WHEN page_id % 3 <> 0 THEN strftime(TIMESTAMP '2024-01-01 00:00:00' + to_hours(CAST(page_id AS INTEGER)),
+         CASE WHEN page_id % 3 <> 0 THEN strftime(TIMESTAMP '2024-01-01 00:00:00' + to_hours(CAST(page_id % 100000 AS INTEGER)),
                                                    '%a, %d %b %Y %H:%M:%S GMT') END AS published,
-         strftime(TIMESTAMP '2024-01-01 00:00:00' + to_hours(CAST(page_id AS INTEGER)), '%Y-%m-%dT%H:%M:%SZ') AS updated
+         strftime(TIMESTAMP '2024-01-01 00:00:00' + to_hours(CAST(page_id % 100000 AS INTEGER)), '%Y-%m-%dT%H:%M:%SZ') AS updated
   FROM pages
 ), ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY feed_url ORDER BY position, link) AS rn FROM e
+  SELECT *, row_number() OVER (PARTITION BY feed_url, poll ORDER BY position, link) AS rn FROM e
 )
 SELECT coalesce(id, link) AS post_id,
        list_extract(string_split(coalesce(feed_title, 'google_news'), ' - '), -1) AS source,
@@ -164,7 +165,7 @@ SELECT coalesce(id, link) AS post_id,
 FROM ranked WHERE rn <= 10
 """)
 def q_normalize_feed(spark, sf_dir):
-    n = IN.normalize_feed(_feed_entries(spark, sf_dir), now=AS_OF)
+    n = IN.normalize_feed(_feed_entries(spark, sf_dir), now=AS_OF, poll_cols=("poll",))
     return n.select("post_id", "source", "title", "content", "author", "url", "created_at",
                     F.col("raw_metadata.brand_monitored").alias("brand_monitored"),
                     F.col("raw_metadata.feed_title").alias("feed_title"))
@@ -272,16 +273,68 @@ def q_stream_dedup_sink(spark, sf_dir):
     # Run 1: every message twice in the same batch.
     msgs.unionAll(msgs).write.mode("append").text(inp)
     src = IN.posts_source(spark, "files", inp)
-    FL.run_to_end(FL.start_ingest(src, tables, f"{ck}/ingest", lex, now=AS_OF, query_name=None))
+    FL.run_to_end(FL.start_ingest(src, tables, f"{ck}/ingest", lex, tier=1, now=AS_OF, query_name=None))
     # Run 2 (restart from the same checkpoint): the whole stream is replayed.
     msgs.write.mode("append").text(inp)
     src = IN.posts_source(spark, "files", inp)
-    FL.run_to_end(FL.start_ingest(src, tables, f"{ck}/ingest", lex, now=AS_OF, query_name=None))
+    FL.run_to_end(FL.start_ingest(src, tables, f"{ck}/ingest", lex, tier=1, now=AS_OF, query_name=None))
     out = spark.read.schema(FL.SENTIMENT_STREAM).parquet(f"{tables}/silver_sentiment")
     return out.select("post_id", "source", "sentiment_label", "sentiment_score", "confidence",
                       F.col("created_at").cast("timestamp_ntz").alias("created_at"), "brand")
 
 
+LATER = ("2024-03-15 00:00:00", "2024-03-16 00:00:00")
+
+
+def _replayed(spark, sf_dir, name, vocabulary=None):
+    """Three runs over the same messages: the second is weeks after the deduplication horizon and
+    moves the watermark past the first, so the third finds nothing of it in the state store."""
+    base, inp, tables, ck = _stream_dirs(spark, name)
+    lex = SE.lexicon_frame(spark, NUMBER_LEXICON)
+    for now in (AS_OF, *LATER):
+        _messages(spark, sf_dir).write.mode("append").text(inp)
+        src = IN.posts_source(spark, "files", inp)
+        FL.run_to_end(FL.start_ingest(src, tables, f"{ck}/ingest", lex, vocabulary, tier=1, now=now, query_name=None))
+    return tables
+
+
+@register("stream_replay_after_horizon", "T5 S10 (bronze as the authority)", """
+SELECT CAST(event_id AS VARCHAR) AS post_id, event_type AS source, 'Post ' || CAST(event_id AS VARCHAR) AS title,
+       props AS content, ts AS created_at, TIMESTAMP '2024-01-31 00:00:00' AS ingested_at,
+       'brand_' || CAST(user_id % 7 AS VARCHAR) AS brand
+FROM events WHERE event_type <> 'error'
+""")
+def q_stream_replay_after_horizon(spark, sf_dir):
+    tables = _replayed(spark, sf_dir, "stream-replay")
+    names = ["post_id", "source", "title", "content", "created_at", "ingested_at", "brand"]
+    b = spark.read.parquet(f"{tables}/bronze").select(*names)
+    return b.select(*[F.col(c).cast("timestamp_ntz").alias(c) if c.endswith("_at") else F.col(c) for c in names])
+
+
+EVENT_VOCABULARY = [("Sevens", ["7"]), ("Tens", ["0}"]), ("Teens", [": 1"])]
+
+
+@register("stream_topic_sink", "S6 U5 F19 (topic rows of the stream)", "WITH " + EVENT_TEXTS_CTE.strip() + f"""
+, tagged AS (SELECT t.post_id, e.ts, t.brand, unnest({_topics_sql(EVENT_VOCABULARY)}) AS topic
+             FROM texts t JOIN events e ON t.post_id = CAST(e.event_id AS VARCHAR) WHERE e.event_type <> 'error')
+SELECT post_id, topic, ts AS created_at, TIMESTAMP '2024-01-31 00:00:00' AS analyzed_at, brand FROM tagged
+""")
+def q_stream_topic_sink(spark, sf_dir):
+    tables = _replayed(spark, sf_dir, "stream-topics", EVENT_VOCABULARY)
+    t = spark.read.schema(FL.TOPIC_STREAM).parquet(f"{tables}/silver_topic")
+    return t.select("post_id", "topic", *[F.col(c).cast("timestamp_ntz").alias(c) for c in ("created_at", "analyzed_at")], "brand")
+
+
+@register("stream_quarantine", "P2 S6 (malformed messages, equal ones kept once per horizon)", """
+SELECT DISTINCT '{"post_id": ' || props AS raw, clock AS ingested_at
+FROM events, (VALUES (TIMESTAMP '2024-01-31 00:00:00'), (TIMESTAMP '2024-03-16 00:00:00')) v(clock)
+WHERE event_type = 'error'
+""")
+def q_stream_quarantine(spark, sf_dir):
+    q = spark.read.parquet(f"{_replayed(spark, sf_dir, 'stream-quarantine')}/quarantine")
+    return q.select("raw", F.col("ingested_at").cast("timestamp_ntz").alias("ingested_at"))
+
+
 @register("stream_minute_counts", "A8 T1 T2 T3 (file stream, availableNow, open windows excluded)",
           "WITH " + EVENT_TEXTS_CTE.strip() + _lexicon_sql_body(NUMBER_LEXICON) + """
 , ev_scored AS (
@@ -301,7 +354,7 @@ def q_stream_minute_counts(spark, sf_dir):
     lex = SE.lexicon_frame(spark, NUMBER_LEXICON)
     _messages(spark, sf_dir).write.mode("append").text(inp)
     src = IN.posts_source(spark, "files", inp)
-    FL.run_to_end(FL.start_ingest(src, tables, f"{ck}/ingest", lex, now=AS_OF, query_name=None))
+    FL.run_to_end(FL.start_ingest(src, tables, f"{ck}/ingest", lex, tier=1, now=AS_OF, query_name=None))
     gold = f"{tables}/gold_minute_counts"
     FL.run_to_end(FL.start_window_counts(spark, f"{tables}/silver_sentiment", gold, f"{ck}/minutes",
                                          query_name=None))

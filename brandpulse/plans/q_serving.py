@@ -81,18 +81,26 @@ def q_kpi_summary(spark, sf_dir):
     return SV.kpi_summary(AD.sentiment_table(spark, sf_dir), AS_OF, hours=168, brand=BRAND)
 
 
-_TOP_TOPICS_SQL = f"""
-SELECT t.topic, count(t.post_id) AS mentions, round(avg(s.sentiment_score), 3) AS avg_sentiment
-FROM topic t JOIN sentiment s ON t.post_id = s.post_id
-WHERE {_window_sql('s.analyzed_at', 168)} AND s.brand = '{BRAND}'
-GROUP BY t.topic
-ORDER BY mentions DESC, t.topic
-LIMIT 5
-"""
+def _top_topics_sql(table: str, limit: int) -> str:
+    """Each post's analyses in range as partial sums, then per topic of the post."""
+    return f"""
+SELECT topic.topic, sum(p.n)::BIGINT AS mentions, round(sum(p.total) / sum(p.scored), 3) AS avg_sentiment
+FROM topic, (SELECT post_id, count(*) AS n, sum(sentiment_score) AS total, count(sentiment_score) AS scored FROM {table}
+             WHERE brand = '{BRAND}' AND {_window_sql('analyzed_at', 168)} GROUP BY ALL) p
+WHERE topic.post_id = p.post_id GROUP BY topic.topic ORDER BY mentions DESC, topic.topic LIMIT {limit}"""
+
+
+def _latest_sql(name: str, table: str, where: str, columns: list[str]) -> str:
+    """The greatest (time, score) of every post, with the columns that go with it."""
+    fields = ", ".join(f"{c} := {c}" for c in ["analyzed_at", "sentiment_score", *columns])
+    return f"""{name} AS (SELECT post_id, unnest(max(struct_pack({fields}))) FROM {table} WHERE {where} GROUP BY post_id)"""
+
+
+_NEGATIVE = f"sentiment_label = 'NEGATIVE' AND brand = '{BRAND}' AND {_window_sql('analyzed_at', 720)}"
 
 
 @register("top_topics", "A3 J1 L2",
-          with_(REANALYZED_CTE, TOPIC_CTE) + _TOP_TOPICS_SQL.replace("JOIN sentiment s", "JOIN sentiment2 s"))
+          with_(REANALYZED_CTE, TOPIC_CTE) + _top_topics_sql("sentiment2", 5))
 def q_top_topics(spark, sf_dir):
     # Replayed analyses on the sentiment side: the join fans out (reference semantics).
     return SV.top_topics(AD.topic_table(spark, sf_dir), AD.reanalyzed_sentiment_table(spark, sf_dir),
@@ -100,7 +108,7 @@ def q_top_topics(spark, sf_dir):
 
 
 @register("topic_bubble", "A3 F7 F11 L6", with_(SENTIMENT_CTE, TOPIC_CTE) + f"""
-, tt AS ({_TOP_TOPICS_SQL.replace('LIMIT 5', 'LIMIT 10')})
+, tt AS ({_top_topics_sql("sentiment", 10)})
 SELECT topic, mentions, avg_sentiment, round(sqrt(mentions) * 3, 6) AS bubble_size,
        CASE WHEN avg_sentiment > 0.6 THEN 'good' WHEN avg_sentiment < 0.4 THEN 'bad' ELSE 'mid' END AS score_band
 FROM tt
@@ -149,30 +157,20 @@ def q_source_label_pivot(spark, sf_dir):
 
 
 @register("negative_mentions", "W2 L3", with_(REANALYZED_CTE) + f"""
-, ranked AS (
-  SELECT post_id, content, sentiment_score, source, analyzed_at,
-         row_number() OVER (PARTITION BY post_id ORDER BY analyzed_at DESC, sentiment_score DESC, content) AS rn
-  FROM sentiment2
-  WHERE sentiment_label = 'NEGATIVE' AND {_window_sql('analyzed_at', 720)} AND brand = '{BRAND}'
-)
-SELECT post_id, content, sentiment_score, source, analyzed_at AS created_at
-FROM ranked WHERE rn = 1
-ORDER BY sentiment_score ASC, analyzed_at DESC, post_id
-LIMIT 25
+, {_latest_sql("latest", "sentiment2", _NEGATIVE, ["content", "source"])}
+SELECT post_id, content, sentiment_score, source, analyzed_at AS created_at FROM latest
+ORDER BY sentiment_score, created_at DESC, post_id LIMIT 25
 """)
 def q_negative_mentions(spark, sf_dir):
     return SV.negative_mentions(AD.reanalyzed_sentiment_table(spark, sf_dir), AS_OF, hours=720,
                                 brand=BRAND, limit=25)
 
 
-@register("latest_analysis_per_post", "W2", with_(REANALYZED_CTE) + """
-, ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY post_id ORDER BY analyzed_at DESC, sentiment_score DESC, content) AS rn
-  FROM sentiment2
-)
+@register("latest_analysis_per_post", "W2", with_(REANALYZED_CTE) + f"""
+, {_latest_sql("latest", "sentiment2", "true", ["content", "sentiment_label", "confidence", "created_at", "source", "brand"])}
 SELECT post_id, content, sentiment_label, round(sentiment_score, 9) AS sentiment_score,
        round(confidence, 9) AS confidence, analyzed_at, created_at, source, brand
-FROM ranked WHERE rn = 1
+FROM latest
 """)
 def q_latest_analysis_per_post(spark, sf_dir):
     df = SV.latest_per_post(AD.reanalyzed_sentiment_table(spark, sf_dir))
@@ -181,21 +179,14 @@ def q_latest_analysis_per_post(spark, sf_dir):
 
 
 @register("mention_cards", "F4 F10 F14 F18 F21", with_(REANALYZED_CTE) + f"""
-, ranked AS (
-  SELECT post_id, content, sentiment_score, source, analyzed_at,
-         row_number() OVER (PARTITION BY post_id ORDER BY analyzed_at DESC, sentiment_score DESC, content) AS rn
-  FROM sentiment2
-  WHERE sentiment_label = 'NEGATIVE' AND {_window_sql('analyzed_at', 720)} AND brand = '{BRAND}'
-), nm AS (
-  SELECT post_id, content, sentiment_score, source, analyzed_at AS created_at
-  FROM ranked WHERE rn = 1
-  ORDER BY sentiment_score ASC, analyzed_at DESC, post_id
-  LIMIT 25
-)
+, {_latest_sql("latest", "sentiment2", _NEGATIVE, ["content", "source"])},
+nm AS (SELECT *, analyzed_at AS created_at, row_number() OVER (ORDER BY sentiment_score, analyzed_at DESC, post_id)::INT AS card
+       FROM latest QUALIFY card <= 25)
 SELECT post_id, sentiment_score, created_at,
        CASE WHEN sentiment_score < 0.2 THEN 'CRITICAL' WHEN sentiment_score < 0.3 THEN 'HIGH' ELSE 'MEDIUM' END AS severity,
        strftime(created_at, '%Y-%m-%d %H:%M') AS time_text, upper(source) AS source_text,
-       substr(content, 1, 50) AS preview, printf('%.3f', sentiment_score) AS score_text
+       content, substr(content, 1, 50) AS preview, printf('%.3f', sentiment_score) AS score_text,
+       printf('%.2f', sentiment_score) AS score_short, card
 FROM nm
 """)
 def q_mention_cards(spark, sf_dir):

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from brandpulse import schemas as S
 from brandpulse.functions import scoring as SC
-from brandpulse.functions.text import TOKEN_SPLIT, regex_quote, whole_word_pattern
+from brandpulse.functions.text import TOKEN_SPLIT, whole_word_pattern
 from brandpulse.operators import sentiment as SE
 from brandpulse.operators import topics as TP
 from brandpulse.plans import adapters as AD
@@ -260,7 +260,20 @@ def q_topic_tagging_whole_word(spark, sf_dir):
 
 @register("topic_tagging_automaton", "U5 J6 (large-vocabulary path)", _tagging_sql(TEST_VOCABULARY))
 def q_topic_tagging_automaton(spark, sf_dir):
-    return _tagged(spark, sf_dir, TEST_VOCABULARY, method="automaton")
+    """The join of character grams; the name is kept from the path it replaces."""
+    return _tagged(spark, sf_dir, TEST_VOCABULARY, method="join")
+
+
+# Rule: every ordered pair of these syllables is a keyword, 1,296 in all; a topic per first one.
+_SYLLABLES = ("th", "er", "on", "an", "re", "he", "in", "ed", "nd", "ha", "at", "en", "es", "of", "or", "nt",
+              "ea", "ti", "to", "it", "st", "io", "le", "is", "ou", "ar", "as", "de", "rt", "ve", "ei", "ch",
+              "qu", "au", "ie", "ci")
+LARGE_VOCABULARY = [(f"{a}-", [a + b for b in _SYLLABLES]) for a in _SYLLABLES]
+
+
+@register("topic_tagging_large_vocab", "U5 J6 (1,296 keywords)", _tagging_sql(LARGE_VOCABULARY))
+def q_topic_tagging_large_vocab(spark, sf_dir):
+    return _tagged(spark, sf_dir, LARGE_VOCABULARY, method="join")
 
 
 @register("topic_tagging_explode_counts", "U5 F19 A3", with_(TEXTS_CTE) + f"""
@@ -272,5 +285,3 @@ def q_topic_tagging_explode_counts(spark, sf_dir):
     t = TP.explode_topics(TP.tag_topics(AD.texts_table(spark, sf_dir), vocabulary=TEST_VOCABULARY))
     return t.groupBy("topic", F.col("brand").alias("lang")).agg(F.count(F.lit(1)).alias("mentions"))
 
-
-__all__ = ["TEST_LEXICON", "TEST_VOCABULARY", "regex_quote"]

@@ -36,4 +36,4 @@ BRAND = AD.BRAND
 
 
 def window_sql(col: str, hours: int, as_of_sql: str = AS_OF_SQL) -> str:
-    return f"{col} >= {as_of_sql} - INTERVAL {hours} HOUR"
+    return f"{col} BETWEEN {as_of_sql} - INTERVAL {hours} HOUR AND {as_of_sql}"

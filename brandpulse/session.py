@@ -2,17 +2,16 @@
 
 Scratch space (stream checkpoints, staged upserts, sink tables) always lives under the
 shared folder the cluster names in ``spark.checkpoint.dir``. A job never invents a
-machine-local folder when that setting exists; only an unset session (tests, a laptop)
+machine-local folder when that setting exists; only an unset session on a local master
 gets a fresh temporary folder, registered as the context's checkpoint folder.
 """
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -52,11 +51,17 @@ def get_spark(master: str | None = None, app: str = "brandpulse", shuffle_partit
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared scratch root: ``spark.checkpoint.dir``; set to a temp folder only if unset."""
+    """The shared scratch root that ``spark.checkpoint.dir`` names.
+
+    Where it is unset, a folder is made only for a ``local[..]`` master, whose driver and
+    executors are one process (tests, a laptop); on any cluster the job stops, because
+    executors would write to disks of their own and the driver would read nothing.
+    """
     root = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        # The conf is fixed once the context is up (a core setting), so an unset session
-        # gets its folder through the context; later calls find it there.
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError(f"{CHECKPOINT_CONF} must name a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="brandpulse-")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(root)
@@ -69,19 +74,4 @@ def work_dir(spark: SparkSession, name: str, fresh: bool = True) -> str:
     root = checkpoint_root(spark).rstrip("/")
     leaf = f"{name}-{uuid.uuid4().hex[:12]}" if fresh else name
     path = f"{root}/brandpulse/{leaf}"
-    if "://" not in path or path.startswith("file:"):
-        local = path[len("file:"):] if path.startswith("file:") else path
-        os.makedirs(local, exist_ok=True)
     return path
-
-
-def spread_thin_input(df: DataFrame) -> DataFrame:
-    """Round-robin a DataFrame that has fewer partitions than the cluster has task slots,
-    before CPU-heavy per-row work (tokenising whole texts). Large inputs already have far
-    more splits than slots and pass through untouched, so no shuffle is added at scale."""
-    if df.isStreaming:
-        return df
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < slots:
-        return df.repartition(slots)
-    return df

@@ -104,16 +104,18 @@ def brand_from_feed_url(url: Column) -> Column:
     return F.split_part(F.split_part(url, F.lit("q="), F.lit(2)), F.lit("&"), F.lit(1))
 
 
-def normalize_feed(entries: DataFrame, now=None, keep: int = S.FEED_ENTRIES_KEPT) -> DataFrame:
+def normalize_feed(entries: DataFrame, now=None, keep: int = S.FEED_ENTRIES_KEPT,
+                   poll_cols: tuple[str, ...] = ()) -> DataFrame:
     """S3: feed entries (``schemas.FEED_ENTRY``) -> post messages.
 
-    W4 keeps the first ``keep`` entries of each feed by ``position``; it is planned as a
-    per-feed group limit, applied inside each task before the shuffle, so a feed with
+    W4 keeps the first ``keep`` entries of each poll of a feed by ``position``; ``poll_cols``
+    name what tells polls apart in a table of many (without them the entries are one poll). It is
+    planned as a group limit, applied inside each task before the shuffle, so a feed with
     very many entries never sends more than ``keep`` rows per task.
     F17: a key that is *present* wins even when it is an empty string; only missing
     (NULL) keys fall back.
     """
-    w = Window.partitionBy("feed_url").orderBy(F.col("position").asc_nulls_last(), F.col("link"))
+    w = Window.partitionBy("feed_url", *poll_cols).orderBy(F.col("position").asc_nulls_last(), F.col("link"))
     first = entries.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= keep).drop("_rn")
     clock = F.current_timestamp() if now is None else TM.ts_lit(now)
     feed_title = F.col("feed_title")

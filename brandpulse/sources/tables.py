@@ -8,28 +8,35 @@ first, then swapped in with dynamic partition overwrite.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from brandpulse.session import work_dir
 
 
+def _keyless(keys: list[str]):
+    """Whether a key column is NULL: such rows never conflict (SQL UNIQUE)."""
+    cond = F.lit(False)
+    for k in keys:
+        cond = cond | F.col(k).isNull()
+    return cond
+
+
 # ------------------------------------------------------------------------------ S9 J5 P13
 def append_new(new: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of ``new`` whose key is not in ``target`` (one row per key).
 
     ``INSERT ... ON CONFLICT DO NOTHING`` keeps the first row written for a key; within
-    ``new`` the row kept per key is the smallest by all columns, so reruns are stable.
+    ``new`` the row kept per key is the smallest by all columns, so reruns are stable (a
+    group-limited window: one row per key and task is shuffled). NULL keys never conflict, so
+    every row with one is new.
     """
-    cols = new.columns
-    if set(cols) <= set(keys):
-        return new.select(*keys).distinct().join(target.select(*keys).distinct(), keys, "left_anti")
-    first = (new.groupBy(*keys)
-             .agg(F.min(F.struct(*[F.col(c) for c in cols if c not in keys])).alias("_r"))
-             .select(*keys, "_r.*")
-             .select(*cols))
-    return first.join(target.select(*keys).distinct(), keys, "left_anti")
+    others = [c for c in new.columns if c not in keys]
+    w = Window.partitionBy(*keys).orderBy(*(others or keys))
+    first = (new.filter(~_keyless(keys)).withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn"))
+    return first.join(target.select(*keys).distinct(), keys, "left_anti").select(*new.columns).unionByName(
+        new.filter(_keyless(keys)))
 
 
 def insert_if_absent(new: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:
@@ -38,65 +45,72 @@ def insert_if_absent(new: DataFrame, target: DataFrame, keys: list[str]) -> Data
 
 
 # ------------------------------------------------------------------------------ S11
+def _one_per_key(new: DataFrame, keys: list[str]) -> DataFrame:
+    """``new``, or an error when it runs if two of its rows share a key."""
+    n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+    ok = F.when((n > 1) & ~_keyless(keys), F.raise_error(F.lit("an upsert batch has two rows of one key")).cast("boolean"))
+    return new.withColumn("_ok", F.coalesce(ok, F.lit(True))).filter("_ok").drop("_ok")
+
+
 def merge_upsert(target: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     """``INSERT ... ON CONFLICT (keys) DO UPDATE`` as a relation: target rows whose key
     appears in ``new`` are replaced by the new rows. NULL keys never conflict (as in SQL
     UNIQUE constraints), because NULL never equals NULL in the join."""
-    return target.join(new.select(*keys), keys, "left_anti").unionByName(new)
+    return target.join(new.select(*keys), keys, "left_anti").select(*target.columns).unionByName(new.select(*target.columns))
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def _stored(spark: SparkSession, path: str, schema) -> DataFrame | None:
+    """The table at ``path`` in its declared types (partition folders are not guessed at), or
+    None if there is no such path. Any other error is raised."""
     try:
-        spark.read.parquet(path).schema
-        return True
-    except AnalysisException:
-        return False
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
 
 
-# A batch touching more partitions than this is matched with a semi join alone (dynamic
-# pruning when Spark can apply it) instead of listing the values on the driver.
-MAX_LISTED_PARTITIONS = 10_000
+def _staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once under the shared scratch folder and read back."""
+    path = work_dir(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def _touched_partitions(target: DataFrame, new: DataFrame, partition_by: list[str]) -> DataFrame:
-    """Rows of ``target`` in the partitions ``new`` has rows for."""
-    touched = new.select(*partition_by).distinct()
-    listed = touched.limit(MAX_LISTED_PARTITIONS + 1).collect()   # bounded, size-checked
-    if len(listed) <= MAX_LISTED_PARTITIONS:
-        # Static partition pruning: the scan lists only folders holding a touched value.
-        for c in partition_by:
-            vals = {r[c] for r in listed}
-            keep = F.col(c).isin([v for v in vals if v is not None])
-            target = target.filter(keep | F.col(c).isNull() if None in vals else keep)
-    # Exact tuples, null-safe: a NULL partition value is a folder like any other, and its
-    # stored rows must be carried into a rewrite (NULL keys never conflict in the merge).
-    t, n = target.alias("_t"), touched.alias("_n")
-    cond = None
+    """Rows of ``target`` in the partitions ``new`` has rows for.
+
+    The least and greatest value of each partition column (one row) prune folders in the scan;
+    the exact tuples are matched by a null-safe semi join, as a NULL partition value is a folder
+    like any other, and its stored rows must be carried into a rewrite."""
+    ends = new.agg(*[f(c).alias(f"{n}{i}") for i, c in enumerate(partition_by) for n, f in (("lo", F.min), ("hi", F.max))]).first()
+    for i, c in enumerate(partition_by):
+        inside = F.col(c).isNull()
+        if ends[f"lo{i}"] is not None:
+            inside = inside | F.col(c).between(F.lit(ends[f"lo{i}"]), F.lit(ends[f"hi{i}"]))
+        target = target.filter(inside)
+    t, n = target.alias("_t"), new.select(*partition_by).distinct().alias("_n")
+    cond = F.lit(True)
     for c in partition_by:
-        eq = F.col(f"_t.{c}").eqNullSafe(F.col(f"_n.{c}"))
-        cond = eq if cond is None else (cond & eq)
+        cond = cond & F.col(f"_t.{c}").eqNullSafe(F.col(f"_n.{c}"))
     return t.join(n, cond, "left_semi").select(*[F.col(f"_t.{c}").alias(c) for c in target.columns])
 
 
 def upsert_table(spark: SparkSession, new: DataFrame, path: str, keys: list[str],
                  partition_by: list[str]) -> DataFrame:
-    """S11 on a parquet table partitioned by ``partition_by`` (a subset of ``keys``).
+    """S11 on a parquet table partitioned by ``partition_by``: key columns, or columns that a key
+    determines (the day of an hour bucket).
 
-    Only partitions touched by ``new`` are read, merged and rewritten (dynamic partition
-    overwrite); the merged partitions are materialised in a staging folder before the
-    overwrite, so the job never reads from the files it replaces. Returns the staged rows.
+    ``new`` is staged once and must have one row per key. Only partitions it touches are read,
+    merged and rewritten (dynamic partition overwrite); the merged partitions are staged before
+    the overwrite, so the job never reads from the files it replaces. Returns the staged rows.
     """
-    if not set(partition_by) <= set(keys):
-        raise ValueError("partition columns must be part of the upsert key")
-    if not _exists(spark, path):
-        new.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
-        return spark.read.parquet(path)
-    target = spark.read.parquet(path)
-    affected = _touched_partitions(target, new, partition_by)
-    merged = merge_upsert(affected, new.select(*target.columns), keys)
-    stage = work_dir(spark, "upsert-stage")
-    merged.write.mode("overwrite").partitionBy(*partition_by).parquet(stage)
-    staged = spark.read.parquet(stage).select(*target.columns)
+    batch = _staged(_one_per_key(new, keys), "upsert-batch")
+    target = _stored(spark, path, new.schema)
+    if target is None:
+        batch.write.mode("errorifexists").partitionBy(*partition_by).parquet(path)
+        return batch
+    staged = _staged(merge_upsert(_touched_partitions(target.select(*new.columns), batch, partition_by), batch, keys), "upsert-stage")
     (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partition_by).parquet(path))
     return staged
@@ -107,18 +121,15 @@ def append_if_absent(spark: SparkSession, new: DataFrame, path: str, keys: list[
     """Append rows of ``new`` whose key is not stored yet; returns the appended rows.
 
     When the partition columns are part of the key, only the touched partitions' keys are
-    read. The rows to append are staged under the shared scratch folder first: the append
-    copies durable files, and the returned rows do not change once the table has them."""
-    if not _exists(spark, path):
-        rows = append_new(new, new.limit(0), keys)
-    else:
-        stored = spark.read.parquet(path)
-        if partition_by and set(partition_by) <= set(keys):
-            stored = _touched_partitions(stored, new, partition_by)
-        rows = append_new(new, stored, keys)
-    stage = work_dir(spark, "append-stage")
-    rows.write.mode("overwrite").parquet(stage)
-    staged = spark.read.parquet(stage)
+    read. The batch and the rows to append are staged under the shared scratch folder: the
+    append copies durable files, and the returned rows don't change once the table has them."""
+    batch = _staged(new, "append-batch")
+    stored = _stored(spark, path, new.schema)
+    if stored is None:
+        stored = batch.limit(0)
+    elif partition_by and set(partition_by) <= set(keys):
+        stored = _touched_partitions(stored.select(*new.columns), batch, partition_by)
+    staged = _staged(append_new(batch, stored, keys), "append-stage")
     w = staged.write.mode("append")
     if partition_by:
         w = w.partitionBy(*partition_by)

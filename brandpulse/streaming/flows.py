@@ -2,8 +2,8 @@
 
 Hop 1 — ``start_ingest`` (S1 S2 S6 S10 T4 T5 T6 T9-T11, U1 U5 in the batch body):
     source -> decode -> watermark on ingest time -> ``dropDuplicatesWithinWatermark``
-    (post ids seen within the horizon are dropped, in the RocksDB state store, so replays
-    never reach the tables; malformed rows are keyed by their text, never merged) ->
+    (post ids seen within the horizon are dropped, in the RocksDB state store; malformed
+    rows are keyed by their text, so equal ones within the horizon are kept once) ->
     ``foreachBatch``: persist once, then write quarantine, bronze, silver.sentiment and
     silver.topic. Every write goes to its own ``batch_id=N`` folder and is skipped when
     that folder is already committed, so a replayed batch never writes twice, and the
@@ -20,8 +20,6 @@ stateful streaming aggregate inside a stream; in ``foreachBatch`` it is a batch
 
 from __future__ import annotations
 
-import datetime as _dt
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -76,25 +74,42 @@ def window_counts(df: DataFrame, time_col: str = "created_at", width: str = S.ST
                     "count", "avg_sentiment_score", source_col)
 
 
+def _bronze_ids(spark: SparkSession, path: str, batch_id: int) -> DataFrame | None:
+    """Post ids that batches before ``batch_id`` wrote, or None if there is no table yet."""
+    schema = T.StructType([T.StructField("post_id", T.StringType()), T.StructField(BATCH_COL, T.LongType())])
+    try:
+        stored = spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+    return stored.filter(F.col(BATCH_COL) < int(batch_id)).select("post_id").distinct()
+
+
 def _fan_out(base: str, lexicon: DataFrame, vocabulary, tier: int, rules, now):
     def run(batch: DataFrame, batch_id: int) -> None:
-        analyzed = now if now is not None else _dt.datetime.now(_dt.timezone.utc)
         b = batch.persist()          # one evaluation of the micro-batch feeds every write
         staged = None
         try:
             if b.isEmpty():          # P12: an empty micro-batch writes nothing
                 return
             good, bad = IN.split_quarantine(b)
+            # Bronze is the authority on what has been ingested: posts of earlier batches are
+            # dropped however long ago they came. Only the ids are read.
+            known = _bronze_ids(b.sparkSession, f"{base}/bronze", batch_id)
+            if known is not None:
+                good = good.join(known, "post_id", "left_anti")
             write_batch_folder(bad.select("raw", "ingested_at"), f"{base}/quarantine", batch_id)
             write_batch_folder(
                 good.select("post_id", "source", "title", "content", "author", "url", "created_at",
                             "ingested_at", F.col("raw").alias("raw_metadata"), "brand"),
                 f"{base}/bronze", batch_id)
-            posts = good.select("post_id", "content", "source", "brand", "created_at")
+            posts = good.select("post_id", "content", "source", "brand", "created_at", "ingested_at")
             scored = SE.score_sentiment(posts, lexicon, tier=tier, rules=rules)
             sentiment = scored.select(
                 "post_id", "content", "sentiment_label", "sentiment_score", "confidence",
-                TM.ts_lit(analyzed).alias("analyzed_at"), "created_at", "source", "brand")
+                # the stamp is the batch's own, so a retried batch writes the same rows
+                (F.col("ingested_at") if now is None else TM.ts_lit(now)).alias("analyzed_at"), "created_at", "source", "brand")
             # Scored rows are kept once and feed both silver tables; a lost block is
             # recomputed from the persisted batch (deterministic: fixed clock, pure scoring).
             staged = sentiment.persist()
@@ -112,9 +127,16 @@ def _fan_out(base: str, lexicon: DataFrame, vocabulary, tier: int, rules, now):
 
 
 def start_ingest(source: DataFrame, base: str, checkpoint: str, lexicon: DataFrame, vocabulary=None,
-                 tier: int = 1, rules=None, dedup_horizon: str = "7 days", now=None,
+                 tier: int = 3, rules: SE.Rules | None = None, dedup_horizon: str = "7 days", now=None,
                  query_name: str = "brandpulse_ingest", trigger: dict | None = None) -> StreamingQuery:
-    """Start hop 1 on a stream of ``value`` messages (see :func:`brandpulse.sources.ingest.posts_source`)."""
+    """Start hop 1 on a stream of ``value`` messages (see :func:`brandpulse.sources.ingest.posts_source`).
+
+    ``dedup_horizon`` bounds the state store alone, which keeps repeats out of the batch body;
+    what comes again after it is dropped against bronze. Tiers above 1 need ``rules`` with the
+    negation and degree words: without them "not good" would score as "good".
+    """
+    if tier >= 2 and (rules is None or not rules.negations or not rules.degree):
+        raise ValueError("tier 2 and 3 need rules with negation and degree words")
     decoded = IN.decode_posts(source, now=now)
     keyed = decoded.withColumn("_key", F.coalesce(F.col("post_id"), F.concat(F.lit("#"), F.sha2("raw", 256))))
     observed = keyed.observe((query_name or "ingest") + "_metrics", F.count(F.lit(1)).alias("rows"),

@@ -17,10 +17,7 @@ def spark():
     existing = SparkSession.getActiveSession()
     if existing is None:
         from brandpulse.session import get_spark
-        extra = {}
-        # Tests own their scratch root only when the session does not name one.
-        if not os.environ.get("SPARK_CONF_DIR_HAS_CHECKPOINT"):
-            extra["spark.checkpoint.dir"] = tempfile.mkdtemp(prefix="brandpulse-tests-")
+        extra = {"spark.checkpoint.dir": tempfile.mkdtemp(prefix="brandpulse-tests-")}
         s = get_spark("local[4]", shuffle_partitions=8, extra=extra)
     else:
         s = existing

@@ -3,7 +3,9 @@
 import pytest
 
 from brandpulse.operators import jobs as JB
+from brandpulse.operators import sentiment as SE
 from brandpulse.operators import serving as SV
+from brandpulse.operators import topics as TP
 from brandpulse.plans import adapters as AD
 from brandpulse.plans import catalog
 
@@ -56,13 +58,31 @@ def test_no_python_udf_in_hot_path(spark, name):
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
 
 
-def test_lexicon_scoring_has_one_shuffle_and_one_scan(spark):
+def test_lexicon_scoring_sums_numbers_by_hash(spark):
     plan = _plan(catalog.REGISTRY["lexicon_sentiment"].run(spark, SF))
-    # one shuffle of the posts (keyed by post_id); the other exchange is the lexicon's de-duplication
-    assert plan.count("Exchange hashpartitioning(post_id") == 1
-    assert plan.count("Exchange hashpartitioning") == 2
-    assert plan.count("FileScan parquet") == 1
-    assert "BroadcastHashJoin" in plan
+    assert "SortAggregate" not in plan
+    # what is exploded to tokens carries no text
+    tokens = [x for x in plan.splitlines() if "Generate explode" in x]
+    assert tokens and not any("content" in x.split("Generate")[1].split("],")[0] for x in tokens)
+
+
+def test_backfill_range_reaches_the_scan(spark):
+    topic = AD.topic_table(spark, SF)
+    plan = _plan(JB.detect_shift_series(topic, "2024-01-10 00:00:00", "2024-01-12 00:00:00"))
+    assert "GreaterThanOrEqual(ts,2024-01-09T22:00)" in plan and "LessThan(ts," in plan
+
+
+def test_building_a_batch_query_starts_no_job(spark):
+    texts, topic, sentiment = AD.texts_table(spark, SF), AD.topic_table(spark, SF), AD.sentiment_table(spark, SF)
+    lex = SE.lexicon_frame(spark, [("the", 1.0)])
+    spark.sparkContext.setJobGroup("build-only", "no job may start")
+    SE.score_sentiment(texts, lex)
+    TP.tag_topics(texts)
+    TP.tag_topics(texts, method="join")
+    JB.detect_shift_series(topic, "2024-01-10 00:00:00", "2024-01-12 00:00:00")
+    SV.top_topics(topic, sentiment, AD.AS_OF)
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("build-only")
+    spark.sparkContext.setJobGroup("tests", "tests")
 
 
 def test_topic_explode_evaluates_tagging_once(spark):

@@ -90,10 +90,10 @@ def test_topics_in_vocabulary_order_once(spark):
     assert _tags(spark, None) == [] and _tags(spark, "nothing relevant") == []
 
 
-def test_automaton_equals_expression(spark):
+def test_gram_join_equals_expression(spark):
     text = "Great support but the price; new feature and carbon neutral, CEO update"
-    assert _tags(spark, text, method="automaton") == _tags(spark, text, method="expr")
-    assert _tags(spark, text, method="automaton", whole_word=True) == _tags(spark, text, method="expr", whole_word=True)
+    assert _tags(spark, text, method="join") == _tags(spark, text, method="expr")
+    assert _tags(spark, text, method="join", whole_word=True) == _tags(spark, text, method="expr", whole_word=True)
 
 
 def _topic_rows(spark, rows):

@@ -27,14 +27,14 @@ def test_ingest_dedup_restart_and_quarantine(spark):
     lex = SE.lexicon_frame(spark, LEX)
     _write(spark, inp, [_msg("p1", "Mon, 06 Jan 2025 10:00:00 GMT"), _msg("p1", "Mon, 06 Jan 2025 10:00:00 GMT"),
                         _msg("p2", "2025-01-06T10:01:00Z", "awful"), "{broken"])
-    q = FL.start_ingest(IN.posts_source(spark, "files", inp), tables, ck, lex, now="2025-01-06 11:00:00",
+    q = FL.start_ingest(IN.posts_source(spark, "files", inp), tables, ck, lex, tier=1, now="2025-01-06 11:00:00",
                         query_name="t_ingest")
     FL.run_to_end(q)
     progress = [p for p in q.recentProgress if p.get("observedMetrics")]
     assert progress and progress[0]["observedMetrics"]["t_ingest_metrics"]["rows"] == 4      # T11
     # restart on the same checkpoint with a replay and one new post
     _write(spark, inp, [_msg("p1", "Mon, 06 Jan 2025 10:00:00 GMT"), _msg("p3", "Mon, 6 Jan 2025 10:02:00 +0000")])
-    FL.run_to_end(FL.start_ingest(IN.posts_source(spark, "files", inp), tables, ck, lex, now="2025-01-06 11:00:00",
+    FL.run_to_end(FL.start_ingest(IN.posts_source(spark, "files", inp), tables, ck, lex, tier=1, now="2025-01-06 11:00:00",
                                   query_name="t_ingest"))
     s = spark.read.schema(FL.SENTIMENT_STREAM).parquet(f"{tables}/silver_sentiment")
     got = sorted((r.post_id, r.sentiment_label, str(r.created_at)) for r in s.collect())
@@ -82,7 +82,7 @@ def test_console_and_ingest_run_side_by_side(spark):
     _write(spark, inp, [_msg("p9", "2025-01-06T10:00:00Z")])
     q1 = FL.start_console(IN.posts_source(spark, "files", inp), checkpoint=f"{base}/ck_console")
     q2 = FL.start_ingest(IN.posts_source(spark, "files", inp), f"{base}/tables", f"{base}/ck_ingest",
-                         SE.lexicon_frame(spark, LEX), now="2025-01-06 11:00:00", query_name=None)
+                         SE.lexicon_frame(spark, LEX), tier=1, now="2025-01-06 11:00:00", query_name=None)
     FL.run_to_end(q1, q2)
     assert not q1.isActive and not q2.isActive
     assert spark.read.parquet(f"{base}/tables/silver_sentiment").count() == 1

@@ -1,5 +1,6 @@
 """Table writers: insert-if-absent, upsert (DataFrame and on disk), quality report, options."""
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -38,6 +39,34 @@ def test_merge_upsert_semantics(spark, target, new):
     assert again == out
 
 
+def test_null_keys_never_conflict(spark):
+    target = _df(spark, [(None, 1, 0.1)])
+    new = _df(spark, [(None, 1, 0.1), (None, 1, 0.2), ("a", 1, 0.3)])
+    assert len(_rows(TB.append_new(new, target, KEYS))) == 3
+
+
+def test_upsert_keeps_padded_string_partitions(spark):
+    path = work_dir(spark, "test-padded") + "/t"
+    TB.upsert_table(spark, _df(spark, [("007", 1, 0.1), ("010", 1, 0.2)]), path, KEYS, ["k1"])
+    TB.upsert_table(spark, _df(spark, [("007", 1, 0.9)]), path, KEYS, ["k1"])
+    got = _rows(TB.read_table(spark, path, "k1 string, k2 int, v double").select("k1", "k2", "v"))
+    assert got == [("007", 1, 0.9), ("010", 1, 0.2)]
+
+
+def test_upsert_rejects_a_repeated_key(spark):
+    path = work_dir(spark, "test-repeat") + "/t"
+    with pytest.raises(Exception, match="two rows of one key"):
+        TB.upsert_table(spark, _df(spark, [("a", 1, 0.1), ("a", 1, 0.2)]), path, KEYS, ["k1"])
+
+
+def test_an_unreadable_table_is_not_taken_for_an_absent_one(spark):
+    base = work_dir(spark, "test-odd")
+    spark.createDataFrame([("x",)], "s string").write.text(f"{base}/t")
+    with pytest.raises(Exception):
+        TB.upsert_table(spark, _df(spark, [("a", 1, 0.1)]), f"{base}/t", KEYS, ["k1"])
+    assert spark.read.text(f"{base}/t").count() == 1
+
+
 def test_append_new_keeps_one_row_per_new_key(spark):
     target = _df(spark, [("a", 1, 0.1)])
     new = _df(spark, [("a", 1, 0.9), ("b", 2, 0.5), ("b", 2, 0.2), ("c", 3, None)])
@@ -121,8 +150,8 @@ def test_decode_quarantines_malformed(spark):
 
 
 class _StubContext:
-    def __init__(self):
-        self.dir = None
+    def __init__(self, master="local[4]"):
+        self.dir, self.master = None, master
 
     def getCheckpointDir(self):
         return self.dir
@@ -153,6 +182,15 @@ def test_scratch_root_when_checkpoint_dir_unset():
     assert checkpoint_root(s) == s.sparkContext.dir       # later calls reuse the context's folder
 
 
+def test_a_cluster_without_checkpoint_dir_is_an_error():
+    from brandpulse.session import checkpoint_root
+    for master in ("spark://host:7077", "local-cluster[2,1,1024]", "yarn"):
+        s = _StubSession()
+        s.sparkContext = _StubContext(master)
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            checkpoint_root(s)
+
+
 def test_upsert_table_keeps_rows_of_a_null_partition(spark):
     path = work_dir(spark, "test-upsert-null") + "/t"
     TB.upsert_table(spark, _df(spark, [(None, 1, 0.1), ("a", 1, 0.2)]), path, KEYS, ["k1"])
