@@ -63,5 +63,21 @@ def null_key(col: Column) -> Column:
     return F.when(col.isNull(), F.lit("n")).otherwise(F.concat(F.lit("s"), col))
 
 
+#: Where an operator keeps its input's columns, so that none of their names meets its own.
+ROW = "_input_row"
+
+
+def boxed(df: DataFrame, *more: Column) -> DataFrame:
+    """All columns of ``df`` as one struct, and ``more`` columns."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias(ROW), *more)
+
+
+def unboxed(df: DataFrame, cols: list[str], *new: str) -> DataFrame:
+    """The columns ``cols`` out of the struct, and the ``new`` ones, which replace columns of the
+    same name (in any case)."""
+    names = {c.lower() for c in new}
+    return df.select(*[F.col(ROW).getField(c).alias(c) for c in cols if c.lower() not in names], *new)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brandpulse.llm.common import documents, written
+from brandpulse.llm.common import ROW, boxed, documents, unboxed, written
 from brandpulse.llm.words import _power, chunks, mix, runs, span_hashes
 
 LENGTH = 35
@@ -274,14 +274,16 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH) -> DataFrame:
 
 def _text_key(docs: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
-    return docs.select("*", F.xxhash64(text).alias("k"), F.octet_length(text).cast("long").alias("size"))
+    return boxed(docs, text.alias("text"), F.xxhash64(text).alias("k"), F.octet_length(text).cast("long").alias("size"))
 
 
 def removed(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """``docs`` with ``spans``, the repeated word spans of each text (null: none)."""
+    """``docs`` with ``spans``, the repeated word spans of each text (null: none); an input column
+    of that name is replaced."""
     keyed = _text_key(docs)
-    spans = repeated_spans(keyed.select("k", "size", F.coalesce("text", F.lit("")).alias("text")), length)
-    return keyed.join(_side(spans, spans.count() * 4), ["k", "size"], "left")
+    spans = repeated_spans(keyed.select("k", "size", "text"), length)
+    joined = keyed.select(ROW, "k", "size").join(_side(spans, spans.count() * 4), ["k", "size"], "left")
+    return unboxed(joined, docs.columns, "spans")
 
 
 def _kept_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -303,34 +305,28 @@ def _kept_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def kept_documents(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """``docs`` with the repeated spans cut out of ``text`` (what stands between them is
     unchanged) and ``n_chars`` its new length; other columns and untouched texts stay."""
-    names = docs.columns
-
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            i = b.schema.get_field_index("text")
             out = []
-            for text, spans in zip(b.column(i), b.column(b.schema.get_field_index("_spans")), strict=True):
+            for text, spans in zip(b.column(1), b.column(2), strict=True):
                 raw, spans = text.as_py(), spans.as_py()
                 if spans:
                     raw = raw.encode()
-                    buf = np.frombuffer(raw, np.uint8)
-                    starts, ends, _ = runs(buf, np.array([0, len(buf)]))
+                    starts, _, _ = runs(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
                     parts, at = [], 0
                     for x in spans:
-                        if x["end"] > at:
-                            parts.append(raw[starts[at]:starts[max(x["start"], at)]] if x["start"] > at else b"")
-                            at = x["end"]
+                        if x["start"] > at:
+                            parts.append(raw[starts[at]:starts[x["start"]]])
+                        at = max(at, x["end"])
                     parts.append(raw[starts[at]:] if at < len(starts) else b"")
                     raw = b"".join(parts).decode()
                 out.append(raw)
-            arrays = list(b.columns)
-            arrays[i] = pa.array(out, pa.string())
-            yield pa.RecordBatch.from_arrays(arrays, b.schema.names).select(names)
-
-    t = removed(docs.select(F.struct("*").alias("_row"), "text"), length)
-    flat = t.select(*[F.col("_row")[c].alias(c) for c in docs.columns], F.col("spans").alias("_spans"))
-    out = flat.mapInArrow(cut, docs.schema)
-    return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else out
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.string())], [ROW, "_cut"])
+
+    t = removed(boxed(docs, "text"), length).select(ROW, "text", "spans")
+    t = t.mapInArrow(cut, t.select(ROW).schema.add("_cut", "string"))
+    new = {"text": F.col("_cut"), "n_chars": F.length("_cut").cast("long")}
+    return t.select(*[new.get(c, F.col(ROW).getField(c)).alias(c) for c in docs.columns])
 
 
 def op4_substring(spark, sf_dir: str) -> DataFrame:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from brandpulse.llm.common import documents, null_key, written
+from brandpulse.llm.common import ROW, boxed, documents, null_key, unboxed, written
 from brandpulse.llm.ordering import ordered, with_position
 
 SEED = 20_240_601
@@ -22,24 +22,24 @@ def interleave(rows: DataFrame, stratum: Column, key: Column, shards: int = SHAR
     """``rows`` with ``shard`` (0 to ``shards`` - 1) and ``slot`` (gapless from 0 in a shard).
 
     A null stratum is a source of its own; equal keys keep a fixed order within a written
-    table; an empty table gives no rows. With fewer rows than shards some shards stay empty.
+    table; an empty table gives no rows; input columns of these names are replaced. With fewer rows than shards some shards stay empty.
     """
     if shards < 1:
         raise ValueError("shards must be positive")
-    cols = rows.columns
-    keyed = rows.select("*", null_key(stratum.cast("string")).alias("_stratum"),
-                        F.xxhash64(F.lit(seed), key).alias("_mix"), key.alias("_key"))
+    keyed = boxed(rows, null_key(stratum.cast("string")).alias("_stratum"),
+                  F.xxhash64(F.lit(seed), key).alias("_mix"), key.alias("_key"))
     t = with_position(ordered(keyed, [F.col("_stratum"), F.col("_mix"), F.col("_key")], "interleave-rank"))
     strata = t.groupBy("_stratum").agg(F.count("*").alias("_n"), F.min("_pos").alias("_first"))
     ranked = t.join(strata, "_stratum").withColumn(
         "_frac", (F.col("_pos") - F.col("_first") + F.lit(0.5)) / F.col("_n"))
     by = [F.col("_frac"), F.col("_stratum"), F.col("_mix"), F.col("_key")]
-    line = with_position(ordered(ranked.select(*cols, "_frac", "_stratum", "_mix", "_key"), by, "interleave-cut"))
+    line = with_position(ordered(ranked.select(ROW, "_frac", "_stratum", "_mix", "_key"), by, "interleave-cut"))
     total = line.agg(F.count("*").alias("_total"))
     shard = F.expr(f"(_pos * {shards}) div _total")
     first = F.expr(f"(shard * _total + {shards - 1}) div {shards}")
-    return (line.join(F.broadcast(total)).withColumn("shard", shard)
-            .withColumn("slot", F.col("_pos") - first).select(*cols, F.col("shard").cast("int").alias("shard"), "slot"))
+    placed = (line.join(F.broadcast(total)).withColumn("shard", shard).withColumn("slot", F.col("_pos") - first)
+              .withColumn("shard", F.col("shard").cast("int")))
+    return unboxed(placed, rows.columns, "shard", "slot")
 
 
 def write_shards(rows: DataFrame, placed: DataFrame, key: str, path: str) -> None:

@@ -21,7 +21,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from brandpulse.llm.common import SPACE, WORD, documents
+from brandpulse.llm.common import ROW, SPACE, WORD, boxed, documents, unboxed
 
 MIN_WORDS = 50
 MAX_REPEAT_PCT = 50
@@ -104,9 +104,8 @@ def judge(docs: DataFrame) -> DataFrame:
     Column names of ``docs`` that clash with the new ones are replaced.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
-    cols = [F.col(c) for c in docs.columns]
-    d = docs.select(*cols, F.filter(F.split(text, SPACE), lambda w: w != "").alias("_words"),
-                    F.split(text, "\n").alias("_lines"))
+    d = boxed(docs, F.filter(F.split(text, SPACE), lambda w: w != "").alias("_words"),
+              F.split(text, "\n").alias("_lines"), text.alias("_text"))
     d = d.withColumn("_chars", F.aggregate("_words", F.lit(0).cast("long"), lambda n, w: n + F.length(w)))
     d = _repeat_words(d).withColumn("_n", F.size("_words").cast("long")).drop("_words")
     d = d.withColumn("_full", F.filter("_lines", lambda x: x.rlike(WORD)))
@@ -116,17 +115,17 @@ def judge(docs: DataFrame) -> DataFrame:
     gone = F.aggregate("_gone", F.lit(0).cast("long"), lambda n, x: n + F.length(F.regexp_replace(x, SPACE, "")))
     base = (F.col("_n") < MIN_WORDS) | (F.col("_rep") * 100 > F.col("_n") * MAX_REPEAT_PCT)
     d = d.select(
-        *[F.col(c) for c in docs.columns if c not in RESULT],
-        F.col("_n").alias("n_words"), F.col("_chars").alias("word_chars"),
-        F.regexp_count(text, F.lit("[" + SYMBOLS + "]")).cast("long").alias("n_symbols"),
+        ROW, F.col("_n").alias("n_words"), F.col("_chars").alias("word_chars"),
+        F.regexp_count("_text", F.lit("[" + SYMBOLS + "]")).cast("long").alias("n_symbols"),
         (F.size("_full") - F.size(F.array_distinct("_full"))).cast("long").alias("n_dup_lines"),
         F.col("_rep").alias("n_repeat_words"), base.alias("base_failed"),
         F.when(F.col("_chars") > 0, gone / F.col("_chars")).otherwise(0.0).alias("lost"),
         F.array_join(good, "\n").alias("cleaned"))
-    return d.withColumn("kept", ~F.col("base_failed") & (F.col("lost") <= MAX_LOST))
+    d = d.withColumn("kept", ~F.col("base_failed") & (F.col("lost") <= MAX_LOST))
+    return unboxed(d, docs.columns, *RESULT)
 
 
-RESULT = {"n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "lost", "kept", "cleaned"}
+RESULT = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "lost", "kept", "cleaned"]
 
 
 def op7_quality(spark, sf_dir: str) -> DataFrame:
@@ -176,8 +175,8 @@ FROM f
 def kept_documents(docs: DataFrame) -> DataFrame:
     """The documents that the rules keep, with the columns of ``docs``: ``text`` without its
     failing lines, ``n_chars`` its length. Extra columns pass through."""
-    tagged = judge(docs.select(F.struct("*").alias("_row"), "text")).withColumn("_id", F.monotonically_increasing_id())
+    tagged = judge(boxed(docs, "text")).withColumn("_id", F.monotonically_increasing_id())
     # a predicate on the id is not pushed down, and so doesn't take a second copy of all rules with it
     tagged = tagged.where("kept and _id >= 0")
     new = {"text": F.col("cleaned"), "n_chars": F.length("cleaned").cast("long")}
-    return tagged.select(*[new.get(c, F.col("_row")[c]).alias(c) for c in docs.columns])
+    return tagged.select(*[new.get(c, F.col(ROW).getField(c)).alias(c) for c in docs.columns])

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brandpulse.llm.common import documents, written
+from brandpulse.llm.common import ROW, boxed, documents, unboxed, written
 from brandpulse.llm.ordering import ordered, with_position
 from brandpulse.llm.tokens import END, encoded, tokenizer_path
 
@@ -136,7 +136,6 @@ def pack(pieces: DataFrame, key: list[str], capacity: int = CAPACITY) -> DataFra
     rows per pattern, and patterns are bounded by rounds and capacity.
     """
     spark = pieces.sparkSession
-    cols = pieces.columns
     counted = pieces.groupBy("length").agg(F.count("*").alias("n")).where(
         F.when(F.col("length").between(1, capacity), True).otherwise(F.raise_error(F.lit("length out of range"))))
     histogram = np.zeros(capacity + 1, np.int64)
@@ -144,7 +143,8 @@ def pack(pieces: DataFrame, key: list[str], capacity: int = CAPACITY) -> DataFra
         histogram[r.length] = r.n
     starts, sequences, offsets = spark.sparkContext.broadcast(plan(histogram)).value
     first = np.cumsum(histogram) - histogram
-    t = with_position(ordered(pieces, [F.col("length"), *[F.col(c) for c in key]], "pack-order"))
+    keyed = boxed(pieces, F.col("length"), *[F.col(c).alias(f"_key{i}") for i, c in enumerate(key)])
+    t = with_position(ordered(keyed, [F.col("length"), *[F.col(f"_key{i}") for i in range(len(key))]], "pack-order"))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -152,12 +152,11 @@ def pack(pieces: DataFrame, key: list[str], capacity: int = CAPACITY) -> DataFra
             rank = b.column(b.schema.get_field_index("_pos")).to_numpy() - first[n]
             code = n.astype(np.int64) << _RANKS | rank
             at = np.searchsorted(starts, code, "right") - 1
-            arrays = [b.column(b.schema.get_field_index(c)) for c in cols]
-            yield pa.RecordBatch.from_arrays([*arrays, pa.array(sequences[at] + code - starts[at]), pa.array(offsets[at])],
-                                             [*cols, "sequence_id", "offset"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sequences[at] + code - starts[at]), pa.array(offsets[at])],
+                                             [ROW, "sequence_id", "offset"])
 
-    schema = pieces.schema.add("sequence_id", "long").add("offset", "long")
-    return t.select(*cols, "_pos").mapInArrow(place, schema)
+    schema = keyed.select(ROW).schema.add("sequence_id", "long").add("offset", "long")
+    return unboxed(t.select(ROW, "length", "_pos").mapInArrow(place, schema), pieces.columns, "sequence_id", "offset")
 
 
 def cut(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text", end: int = END,

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from brandpulse.llm.common import documents, null_key, WORD, written
+from brandpulse.llm.common import ROW, WORD, boxed, documents, null_key, unboxed, written
 from brandpulse.llm.ordering import ordered, with_prefix_sum
 
 SEED = 7_041_776
@@ -57,14 +57,15 @@ def copies(rows: DataFrame, source: str, expected: str, by: list[Column], seed:
     ``expected`` is a double of 0 or more (null: 0). The offset is a hash of seed and source.
     Repeated rows are rows of their own; a null source is a source.
     """
-    cols = rows.columns
     unit = F.round(F.greatest(F.coalesce(F.col(expected), F.lit(0.0)), F.lit(0.0)) * _UNIT).cast("long")
-    keyed = rows.select("*", null_key(F.col(source).cast("string")).alias("_source"), unit.alias("_unit"))
-    t = ordered(keyed, [F.col("_source"), *by], "mix-order")
+    order = [c.alias(f"_order{i}") for i, c in enumerate(by)]
+    keyed = boxed(rows, null_key(F.col(source).cast("string")).alias("_source"), unit.alias("_unit"), *order)
+    t = ordered(keyed, [F.col("_source"), *[F.col(f"_order{i}") for i in range(len(by))]], "mix-order")
     t = with_prefix_sum(t, "_unit", "_sum", ["_source"])
     offset = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.col("_source"))), 1, 6), 16, 10).cast("long")
     low = F.col("_sum") + offset
-    return t.select(*cols, (F.shiftright(low + F.col("_unit"), _BITS) - F.shiftright(low, _BITS)).alias("copies"))
+    taken = F.shiftright(low + F.col("_unit"), _BITS) - F.shiftright(low, _BITS)
+    return unboxed(t.withColumn("copies", taken), rows.columns, "copies")
 
 
 def mix(docs: DataFrame, seed: int = SEED) -> DataFrame:
@@ -96,12 +97,12 @@ def mix(docs: DataFrame, seed: int = SEED) -> DataFrame:
 
 def mixed_documents(docs: DataFrame, seed: int = SEED) -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it; its columns stay as they are."""
-    cols = docs.columns
-    tagged = written(docs.select("*", F.monotonically_increasing_id().alias("_rid")), "mix-rows")
-    chosen = mix(tagged.select(F.col("_rid").alias("doc_id"), "source", "text"), seed)
+    tagged = written(boxed(docs, F.monotonically_increasing_id().alias("_rid")), "mix-rows")
+    row = F.col(ROW)
+    chosen = mix(tagged.select(F.col("_rid").alias("doc_id"), row["source"].alias("source"), row["text"].alias("text")), seed)
     keep = chosen.where("copies > 0").select(F.col("doc_id").alias("_rid"), "copies")
-    return (tagged.join(keep, "_rid").withColumn("_again", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
-            .select(*cols))
+    again = F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))
+    return unboxed(tagged.join(keep, "_rid").withColumn("_again", again), docs.columns)
 
 
 def op9_mixing(spark, sf_dir: str) -> DataFrame:

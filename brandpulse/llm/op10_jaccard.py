@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brandpulse.llm.common import documents, partitions, written
+from brandpulse.llm.common import ROW, boxed, documents, partitions, unboxed, written
 from brandpulse.llm.words import chunks, mix, runs, span_hashes
 
 SHINGLE = 5
@@ -364,8 +364,7 @@ def kept_documents(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     named = docs.where("doc_id is not null")
     found = joined(named.select("doc_id", "text"), percent).where("doc_id = component_id").select("doc_id")
     keep = written(found.groupBy("doc_id").agg(F.count("*").alias("_rows")), "jaccard-keep")
-    rows = named.join(side(keep, keep.count()), "doc_id")
-    once = rows.where("_rows = 1").select(docs.columns)
-    others = [c for c in docs.columns if c not in ("doc_id", "text")]
-    several = rows.where("_rows > 1").groupBy("doc_id").agg(F.min(F.struct("text", *others)).alias("_r")).select("doc_id", "_r.*").select(docs.columns)
-    return once.unionByName(several).unionByName(docs.where("doc_id is null"))
+    rows = boxed(named, "doc_id", "text").join(side(keep, keep.count()), "doc_id")
+    once = unboxed(rows.where("_rows = 1"), docs.columns)
+    several = rows.where("_rows > 1").groupBy("doc_id").agg(F.min_by(F.col(ROW), F.struct("text", F.to_json(ROW))).alias(ROW))
+    return once.unionByName(unboxed(several, docs.columns)).unionByName(docs.where("doc_id is null"))
