@@ -41,11 +41,15 @@ PERCENT = 75
 SAMPLE = 32
 #: Shares of a set by which its prefix may be longer than for one match.
 RATIOS = (0.0, 1 / 16, 1 / 8, 3 / 16, 1 / 4)
+#: Sets below this size emit all their shingles.
+WHOLE = 128
 #: Verifying one shingle of a candidate costs as much as emitting so many.
-VERIFY_COST = 3.0
+VERIFY_COST = 2.0
 #: Sides of a join of at most so many narrow rows are broadcast; larger ones are shuffled.
 SMALL_ROWS = 400_000
 PIVOT_ROUNDS = 6
+#: Prefix shingles that a task packs at once.
+HELD = 1_000_000
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 32
@@ -105,44 +109,57 @@ def overlap(n: int, percent: int) -> int:
     return -(-n * percent // 100)
 
 
-def prefix(n: int, percent: int, ratio: float) -> tuple[int, int]:
-    """Length of the prefix of a set of n, and the shared shingles any partner's prefix has with
-    it at least. A partner may be smaller, down to ``percent`` of n, and ask for fewer."""
+def rest(n: int, percent: int, ratio: float) -> int:
+    """Shingles of a set of n behind its prefix, which is as long as one match needs and
+    ``ratio * n`` more."""
     low = overlap(n, percent)
-    more = min(1 + int(n * ratio), low)
-    return min(n - low + more, n), min(1 + int(low * ratio), overlap(low, percent))
+    return low - min(1 + int(n * ratio), low)
+
+
+def matches(n: int, m: int, rest_n: int, rest_m: int, percent: int) -> int:
+    """Shared prefix shingles of two sets that link, at least. What they share lies in both
+    prefixes, or behind the prefix that ends first."""
+    return -(-(n + m) * percent // (100 + percent)) - max(rest_n, rest_m)
 
 
 def ratios(meta: DataFrame, percent: int) -> np.ndarray:
     """The cheapest of ``RATIOS`` for sets of 2**i to 2**(i + 1) - 1 shingles, by i.
 
-    Neighbouring sizes may link, so a size takes part with the ratio of its own, and the number
-    of matches asked for is the least over the sizes it can link to (see :func:`_bounds`).
+    A class costs the shingles it emits, and the verification of its candidates, as many as its
+    shared shingles have classes on average, if so large a share of its shingles would pass the
+    matches asked for. Sets below ``WHOLE`` shingles emit all of them: they are a small part of
+    any corpus, have few counted shingles, and are cheap to keep apart this way.
     """
-    one = meta.select("c", "n", F.explode("counted").alias("t"))
-    shared = one.groupBy("t").agg(F.min("c").alias("a"), F.max("c").alias("b")).where("a <> b").select("t", F.lit(1).alias("s"))
-    per = one.join(shared, "t", "left").groupBy("c", "n").agg(F.count("*").alias("k"), F.count("s").alias("s"))
+    one = meta.select("c", "n", F.explode("counted").alias("t")).distinct()
+    shared = one.groupBy("t").agg(F.count("*").alias("d")).where("d > 1")
+    per = one.join(shared, "t", "left").groupBy("c", "n").agg(
+        F.count("*").alias("k"), F.count("d").alias("s"), F.sum(F.col("d") - 1).alias("d"))
     size = F.floor(F.log2(F.col("n") + 0.5)).cast("int")
-    table = per.groupBy(size.alias("i"), F.round(F.col("s") / F.col("k") * 16).cast("int").alias("f")).agg(
-        F.count("*").alias("m"), F.sum("n").alias("n")).collect()  # sizes by 17 shares
+    near = F.when(F.col("s") > 0, F.floor(F.log2(F.col("d") / F.col("s")))).otherwise(-1).cast("int")
+    table = per.groupBy(size.alias("i"), F.round(F.col("s") / F.col("k") * 16).cast("int").alias("f"), near.alias("l")).agg(
+        F.count("*").alias("m"), F.sum("n").alias("n")).collect()  # sizes by 17 shares by lengths of lists
     cost = np.zeros((64, len(RATIOS)))
     for r in table:
+        n = r.n / r.m
         for j, ratio in enumerate(RATIOS):
-            share = 1 - percent / 100 + ratio
-            asked = max(1.0, r.n / r.m * ratio * percent / 100)
-            expect = r.f / 16 * share * r.n / r.m
-            cost[r.i, j] += r.n * share + (VERIFY_COST * r.n if expect >= asked else 0)
-    return np.array(RATIOS)[cost.argmin(1)]
+            behind = rest(int(n), percent, ratio)
+            passes = r.l >= 0 and r.f / 16 * (n - behind) >= matches(int(n), int(n), behind, behind, percent)
+            cost[r.i, j] += r.n * (1 - behind / n) + (VERIFY_COST * r.n * 2 ** r.l if passes else 0)
+    best = np.array(RATIOS)[cost.argmin(1)]
+    best[:int(math.log2(WHOLE))] = 1.0
+    return best
 
 
 def _bounds(n: int, percent: int, table: np.ndarray) -> tuple[int, int]:
-    """Prefix length of a set of n and the matches it must show, whatever its partner's size."""
-    length, _ = prefix(n, percent, table[int(math.log2(n))])
-    low, high = overlap(n, percent), n * 100 // percent
-    sizes = {low, n, high, *(2 ** i for i in range(64) if low <= 2 ** i <= high), *(2 ** i - 1 for i in range(1, 64) if low <= 2 ** i - 1 <= high)}
-    # matches that a pair's common l gives: l of the smaller prefix counts for both
-    least = min(min(1 + int(m * table[int(math.log2(m))]), overlap(m, percent)) for m in sizes)
-    return length, max(1, least)
+    """What is behind the prefix of a set of n, and the least of :func:`matches` over all sizes
+    that it can link to."""
+    def behind(m: int) -> int:
+        return rest(m, percent, table[int(math.log2(m))])
+
+    low, high, own = overlap(n, percent), n * 100 // percent, behind(n)
+    # between powers of two the bound is concave in the other size but for rounding, so it is least at an end
+    ends = {low, n, high, *(m for i in range(64) for m in (2 ** i - 1, 2 ** i) if low <= m <= high)}
+    return own, max(1, min(matches(n, m, own, behind(m), percent) for m in ends) - 2)
 
 
 def _emit(buckets: int, percent: int, table: np.ndarray):
@@ -150,7 +167,7 @@ def _emit(buckets: int, percent: int, table: np.ndarray):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        held: list[tuple[np.ndarray, int, int]] = []
+        held: list[tuple[np.ndarray, int, int, int, int]] = []
         size = 0
 
         def out():
@@ -162,14 +179,14 @@ def _emit(buckets: int, percent: int, table: np.ndarray):
             tokens, own, bucket = tokens[order], own[order], bucket[order]
             cuts = np.flatnonzero(np.diff(bucket, prepend=-1, append=-1))
             keys = np.array([x[1] for x in held], np.int64)
-            asks = np.array([x[2] for x in held], np.uint32)
+            facts = np.array([x[2:] for x in held], np.uint32)  # ask, size, what is behind the prefix
             rows = []
             for a, b in zip(cuts[:-1], cuts[1:], strict=True):
                 of, n = np.unique(own[a:b], return_counts=True)
-                rows.append((int(bucket[a]), tokens[a:b].tobytes(), keys[of].tobytes(), n.astype(np.uint32).tobytes(), asks[of].tobytes()))
+                rows.append((int(bucket[a]), tokens[a:b].tobytes(), keys[of].tobytes(), n.astype(np.uint32).tobytes(), facts[of].tobytes()))
             col = list(zip(*rows, strict=True))
             return pa.RecordBatch.from_arrays([pa.array(col[0], pa.int32()), *[pa.array(c, pa.binary()) for c in col[1:]]],
-                                              ["bucket", "tokens", "keys", "counts", "asks"])
+                                              ["bucket", "tokens", "keys", "counts", "facts"])
 
         for b in batches:
             for _, sets in shingle_sets(b.column(0)):
@@ -180,36 +197,37 @@ def _emit(buckets: int, percent: int, table: np.ndarray):
                     if key in seen:
                         continue
                     seen.add(key)
-                    length, ask = _bounds(len(s), percent, table)
-                    held.append((s[:length].copy(), key, ask))
-                    size += length
-            if size > 4_000_000:
-                yield out()
-                held, size = [], 0
+                    behind, ask = _bounds(len(s), percent, table)
+                    held.append((s[:len(s) - behind].copy(), key, ask, len(s), behind))
+                    size += len(s) - behind
+                    if size > HELD:
+                        yield out()
+                        held, size = [], 0
         if held:
             yield out()
     return run
 
 
 def _shared(t: pa.Table) -> pa.Table:
-    """``token, c, ask`` of every shingle of a bucket that two classes have."""
-    tokens, keys, asks = [], [], []
-    for tok, key, count, ask in zip(*[t.column(c).to_pylist() for c in ("tokens", "keys", "counts", "asks")], strict=True):
+    """``token, c, ask, n, rest`` of every shingle of a bucket that two classes have."""
+    tokens, keys, facts = [], [], []
+    for tok, key, count, fact in zip(*[t.column(c).to_pylist() for c in ("tokens", "keys", "counts", "facts")], strict=True):
         n = np.frombuffer(count, np.uint32)
         tokens.append(np.frombuffer(tok, np.uint64))
         keys.append(np.repeat(np.frombuffer(key, np.int64), n))
-        asks.append(np.repeat(np.frombuffer(ask, np.uint32), n))
-    tok, key, ask = np.concatenate(tokens), np.concatenate(keys), np.concatenate(asks)
+        facts.append(np.repeat(np.frombuffer(fact, np.uint32).reshape(-1, 3), n, 0))
+    tok, key, fact = np.concatenate(tokens), np.concatenate(keys), np.concatenate(facts)
     order = np.lexsort((key, tok))
-    tok, key, ask = tok[order], key[order], ask[order]
+    tok, key = tok[order], key[order]
     new = np.ones(len(tok), bool)
     new[1:] = (tok[1:] != tok[:-1]) | (key[1:] != key[:-1])
-    tok, key, ask = tok[new], key[new], ask[new]
+    tok, key, order = tok[new], key[new], order[new]
     same = tok[1:] == tok[:-1]
     keep = np.zeros(len(tok), bool)
     keep[1:] |= same
     keep[:-1] |= same
-    return pa.table({"token": pa.array(_signed(tok[keep])), "c": pa.array(key[keep]), "ask": pa.array(ask[keep].astype(np.int64))})
+    fact = fact[order[keep]].astype(np.int64)
+    return pa.table({"token": pa.array(_signed(tok[keep])), "c": pa.array(key[keep])} | {k: pa.array(fact[:, i]) for i, k in enumerate(("ask", "n", "rest"))})
 
 
 def side(df: DataFrame, rows: int) -> DataFrame:
@@ -261,6 +279,17 @@ def components(nodes: DataFrame, edges: DataFrame, name: str) -> DataFrame:
             return labels
 
 
+def crossing(lists: DataFrame, alive: DataFrame, count: int, percent: int) -> DataFrame:
+    """All pairs of classes of different components that share as many prefix shingles as sets of
+    their sizes do if they link."""
+    x = lists.select("token", F.col("c").alias("a"), F.col("k").alias("ka"))
+    y = lists.select("token", F.col("c").alias("b"), F.col("k").alias("kb"))
+    s = x.join(y, "token").where("a < b and ka <> kb").groupBy("a", "b").agg(F.count("*").alias("s"))
+    for c in ("a", "b"):
+        s = s.join(side(alive.select(F.col("c").alias(c), F.col("n").alias(f"n{c}"), F.col("rest").alias(f"r{c}")), count), c)
+    return s.where(f"s >= ((na + nb) * {percent} + {99 + percent}) div {100 + percent} - greatest(ra, rb)")
+
+
 def classes(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
     """(``doc_id, n, c, c2`` per document, ``c, c2, n, first, k`` per class): ``first`` is the
     smallest doc_id of a class; classes of one component have one ``k``."""
@@ -272,12 +301,13 @@ def classes(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFra
     table = ratios(meta.where("n > 0"), percent)
     buckets = partitions(spark) * 4
     blobs = src.select("text").mapInArrow(_emit(buckets, percent, table),
-                                          "bucket int, tokens binary, keys binary, counts binary, asks binary")
-    lists = written(blobs.groupBy("bucket").applyInArrow(_shared, "token long, c long, ask long"), "jaccard-shared")
-    alive = written(lists.groupBy("c").agg(F.count("*").alias("s"), F.max("ask").alias("ask")).where("s >= ask"), "jaccard-alive")
+                                          "bucket int, tokens binary, keys binary, counts binary, facts binary")
+    lists = written(blobs.groupBy("bucket").applyInArrow(_shared, "token long, c long, ask long, n long, rest long"), "jaccard-shared")
+    alive = written(lists.groupBy("c").agg(F.count("*").alias("s"), *[F.max(x).alias(x) for x in ("ask", "n", "rest")]).where("s >= ask").drop("s"),
+                    "jaccard-alive")
     count = alive.count()
     ask = alive.select("c", "ask")
-    lists = written(lists.select("token", "c").join(side(ask, count), "c"), "jaccard-lists")
+    lists = written(lists.select("token", "c").join(side(alive.select("c"), count), "c"), "jaccard-lists")
     chosen = kinds.join(side(alive.select("c"), count), "c", "left_semi").select(F.col("first").alias("doc_id"), "c")
     # the texts of one document per surviving class
     wanted = src.join(side(chosen, count), "doc_id").select("c", "text")
@@ -299,37 +329,38 @@ def classes(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFra
     sets = written(wanted.mapInArrow(whole, "c long, n long, set binary"), "jaccard-sets")
     links = spark.createDataFrame([], "a long, b long")
     label = written(alive.select("c", F.col("c").alias("k")), "jaccard-labels")
+    was = None
     for turn in range(PIVOT_ROUNDS + 1):
-        # lists whose classes are in several components, and classes with enough of these
-        named = lists.join(side(label, count), "c")
-        open_ = written(named.groupBy("token").agg(F.min("k").alias("lo"), F.max("k").alias("hi")).where("lo <> hi").select("token"),
-                        "jaccard-tokens")
-        left = written(named.join(open_, "token"), "jaccard-open")
-        enough = left.groupBy("c").agg(F.count("*").alias("s"), F.max("ask").alias("ask")).where("s >= ask").select("c")
-        lists = written(left.join(enough, "c", "left_semi"), "jaccard-left")
-        rows = lists.count()
+        # shingles whose classes are in several components, and classes with enough of these
+        rows = None
+        while True:
+            named = lists.select("token", "c").join(side(label, count), "c")
+            open_ = written(named.groupBy("token").agg(F.min("k").alias("lo"), F.max("k").alias("hi")).where("lo <> hi").select("token"),
+                            "jaccard-tokens")
+            left = written(named.join(open_, "token"), "jaccard-open")
+            enough = left.groupBy("c").agg(F.count("*").alias("s")).join(side(ask, count), "c").where("s >= ask").select("c")
+            lists = written(left.join(written(enough, "jaccard-enough"), "c", "left_semi"), "jaccard-left")
+            before, rows = rows, lists.count()
+            if not rows or before is not None and rows > 0.9 * before:
+                break
         if not rows:
             break
         per = lists.groupBy("token", "k").agg(F.count("*").alias("n")).groupBy("token").agg(
             F.sum("n").alias("m"), F.sum(F.col("n") * F.col("n")).alias("q"))
         cross = per.agg(F.sum((F.col("m") * F.col("m") - F.col("q")) / 2)).first()[0] or 0
-        if cross <= 4 * rows or turn == PIVOT_ROUNDS:
-            x = lists.select("token", F.col("c").alias("a"), F.col("k").alias("ka"), F.col("ask").alias("aa"))
-            y = lists.select("token", F.col("c").alias("b"), F.col("k").alias("kb"), F.col("ask").alias("ab"))
-            pairs = (x.join(y, "token").where("a < b and ka <> kb").groupBy("a", "b")
-                     .agg(F.count("*").alias("s"), F.max("aa").alias("aa"), F.max("ab").alias("ab")).where("s >= least(aa, ab)"))
-            last = True
+        last = cross <= 4 * rows or turn == PIVOT_ROUNDS or was is not None and cross > 0.8 * was
+        was = cross
+        if last:
+            pairs = crossing(lists, alive, count, percent)
         else:
             mixed = F.xxhash64(F.lit(turn), F.col("k"), F.col("c")) if turn else F.col("c")
             pivot = written(lists.groupBy("token").agg(F.min_by(F.struct("c", "k"), mixed).alias("p")), "jaccard-pivots")
             pairs = (lists.join(pivot, "token").where("k <> p.k").groupBy(F.col("p.c").alias("a"), F.col("c").alias("b"))
-                     .agg(F.count("*").alias("s"), F.max("ask").alias("ask")).where("s * 4 >= ask"))
-            last = False
+                     .agg(F.count("*").alias("s")).join(side(ask.withColumnRenamed("c", "b"), count), "b").where("s * 4 >= ask"))
         links = links.union(verified(written(pairs.select("a", "b"), "jaccard-pairs"), sets, percent, "jaccard-links"))
         label = components(alive, links, "jaccard-components")
         if last:
             break
-        lists = lists.select("c", "token", "ask")
     kinds = kinds.join(side(label, count), "c", "left").withColumn("k", F.coalesce("k", "c"))
     return meta.select("doc_id", "n", "c", "c2"), written(kinds, "jaccard-labelled")
 
