@@ -42,6 +42,8 @@ CHUNK = 1 << 19
 PREFIXES = (4, 5, 6)
 #: Toxic rows among the labelled ones with a pattern, plus one more row that isn't, from which it votes.
 MIN_PRECISION = 0.8
+#: The share of rows that aren't toxic among those with a mined pattern, at most.
+MAX_OTHER = 0.05
 #: Covariance beyond the label's, as a correlation, from which two voters count as correlated.
 CORRELATED = 0.2
 #: Weight of the corpus estimate against labelled rows, in rows.
@@ -115,7 +117,7 @@ def mine(labelled: DataFrame) -> tuple[np.ndarray, np.ndarray, float, int]:
     total = labelled.agg(F.count("*").alias("n"), F.sum("weight").alias("w")).first()
     prior = (total.w + 1) / (total.n + 2) if total.n and total.w else DEFAULT_PRIOR
     found = _associations(labelled)
-    sure = F.col("w") >= (F.col("n") + 1) * MIN_PRECISION
+    sure = (F.col("w") >= (F.col("n") + 1) * MIN_PRECISION) & (F.col("w") >= F.col("n") * (1 - MAX_OTHER))
     rows = found.where(sure).orderBy(F.desc("w"), "feature").limit(VOTERS).collect()
     have = {np.uint64(r.feature & (2**64 - 1)): (r.w, r.n - r.w) for r in rows}
     voters = np.unique(np.concatenate([np.array(list(have), np.uint64), lexicon_features()]))
@@ -161,14 +163,14 @@ class LabelModel:
         cov = both / n - np.outer(rate, rate)
         scale = np.sqrt(np.maximum(rate * (1 - rate), 1e-12))
         corr = cov / np.outer(scale, scale)
-        use = ~np.eye(len(rate), dtype=bool)
-        load = np.full(len(rate), 0.3)
+        own = np.eye(len(rate), dtype=bool)
+        load = self._first(np.where(own, 0, corr))
         for _ in range(rounds):
+            self.linked = (corr - np.outer(load, load) > CORRELATED) & ~own
+            use = ~self.linked & ~own
             for _ in range(40):
                 top = (use * corr) @ load
                 load = np.clip(top / np.maximum(use @ (load ** 2), 1e-9), 0, 1) * 0.5 + load * 0.5
-            self.linked = (corr - np.outer(load, load) > CORRELATED) & ~np.eye(len(rate), dtype=bool)
-            use = ~self.linked & ~np.eye(len(rate), dtype=bool)
         #: Covariance with the label is load * scale * sqrt(prior * (1 - prior)).
         shift = load * scale
         toxic = rate + shift * np.sqrt((1 - prior) / prior)
@@ -188,6 +190,20 @@ class LabelModel:
         self.lone = np.log(self.toxic / self.other)
         self.base = np.log(prior / (1 - prior))
 
+    @staticmethod
+    def _first(corr: np.ndarray) -> np.ndarray:
+        """Loads from triplets: of three uncorrelated voters each load is the root of a quotient of
+        covariances; the median over all triplets of a voter isn't moved by a few correlated pairs."""
+        out = np.full(len(corr), 0.1)
+        for j, row in enumerate(corr):
+            k = np.flatnonzero(row > 1e-3)
+            k = k[np.argsort(-row[k])][:64]
+            of = corr[np.ix_(k, k)]
+            ok = np.triu(of > 1e-3, 1)
+            if ok.any():
+                out[j] = np.sqrt(np.median(np.outer(row[k], row[k])[ok] / of[ok]))
+        return np.clip(out, 0, 1)
+
     def posterior(self, hits: np.ndarray) -> np.ndarray:
         together = 1 + hits @ self.linked  # partners that fire together share one vote
         z = self.base + np.where(hits.any(1), (hits * self.lone / together).sum(1), self.none)
