@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from brandpulse.llm.common import ROW, boxed, documents, partitions, unboxed, written
-from brandpulse.llm.words import chunks, mix, runs, span_hashes
+from brandpulse.llm.words import chunks, mix, runs, span_hashes, trim
 
 SHINGLE = 5
 PERCENT = 75
@@ -49,7 +49,9 @@ VERIFY_COST = 2.0
 SMALL_ROWS = 400_000
 PIVOT_ROUNDS = 6
 #: Prefix shingles that a task packs at once.
-HELD = 1_000_000
+HELD = 500_000
+#: Bytes of text that a task works on at once.
+CHUNK = 1 << 20
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 32
@@ -57,7 +59,7 @@ _LOWER[0x41:0x5B] += 32
 
 def shingle_sets(col: pa.Array, width: int = SHINGLE) -> Iterator[tuple[int, list[np.ndarray]]]:
     """Chunks of texts: the first row, and each text's sorted distinct shingle hashes."""
-    for first, n, buf, at in chunks(col):
+    for first, n, buf, at in chunks(col, CHUNK):
         buf = _LOWER[buf]
         starts, ends, before = runs(buf, at)
         h = span_hashes(buf, starts, ends)
@@ -102,6 +104,7 @@ def _meta(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                  pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64()),
                  pa.array([_signed(s[s % np.uint64(SAMPLE) == 0]) for s in sets], pa.list_(pa.int64()))],
                 ["doc_id", "n", "c", "c2", "counted"])
+    trim()
 
 
 def overlap(n: int, percent: int) -> int:
@@ -205,6 +208,7 @@ def _emit(buckets: int, percent: int, table: np.ndarray):
                         held, size = [], 0
         if held:
             yield out()
+        trim()
     return run
 
 
@@ -235,19 +239,25 @@ def side(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= SMALL_ROWS else df
 
 
+def _sets(col: pa.Array) -> list[np.ndarray]:
+    """Views of the sets in a binary column."""
+    at = np.frombuffer(col.buffers()[1], np.int32)[col.offset:col.offset + len(col) + 1]
+    data = np.frombuffer(col.buffers()[2], np.uint8)
+    return [data[a:b].view(np.uint64) if a % 8 == 0 else np.frombuffer(data[a:b].tobytes(), np.uint64) for a, b in zip(at[:-1], at[1:], strict=True)]
+
+
 def _verify(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            x, y = b.column(2).to_pylist(), b.column(3).to_pylist()
             keep = []
-            for p, q in zip(x, y, strict=True):
-                p, q = np.frombuffer(p, np.uint64), np.frombuffer(q, np.uint64)
+            for p, q in zip(_sets(b.column(2)), _sets(b.column(3)), strict=True):
                 small, large = (p, q) if len(p) <= len(q) else (q, p)
                 at = np.minimum(np.searchsorted(large, small), len(large) - 1)
                 both = int((large[at] == small).sum())
                 keep.append(100 * both >= percent * (len(p) + len(q) - both))
             k = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([b.column(0).filter(k), b.column(1).filter(k)], ["a", "b"])
+        trim()
     return run
 
 
@@ -329,10 +339,9 @@ def classes(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFra
     sets = written(wanted.mapInArrow(whole, "c long, n long, set binary"), "jaccard-sets")
     links = spark.createDataFrame([], "a long, b long")
     label = written(alive.select("c", F.col("c").alias("k")), "jaccard-labels")
-    was = None
+    was, before = None, lists.count()
     for turn in range(PIVOT_ROUNDS + 1):
         # shingles whose classes are in several components, and classes with enough of these
-        rows = None
         while True:
             named = lists.select("token", "c").join(side(label, count), "c")
             open_ = written(named.groupBy("token").agg(F.min("k").alias("lo"), F.max("k").alias("hi")).where("lo <> hi").select("token"),
@@ -340,8 +349,9 @@ def classes(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFra
             left = written(named.join(open_, "token"), "jaccard-open")
             enough = left.groupBy("c").agg(F.count("*").alias("s")).join(side(ask, count), "c").where("s >= ask").select("c")
             lists = written(left.join(written(enough, "jaccard-enough"), "c", "left_semi"), "jaccard-left")
-            before, rows = rows, lists.count()
-            if not rows or before is not None and rows > 0.9 * before:
+            rows = lists.count()
+            enough_done, before = not rows or rows > 0.8 * before, rows
+            if enough_done:
                 break
         if not rows:
             break
