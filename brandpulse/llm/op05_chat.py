@@ -62,9 +62,11 @@ def paths(messages: DataFrame, branches: int = 1) -> DataFrame:
     limit = max(1, step.count()).bit_length() + 1  # more rounds than any chain needs: what is left then is cyclic
     while len(rounds) <= limit and not step.where("up is not null").isEmpty():
         far = step.select("tree", F.col("id").alias("up"), F.col("up").alias("_up"), F.col("dist").alias("_dist"), F.col("score").alias("_score"))
-        step = written(step.join(far, ["tree", "up"], "left").select(
-            "tree", "id", F.col("_up").alias("up"), (F.col("dist") + F.coalesce("_dist", F.lit(0))).alias("dist"),
-            (F.col("score") + F.coalesce("_score", F.lit(0.0))).alias("score")), f"chat-up{len(rounds)}")
+        # messages that have reached their root are not joined again
+        on = step.where("up is not null").join(far, ["tree", "up"]).select(
+            "tree", "id", F.col("_up").alias("up"), (F.col("dist") + F.col("_dist")).alias("dist"),
+            (F.col("score") + F.col("_score")).alias("score"))
+        step = written(step.where("up is null").select(on.columns).unionByName(on), f"chat-up{len(rounds)}")
         rounds.append(step)
     inner = rounds[0].where("up is not null").select("tree", F.col("up").alias("id")).distinct()
     leaves = step.where("up is null").join(inner, ["tree", "id"], "left_anti")
