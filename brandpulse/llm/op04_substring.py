@@ -35,12 +35,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from brandpulse.llm.common import ROW, boxed, documents, unboxed, written
-from brandpulse.llm.words import _power, chunks, mix, runs, span_hashes
+from brandpulse.llm.words import _power, chunks, mix, runs, span_hashes, trim
 
 LENGTH = 35
 SEED = 8
 VARIANTS = 2_000
 SHARD_WORDS = 60_000
+#: Bytes of text that a task works on at once.
+CHUNK = 1 << 20
 #: Join sides of at most so many narrow rows are broadcast; larger ones are shuffled.
 SMALL_ROWS = 1_500_000
 _POS = np.uint64((1 << 31) - 1)
@@ -91,22 +93,24 @@ def _long(x: np.ndarray) -> pa.Array:
 def _seeds(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for _, _, buf, at in chunks(b.column(0)):
+            for _, _, buf, at in chunks(b.column(0), CHUNK):
                 starts, ends, before = runs(buf, at)
                 g, r, *_ = regions(span_hashes(buf, starts, ends), before, length)
                 yield pa.RecordBatch.from_arrays([_long(g), _long(r)], ["g", "r"])
+        trim()
     return run
 
 
 def _places(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for first, _, buf, at in chunks(b.column(2)):
+            for first, _, buf, at in chunks(b.column(2), CHUNK):
                 starts, ends, before = runs(buf, at)
                 g, r, text, a, m = regions(span_hashes(buf, starts, ends), before, length)
                 of = pa.array(first + text)
                 yield pa.RecordBatch.from_arrays([b.column(0).take(of), b.column(1).take(of), _long(g), _long(r), pa.array(a, pa.int32()), pa.array(m, pa.int32())],
                                                  ["k", "size", "g", "r", "a", "m"])
+        trim()
     return run
 
 
@@ -116,7 +120,7 @@ def _contents(length: int):
         seen: set[tuple[int, int]] = set()
         for b in batches:
             keys = list(zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True))
-            for first, n, buf, at in chunks(b.column(2)):
+            for first, n, buf, at in chunks(b.column(2), CHUNK):
                 starts, ends, before = runs(buf, at)
                 h = span_hashes(buf, starts, ends)
                 rows = []
@@ -131,6 +135,7 @@ def _contents(length: int):
                     col = list(zip(*rows, strict=True))
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(col, [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary()], strict=True)],
                                                      ["shard", "g", "r", "n", "hot", "words"])
+        trim()
     return run
 
 
@@ -236,7 +241,9 @@ def _shard(length: int):
                 w = mix((sums[length:] - sums[:-length]) * inverse[:len(words) - length + 1]).view(np.int64)
                 rows += [(g, r, s, s + length, int(x), n) for s, x in enumerate(w)]
         col = list(zip(*rows, strict=True)) or [()] * 6
-        return pa.table({k: pa.array(c, v) for c, (k, v) in zip(col, _DETAIL.items(), strict=True)})
+        out = pa.table({k: pa.array(c, v) for c, (k, v) in zip(col, _DETAIL.items(), strict=True)})
+        trim()
+        return out
     return run
 
 

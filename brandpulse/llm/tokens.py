@@ -17,7 +17,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 
-from brandpulse.llm.words import chunks, runs, span_hashes
+from brandpulse.llm.words import chunks, runs, span_hashes, trim
 
 TOKENIZER = "byte_bpe_50k.json"
 END = 2
@@ -163,3 +163,4 @@ def encoded(batch: pa.RecordBatch, path: str, text: str = "text", end: int | Non
     tail = np.array([] if end is None else [end], np.uint32)
     for first, _, buf, at in chunks(batch.column(batch.schema.get_field_index(text))):
         yield first, [np.concatenate([x, tail]) for x in enc.encode(buf, at)]
+    trim()
