@@ -30,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from brandpulse.llm.common import ROW, boxed, documents, partitions, unboxed, written
@@ -289,15 +289,22 @@ def components(nodes: DataFrame, edges: DataFrame, name: str) -> DataFrame:
             return labels
 
 
-def crossing(lists: DataFrame, alive: DataFrame, count: int, percent: int) -> DataFrame:
-    """All pairs of classes of different components that share as many prefix shingles as sets of
-    their sizes do if they link."""
-    x = lists.select("token", F.col("c").alias("a"), F.col("k").alias("ka"))
-    y = lists.select("token", F.col("c").alias("b"), F.col("k").alias("kb"))
-    s = x.join(y, "token").where("a < b and ka <> kb").groupBy("a", "b").agg(F.count("*").alias("s"))
-    for c in ("a", "b"):
-        s = s.join(side(alive.select(F.col("c").alias(c), F.col("n").alias(f"n{c}"), F.col("rest").alias(f"r{c}")), count), c)
-    return s.where(f"s >= ((na + nb) * {percent} + {99 + percent}) div {100 + percent} - greatest(ra, rb)")
+def crossing(lists: DataFrame, alive: DataFrame, count: int) -> DataFrame:
+    """Pairs of classes of different components, with every pair that shares as many listed
+    shingles as both ask for.
+
+    Listed shingles are ordered by how many classes still have them. Two classes that share ``ask``
+    of them share one of the first ``s - ask + 1`` of each one's ``s``, and the shingles of common
+    passages come last. Sizes that can't link are left out by the caller.
+    """
+    often = written(lists.groupBy("token").agg(F.count("*").alias("d")), "jaccard-often")
+    own = Window.partitionBy("c")
+    named = lists.select("token", "c", "k").join(often, "token").join(side(alive.select("c", "ask"), count), "c")
+    first = named.withColumn("s", F.count("*").over(own)).withColumn("r", F.row_number().over(own.orderBy("d", "token")))
+    first = written(first.where("r <= s - ask + 1").select("token", "c", "k"), "jaccard-first")
+    x = first.select("token", F.col("c").alias("a"), F.col("k").alias("ka"))
+    y = first.select("token", F.col("c").alias("b"), F.col("k").alias("kb"))
+    return x.join(y, "token").where("a < b and ka <> kb").select("a", "b").distinct()
 
 
 def classes(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
@@ -346,7 +353,7 @@ def classes(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFra
             named = lists.select("token", "c").join(side(label, count), "c")
             open_ = written(named.groupBy("token").agg(F.min("k").alias("lo"), F.max("k").alias("hi")).where("lo <> hi").select("token"),
                             "jaccard-tokens")
-            left = written(named.join(open_, "token"), "jaccard-open")
+            left = named.join(open_, "token")
             enough = left.groupBy("c").agg(F.count("*").alias("s")).join(side(ask, count), "c").where("s >= ask").select("c")
             lists = written(left.join(written(enough, "jaccard-enough"), "c", "left_semi"), "jaccard-left")
             rows = lists.count()
@@ -361,7 +368,7 @@ def classes(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFra
         last = cross <= 4 * rows or turn == PIVOT_ROUNDS or was is not None and cross > 0.8 * was
         was = cross
         if last:
-            pairs = crossing(lists, alive, count, percent)
+            pairs = crossing(lists, alive, count)
         else:
             mixed = F.xxhash64(F.lit(turn), F.col("k"), F.col("c")) if turn else F.col("c")
             pivot = written(lists.groupBy("token").agg(F.min_by(F.struct("c", "k"), mixed).alias("p")), "jaccard-pivots")
