@@ -48,6 +48,8 @@ VERIFY_COST = 2.0
 #: Sides of a join of at most so many narrow rows are broadcast; larger ones are shuffled.
 SMALL_ROWS = 400_000
 PIVOT_ROUNDS = 6
+#: Bits of a set's signature.
+BITS = 4096
 #: Prefix shingles that a task packs at once.
 HELD = 500_000
 #: Bytes of text that a task works on at once.
@@ -91,6 +93,12 @@ def class_key(s: np.ndarray) -> tuple[int, int]:
     return int(a), int(b)
 
 
+def signature(s: np.ndarray) -> np.ndarray:
+    """``BITS`` bits, each whether an odd number of the set's shingles falls on it."""
+    odd = (np.bincount((s % np.uint64(BITS)).astype(np.int64), minlength=BITS) & 1).astype(np.uint8)
+    return np.packbits(odd).view(np.int64)
+
+
 def _signed(x: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(x, np.uint64).view(np.int64)
 
@@ -263,12 +271,18 @@ def _verify(percent: int):
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int, name: str) -> DataFrame:
     """The (a, b) of ``pairs`` whose whole sets are similar enough."""
-    x = sets.select(F.col("c").alias("a"), F.col("set").alias("sa"), F.col("n").alias("na"))
-    y = sets.select(F.col("c").alias("b"), F.col("set").alias("sb"), F.col("n").alias("nb"))
-    fits = pairs.select("a", "b").join(sets.select(F.col("c").alias("a"), F.col("n").alias("na")), "a").join(
-        sets.select(F.col("c").alias("b"), F.col("n").alias("nb")), "b").where(
-        (F.col("na") * 100 >= F.col("nb") * percent) & (F.col("nb") * 100 >= F.col("na") * percent)).select("a", "b")
-    rows = fits.join(y, "b").join(x, "a").select("a", "b", "sa", "sb")
+    def of(c: str, what: str) -> DataFrame:
+        return sets.select(F.col("c").alias(c), F.col("n").alias(f"n{c}"), F.col(what).alias(f"s{c}"))
+
+    # most pairs that don't link are told apart by their signatures: shingles of one set alone are
+    # at least as many as the bits in which the signatures differ
+    near = pairs.select("a", "b").join(of("b", "bits"), "b").join(of("a", "bits"), "a")
+    differ = F.aggregate(F.zip_with("sa", "sb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+    shared = F.expr(f"((na + nb) * {percent} + {99 + percent}) div {100 + percent}")
+    fits = near.where((F.col("na") * 100 >= F.col("nb") * percent) & (F.col("nb") * 100 >= F.col("na") * percent)
+                      & (differ <= F.col("na") + F.col("nb") - 2 * shared)).select("a", "b")
+    fits = written(fits, "jaccard-fits")
+    rows = fits.join(of("b", "set"), "b").join(of("a", "set"), "a").select("a", "b", "sa", "sb")
     return written(rows.mapInArrow(_verify(percent), "a long, b long"), name)
 
 
@@ -337,13 +351,13 @@ def classes(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFra
                 for c, s in zip(b.column(0).slice(first, len(found)).to_pylist(), found, strict=True):
                     if c not in seen and len(s) and class_key(s)[0] == c:  # not another text of a repeated doc_id
                         seen.add(c)
-                        rows.append((c, len(s), s.tobytes()))
+                        rows.append((c, len(s), s.tobytes(), signature(s)))
                 if rows:
                     col = list(zip(*rows, strict=True))
-                    yield pa.RecordBatch.from_arrays([pa.array(col[0], pa.int64()), pa.array(col[1], pa.int64()), pa.array(col[2], pa.binary())],
-                                                     ["c", "n", "set"])
+                    yield pa.RecordBatch.from_arrays([pa.array(col[0], pa.int64()), pa.array(col[1], pa.int64()), pa.array(col[2], pa.binary()),
+                                                      pa.array(col[3], pa.list_(pa.int64()))], ["c", "n", "set", "bits"])
 
-    sets = written(wanted.mapInArrow(whole, "c long, n long, set binary"), "jaccard-sets")
+    sets = written(wanted.mapInArrow(whole, "c long, n long, set binary, bits array<long>"), "jaccard-sets")
     links = spark.createDataFrame([], "a long, b long")
     label = written(alive.select("c", F.col("c").alias("k")), "jaccard-labels")
     was, before = None, lists.count()
