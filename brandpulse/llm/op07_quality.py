@@ -2,13 +2,17 @@ r"""Quality rules: line-first cleaning, with DataFrame functions only.
 
 Every line of a text is judged by itself: punctuation (a run of words must end a sentence
 somewhere), navigation (menu separators between most words) and boilerplate (known phrases,
-shouting, words wrapped in symbols, a line seen before in the text). Lines that fail are taken
-out, and a document that loses too much of its text that way is rejected. Base rules (too few
-words, most words in repeated three-word windows) reject a document before that.
+shouting, words wrapped in symbols). Lines that fail are taken out, and a document that loses too
+much of its text that way is rejected. Base rules (too few words, most words in repeated
+three-word windows) reject a document before that.
+
+A line with words that equals an earlier line of its text is taken out too. It isn't counted as
+lost, as its first place stays, and so enters no verdict (nor does it in ``OP7_SQL``).
 
 Nothing is shuffled: one pass over the table, all work inside the row. Repeated three-word
 windows are found by sorting the 64-bit hashes of a text's windows, so long texts stay at
-n log n; only texts that have a repeated window sort their positions.
+n log n; only texts that have a repeated window sort their positions. Repeated lines are found
+by sorting the lines of a text that has any.
 
 A null text counts as the empty one: no words, base rules fail, cleaned text empty. Lines
 without a word are kept as they are and judged by no rule.
@@ -97,9 +101,21 @@ def _repeat_words(d: DataFrame) -> DataFrame:
     return d.withColumn("_rep", F.coalesce(rep, F.lit(0).cast("long"))).drop("_h", "_s", "_two", "_p", "_q", "_same")
 
 
+def _seen_lines(d: DataFrame) -> DataFrame:
+    """Adds ``_seen``: whether each of ``_lines`` has words and equals an earlier one. Null if
+    ``_dup`` is 0."""
+    d = d.withColumn("_o", F.when(F.col("_dup") > 0, F.array_sort(
+        F.transform("_lines", lambda x, i: F.struct(x.alias("x"), i.alias("i"))))))
+    # equal lines are in order of their places
+    d = d.withColumn("_b", F.concat(F.array(F.lit(None).cast("string")), F.transform(F.slice("_o", 1, F.size("_lines") - 1), lambda p: p["x"])))
+    d = d.withColumn("_o", F.array_sort(F.zip_with("_o", "_b", lambda p, b: F.struct(
+        p["i"].alias("i"), (F.coalesce(p["x"] == b, F.lit(False)) & p["x"].rlike(WORD)).alias("again")))))
+    return d.withColumn("_seen", F.transform("_o", lambda p: p["again"])).drop("_o", "_b")
+
+
 def judge(docs: DataFrame) -> DataFrame:
     """``docs`` with the figures, ``base_failed``, ``lost`` (share of characters), ``kept`` and
-    ``cleaned`` (the text without failing lines).
+    ``cleaned`` (the text without failing lines and repeated ones).
 
     Column names of ``docs`` that clash with the new ones are replaced.
     """
@@ -111,13 +127,15 @@ def judge(docs: DataFrame) -> DataFrame:
     d = d.withColumn("_full", F.filter("_lines", lambda x: x.rlike(WORD)))
     d = d.withColumn("_fails", F.transform("_lines", lambda x: x.rlike(WORD) & line_fails(x)))
     d = d.withColumn("_gone", F.filter(F.zip_with("_lines", "_fails", lambda x, f: F.when(f, x)), lambda x: x.isNotNull()))
-    good = F.filter(F.zip_with("_lines", "_fails", lambda x, f: F.when(~f, x)), lambda x: x.isNotNull())
+    d = _seen_lines(d.withColumn("_dup", (F.size("_full") - F.size(F.array_distinct("_full"))).cast("long")))
+    d = d.withColumn("_out", F.coalesce(F.zip_with("_fails", "_seen", lambda f, s: f | s), "_fails"))
+    good = F.filter(F.zip_with("_lines", "_out", lambda x, o: F.when(~o, x)), lambda x: x.isNotNull())
     gone = F.aggregate("_gone", F.lit(0).cast("long"), lambda n, x: n + F.length(F.regexp_replace(x, SPACE, "")))
     base = (F.col("_n") < MIN_WORDS) | (F.col("_rep") * 100 > F.col("_n") * MAX_REPEAT_PCT)
     d = d.select(
         ROW, F.col("_n").alias("n_words"), F.col("_chars").alias("word_chars"),
         F.regexp_count("_text", F.lit("[" + SYMBOLS + "]")).cast("long").alias("n_symbols"),
-        (F.size("_full") - F.size(F.array_distinct("_full"))).cast("long").alias("n_dup_lines"),
+        F.col("_dup").alias("n_dup_lines"),
         F.col("_rep").alias("n_repeat_words"), base.alias("base_failed"),
         F.when(F.col("_chars") > 0, gone / F.col("_chars")).otherwise(0.0).alias("lost"),
         F.array_join(good, "\n").alias("cleaned"))
@@ -174,7 +192,7 @@ FROM f
 
 def kept_documents(docs: DataFrame) -> DataFrame:
     """The documents that the rules keep, with the columns of ``docs``: ``text`` without its
-    failing lines, ``n_chars`` its length. Extra columns pass through."""
+    failing and repeated lines, ``n_chars`` its length. Extra columns pass through."""
     tagged = judge(boxed(docs, "text")).withColumn("_id", F.monotonically_increasing_id())
     # a predicate on the id is not pushed down, and so doesn't take a second copy of all rules with it
     tagged = tagged.where("kept and _id >= 0")

@@ -155,6 +155,18 @@ def test_quality_lines(spark, edge, empty):
     assert Q.judge(empty).count() == 0 and Q.kept_documents(empty).columns == empty.columns
 
 
+def test_repeated_lines_are_taken_out(spark):
+    lines = [" ".join(f"w{i}x{k}" for k in range(8)) + "." for i in range(12)]
+    twice = [lines[0], "", lines[1], lines[0], "", *lines[2:], lines[1], lines[0], " "]
+    texts = ["\n".join(lines), "\n".join(twice), "\n".join([lines[0]] * 3)]
+    rows = Q.judge(spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")).orderBy("doc_id").collect()
+    assert [r.cleaned for r in rows] == [texts[0], "\n".join([lines[0], "", lines[1], "", *lines[2:], " "]), lines[0]]
+    assert [r.n_dup_lines for r in rows] == [0, 3, 2] and [r.kept for r in rows] == [True, True, False]
+    assert rows[1].lost == 0  # the first place of each stays
+    kept = Q.kept_documents(spark.createDataFrame([(1, texts[1])], "doc_id long, text string")).first()
+    assert kept.text == rows[1].cleaned
+
+
 def test_mixing_matches_sql(spark, sf):
     from oracle_check import duck, rows_of
     df = M.op9_mixing(spark, sf)
