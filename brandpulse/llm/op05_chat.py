@@ -17,8 +17,9 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from functools import reduce
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -43,44 +44,65 @@ def unescape(text: str) -> str:
     return re.sub(r"\\(.)", r"\1", text, flags=re.S)
 
 
-def paths(messages: DataFrame, branches: int = 1) -> DataFrame:
-    """``tree, leaf, id, depth, branch`` of the ``branches`` best root-to-leaf paths per tree.
+def _joined(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """A join by ``keys`` that takes nulls for equal; the keys stay as columns of ``left``."""
+    named = right.select(*[F.col(c).alias(f"_r_{c}") if c in keys else F.col(c) for c in right.columns])
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys])
+    return left.join(named, same, how).drop(*[f"_r_{k}" for k in keys])
 
-    ``messages`` has ``tree, id, parent, score``. A message whose parent is null or absent from
-    its tree is a root. Of messages with one id only the first by (parent, score) counts. A null
-    score counts as 0; equal branches are ranked by leaf id. Messages on a cycle, which no root
-    reaches, are on no path. ``depth`` counts from the root, ``branch`` from 1.
-    """
+
+def _numbered(messages: DataFrame) -> DataFrame:
+    """The messages that count, with ``no``: 1, or a number of its own in the tree if the id is null."""
     one = Window.partitionBy("tree", "id").orderBy(F.col("parent").asc_nulls_first(), F.col("score").desc_nulls_last())
-    m = (messages.select("tree", "id", "parent", F.coalesce(F.col("score").cast("double"), F.lit(0.0)).alias("score"))
-         .withColumn("_n", F.row_number().over(one)).where("_n = 1").drop("_n"))
-    known = m.select("tree", F.col("id").alias("parent"), F.lit(True).alias("_known"))
-    m = m.join(known, ["tree", "parent"], "left").select(
-        "tree", "id", F.when(F.col("_known"), F.col("parent")).alias("up"), F.lit(1).cast("long").alias("dist"), "score")
+    return messages.withColumn("no", F.row_number().over(one)).where("no = 1 or id is null")
+
+
+def _paths(messages: DataFrame, branches: int) -> DataFrame:
+    """:func:`paths` with ``no``, which tells messages without id apart."""
+    m = _numbered(messages.select("tree", "id", "parent", F.col("score").cast("double").alias("score"))).withColumn(
+        "score", F.coalesce("score", F.lit(0.0)))
+    known = m.where("id is not null").select("tree", F.col("id").alias("parent"), F.lit(True).alias("_known"))
+    m = _joined(m, known, ["tree", "parent"], "left").select(
+        "tree", "id", "no", F.when(F.col("_known"), F.col("parent")).alias("up"), F.lit(1).cast("long").alias("dist"), "score")
     step = written(m.withColumn("dist", F.when(F.col("up").isNull(), 0).otherwise(1).cast("long")), "chat-up0")
     rounds = [step]
     limit = max(1, step.count()).bit_length() + 1  # more rounds than any chain needs: what is left then is cyclic
     while len(rounds) <= limit and not step.where("up is not null").isEmpty():
-        far = step.select("tree", F.col("id").alias("up"), F.col("up").alias("_up"), F.col("dist").alias("_dist"), F.col("score").alias("_score"))
+        far = step.where("id is not null").select(
+            "tree", F.col("id").alias("up"), F.col("up").alias("_up"), F.col("dist").alias("_dist"), F.col("score").alias("_score"))
         # messages that have reached their root are not joined again
-        on = step.where("up is not null").join(far, ["tree", "up"]).select(
-            "tree", "id", F.col("_up").alias("up"), (F.col("dist") + F.col("_dist")).alias("dist"),
+        on = _joined(step.where("up is not null"), far, ["tree", "up"]).select(
+            "tree", "id", "no", F.col("_up").alias("up"), (F.col("dist") + F.col("_dist")).alias("dist"),
             (F.col("score") + F.col("_score")).alias("score"))
         step = written(step.where("up is null").select(on.columns).unionByName(on), f"chat-up{len(rounds)}")
         rounds.append(step)
     inner = rounds[0].where("up is not null").select("tree", F.col("up").alias("id")).distinct()
-    leaves = step.where("up is null").join(inner, ["tree", "id"], "left_anti")
-    best = Window.partitionBy("tree").orderBy((F.col("score") / (F.col("dist") + 1)).desc(), "id")
+    leaves = _joined(step.where("up is null"), inner, ["tree", "id"], "left_anti")
+    best = Window.partitionBy("tree").orderBy((F.col("score") / (F.col("dist") + 1)).desc(), "id", "no")
     chosen = leaves.withColumn("branch", F.row_number().over(best)).where(F.col("branch") <= branches)
-    on = written(chosen.select("tree", F.col("id").alias("leaf"), "id", F.col("dist").alias("depth"), "branch"), "chat-leaves")
+    on = written(chosen.select("tree", F.col("id").alias("leaf"), "id", "no", F.col("dist").alias("depth"), "branch"), "chat-leaves")
     for k in range(len(rounds) - 2, -1, -1):  # each row has the ancestor 2**k above, if there is one
-        jump = rounds[k].where("up is not null").select("tree", "id", "up")
-        above = on.join(jump, ["tree", "id"]).select(
-            "tree", "leaf", F.col("up").alias("id"), (F.col("depth") - (1 << k)).alias("depth"), "branch")
+        jump = rounds[k].where("up is not null").select("tree", "id", "no", "up")
+        above = _joined(on, jump, ["tree", "id", "no"]).select(
+            "tree", "leaf", F.col("up").alias("id"), F.lit(1).alias("no"), (F.col("depth") - (1 << k)).alias("depth"), "branch")
         on = written(on.unionByName(above), f"chat-path{k}")  # else the plan doubles with every round
     return on
 
 
+def paths(messages: DataFrame, branches: int = 1) -> DataFrame:
+    """``tree, leaf, id, depth, branch`` of the ``branches`` best root-to-leaf paths per tree.
+
+    ``messages`` has ``tree, id, parent, score``. A message whose parent is null or absent from
+    its tree is a root. Of messages with one id only the first by (parent, score) counts. A null
+    score counts as 0; equal branches are ranked by leaf id. Messages on a cycle, which no root
+    reaches, are on no path. ``depth`` counts from the root, ``branch`` from 1.
+
+    Messages whose tree is null are one tree. A message whose id is null is a message of its own
+    that nothing can answer, and so a leaf.
+    """
+    return _paths(messages, branches).drop("no")
+
+
 def format_paths(messages: DataFrame, branches: int = 1) -> DataFrame:
     """``tree, leaf, branch, formatted, loss`` for every chosen path of :func:`paths`.
 
@@ -88,11 +110,10 @@ def format_paths(messages: DataFrame, branches: int = 1) -> DataFrame:
     (start, end) code points of each assistant text in ``formatted``, in order.
     """
     role, text = escape(F.coalesce("role", F.lit(""))), escape(F.coalesce("text", F.lit("")))
-    first = Window.partitionBy("tree", "id").orderBy(F.col("parent").asc_nulls_first(), F.col("score").desc_nulls_last())
-    turns = (messages.withColumn("_n", F.row_number().over(first)).where("_n = 1")
-             .select("tree", "id", role.alias("_role"), text.alias("_text"), F.coalesce("role", F.lit("")).alias("_as")))
+    turns = _numbered(messages.withColumn("score", F.col("score").cast("double"))).select(
+        "tree", "id", "no", role.alias("_role"), text.alias("_text"), F.coalesce("role", F.lit("")).alias("_as"))
     head = F.concat(F.lit(TURN), F.col("_role"), F.lit(TEXT))
-    rows = paths(messages, branches).join(turns, ["tree", "id"]).select(
+    rows = _joined(_paths(messages, branches), turns, ["tree", "id", "no"]).select(
         "tree", "leaf", "branch", "depth", head.alias("head"), F.col("_text").alias("text"), (F.col("_as") == LEARNED).alias("learn"))
     g = rows.groupBy("tree", "leaf", "branch").agg(F.sort_array(F.collect_list(F.struct("depth", "head", "text", "learn"))).alias("_t"))
     g = g.withColumn("formatted", F.array_join(F.transform("_t", lambda x: F.concat(x["head"], x["text"], F.lit(END))), ""))
@@ -116,16 +137,19 @@ def parse(formatted: str) -> list[tuple[str, str]]:
     return turns
 
 
-def _digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         rows = []
-        for tree, s, spans in zip(b["tree"], b["formatted"], b["loss"], strict=True):
+        for s, spans in zip(b.column("formatted").to_pylist(), b.column("loss").to_pylist(), strict=True):
             turns = parse(s)
             whole = "".join(f"{role}\n{text}\n" for role, text in turns)
             loss = "".join(unescape(s[x["start"]:x["end"]]) for x in spans)
-            rows.append((tree, len(turns), hashlib.sha256(whole.encode()).hexdigest(), len(loss),
-                         hashlib.sha256(loss.encode()).hexdigest(), len(s)))
-        yield pd.DataFrame(rows, columns=["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"])
+            rows.append((len(turns), hashlib.sha256(whole.encode()).hexdigest(), len(loss), hashlib.sha256(loss.encode()).hexdigest(), len(s)))
+        if rows:  # ids pass as they are: a null would turn them into floats in pandas
+            n, turns_sha, chars, loss_sha, size = zip(*rows, strict=True)
+            yield pa.RecordBatch.from_arrays(
+                [b.column("tree"), pa.array(n, pa.int64()), pa.array(turns_sha), pa.array(chars, pa.int64()), pa.array(loss_sha), pa.array(size, pa.int64())],
+                ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"])
 
 
 def op5_chat(spark, sf_dir: str) -> DataFrame:
@@ -140,7 +164,7 @@ def op5_chat(spark, sf_dir: str) -> DataFrame:
     path = shared_dir(spark, "chat")
     format_paths(messages).write.parquet(path)
     back = spark.read.schema("tree long, leaf long, branch int, formatted string, loss array<struct<start:bigint,end:bigint>>").parquet(path)
-    return back.select("tree", "formatted", "loss").mapInPandas(
+    return back.select("tree", "formatted", "loss").mapInArrow(
         _digests, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
 
 

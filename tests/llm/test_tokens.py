@@ -193,6 +193,30 @@ def test_chat_edges(spark):
     assert C.format_paths(spark.createDataFrame([], TREE)).count() == 0
 
 
+def test_null_trees_and_ids(spark):
+    rows = [(None, 1, None, "user", "q", 0.0), (None, 2, 1, "assistant", "a", 0.0), (None, 3, 2, "user", "b", 0.0),
+            (1, 1, None, "user", "root", 0.0), (1, None, 1, "assistant", "x", 1.0), (1, None, 1, "assistant", "y", 2.0),
+            (1, None, None, "user", "alone", 0.0)]
+    out = sorted(([t for _, t in C.parse(r.formatted)], r.tree, r.leaf) for r in C.format_paths(spark.createDataFrame(rows, TREE), 9).collect())
+    assert out == [(["alone"], 1, None), (["q", "a", "b"], None, 3), (["root", "x"], 1, None), (["root", "y"], 1, None)]
+    assert C.paths(spark.createDataFrame(rows, TREE), 9).columns == ["tree", "leaf", "id", "depth", "branch"]
+
+
+def test_chat_query_with_a_null_conversation(spark, tmp_path):
+    import duckdb
+    from oracle_check import rows_of
+    big = (1 << 60) + 1
+    rows = [(None, 0, "user", "hi"), (None, 1, "assistant", "there"), (None, 2, "user", "bye"), (big, 0, "user", "q"), (big, 1, "assistant", "a")]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").coalesce(1).write.parquet(f"{tmp_path}/conversations.parquet")
+    df = C.op5_chat(spark, str(tmp_path))
+    a, _ = rows_of(df.columns, [tuple(r) for r in df.collect()], 9)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM read_parquet('{tmp_path}/conversations.parquet/*.parquet')")
+    r = con.execute(C.OP5_SQL)
+    b, _ = rows_of([d[0] for d in r.description], r.fetchall(), 9)
+    assert len(a) == 3 and a == b
+
+
 def test_chat_query_matches_sql(spark, sf):
     from oracle_check import duck, rows_of
     df = C.op5_chat(spark, sf)
