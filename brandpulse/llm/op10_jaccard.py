@@ -30,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from brandpulse.llm.common import ROW, boxed, documents, partitions, unboxed, written
@@ -108,10 +108,10 @@ def _meta(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for first, sets in shingle_sets(b.column(1)):
             keys = [class_key(s) for s in sets]
             yield pa.RecordBatch.from_arrays(
-                [b.column(0).slice(first, len(sets)), pa.array([len(s) for s in sets], pa.int64()),
+                [b.column(0).slice(first, len(sets)), b.column(2).slice(first, len(sets)), pa.array([len(s) for s in sets], pa.int64()),
                  pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64()),
                  pa.array([_signed(s[s % np.uint64(SAMPLE) == 0]) for s in sets], pa.list_(pa.int64()))],
-                ["doc_id", "n", "c", "c2", "counted"])
+                ["doc_id", "t", "n", "c", "c2", "counted"])
     trim()
 
 
@@ -321,12 +321,18 @@ def crossing(lists: DataFrame, alive: DataFrame, count: int) -> DataFrame:
     return x.join(y, "token").where("a < b and ka <> kb").select("a", "b").distinct()
 
 
+def text_key() -> Column:
+    """Tells the texts of one doc_id apart."""
+    return F.xxhash64(F.coalesce("text", F.lit("")))
+
+
 def classes(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
-    """(``doc_id, n, c, c2`` per document, ``c, c2, n, first, k`` per class): ``first`` is the
-    smallest doc_id of a class; classes of one component have one ``k``."""
+    """(``doc_id, t, n, c, c2`` per document, ``c, c2, n, first, k`` per class): ``t`` is
+    :func:`text_key`, ``first`` the smallest doc_id of a class; classes of one component have one
+    ``k``."""
     spark = docs.sparkSession
-    src = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    meta = written(src.mapInArrow(_meta, f"doc_id {src.schema['doc_id'].dataType.simpleString()}, n long, c long, c2 long, counted array<long>"),
+    src = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), text_key().alias("t"))
+    meta = written(src.mapInArrow(_meta, f"doc_id {src.schema['doc_id'].dataType.simpleString()}, t long, n long, c long, c2 long, counted array<long>"),
                    "jaccard-meta")
     kinds = written(meta.groupBy("c", "c2", "n").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies")), "jaccard-classes")
     table = ratios(meta.where("n > 0"), percent)
@@ -393,7 +399,7 @@ def classes(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFra
         if last:
             break
     kinds = kinds.join(side(label, count), "c", "left").withColumn("k", F.coalesce("k", "c"))
-    return meta.select("doc_id", "n", "c", "c2"), written(kinds, "jaccard-labelled")
+    return meta.select("doc_id", "t", "n", "c", "c2"), written(kinds, "jaccard-labelled")
 
 
 def joined(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -420,13 +426,21 @@ def op10_ngram_join(spark, sf_dir: str) -> DataFrame:
 def kept_documents(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """One document of every component: the one of smallest doc_id, with the columns of ``docs``.
 
-    Texts without a word are components of their own and stay. Of rows that repeat a doc_id the
-    one of the smallest text stays. Rows without doc_id stay.
+    Texts without a word are components of their own and stay, every row of them. Rows that repeat
+    a doc_id are told apart by their texts: each goes with its own component, and of those in one
+    component the one of the smallest text stays. Rows without doc_id stay.
     """
     named = docs.where("doc_id is not null")
-    found = joined(named.select("doc_id", "text"), percent).where("doc_id = component_id").select("doc_id")
-    keep = written(found.groupBy("doc_id").agg(F.count("*").alias("_rows")), "jaccard-keep")
-    rows = boxed(named, "doc_id", "text").join(side(keep, keep.count()), "doc_id")
+    meta, kinds = classes(named.select("doc_id", "text"), percent)
+    full = kinds.where("n > 0").select("c", "c2", "n", "k", F.col("first").alias("doc_id"))
+    least = written(full.groupBy("k").agg(F.min("doc_id").alias("doc_id")), "jaccard-least")
+    # a class that has the component's smallest doc_id has it as its own smallest
+    best = full.join(least, ["k", "doc_id"])
+    found = meta.where("n > 0").join(best, ["doc_id", "c", "c2", "n"]).groupBy("doc_id", "t", "k").agg(F.count("*").alias("_rows"))
+    found = found.withColumn("_rows", F.sum("_rows").over(Window.partitionBy("k")))
+    blank = meta.where("n = 0").select("doc_id", "t", F.lit(None).cast("long").alias("k"), F.lit(1).cast("long").alias("_rows")).distinct()
+    keep = written(found.unionByName(blank), "jaccard-keep")
+    rows = boxed(named, F.col("doc_id"), text_key().alias("t")).join(side(keep, keep.count()), ["doc_id", "t"])
     once = unboxed(rows.where("_rows = 1"), docs.columns)
-    several = rows.where("_rows > 1").groupBy("doc_id").agg(F.min_by(F.col(ROW), F.struct("text", F.to_json(ROW))).alias(ROW))
+    several = rows.where("_rows > 1").groupBy("k").agg(F.min_by(F.col(ROW), F.struct(F.col(ROW)["text"], F.to_json(ROW))).alias(ROW))
     return once.unionByName(unboxed(several, docs.columns)).unionByName(docs.where("doc_id is null"))

@@ -198,6 +198,16 @@ def test_join_edges(spark, edge, empty):
     assert J.kept_documents(odd).count() == 3
 
 
+def test_rows_of_one_doc_id_go_with_their_own_components(spark):
+    base = " ".join(f"w{i}" for i in range(80))
+    rows = [(1, base), (2, base + " more"), (2, "another text that links with nothing"),
+            (5, "one clean text that stands by itself"), (5, "some other text with words of its own"), (5, None), (5, " "),
+            (6, base.replace("w0 ", "v0 ")), (7, "z y x w v u t"), (7, "z y x w v u t"), (8, "Z y x w v u t"), (9, "lone"), (9, "Lone")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = [rows[i] for i in (0, 2, 3, 4, 5, 6, 8, 12)]
+    assert Counter((r.doc_id, r.text) for r in J.kept_documents(df).collect()) == Counter(want)
+
+
 def test_join_query(spark, sf):
     texts = {r.doc_id: r.text for r in documents(spark, sf).collect()}
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in J.op10_ngram_join(spark, sf).collect()}
