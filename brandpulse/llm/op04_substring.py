@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from brandpulse.llm.common import ROW, boxed, documents, unboxed, written
-from brandpulse.llm.words import _power, chunks, mix, runs, span_hashes, trim
+from brandpulse.llm.words import Runs, chunks, runs, span_hashes, trim
 
 LENGTH = 35
 SEED = 8
@@ -43,33 +43,20 @@ VARIANTS = 2_000
 SHARD_WORDS = 60_000
 #: Bytes of text that a task works on at once.
 CHUNK = 1 << 20
-#: Join sides of at most so many narrow rows are broadcast; larger ones are shuffled.
-SMALL_ROWS = 1_500_000
 _POS = np.uint64((1 << 31) - 1)
 
 
-def _side(df: DataFrame, rows: int) -> DataFrame:
-    return F.broadcast(df) if rows <= SMALL_ROWS else df
-
-
-def _sums(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    power, inverse = _power(len(h) + 1)
-    sums = np.zeros(len(h) + 1, np.uint64)
-    np.cumsum(h * power[:len(h)], out=sums[1:])
-    return sums, inverse
-
-
 def regions(h: np.ndarray, before: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
     """The regions of texts whose word hashes stand in a row: seed, content hash, text, first
     word in the text, and number of windows."""
-    sums, inverse = _sums(h)
+    every = Runs(h)
     n = np.maximum(np.diff(before) - length + 1, 0)
     text = np.repeat(np.arange(len(n)), n)
     starts = np.arange(int(n.sum())) + np.repeat(before[:-1] - (np.cumsum(n) - n), n)
     if not len(starts):
         none = np.zeros(0, np.int64)
         return none.astype(np.uint64), none.astype(np.uint64), none, none, none
-    gram = mix((sums[SEED:] - sums[:-SEED]) * inverse[:len(h) - SEED + 1])
+    gram = every.every(SEED)
     least = (gram & ~_POS) | np.arange(len(gram), dtype=np.uint64)
     have, want = 1, length - SEED + 1
     while have < want:
@@ -82,7 +69,7 @@ def regions(h: np.ndarray, before: np.ndarray, length: int) -> tuple[np.ndarray,
     first = np.flatnonzero(new)
     m = np.diff(np.append(first, len(seed)))
     a = starts[first]
-    content = mix((sums[a + m + length - 1] - sums[a]) * inverse[a] + m.astype(np.uint64))
+    content = every.of(a, m + length - 1)
     return gram[seed[first]], content, text[first], a - before[text[first]], m
 
 
@@ -237,8 +224,7 @@ def _shard(length: int):
                 rows += [(g, r, a, b, None, None) for a, b in _joined(list(machine.repeats(s, length)), length)]
         for (g, r), (n, hot, words) in one.items():
             if hot:
-                sums, inverse = _sums(words)
-                w = mix((sums[length:] - sums[:-length]) * inverse[:len(words) - length + 1]).view(np.int64)
+                w = Runs(words).every(length).view(np.int64)
                 rows += [(g, r, s, s + length, int(x), n) for s, x in enumerate(w)]
         col = list(zip(*rows, strict=True)) or [()] * 6
         out = pa.table({k: pa.array(c, v) for c, (k, v) in zip(col, _DETAIL.items(), strict=True)})
@@ -257,15 +243,15 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH) -> DataFrame:
         F.count("*").alias("n"), F.min("r").alias("lo"), F.max("r").alias("hi")).where("n > 1").select(
         "g", (F.col("lo") != F.col("hi")).alias("multi")), "substring-seeds")
     places = texts.select("k", "size", "text").mapInArrow(_places(length), "k long, size long, g long, r long, a int, m int")
-    hits = written(places.join(_side(grams, grams.count()), "g"), "substring-places")
+    hits = written(places.join(grams, "g"), "substring-places")
     kinds = written(hits.where("multi").groupBy("g", "r").agg(F.count("*").alias("n"), F.min(F.struct("k", "size", "a", "m")).alias("at")), "substring-kinds")
     variants = written(kinds.groupBy("g").agg((F.count("*") > VARIANTS).alias("hot")), "substring-variants")
     shards = (kinds.agg(F.sum(F.col("at.m") + length)).first()[0] or 0) // SHARD_WORDS + 1
-    told = kinds.join(_side(variants, variants.count()), "g")
+    told = kinds.join(variants, "g")
     shard = F.pmod(F.when(F.col("hot"), F.xxhash64("g", "r")).otherwise(F.xxhash64("g")), F.lit(shards)).cast("int")
     wanted = written(told.groupBy(F.col("at.k").alias("k"), F.col("at.size").alias("size")).agg(F.collect_list(
         F.struct(shard.alias("shard"), "g", "r", F.col("at.a").alias("a"), F.col("at.m").alias("m"), "n", "hot")).alias("want")), "substring-wanted")
-    rows = texts.select("k", "size", "text").join(_side(wanted, wanted.count() * 8), ["k", "size"]).select("k", "size", "text", "want")
+    rows = texts.select("k", "size", "text").join(wanted, ["k", "size"]).select("k", "size", "text", "want")
     parts = rows.mapInArrow(_contents(length), "shard int, g long, r long, n long, hot boolean, words binary")
     detail = written(parts.groupBy("shard").applyInArrow(_shard(length), "g long, r long, start int, end int, w long, n long"), "substring-detail")
     hot = detail.where("w is not null")
@@ -289,7 +275,7 @@ def removed(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     of that name is replaced."""
     keyed = _text_key(docs)
     spans = repeated_spans(keyed.select("k", "size", "text"), length)
-    joined = keyed.select(ROW, "k", "size").join(_side(spans, spans.count() * 4), ["k", "size"], "left")
+    joined = keyed.select(ROW, "k", "size").join(spans, ["k", "size"], "left")
     return unboxed(joined, docs.columns, "spans")
 
 

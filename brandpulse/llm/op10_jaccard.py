@@ -1,31 +1,35 @@
 """N-gram Jaccard self-join by adaptive multi-match prefixes.
 
 A document's set is its distinct five-word shingles (64-bit hashes); documents of equal sets are
-one class. All sets are ordered by hash. Two sets of Jaccard similarity s share at least
-s * (size of the larger) shingles, so their prefixes of ``n - ceil(s * n) + l`` shingles share
-``l`` or more. A longer prefix costs more rows, but asks for more shared shingles, and so spares
-candidates that share only a passage. How much longer is chosen per size of set, by the estimated
-cost of rows and of surviving candidates; the estimate uses every class's shingles whose hash is
-divisible by ``SAMPLE``, all of which are counted over the whole corpus.
-
-1. One pass over the texts gives sizes, class keys and the counted shingles.
-2. A second pass emits prefixes, packed per task and bucket of shingles, each class once per task.
-   A bucket's task finds the shingles that two classes share. A class survives if it has as many
-   shared prefix shingles as any partner would ask for.
-3. For each shared shingle one class is the pivot and is paired with the others; pairs are
-   verified on whole sets, and what links joins a component. Only shingles whose classes are
-   still in several components go on, to another pivot, or to all pairs across components once
-   these are no more than a few per row (so a group of near copies takes pairs in proportion to
-   its size, and no link between different texts is lost: every pair that shares enough prefix
-   shingles is verified or already in one component).
-
-Pairs are never expanded within a class or a component. Whole sets exist for surviving classes
-only. Everything that later steps read is written to the shared folder.
+one class. All sets are ordered by how many classes hold a shingle, rarest first. Two sets that
+link share at least ``shared(n, m)`` shingles, so the first one they share stands early in both
+(else too little is left behind it), and their prefixes of ``n - ceil(s * n) + l`` shingles share
+``l`` or more.
+
+1. One pass over the texts gives sizes and class keys.
+2. A second pass emits every class's shingles (48 bits of the hash), packed per bucket of hashes,
+   each class once per flush. A bucket's task counts the classes of each shingle and returns only
+   what two classes share, with the count. Buckets hold a bounded number of shingles; a shingle
+   that very many classes of one flush hold is dealt by class as well, counts as the most frequent
+   of all, and leaves a mark in its own bucket, so that all its holders order it alike.
+3. What a class shares comes together by class. Shingles that no other class has come first in its
+   order, so most classes end here: their prefix holds nothing that is shared.
+4. Each remaining class chooses its prefix by estimated cost: a longer one is more to move for
+   every candidate, but asks for more shared shingles, and so spares whole sets of candidates that
+   share only a passage.
+5. For each shared shingle, the class that holds it earliest is the pivot and is paired with the
+   others. What links joins a component. Then classes of different components are paired, wherever a
+   shingle can be the first one of a link. So a group of near copies takes pairs in
+   proportion to its size, and no link between different texts is lost.
+6. A pair's prefixes must share as many shingles as their lengths ask for; those that do are verified
+   on whole sets.
+
+Pairs are never expanded within a class or a component. Everything that later steps read is written
+to the shared folder. Joins are left to the planner, which knows the sizes of written tables.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,27 +37,26 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from brandpulse.llm.common import ROW, boxed, documents, partitions, unboxed, written
+from brandpulse.llm.common import ROW, boxed, documents, unboxed, workers_import, written
 from brandpulse.llm.words import chunks, mix, runs, span_hashes, trim
 
 SHINGLE = 5
 PERCENT = 75
-SAMPLE = 32
 #: Shares of a set by which its prefix may be longer than for one match.
-RATIOS = (0.0, 1 / 16, 1 / 8, 3 / 16, 1 / 4)
-#: Sets below this size emit all their shingles.
-WHOLE = 128
-#: Verifying one shingle of a candidate costs as much as emitting so many.
+RATIOS = (0.0, 1 / 16, 1 / 8, 1 / 4)
+#: Verifying one shingle of a whole set costs as much as moving so many of a prefix.
 VERIFY_COST = 2.0
-#: Sides of a join of at most so many narrow rows are broadcast; larger ones are shuffled.
-SMALL_ROWS = 400_000
-PIVOT_ROUNDS = 6
-#: Bits of a set's signature.
-BITS = 4096
-#: Prefix shingles that a task packs at once.
-HELD = 500_000
+#: Shingles that a task packs at once, and that a bucket holds on average.
+HELD = 1_000_000
+BUCKET = 2_000_000
+#: A shingle of more than so many classes of one flush is dealt by class too.
+HOT = 256
 #: Bytes of text that a task works on at once.
 CHUNK = 1 << 20
+#: Bits of a shingle's hash that are kept; counts stand above them.
+BITS = 48
+_MOST = (1 << (64 - BITS)) - 1
+_LOW = np.uint64((1 << BITS) - 1)
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 32
@@ -93,25 +96,14 @@ def class_key(s: np.ndarray) -> tuple[int, int]:
     return int(a), int(b)
 
 
-def signature(s: np.ndarray) -> np.ndarray:
-    """``BITS`` bits, each whether an odd number of the set's shingles falls on it."""
-    odd = (np.bincount((s % np.uint64(BITS)).astype(np.int64), minlength=BITS) & 1).astype(np.uint8)
-    return np.packbits(odd).view(np.int64)
-
-
-def _signed(x: np.ndarray) -> np.ndarray:
-    return np.ascontiguousarray(x, np.uint64).view(np.int64)
-
-
 def _meta(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         for first, sets in shingle_sets(b.column(1)):
             keys = [class_key(s) for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0).slice(first, len(sets)), b.column(2).slice(first, len(sets)), pa.array([len(s) for s in sets], pa.int64()),
-                 pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64()),
-                 pa.array([_signed(s[s % np.uint64(SAMPLE) == 0]) for s in sets], pa.list_(pa.int64()))],
-                ["doc_id", "t", "n", "c", "c2", "counted"])
+                 pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64())],
+                ["doc_id", "t", "n", "c", "c2"])
     trim()
 
 
@@ -120,100 +112,95 @@ def overlap(n: int, percent: int) -> int:
     return -(-n * percent // 100)
 
 
-def rest(n: int, percent: int, ratio: float) -> int:
-    """Shingles of a set of n behind its prefix, which is as long as one match needs and
-    ``ratio * n`` more."""
-    low = overlap(n, percent)
-    return low - min(1 + int(n * ratio), low)
+def shared(n, m, percent: int):
+    """Shingles that sets of n and m share at least if they link."""
+    return -(-(n + m) * percent // (100 + percent))
 
 
-def matches(n: int, m: int, rest_n: int, rest_m: int, percent: int) -> int:
+def matches(n, m, rest_n, rest_m, percent: int):
     """Shared prefix shingles of two sets that link, at least. What they share lies in both
     prefixes, or behind the prefix that ends first."""
-    return -(-(n + m) * percent // (100 + percent)) - max(rest_n, rest_m)
+    return shared(n, m, percent) - np.maximum(rest_n, rest_m)
 
 
-def ratios(meta: DataFrame, percent: int) -> np.ndarray:
-    """The cheapest of ``RATIOS`` for sets of 2**i to 2**(i + 1) - 1 shingles, by i.
+# ------------------------------------------------------------------------------ shared shingles
+def _packed(x: np.ndarray) -> bytes:
+    """An array's bytes, those of equal weight together, compressed."""
+    planes = np.ascontiguousarray(x).view(np.uint8).reshape(len(x), x.itemsize).T.tobytes()
+    return bytes([x.itemsize]) + pa.compress(planes, "zstd", asbytes=True)
+
+
+def _unpacked(raw: bytes, n: int) -> np.ndarray:
+    size = raw[0]
+    flat = np.frombuffer(pa.decompress(raw[1:], n * size, "zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(flat.reshape(size, n).T).view(f"<u{size}").ravel()
 
-    A class costs the shingles it emits, and the verification of its candidates, as many as its
-    shared shingles have classes on average, if so large a share of its shingles would pass the
-    matches asked for. Sets below ``WHOLE`` shingles emit all of them: they are a small part of
-    any corpus, have few counted shingles, and are cheap to keep apart this way.
-    """
-    one = meta.select("c", "n", F.explode("counted").alias("t")).distinct()
-    shared = one.groupBy("t").agg(F.count("*").alias("d")).where("d > 1")
-    per = one.join(shared, "t", "left").groupBy("c", "n").agg(
-        F.count("*").alias("k"), F.count("d").alias("s"), F.sum(F.col("d") - 1).alias("d"))
-    size = F.floor(F.log2(F.col("n") + 0.5)).cast("int")
-    near = F.when(F.col("s") > 0, F.floor(F.log2(F.col("d") / F.col("s")))).otherwise(-1).cast("int")
-    table = per.groupBy(size.alias("i"), F.round(F.col("s") / F.col("k") * 16).cast("int").alias("f"), near.alias("l")).agg(
-        F.count("*").alias("m"), F.sum("n").alias("n")).collect()  # sizes by 17 shares by lengths of lists
-    cost = np.zeros((64, len(RATIOS)))
-    for r in table:
-        n = r.n / r.m
-        for j, ratio in enumerate(RATIOS):
-            behind = rest(int(n), percent, ratio)
-            passes = r.l >= 0 and r.f / 16 * (n - behind) >= matches(int(n), int(n), behind, behind, percent)
-            cost[r.i, j] += r.n * (1 - behind / n) + (VERIFY_COST * r.n * 2 ** r.l if passes else 0)
-    best = np.array(RATIOS)[cost.argmin(1)]
-    best[:int(math.log2(WHOLE))] = 1.0
-    return best
 
+def _narrow(x: np.ndarray) -> np.ndarray:
+    top = int(x.max()) if len(x) else 0
+    return x.astype(np.uint16 if top < 1 << 16 else np.uint32 if top < 1 << 32 else np.uint64)
 
-def _bounds(n: int, percent: int, table: np.ndarray) -> tuple[int, int]:
-    """What is behind the prefix of a set of n, and the least of :func:`matches` over all sizes
-    that it can link to."""
-    def behind(m: int) -> int:
-        return rest(m, percent, table[int(math.log2(m))])
 
-    low, high, own = overlap(n, percent), n * 100 // percent, behind(n)
-    # between powers of two the bound is concave in the other size but for rounding, so it is least at an end
-    ends = {low, n, high, *(m for i in range(64) for m in (2 ** i - 1, 2 ** i) if low <= m <= high)}
-    return own, max(1, min(matches(n, m, own, behind(m), percent) for m in ends) - 2)
+def _blocks(sets: list[np.ndarray], keys: np.ndarray, buckets: int) -> Iterator[tuple]:
+    """``bucket, hot, n, tokens, own, classes, sizes`` of one flush. A class of size 0 marks the
+    hot shingles in their own buckets."""
+    sizes = np.array([len(s) for s in sets] + [0], np.uint32)
+    keys = np.append(keys, np.int64(0))
+    own = np.repeat(np.arange(len(sets), dtype=np.int64), sizes[:-1])
+    tokens = np.concatenate(sets) >> np.uint64(64 - BITS)
+    order = np.argsort(tokens, kind="stable")
+    tokens, own = tokens[order], own[order]
+    first = np.flatnonzero(np.append(True, tokens[1:] != tokens[:-1]))
+    times = np.diff(np.append(first, len(tokens)))
+    often = np.repeat(times > HOT, times)
+    marks = tokens[first[times > HOT]]
+    plain, of = np.append(tokens[~often], marks), np.append(own[~often], np.full(len(marks), len(sets)))
+    order = np.argsort(plain, kind="stable")
+    scale = np.uint64(buckets)
 
+    def dealt(hot, tok, of, bucket):
+        cuts = np.flatnonzero(np.diff(bucket.astype(np.int64), prepend=-1, append=-1))
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            some, back = np.unique(of[a:b], return_inverse=True)
+            yield (int(bucket[a]), hot, int(b - a), _packed(_narrow(np.diff(tok[a:b], prepend=np.uint64(0)))), _packed(_narrow(back.astype(np.uint64))),
+                   keys[some].tobytes(), _packed(sizes[some]))
 
-def _emit(buckets: int, percent: int, table: np.ndarray):
-    shift = np.uint64(64 - 32)
+    plain, of = plain[order], of[order]
+    yield from dealt(False, plain, of, (plain >> np.uint64(BITS - 32)) * scale >> np.uint64(32))
+    tok, of = tokens[often], own[often]
+    bucket = (mix(tok ^ keys[of].view(np.uint64)) >> np.uint64(32)) * scale >> np.uint64(32)
+    order = np.lexsort((tok, bucket))
+    yield from dealt(True, tok[order], of[order], bucket[order])
 
+
+_BLOCK = "bucket int, hot boolean, n int, tokens binary, own binary, classes binary, sizes binary"
+
+
+def _emit(buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        held: list[tuple[np.ndarray, int, int, int, int]] = []
+        held: list[np.ndarray] = []
+        keys: list[int] = []
         size = 0
 
         def out():
-            tokens = np.concatenate([x[0] for x in held])
-            own = np.repeat(np.arange(len(held), dtype=np.uint32), [len(x[0]) for x in held])
-            # multiply-shift of mixed bits: prefixes hold low hashes, so the value itself isn't spread
-            bucket = ((mix(tokens) >> shift) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
-            order = np.argsort(bucket, kind="stable")
-            tokens, own, bucket = tokens[order], own[order], bucket[order]
-            cuts = np.flatnonzero(np.diff(bucket, prepend=-1, append=-1))
-            keys = np.array([x[1] for x in held], np.int64)
-            facts = np.array([x[2:] for x in held], np.uint32)  # ask, size, what is behind the prefix
-            rows = []
-            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-                of, n = np.unique(own[a:b], return_counts=True)
-                rows.append((int(bucket[a]), tokens[a:b].tobytes(), keys[of].tobytes(), n.astype(np.uint32).tobytes(), facts[of].tobytes()))
-            col = list(zip(*rows, strict=True))
-            return pa.RecordBatch.from_arrays([pa.array(col[0], pa.int32()), *[pa.array(c, pa.binary()) for c in col[1:]]],
-                                              ["bucket", "tokens", "keys", "counts", "facts"])
+            col = list(zip(*_blocks(held, np.array(keys, np.int64), buckets), strict=True))
+            types = [pa.int32(), pa.bool_(), pa.int32(), *[pa.binary()] * 4]
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(col, types, strict=True)], [x.split()[0] for x in _BLOCK.split(", ")])
 
         for b in batches:
             for _, sets in shingle_sets(b.column(0)):
                 for s in sets:
-                    if not len(s):
-                        continue
                     key = class_key(s)[0]
-                    if key in seen:
+                    if not len(s) or key in seen:
                         continue
                     seen.add(key)
-                    behind, ask = _bounds(len(s), percent, table)
-                    held.append((s[:len(s) - behind].copy(), key, ask, len(s), behind))
-                    size += len(s) - behind
+                    held.append(s)
+                    keys.append(key)
+                    size += len(s)
                     if size > HELD:
                         yield out()
-                        held, size = [], 0
+                        held, keys, size = [], [], 0
         if held:
             yield out()
         trim()
@@ -221,30 +208,100 @@ def _emit(buckets: int, percent: int, table: np.ndarray):
 
 
 def _shared(t: pa.Table) -> pa.Table:
-    """``token, c, ask, n, rest`` of every shingle of a bucket that two classes have."""
-    tokens, keys, facts = [], [], []
-    for tok, key, count, fact in zip(*[t.column(c).to_pylist() for c in ("tokens", "keys", "counts", "facts")], strict=True):
-        n = np.frombuffer(count, np.uint32)
-        tokens.append(np.frombuffer(tok, np.uint64))
-        keys.append(np.repeat(np.frombuffer(key, np.int64), n))
-        facts.append(np.repeat(np.frombuffer(fact, np.uint32).reshape(-1, 3), n, 0))
-    tok, key, fact = np.concatenate(tokens), np.concatenate(keys), np.concatenate(facts)
-    order = np.lexsort((key, tok))
-    tok, key = tok[order], key[order]
-    new = np.ones(len(tok), bool)
-    new[1:] = (tok[1:] != tok[:-1]) | (key[1:] != key[:-1])
-    tok, key, order = tok[new], key[new], order[new]
-    same = tok[1:] == tok[:-1]
-    keep = np.zeros(len(tok), bool)
-    keep[1:] |= same
-    keep[:-1] |= same
-    fact = fact[order[keep]].astype(np.int64)
-    return pa.table({"token": pa.array(_signed(tok[keep])), "c": pa.array(key[keep])} | {k: pa.array(fact[:, i]) for i, k in enumerate(("ask", "n", "rest"))})
-
-
-def side(df: DataFrame, rows: int) -> DataFrame:
-    """A join side of ``rows`` narrow rows: broadcast if these are few, else shuffled."""
-    return F.broadcast(df) if rows <= SMALL_ROWS else df
+    """``c, n, x`` of a bucket: the shingles of each class that another class has too, the number of
+    their classes above them."""
+    rows = list(zip(*[t.column(c).to_pylist() for c in ("hot", "n", "tokens", "own", "classes", "sizes")], strict=True))
+    of, n = [], []
+    for _, _, _, _, k, z in rows:
+        of.append(np.frombuffer(k, np.int64))
+        n.append(_unpacked(z, len(of[-1])))
+    sizes = np.concatenate(n)
+    classes, first, back = np.unique(np.concatenate(of), return_index=True, return_inverse=True)
+    sizes = sizes[first].astype(np.int64)
+    upto = np.cumsum([len(x) for x in of])
+    found_c, found_x = [], []
+    for hot in (False, True):
+        tok, cls = [], []
+        for (is_hot, m, d, o, _, _), end, k in zip(rows, upto, of, strict=True):
+            if is_hot == hot:
+                tok.append(np.cumsum(_unpacked(d, m).astype(np.uint64), dtype=np.uint64))
+                cls.append(back[end - len(k):end][_unpacked(o, m)].astype(np.int32))
+        if not tok:
+            continue
+        tok, cls = np.concatenate(tok), np.concatenate(cls)
+        order = np.argsort(tok, kind="stable")
+        tok, cls = tok[order], cls[order]
+        if not hot:
+            same = tok[1:] == tok[:-1]
+            keep = np.append(same, False) | np.append(False, same)
+            tok, cls = tok[keep], cls[keep]
+        order = np.lexsort((cls, tok))
+        tok, cls = tok[order], cls[order]
+        new = np.ones(len(tok), bool)
+        new[1:] = (tok[1:] != tok[:-1]) | (cls[1:] != cls[:-1])
+        tok, cls = tok[new], cls[new]
+        first = np.flatnonzero(np.append(True, tok[1:] != tok[:-1])) if len(tok) else np.zeros(0, np.int64)
+        times = np.diff(np.append(first, len(tok)))
+        if hot:
+            count = np.full(len(tok), _MOST)
+        else:
+            marked = np.logical_or.reduceat(sizes[cls] == 0, first) if len(tok) else np.zeros(0, bool)
+            count = np.repeat(np.where(marked, _MOST, np.minimum(times, _MOST - 1)), times)
+        keep = (count > 1) & (sizes[cls] > 0)
+        found_c.append(cls[keep])
+        found_x.append(tok[keep] | count[keep].astype(np.uint64) << np.uint64(BITS))
+    cls, x = np.concatenate(found_c), np.concatenate(found_x)
+    order = np.argsort(cls, kind="stable")
+    cls, x = cls[order], x[order]
+    cuts = np.flatnonzero(np.diff(cls, prepend=-1))
+    at = np.append(cuts, len(cls)).astype(np.int32) * 8
+    out = pa.table([pa.array(classes[cls[cuts]]), pa.array(sizes[cls[cuts]]),
+                    pa.Array.from_buffers(pa.binary(), len(cuts), [None, pa.py_buffer(at.tobytes()), pa.py_buffer(x.tobytes())])], ["c", "n", "x"])
+    trim()
+    return out
+
+
+# ------------------------------------------------------------------------------ prefixes
+def extra(n: int, low: int, alone: int, counts: np.ndarray) -> int:
+    """By how much the prefix of a set is longer than for one match, by estimated cost. ``counts``:
+    how many classes have each shared shingle, in order; ``alone`` shingles come before these.
+
+    A candidate is a class met at a prefix shingle. Of those, at most one in ``l`` shares ``l`` of
+    them; for these the whole set is verified, for all the prefix is moved."""
+    met = np.cumsum(counts.astype(np.float64) - 1)
+    best, cost = 0, None
+    near = met[max(n - low + 1 - alone, 1) - 1]  # candidates come from the prefix for one match
+    for ratio in RATIOS:
+        more = min(int(n * ratio), low - 1)
+        length = n - low + 1 + more
+        pairs = met[max(length - alone, 1) - 1]
+        c = near * length + VERIFY_COST * n * min(near, pairs / (1 + more))
+        if cost is None or c < cost:
+            best, cost = more, c
+    return best
+
+
+def _prefixes(percent: int):
+    """``c, n, rest, alone, head, first, whole`` of the classes whose prefix holds something shared:
+    ``rest`` shingles stand behind the prefix ``head``, ``first`` are those that can be the first
+    shingle of a link, ``whole`` all that is shared."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = []
+            for c, n, parts in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), strict=True):
+                x = np.unique(np.frombuffer(b"".join(parts.as_py()), np.uint64))
+                low, alone = overlap(n, percent), n - len(x)
+                if alone > n - low:
+                    continue
+                more = extra(n, low, alone, x >> np.uint64(BITS))
+                length = n - low + 1 + more - alone
+                rows.append((c, n, low - 1 - more, alone, np.sort(x[:length]).tobytes(), x[:n - low + 1 - alone].view(np.int64), x.tobytes()))
+            if rows:
+                col = list(zip(*rows, strict=True))
+                types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.binary()]
+                yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(col, types, strict=True)], ["c", "n", "rest", "alone", "head", "first", "whole"])
+        trim()
+    return run
 
 
 def _sets(col: pa.Array) -> list[np.ndarray]:
@@ -254,43 +311,43 @@ def _sets(col: pa.Array) -> list[np.ndarray]:
     return [data[a:b].view(np.uint64) if a % 8 == 0 else np.frombuffer(data[a:b].tobytes(), np.uint64) for a, b in zip(at[:-1], at[1:], strict=True)]
 
 
-def _verify(percent: int):
+def _both(p: np.ndarray, q: np.ndarray) -> int:
+    small, large = (p, q) if len(p) <= len(q) else (q, p)
+    at = np.minimum(np.searchsorted(large, small), len(large) - 1)
+    return int((large[at] == small).sum())
+
+
+def _enough(percent: int, whole: bool):
+    """Keeps pairs whose prefixes share what their lengths ask for, or whose whole sets link."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
+            facts = [b.column(i).to_pylist() for i in range(2, 6)]
             keep = []
-            for p, q in zip(_sets(b.column(2)), _sets(b.column(3)), strict=True):
-                small, large = (p, q) if len(p) <= len(q) else (q, p)
-                at = np.minimum(np.searchsorted(large, small), len(large) - 1)
-                both = int((large[at] == small).sum())
-                keep.append(100 * both >= percent * (len(p) + len(q) - both))
+            for p, q, n, m, rn, rm in zip(_sets(b.column(6)), _sets(b.column(7)), *facts, strict=True):
+                both = _both(p, q)
+                keep.append(100 * both >= percent * (n + m - both) if whole else both >= matches(n, m, rn, rm, percent))
             k = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([b.column(0).filter(k), b.column(1).filter(k)], ["a", "b"])
         trim()
     return run
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int, name: str) -> DataFrame:
-    """The (a, b) of ``pairs`` whose whole sets are similar enough."""
-    def of(c: str, what: str) -> DataFrame:
-        return sets.select(F.col("c").alias(c), F.col("n").alias(f"n{c}"), F.col(what).alias(f"s{c}"))
+def verified(pairs: DataFrame, alive: DataFrame, percent: int, name: str) -> DataFrame:
+    """The (a, b) of ``pairs`` that link."""
+    def step(rows: DataFrame, what: str) -> DataFrame:
+        def of(c: str) -> DataFrame:
+            return alive.select(F.col("c").alias(c), F.col("n").alias(f"n{c}"), F.col("rest").alias(f"r{c}"), F.col(what).alias(f"x{c}"))
+        both = rows.select("a", "b").join(of("b"), "b").join(of("a"), "a").select("a", "b", "na", "nb", "ra", "rb", "xa", "xb")
+        return written(both.mapInArrow(_enough(percent, what == "whole"), "a long, b long"), name)
 
-    # most pairs that don't link are told apart by their signatures: shingles of one set alone are
-    # at least as many as the bits in which the signatures differ
-    near = pairs.select("a", "b").join(of("b", "bits"), "b").join(of("a", "bits"), "a")
-    differ = F.aggregate(F.zip_with("sa", "sb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
-    shared = F.expr(f"((na + nb) * {percent} + {99 + percent}) div {100 + percent}")
-    fits = near.where((F.col("na") * 100 >= F.col("nb") * percent) & (F.col("nb") * 100 >= F.col("na") * percent)
-                      & (differ <= F.col("na") + F.col("nb") - 2 * shared)).select("a", "b")
-    fits = written(fits, "jaccard-fits")
-    rows = fits.join(of("b", "set"), "b").join(of("a", "set"), "a").select("a", "b", "sa", "sb")
-    return written(rows.mapInArrow(_verify(percent), "a long, b long"), name)
+    return step(step(pairs, "head"), "whole")
 
 
-def components(nodes: DataFrame, edges: DataFrame, name: str) -> DataFrame:
-    """``c, k``: the smallest node that each node is connected to. Labels spread along edges and
+def components(edges: DataFrame, name: str) -> DataFrame:
+    """``c, k``: the smallest node that each node of an edge is connected to. Labels spread along edges and
     along labels (pointer jumping), so rounds grow with the logarithm of a component's width."""
     both = written(edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(edges.select("b", "a")).distinct(), name)
-    labels = written(nodes.select("c", F.col("c").alias("k")), name)
+    labels = written(both.select(F.col("u").alias("c"), F.col("u").alias("k")).distinct(), name)
     while True:
         near = both.join(labels.select(F.col("c").alias("v"), "k"), "v").groupBy("u").agg(F.min("k").alias("m"))
         low = labels.join(near.withColumnRenamed("u", "c"), "c", "left").select(
@@ -303,22 +360,33 @@ def components(nodes: DataFrame, edges: DataFrame, name: str) -> DataFrame:
             return labels
 
 
-def crossing(lists: DataFrame, alive: DataFrame, count: int) -> DataFrame:
-    """Pairs of classes of different components, with every pair that shares as many listed
-    shingles as both ask for.
+def _can_link(percent: int) -> Column:
+    """Whether a shingle at places i and j of sets of n and m can be the first they share."""
+    least = F.expr(f"((n + m) * {percent} + {99 + percent}) div {100 + percent}")
+    return (F.col("n") - F.col("i") >= least) & (F.col("m") - F.col("j") >= least)
+
+
+def pivot_pairs(firsts: DataFrame, percent: int) -> DataFrame:
+    """Of each shingle, the class that holds it earliest with each other class."""
+    pivot = firsts.groupBy("token").agg(F.min_by(F.struct("c", "n", "i"), F.struct(F.col("i") / F.col("n"), F.col("c"))).alias("p"),
+                                        F.count("*").alias("d")).where("d > 1")
+    met = firsts.join(pivot, "token").where("c <> p.c").withColumns({"m": F.col("p.n"), "j": F.col("p.i")})
+    return met.where(_can_link(percent)).select(F.col("p.c").alias("a"), F.col("c").alias("b")).distinct()
 
-    Listed shingles are ordered by how many classes still have them. Two classes that share ``ask``
-    of them share one of the first ``s - ask + 1`` of each one's ``s``, and the shingles of common
-    passages come last. Sizes that can't link are left out by the caller.
-    """
-    often = written(lists.groupBy("token").agg(F.count("*").alias("d")), "jaccard-often")
-    own = Window.partitionBy("c")
-    named = lists.select("token", "c", "k").join(often, "token").join(side(alive.select("c", "ask"), count), "c")
-    first = named.withColumn("s", F.count("*").over(own)).withColumn("r", F.row_number().over(own.orderBy("d", "token")))
-    first = written(first.where("r <= s - ask + 1").select("token", "c", "k"), "jaccard-first")
-    x = first.select("token", F.col("c").alias("a"), F.col("k").alias("ka"))
-    y = first.select("token", F.col("c").alias("b"), F.col("k").alias("kb"))
-    return x.join(y, "token").where("a < b and ka <> kb").select("a", "b").distinct()
+
+def crossing_pairs(firsts: DataFrame, label: DataFrame, percent: int) -> DataFrame:
+    """Pairs of classes of different components (``label``: of classes that have others) that
+    share a shingle where it can be the first of a link. One of the two is no larger than the
+    other, and holds it as early as a link with a set of its own size asks for."""
+    named = firsts.join(label, "c", "left").withColumn("k", F.coalesce("k", "c"))
+    named = written(named, "jaccard-named")
+    open_ = named.groupBy("token").agg(F.min("k").alias("lo"), F.max("k").alias("hi")).where("lo <> hi").select("token")
+    rows = written(named.join(open_, "token"), "jaccard-open")
+    early = F.col("n") - F.col("i") >= F.expr(f"(2 * n * {percent} + {99 + percent}) div {100 + percent}")
+    x = rows.where(early).select("token", F.col("c").alias("a"), F.col("k").alias("ka"), "n", "i")
+    y = rows.select("token", F.col("c").alias("b"), F.col("k").alias("kb"), F.col("n").alias("m"), F.col("i").alias("j"))
+    return x.join(y, "token").where((F.col("ka") != F.col("kb")) & ((F.col("n") < F.col("m")) | (F.col("n") == F.col("m")) & (F.col("a") < F.col("b")))
+                                    & _can_link(percent)).select("a", "b").distinct()
 
 
 def text_key() -> Column:
@@ -330,76 +398,25 @@ def classes(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFra
     """(``doc_id, t, n, c, c2`` per document, ``c, c2, n, first, k`` per class): ``t`` is
     :func:`text_key`, ``first`` the smallest doc_id of a class; classes of one component have one
     ``k``."""
-    spark = docs.sparkSession
+    workers_import(docs.sparkSession)
     src = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), text_key().alias("t"))
-    meta = written(src.mapInArrow(_meta, f"doc_id {src.schema['doc_id'].dataType.simpleString()}, t long, n long, c long, c2 long, counted array<long>"),
-                   "jaccard-meta")
+    meta = written(src.mapInArrow(_meta, f"doc_id {src.schema['doc_id'].dataType.simpleString()}, t long, n long, c long, c2 long"), "jaccard-meta")
     kinds = written(meta.groupBy("c", "c2", "n").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies")), "jaccard-classes")
-    table = ratios(meta.where("n > 0"), percent)
-    buckets = partitions(spark) * 4
-    blobs = src.select("text").mapInArrow(_emit(buckets, percent, table),
-                                          "bucket int, tokens binary, keys binary, counts binary, facts binary")
-    lists = written(blobs.groupBy("bucket").applyInArrow(_shared, "token long, c long, ask long, n long, rest long"), "jaccard-shared")
-    alive = written(lists.groupBy("c").agg(F.count("*").alias("s"), *[F.max(x).alias(x) for x in ("ask", "n", "rest")]).where("s >= ask").drop("s"),
-                    "jaccard-alive")
-    count = alive.count()
-    ask = alive.select("c", "ask")
-    lists = written(lists.select("token", "c").join(side(alive.select("c"), count), "c"), "jaccard-lists")
-    chosen = kinds.join(side(alive.select("c"), count), "c", "left_semi").select(F.col("first").alias("doc_id"), "c")
-    # the texts of one document per surviving class
-    wanted = src.join(side(chosen, count), "doc_id").select("c", "text")
-
-    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
-        for b in batches:
-            for first, found in shingle_sets(b.column(1)):
-                rows = []
-                for c, s in zip(b.column(0).slice(first, len(found)).to_pylist(), found, strict=True):
-                    if c not in seen and len(s) and class_key(s)[0] == c:  # not another text of a repeated doc_id
-                        seen.add(c)
-                        rows.append((c, len(s), s.tobytes(), signature(s)))
-                if rows:
-                    col = list(zip(*rows, strict=True))
-                    yield pa.RecordBatch.from_arrays([pa.array(col[0], pa.int64()), pa.array(col[1], pa.int64()), pa.array(col[2], pa.binary()),
-                                                      pa.array(col[3], pa.list_(pa.int64()))], ["c", "n", "set", "bits"])
-
-    sets = written(wanted.mapInArrow(whole, "c long, n long, set binary, bits array<long>"), "jaccard-sets")
-    links = spark.createDataFrame([], "a long, b long")
-    label = written(alive.select("c", F.col("c").alias("k")), "jaccard-labels")
-    was, before = None, lists.count()
-    for turn in range(PIVOT_ROUNDS + 1):
-        # shingles whose classes are in several components, and classes with enough of these
-        while True:
-            named = lists.select("token", "c").join(side(label, count), "c")
-            open_ = written(named.groupBy("token").agg(F.min("k").alias("lo"), F.max("k").alias("hi")).where("lo <> hi").select("token"),
-                            "jaccard-tokens")
-            left = named.join(open_, "token")
-            enough = left.groupBy("c").agg(F.count("*").alias("s")).join(side(ask, count), "c").where("s >= ask").select("c")
-            lists = written(left.join(written(enough, "jaccard-enough"), "c", "left_semi"), "jaccard-left")
-            rows = lists.count()
-            enough_done, before = not rows or rows > 0.8 * before, rows
-            if enough_done:
-                break
-        if not rows:
-            break
-        per = lists.groupBy("token", "k").agg(F.count("*").alias("n")).groupBy("token").agg(
-            F.sum("n").alias("m"), F.sum(F.col("n") * F.col("n")).alias("q"))
-        cross = per.agg(F.sum((F.col("m") * F.col("m") - F.col("q")) / 2)).first()[0] or 0
-        last = cross <= 4 * rows or turn == PIVOT_ROUNDS or was is not None and cross > 0.8 * was
-        was = cross
-        if last:
-            pairs = crossing(lists, alive, count)
-        else:
-            mixed = F.xxhash64(F.lit(turn), F.col("k"), F.col("c")) if turn else F.col("c")
-            pivot = written(lists.groupBy("token").agg(F.min_by(F.struct("c", "k"), mixed).alias("p")), "jaccard-pivots")
-            pairs = (lists.join(pivot, "token").where("k <> p.k").groupBy(F.col("p.c").alias("a"), F.col("c").alias("b"))
-                     .agg(F.count("*").alias("s")).join(side(ask.withColumnRenamed("c", "b"), count), "b").where("s * 4 >= ask"))
-        links = links.union(verified(written(pairs.select("a", "b"), "jaccard-pairs"), sets, percent, "jaccard-links"))
-        label = components(alive, links, "jaccard-components")
-        if last:
-            break
-    kinds = kinds.join(side(label, count), "c", "left").withColumn("k", F.coalesce("k", "c"))
-    return meta.select("doc_id", "t", "n", "c", "c2"), written(kinds, "jaccard-labelled")
+    buckets = (kinds.agg(F.sum("n")).first()[0] or 0) // BUCKET + 1
+    blocks = src.select("text").mapInArrow(_emit(buckets), _BLOCK)
+    parts = blocks.groupBy("bucket").applyInArrow(_shared, "c long, n long, x binary")
+    of = parts.groupBy("c", "n").agg(F.collect_list("x").alias("x"), F.sum(F.length("x")).alias("bytes"))
+    # a set must share what any link of it asks for
+    may = of.where(F.col("bytes") / 8 >= F.expr(f"(n * {percent} + 99) div 100")).select("c", "n", "x")
+    alive = written(may.mapInArrow(_prefixes(percent), "c long, n long, rest long, alone long, head binary, first array<long>, whole binary"), "jaccard-alive")
+    firsts = written(alive.select("c", "n", "alone", F.posexplode("first").alias("at", "token")).select(
+        "token", "c", "n", (F.col("alone") + F.col("at")).alias("i")), "jaccard-firsts")
+    links = verified(written(pivot_pairs(firsts, percent), "jaccard-pivots"), alive, percent, "jaccard-links")
+    label = components(links, "jaccard-components")
+    more = verified(written(crossing_pairs(firsts, label, percent), "jaccard-crossing"), alive, percent, "jaccard-links")
+    label = components(links.union(more), "jaccard-components")
+    kinds = kinds.join(label, "c", "left").withColumn("k", F.coalesce("k", "c"))
+    return meta, written(kinds, "jaccard-labelled")
 
 
 def joined(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -440,7 +457,7 @@ def kept_documents(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     found = found.withColumn("_rows", F.sum("_rows").over(Window.partitionBy("k")))
     blank = meta.where("n = 0").select("doc_id", "t", F.lit(None).cast("long").alias("k"), F.lit(1).cast("long").alias("_rows")).distinct()
     keep = written(found.unionByName(blank), "jaccard-keep")
-    rows = boxed(named, F.col("doc_id"), text_key().alias("t")).join(side(keep, keep.count()), ["doc_id", "t"])
+    rows = boxed(named, F.col("doc_id"), text_key().alias("t")).join(keep, ["doc_id", "t"])
     once = unboxed(rows.where("_rows = 1"), docs.columns)
     several = rows.where("_rows > 1").groupBy("k").agg(F.min_by(F.col(ROW), F.struct(F.col(ROW)["text"], F.to_json(ROW))).alias(ROW))
     return once.unionByName(unboxed(several, docs.columns)).unionByName(docs.where("doc_id is null"))

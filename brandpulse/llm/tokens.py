@@ -3,7 +3,7 @@
 Byte-level BPE never joins a word with the white space after it, so a text without runs of
 white space falls into units (a blank or line feed, if any, and what follows up to the next)
 whose ids don't depend on their neighbours. The library encodes every unit once per worker;
-its ids are then found by the unit's 64-bit hash. Texts with runs of white space, ending in one,
+its ids are then found by the unit's 64-bit hash, and count only if its bytes are those that were encoded. Texts with runs of white space, ending in one,
 or with white space beyond ASCII are encoded whole.
 """
 
@@ -17,7 +17,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 
-from brandpulse.llm.words import chunks, runs, span_hashes, trim
+from brandpulse.llm.words import chunks, lanes, runs, span_hashes, trim
 
 TOKENIZER = "byte_bpe_50k.json"
 END = 2
@@ -58,6 +58,9 @@ class Encoder:
         self.starts = np.zeros(0, np.int64)
         self.lens = np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.uint32)
+        #: Length, first and last eight bytes of each unit: all of one up to 16 bytes. Longer ones whole.
+        self.looks = [np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64)]
+        self.whole: dict[int, bytes] = {}
 
     def _units(self, units: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of all units, and where each unit's begin and how many they are. Units that begin
@@ -83,31 +86,37 @@ class Encoder:
     def fast(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, hashes: np.ndarray, units: list[bytes]) -> None:
+    def _learn(self, hashes: np.ndarray, units: list[bytes], looks: list[np.ndarray]) -> None:
         """Adds units; ``hashes`` ascend and are new."""
         flat, starts, lens = self._units(units)
         at = np.searchsorted(self.hashes, hashes)
         self.starts = np.insert(self.starts, at, len(self.ids) + starts)
         self.lens = np.insert(self.lens, at, lens)
         self.hashes = np.insert(self.hashes, at, hashes)
+        self.looks = [np.insert(a, at, b) for a, b in zip(self.looks, looks, strict=True)]
+        self.whole.update((h, u) for h, u in zip(hashes.tolist(), units, strict=True) if len(u) > 16)
         self.ids = np.concatenate([self.ids, flat])
 
     def _find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         at = np.minimum(np.searchsorted(self.hashes, hashes), max(len(self.hashes) - 1, 0))
         return at, (self.hashes[at] == hashes if len(self.hashes) else np.zeros(len(hashes), bool))
 
-    def split(self, buf: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and counts of texts in which units don't touch."""
+    def split(self, buf: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids and counts of texts in which units don't touch, and which texts hold a unit that
+        shares its hash with another unit (their ids are not right)."""
         starts, ends, before = runs(buf, at, _SPLIT)
         if not len(starts):
-            return np.zeros(0, np.uint32), np.zeros(len(at) - 1, np.int64)
+            return np.zeros(0, np.uint32), np.zeros(len(at) - 1, np.int64), np.zeros(0, np.int64)
         inner = np.ones(len(starts), bool)  # the run doesn't begin its text: the blank before belongs to it
         inner[before[:-1][before[:-1] < len(starts)]] = False
         lead = np.zeros(len(starts), bool)
         first = np.flatnonzero(~inner)
         lead[first] = ~np.isin(starts[first], at)
         starts = starts - (inner | lead)
-        back, seen = pd.factorize(span_hashes(buf, starts, ends))
+        hashes = span_hashes(buf, starts, ends)
+        looks = _looks(buf, starts, ends)
+        raw = buf.tobytes()
+        back, seen = pd.factorize(hashes)
         place, known = self._find(seen)
         if not known.all():
             new = np.flatnonzero(~known)
@@ -115,14 +124,20 @@ class Encoder:
                 self.forget()
                 new = np.arange(len(seen))
             new = new[np.argsort(seen[new])]
-            where = np.flatnonzero(np.diff(np.maximum.accumulate(back), prepend=-1))  # where each is seen first
-            raw = buf.tobytes()
-            self._learn(seen[new], [raw[a:b] for a, b in zip(starts[where[new]].tolist(), ends[where[new]].tolist(), strict=True)])
+            where = np.flatnonzero(np.diff(np.maximum.accumulate(back), prepend=-1))[new]  # where each is seen first
+            self._learn(seen[new], [raw[a:b] for a, b in zip(starts[where].tolist(), ends[where].tolist(), strict=True)], [x[where] for x in looks])
             place, _ = self._find(seen)
-        lens = self.lens[place][back]
+        place = place[back]
+        other = (looks[0] != self.looks[0][place]) | (looks[1] != self.looks[1][place])
+        some = np.flatnonzero(looks[0] > 8)
+        other[some] |= looks[2][some] != self.looks[2][place[some]]
+        long = some[looks[0][some] > 16]
+        other[long] |= [raw[a:b] != self.whole.get(h) for a, b, h in zip(starts[long].tolist(), ends[long].tolist(), hashes[long].tolist(), strict=True)]
+        lens = self.lens[place]
         upto = np.cumsum(lens)
-        flat = self.ids[np.repeat(self.starts[place][back] - (upto - lens), lens) + np.arange(int(upto[-1]))]
-        return flat, np.diff(np.concatenate([[0], upto])[before])
+        flat = self.ids[np.repeat(self.starts[place] - (upto - lens), lens) + np.arange(int(upto[-1]))]
+        wrong = np.unique(np.searchsorted(before, np.flatnonzero(other), "right") - 1)
+        return flat, np.diff(np.concatenate([[0], upto])[before]), wrong
 
     def encode(self, buf: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
         """The ids of each text of a buffer."""
@@ -138,18 +153,29 @@ class Encoder:
         if alone:
             keep = np.setdiff1d(np.arange(n), alone)
             buf = np.concatenate([buf[at[i]:at[i + 1]] for i in keep] or [buf[:0]])
-            flat, lens = self.split(buf, np.concatenate([[0], np.cumsum((at[1:] - at[:-1])[keep])]))
+            flat, lens, wrong = self.split(buf, np.concatenate([[0], np.cumsum((at[1:] - at[:-1])[keep])]))
         else:
-            keep = range(n)
-            flat, lens = self.split(buf, at)
+            keep = np.arange(n)
+            flat, lens, wrong = self.split(buf, at)
         upto = np.cumsum(lens)
         for i, a, b in zip(keep, upto - lens, upto, strict=True):
             out[i] = flat[a:b]
-        for i in alone:
+        for i in alone + keep[wrong].tolist():
             out[i] = self.fast([raw[at[i]:at[i + 1]].decode()])[0]
         return out
 
 
+def _looks(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
+    """Length, first eight bytes (or all of them) and, of longer spans, last eight bytes of each span."""
+    size = ends - starts
+    lane = lanes(buf)
+    head, tail = lane[starts], np.zeros(len(size), np.uint64)
+    cut, more = np.flatnonzero(size < 8), np.flatnonzero(size > 8)
+    head[cut] &= (np.uint64(1) << (size[cut].astype(np.uint64) * np.uint64(8))) - np.uint64(1)
+    tail[more] = lane[ends[more] - 8]
+    return [size, head, tail]
+
+
 def encoder(path: str) -> Encoder:
     if path not in _made:
         _made[path] = Encoder(path)

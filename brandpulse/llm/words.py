@@ -7,6 +7,8 @@ import ctypes
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
+
 
 def trim() -> None:
     """Gives memory that a task has freed back to the machine; workers live on after a task."""
@@ -17,23 +19,12 @@ def trim() -> None:
         pass
 
 
-_rng = np.random.default_rng(0x5EED)
-_BYTE = _rng.integers(0, 1 << 64, 256, np.uint64)
 _MUL = np.uint64(0x9E3779B97F4A7C15)
-_INV = np.uint64(pow(int(_MUL), -1, 1 << 64))
+_EIGHT = np.uint64(8)
+#: Spans above so many bytes are hashed one by one.
+LONG = 64
 _BLANK = np.zeros(256, bool)
 _BLANK[[0x20, 9, 10, 11, 12, 13]] = True
-_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
-
-
-def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first n powers of the multiplier and of its inverse, modulo 2**64."""
-    if len(_powers[0]) < n:
-        for i, m in enumerate((_MUL, _INV)):
-            p = np.full(n, m, np.uint64)
-            p[0] = 1
-            _powers[i] = np.cumprod(p)
-    return _powers[0][:n], _powers[1][:n]
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -45,14 +36,75 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+def lanes(buf: np.ndarray) -> np.ndarray:
+    """The eight bytes from each byte on, as one number (zeros past the end)."""
+    wide = np.concatenate([buf, np.zeros(8, np.uint8)])
+    return np.ndarray((len(buf) + 1,), np.dtype("<u8"), wide.data, 0, (1,))
+
+
 def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each span of bytes, from running sums of a polynomial modulo 2**64."""
+    """A 64-bit hash of each span of bytes.
+
+    Eight bytes at a time are mixed into a state that every step permutes, so that spans of up to
+    eight bytes never meet another of their length, and no pattern of letters makes longer ones
+    meet more often than random numbers do (a polynomial modulo a power of two has such patterns).
+    """
     if not len(starts):
         return np.zeros(0, np.uint64)
-    power, inverse = _power(len(buf))
-    sums = np.zeros(len(buf) + 1, np.uint64)
-    np.cumsum(_BYTE[buf] * power, out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64) * _MUL)
+    size = (ends - starts).astype(np.uint64)
+    lane = lanes(buf)
+    h = mix(size * _MUL)
+    at, left, of = starts, size, None
+    big = size > LONG
+    if big.any():
+        of = np.flatnonzero(~big)
+        at, left = starts[of], size[of]
+    while len(at):
+        part = lane[at]
+        tail = left < _EIGHT
+        if tail.any():
+            part[tail] &= (np.uint64(1) << (left[tail] * _EIGHT)) - np.uint64(1)
+        if of is None:
+            h = mix((h ^ part) * _MUL)
+        else:
+            h[of] = mix((h[of] ^ part) * _MUL)
+        more = left > _EIGHT
+        of = np.flatnonzero(more) if of is None else of[more]
+        at, left = at[more] + 8, left[more] - _EIGHT
+    if big.any():
+        raw = buf.tobytes()
+        h[big] = [xxhash.xxh3_64_intdigest(raw[a:b]) for a, b in zip(starts[big].tolist(), ends[big].tolist(), strict=True)]
+    return h
+
+
+class Runs:
+    """Hashes of runs of a sequence of 64-bit numbers. A run is the two runs of the largest power of
+    two that begin and end it, hashed with its length; those are hashes of their halves."""
+
+    def __init__(self, h: np.ndarray):
+        self.levels = [h]
+
+    def level(self, k: int) -> np.ndarray:
+        """Hashes of all runs of 2**k numbers."""
+        while len(self.levels) <= k:
+            last, step = self.levels[-1], 1 << (len(self.levels) - 1)
+            self.levels.append(mix(last[:-step] * _MUL + last[step:]) if len(last) > step else last[:0])
+        return self.levels[k]
+
+    def every(self, n: int) -> np.ndarray:
+        """Hashes of all runs of n numbers."""
+        return self.of(np.arange(max(len(self.levels[0]) - n + 1, 0)), n)
+
+    def of(self, start: np.ndarray, n: np.ndarray | int) -> np.ndarray:
+        """Hashes of the runs of ``n`` (at least 1) numbers from each ``start`` on."""
+        n = np.broadcast_to(np.asarray(n, np.int64), start.shape)
+        out = np.zeros(len(start), np.uint64)
+        power = np.frexp(n.astype(float))[1] - 1
+        for k in np.unique(power).tolist():
+            some = power == k
+            a, m, level = start[some], n[some], self.level(k)
+            out[some] = mix((level[a] * _MUL + level[a + m - (1 << k)]) ^ (m.astype(np.uint64) * _MUL))
+        return out
 
 
 def text_buffer(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -36,3 +36,12 @@ def edge(spark):
 @pytest.fixture(scope="session")
 def empty(spark):
     return spark.createDataFrame([], DOCS)
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    was = spark.conf.get(key)
+    spark.conf.set(key, -1)
+    yield
+    spark.conf.set(key, was)

@@ -71,10 +71,9 @@ def test_removed_words_by_brute_force(spark, monkeypatch, variants):
     assert [got[i] for i in range(len(texts))] == _brute_removed(texts, S.LENGTH)
 
 
-def test_large_sides_are_shuffled_alike(spark, monkeypatch):
+def test_large_sides_are_shuffled_alike(spark, no_broadcast):
     texts = _planted(5)
     df = spark.createDataFrame([(i, "\n ".join(w)) for i, w in enumerate(texts)], "doc_id long, text string")
-    monkeypatch.setattr(S, "SMALL_ROWS", -1)
     got = {r.doc_id: {p for x in (r.spans or []) for p in range(x.start, x.end)} for r in S.removed(df).collect()}
     assert [got[i] for i in range(len(texts))] == _brute_removed(texts, S.LENGTH)
 
@@ -148,19 +147,45 @@ def test_components_by_brute_force(spark, seed):
     assert got == _components(texts)
 
 
-def test_components_with_pivots_only_and_shuffled_sides(spark, monkeypatch):
+def test_components_with_many_buckets_and_shuffled_sides(spark, monkeypatch, no_broadcast):
     texts = _near_copies(3)
-    monkeypatch.setattr(J, "SMALL_ROWS", -1)
-    monkeypatch.setattr(J, "RATIOS", (1 / 8,))
-    monkeypatch.setattr(J, "WHOLE", 1)
+    monkeypatch.setattr(J, "BUCKET", 300)
     df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(5)
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in J.joined(df).collect()}
     assert got == _components(texts)
 
 
-def test_a_pair_shares_as_many_as_both_bounds_ask():
+@pytest.mark.parametrize("hot", [2, 5, 10**6])
+def test_shared_shingles_by_brute_force(monkeypatch, hot):
+    rnd = random.Random(hot)
+    monkeypatch.setattr(J, "HOT", hot)
+    pool = [rnd.getrandbits(64) for _ in range(300)]
+    sets = [np.unique(np.array(rnd.sample(pool, rnd.randint(1, 40)) + pool[:rnd.randint(0, 4)] + [rnd.getrandbits(64)], np.uint64)) for _ in range(60)]
+    flushes = [sets[:25], sets[20:45], sets[45:]]  # some classes come twice
+    rows = [r for f in flushes for r in J._blocks(f, np.array([J.class_key(s)[0] for s in f], np.int64), 7)]
+    names = ["bucket", "hot", "n", "tokens", "own", "classes", "sizes"]
+    got = defaultdict(set)
+    for k in range(7):
+        some = [r for r in rows if r[0] == k]
+        if some:
+            out = J._shared(pa.table([list(c) for c in zip(*some, strict=True)], names))
+            for c, n, x in zip(*[out.column(i).to_pylist() for i in range(3)], strict=True):
+                v = np.frombuffer(x, np.uint64).tolist()
+                assert not got[c, n] & set(v)
+                got[c, n] |= set(v)
+    often = Counter(int(t) >> 16 for s in sets for t in s)
+    most = Counter(t for f in flushes for t, d in Counter(int(t) >> 16 for s in f for t in s).items() if d > hot)
+    want = {}
+    for s in sets:
+        v = {(J._MOST if t in most else often[t]) << 48 | t for t in (int(x) >> 16 for x in s) if often[t] > 1}
+        if v:
+            want[J.class_key(s)[0], len(s)] = v
+    assert {k: v for k, v in got.items() if v} == want
+
+
+def test_linked_sets_share_what_their_prefixes_ask_for():
     rnd = random.Random(4)
-    table = np.array([rnd.choice(J.RATIOS) for _ in range(64)])
+    seen = 0
     for _ in range(400):
         n = rnd.randint(1, 300)
         a = set(rnd.sample(range(10**6), n))
@@ -168,21 +193,44 @@ def test_a_pair_shares_as_many_as_both_bounds_ask():
         b = keep | set(rnd.sample(range(10**6, 2 * 10**6), rnd.randint(0, n // 4)))
         if not b or 100 * len(a & b) < 75 * len(a | b):
             continue
-        (ra, qa), (rb, qb) = J._bounds(len(a), 75, table), J._bounds(len(b), 75, table)
-        order = {x: rnd.random() for x in a | b}
-        left, right = sorted(a, key=order.get)[:len(a) - ra], sorted(b, key=order.get)[:len(b) - rb]
-        both = len(set(left) & set(right))
-        assert both >= max(qa, qb, J.matches(len(a), len(b), ra, rb, 75))
-
-
-def test_what_a_set_asks_for_is_least_over_all_sizes():
-    rnd = random.Random(9)
-    for _ in range(40):
-        table = np.array([rnd.choice(J.RATIOS) for _ in range(64)])
-        for n in (1, 2, 5, 31, 32, 33, rnd.randint(40, 900)):
-            own, ask = J._bounds(n, 75, table)
-            every = [J.matches(n, m, own, J.rest(m, 75, table[m.bit_length() - 1]), 75) for m in range(J.overlap(n, 75), n * 100 // 75 + 1)]
-            assert 1 <= ask <= max(1, min(every))
+        seen += 1
+        count = {x: rnd.randint(2, 50) for x in a | b}
+        left, right = [sorted(s, key=lambda x: (count[x], x)) for s in (a, b)]
+        rests = []
+        for s in (left, right):
+            low = J.overlap(len(s), 75)
+            rests.append(low - 1 - J.extra(len(s), low, 0, np.array([count[x] for x in s])))
+            assert 0 <= rests[-1] < low
+        both = set(left[:len(left) - rests[0]]) & set(right[:len(right) - rests[1]])
+        assert len(both) >= J.matches(len(a), len(b), *rests, 75) >= 1
+        first = min(a & b, key=lambda x: (count[x], x))
+        assert min(len(a) - left.index(first), len(b) - right.index(first)) >= J.shared(len(a), len(b), 75)
+    assert seen > 100
+
+
+def test_prefixes_grow_where_candidates_are_many():
+    n = 400
+    low = J.overlap(n, 75)
+    few, many = np.full(n, 2), np.append(np.full(80, 2), np.full(n - 80, 5000))
+    assert J.extra(n, low, 0, many) > J.extra(n, low, 90, few[90:]) == 0
+
+
+# words that a polynomial hash modulo a power of two can't tell apart
+def _doubling(n):
+    x, y = "a", "b"
+    while len(x) < n:
+        x, y = x + y, y + x
+    return x, y
+
+
+@pytest.mark.parametrize("n", [1024, 4096])
+def test_words_of_doubling_patterns_are_different(spark, n):
+    x, y = _doubling(n)
+    tail = " ".join(f"w{i}" for i in range(S.LENGTH - 1))
+    df = spark.createDataFrame([(1, x), (2, y), (3, f"{x} {tail}"), (4, f"{y} {tail}")], "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in J.joined(df).collect()}
+    assert got[1] == (1, 1) and got[2] == (1, 2)
+    assert all(r.spans is None for r in S.removed(df).collect())
 
 
 def test_join_edges(spark, edge, empty):

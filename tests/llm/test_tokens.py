@@ -20,6 +20,16 @@ ODD = ["a <|endoftext|> b", "x\t\n ab", "  lead", "trail ", "a  b", "\nq", "\xa0
        "é  b", "<|endoftext|>", "a\tb", "\tb c", " x", "日本 語 x", "x" * 3000, "ab " * 5000, "👍🏽 ok then"]
 
 
+def _doubling(n):
+    x, y = "a", "b"
+    while len(x) < n:
+        x, y = x + y, y + x
+    return [x, y]
+
+
+ODD += [t for n in (1024, 2048, 4096) for t in _doubling(n)] + ["so " + t + " it is" for t in _doubling(1024)]
+
+
 @pytest.fixture(scope="module")
 def tokenizer():
     return Tokenizer.from_file(tokenizer_path())
@@ -38,6 +48,18 @@ def test_units_give_the_library_ids(tokenizer, spark, sf):
                 assert x.tolist() == _ids(tokenizer, t)[:-1], t
 
 
+def test_a_hit_counts_only_if_its_bytes_are_equal(monkeypatch):
+    from brandpulse.llm import tokens as K
+    real = K.span_hashes
+    monkeypatch.setattr(K, "span_hashes", lambda *a: real(*a) % np.uint64(5))
+    enc = Encoder(tokenizer_path())
+    texts = [f"w{i} z{i % 7} a long word {'y' * (i % 40)}" for i in range(100)] + ODD
+    for _ in range(2):
+        for first, n, buf, at in chunks(pa.array(texts), 2_000):
+            for t, x in zip(texts[first:first + n], enc.encode(buf, at), strict=True):
+                assert x.tolist() == _ids(enc.tokenizer, t)[:-1], t
+
+
 @pytest.mark.parametrize("n", [0, 1, 4, 5, 1000])
 def test_codes_round_trip(n):
     rng = np.random.default_rng(n)
