@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from brandpulse.llm import op01_winnow, op02_toxic, op03_vbyte, op04_substring, op05_chat, op06_interleave, op07_quality, op08_pack, op09_mix, op10_jaccard
+from brandpulse.llm import op01_winnow, op02_toxic, op03_vbyte, op04_substring, op05_chat, op06_interleave, op07_quality, op08_pack, op09_mix, op10_jaccard, op11_leaks
 
 QUERIES = {
     "op1_fingerprints": op01_winnow.op1_fingerprints,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_packing": op08_pack.op8_packing,
     "op9_mixing": op09_mix.op9_mixing,
     "op10_ngram_join": op10_jaccard.op10_ngram_join,
+    "op11_decontamination": op11_leaks.op11_decontamination,
 }
 
 SQL = {
@@ -22,4 +23,5 @@ SQL = {
     "op5_chat": op05_chat.OP5_SQL,
     "op7_quality": op07_quality.OP7_SQL,
     "op9_mixing": op09_mix.OP9_SQL,
+    "op11_decontamination": op11_leaks.OP11_SQL,
 }
