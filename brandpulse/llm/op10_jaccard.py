@@ -9,7 +9,7 @@ link share at least ``shared(n, m)`` shingles, so the first one they share stand
 1. One pass over the texts gives sizes and class keys.
 2. A second pass emits every class's shingles (48 bits of the hash), packed per bucket of hashes,
    each class once per flush. A bucket's task counts the classes of each shingle and returns only
-   what two classes share, with the count. Buckets hold a bounded number of shingles; a shingle
+   what two classes share, with the count, packed per group of classes. Buckets hold a bounded number of shingles; a shingle
    that very many classes of one flush hold is dealt by class as well, counts as the most frequent
    of all, and leaves a mark in its own bucket, so that all its holders order it alike.
 3. What a class shares comes together by class. Shingles that no other class has come first in its
@@ -49,6 +49,8 @@ VERIFY_COST = 2.0
 #: Shingles that a task packs at once, and that a bucket holds on average.
 HELD = 1_000_000
 BUCKET = 2_000_000
+#: Shingles of all classes that are brought together by class in one task, on average.
+GROUP = 5_000_000
 #: A shingle of more than so many classes of one flush is dealt by class too.
 HOT = 256
 #: Bytes of text that a task works on at once.
@@ -207,9 +209,31 @@ def _emit(buckets: int):
     return run
 
 
-def _shared(t: pa.Table) -> pa.Table:
-    """``c, n, x`` of a bucket: the shingles of each class that another class has too, the number of
-    their classes above them."""
+_SHARED = "of int, c binary, n binary, m binary, x binary"
+
+
+def _shared(groups: int):
+    def run(t: pa.Table) -> pa.Table:
+        return _by_group(*_counted(t), groups)
+    return run
+
+
+def _by_group(c: np.ndarray, n: np.ndarray, m: np.ndarray, x: np.ndarray, groups: int) -> pa.Table:
+    """A row per group of classes: the classes, their sizes, how many shingles each has, and these."""
+    of = (mix(c.view(np.uint64)) >> np.uint64(32)) * np.uint64(groups) >> np.uint64(32)
+    ends = np.cumsum(m)
+    rows = []
+    for g in np.unique(of).tolist():
+        some = np.flatnonzero(of == g)
+        rows.append((g, c[some].tobytes(), n[some].astype(np.uint32).tobytes(), m[some].astype(np.uint32).tobytes(),
+                     np.concatenate([x[a:b] for a, b in zip((ends - m)[some].tolist(), ends[some].tolist(), strict=True)]).tobytes()))
+    col = list(zip(*rows, strict=True)) or [()] * 5
+    return pa.table([pa.array(v, k) for v, k in zip(col, [pa.int32(), *[pa.binary()] * 4], strict=True)], [y.split()[0] for y in _SHARED.split(", ")])
+
+
+def _counted(t: pa.Table) -> tuple[np.ndarray, ...]:
+    """Of a bucket: the classes, their sizes, how many shingles each shares with another class, and
+    these with the number of their classes above them."""
     rows = list(zip(*[t.column(c).to_pylist() for c in ("hot", "n", "tokens", "own", "classes", "sizes")], strict=True))
     of, n = [], []
     for _, _, _, _, k, z in rows:
@@ -254,11 +278,8 @@ def _shared(t: pa.Table) -> pa.Table:
     order = np.argsort(cls, kind="stable")
     cls, x = cls[order], x[order]
     cuts = np.flatnonzero(np.diff(cls, prepend=-1))
-    at = np.append(cuts, len(cls)).astype(np.int32) * 8
-    out = pa.table([pa.array(classes[cls[cuts]]), pa.array(sizes[cls[cuts]]),
-                    pa.Array.from_buffers(pa.binary(), len(cuts), [None, pa.py_buffer(at.tobytes()), pa.py_buffer(x.tobytes())])], ["c", "n", "x"])
     trim()
-    return out
+    return classes[cls[cuts]], sizes[cls[cuts]], np.diff(np.append(cuts, len(cls))), x
 
 
 # ------------------------------------------------------------------------------ prefixes
@@ -281,26 +302,37 @@ def extra(n: int, low: int, alone: int, counts: np.ndarray) -> int:
     return best
 
 
+_ALIVE = "c long, n long, rest long, alone long, head binary, first array<long>, whole binary"
+
+
 def _prefixes(percent: int):
-    """``c, n, rest, alone, head, first, whole`` of the classes whose prefix holds something shared:
-    ``rest`` shingles stand behind the prefix ``head``, ``first`` are those that can be the first
-    shingle of a link, ``whole`` all that is shared."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            rows = []
-            for c, n, parts in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), strict=True):
-                x = np.unique(np.frombuffer(b"".join(parts.as_py()), np.uint64))
-                low, alone = overlap(n, percent), n - len(x)
-                if alone > n - low:
-                    continue
-                more = extra(n, low, alone, x >> np.uint64(BITS))
-                length = n - low + 1 + more - alone
-                rows.append((c, n, low - 1 - more, alone, np.sort(x[:length]).tobytes(), x[:n - low + 1 - alone].view(np.int64), x.tobytes()))
-            if rows:
-                col = list(zip(*rows, strict=True))
-                types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.binary()]
-                yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(col, types, strict=True)], ["c", "n", "rest", "alone", "head", "first", "whole"])
+    """:data:`_ALIVE` of the classes of a group whose prefix holds something shared: ``rest`` shingles
+    stand behind the prefix ``head``, ``alone`` before all that is shared, ``first`` are those that
+    can be the first shingle of a link, ``whole`` all that is shared."""
+    def run(t: pa.Table) -> pa.Table:
+        c, n, m, x = [np.frombuffer(b"".join(t.column(i).to_pylist()), k) for i, k in ((1, np.int64), (2, np.uint32), (3, np.uint32), (4, np.uint64))]
+        names, first, back = np.unique(c, return_index=True, return_inverse=True)
+        sizes, cls = n[first].astype(np.int64), np.repeat(back, m)
+        # a set must share what any link of it asks for
+        may = np.bincount(cls, minlength=len(names)) * 100 >= sizes * percent
+        cls, x = cls[may[cls]], x[may[cls]]
+        order = np.lexsort((x, cls))
+        cls, x = cls[order], x[order]
+        cuts = np.flatnonzero(np.diff(cls, prepend=-1, append=-1)) if len(cls) else np.zeros(1, np.int64)
+        rows = []
+        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            size, own = int(sizes[cls[a]]), np.unique(x[a:b])  # copies of a class in several flushes
+            low, alone = overlap(size, percent), size - len(own)
+            if alone > size - low:
+                continue
+            more = extra(size, low, alone, own >> np.uint64(BITS))
+            rows.append((int(names[cls[a]]), size, low - 1 - more, alone, own[:size - low + 1 + more - alone].tobytes(),
+                         own[:size - low + 1 - alone].view(np.int64), own.tobytes()))
+        col = list(zip(*rows, strict=True)) or [()] * 7
+        types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.binary()]
+        out = pa.table([pa.array(v, k) for v, k in zip(col, types, strict=True)], [y.split()[0] for y in _ALIVE.split(", ")])
         trim()
+        return out
     return run
 
 
@@ -402,13 +434,10 @@ def classes(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFra
     src = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), text_key().alias("t"))
     meta = written(src.mapInArrow(_meta, f"doc_id {src.schema['doc_id'].dataType.simpleString()}, t long, n long, c long, c2 long"), "jaccard-meta")
     kinds = written(meta.groupBy("c", "c2", "n").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies")), "jaccard-classes")
-    buckets = (kinds.agg(F.sum("n")).first()[0] or 0) // BUCKET + 1
-    blocks = src.select("text").mapInArrow(_emit(buckets), _BLOCK)
-    parts = blocks.groupBy("bucket").applyInArrow(_shared, "c long, n long, x binary")
-    of = parts.groupBy("c", "n").agg(F.collect_list("x").alias("x"), F.sum(F.length("x")).alias("bytes"))
-    # a set must share what any link of it asks for
-    may = of.where(F.col("bytes") / 8 >= F.expr(f"(n * {percent} + 99) div 100")).select("c", "n", "x")
-    alive = written(may.mapInArrow(_prefixes(percent), "c long, n long, rest long, alone long, head binary, first array<long>, whole binary"), "jaccard-alive")
+    total = kinds.agg(F.sum("n")).first()[0] or 0
+    blocks = src.select("text").mapInArrow(_emit(total // BUCKET + 1), _BLOCK)
+    parts = blocks.groupBy("bucket").applyInArrow(_shared(total // GROUP + 1), _SHARED)
+    alive = written(parts.groupBy("of").applyInArrow(_prefixes(percent), _ALIVE), "jaccard-alive")
     firsts = written(alive.select("c", "n", "alone", F.posexplode("first").alias("at", "token")).select(
         "token", "c", "n", (F.col("alone") + F.col("at")).alias("i")), "jaccard-firsts")
     links = verified(written(pivot_pairs(firsts, percent), "jaccard-pivots"), alive, percent, "jaccard-links")

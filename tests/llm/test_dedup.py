@@ -150,6 +150,7 @@ def test_components_by_brute_force(spark, seed):
 def test_components_with_many_buckets_and_shuffled_sides(spark, monkeypatch, no_broadcast):
     texts = _near_copies(3)
     monkeypatch.setattr(J, "BUCKET", 300)
+    monkeypatch.setattr(J, "GROUP", 700)
     df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(5)
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in J.joined(df).collect()}
     assert got == _components(texts)
@@ -168,11 +169,12 @@ def test_shared_shingles_by_brute_force(monkeypatch, hot):
     for k in range(7):
         some = [r for r in rows if r[0] == k]
         if some:
-            out = J._shared(pa.table([list(c) for c in zip(*some, strict=True)], names))
-            for c, n, x in zip(*[out.column(i).to_pylist() for i in range(3)], strict=True):
-                v = np.frombuffer(x, np.uint64).tolist()
-                assert len(set(v)) == len(v)
-                got[c, n] |= set(v)
+            out = J._by_group(*J._counted(pa.table([list(c) for c in zip(*some, strict=True)], names)), 3)
+            for c, n, m, x in zip(*[out.column(i).to_pylist() for i in range(1, 5)], strict=True):
+                c, n, m, x = [np.frombuffer(v, k).tolist() for v, k in ((c, np.int64), (n, np.uint32), (m, np.uint32), (x, np.uint64))]
+                for c, n, m in zip(c, n, m, strict=True):
+                    got[c, n] |= set(x[:m])
+                    x = x[m:]
     often = Counter(int(t) >> 16 for s in sets for t in s)
     most = Counter(t for f in flushes for t, d in Counter(int(t) >> 16 for s in f for t in s).items() if d > hot)
     want = {}
