@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from brandpulse.llm import op01_winnow, op02_toxic, op03_vbyte, op04_substring, op05_chat, op06_interleave, op07_quality, op08_pack, op09_mix, op10_jaccard, op11_leaks, op12_variants
+from brandpulse.llm import op01_winnow, op02_toxic, op03_vbyte, op04_substring, op05_chat, op06_interleave, op07_quality, op08_pack, op09_mix, op10_jaccard, op11_leaks, op12_variants, op13_align
 
 QUERIES = {
     "op1_fingerprints": op01_winnow.op1_fingerprints,
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_ngram_join": op10_jaccard.op10_ngram_join,
     "op11_decontamination": op11_leaks.op11_decontamination,
     "op12_variants": op12_variants.op12_variants,
+    "op13_alignment": op13_align.op13_alignment,
 }
 
 SQL = {

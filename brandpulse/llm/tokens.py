@@ -132,7 +132,7 @@ class Encoder:
         some = np.flatnonzero(looks[0] > 8)
         other[some] |= looks[2][some] != self.looks[2][place[some]]
         long = some[looks[0][some] > 16]
-        other[long] |= [raw[a:b] != self.whole.get(h) for a, b, h in zip(starts[long].tolist(), ends[long].tolist(), hashes[long].tolist(), strict=True)]
+        other[long] |= np.array([raw[a:b] != self.whole.get(h) for a, b, h in zip(starts[long].tolist(), ends[long].tolist(), hashes[long].tolist(), strict=True)], bool)
         lens = self.lens[place]
         upto = np.cumsum(lens)
         flat = self.ids[np.repeat(self.starts[place] - (upto - lens), lens) + np.arange(int(upto[-1]))]
