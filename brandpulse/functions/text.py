@@ -1,7 +1,9 @@
-"""Text column expressions: tokens, keyword containment, LIKE escaping."""
+"""Text column expressions: tokens, keyword containment, word tries."""
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -24,6 +26,8 @@ def count_char(text, ch: str) -> Column:
     return F.length(t) - F.length(F.replace(t, F.lit(ch), F.lit("")))
 
 
+WORD_CHAR = re.compile(r"[^\W_]|'")
+
 REGEX_META = set(".^$*+?()[]{}|\\")
 
 
@@ -47,6 +51,32 @@ def keyword_match(lowered: Column, keyword: str, whole_word: bool = False) -> Co
     return lowered.contains(F.lit(keyword))
 
 
-def like_escape(text: str) -> str:
-    """Escape LIKE metacharacters with backslash."""
-    return text.replace("\\", "\\\\").replace("%", "\\%").replace("_", "\\_")
+def trie_pattern(words, tail: str = "", gap: str | None = None) -> str:
+    """A pattern that matches the longest of ``words`` at a place.
+
+    The words share their beginnings, so a place is settled in as many steps as characters match,
+    however many words there are. ``tail`` must follow a word that ends in a letter, digit or
+    apostrophe; ``gap`` stands for each blank of a word."""
+    root: dict = {}
+    for w in words:
+        node = root
+        for ch in w:
+            node = node.setdefault(ch, {})
+        node[""] = tail if tail and WORD_CHAR.match(w[-1]) else ""
+
+    def of(node: dict) -> str:
+        parts = []
+        for ch in sorted(k for k in node if k):
+            run, child = ch, node[ch]
+            while len(child) == 1 and "" not in child:  # no branch: one run of characters
+                (ch, child), = child.items()
+                run += ch
+            quoted = regex_quote(run) if gap is None else gap.join(regex_quote(x) for x in run.split(" "))
+            parts.append(quoted + of(child))
+        body = parts[0] if len(parts) == 1 else f"(?:{'|'.join(parts)})" if parts else ""
+        if "" not in node:
+            return body
+        end = node[""]
+        return f"(?:{body}|{end})" if body else end
+
+    return of(root)

@@ -6,10 +6,10 @@ the JVM and give the same rows; the caller chooses:
 
 * ``method="expr"`` (default): one expression per row, ``filter(array(when(contains.., topic),
   ..))``. No join and no shuffle; its cost grows with the number of keywords.
-* ``method="join"``: for vocabularies of thousands of keywords. A keyword's first ``GRAM``
-  characters (all of a shorter one) are its anchor; a text's distinct character grams of the
-  lengths that anchors have are joined with the anchors, and what matches is verified with
-  ``contains`` (or the whole-word pattern). Matches are small numbers, combined per text.
+* ``method="trie"``: for vocabularies of thousands of keywords. One pattern holds all keywords by
+  their common beginnings and finds, inside the row, the longest one at every place of the text; a table
+  of hash buckets in the plan maps it to the topics of all keywords it begins with. Its cost
+  grows with the text, hardly with the vocabulary, and nothing is exploded, joined or shuffled.
 
 Q3: the original lower-cases the text but not the keywords, so "CEO" never matches;
 ``lower_keywords=True`` (default) fixes it, ``False`` reproduces it.
@@ -19,14 +19,14 @@ requires word boundaries.
 
 from __future__ import annotations
 
+import json
+import zlib
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from brandpulse import schemas as S
-from brandpulse.functions.text import keyword_match, whole_word_pattern
-
-# Characters of a keyword that the join looks up.
-GRAM = 4
+from brandpulse.functions.text import keyword_match, trie_pattern
 
 
 def _prepared(vocabulary, lower_keywords: bool):
@@ -53,38 +53,50 @@ def topics_expr(text, vocabulary=None, lower_keywords: bool = True, whole_word:
     return F.filter(F.array(*items), lambda x: x.isNotNull())
 
 
-def _char_grams(chars: Column, n: int) -> Column:
-    """Distinct runs of ``n`` characters of an array of characters."""
-    grams = chars
-    for k in range(1, n):
-        grams = F.zip_with(grams, F.slice(chars, k + 1, F.greatest(F.size(chars) - k, F.lit(0))), lambda a, b: F.concat(a, b))
-    return F.array_distinct(F.filter(grams, lambda g: g.isNotNull()))
-
-
-def _tag_by_join(df: DataFrame, text_col: str, vocab, whole_word: bool, out_col: str) -> DataFrame:
-    spark = df.sparkSession
+def _keyword_topics(vocab, whole_word: bool) -> dict[str, list[int]]:
+    """The topics of every keyword: its own and those of the keywords that begin it (as whole words,
+    if asked for)."""
+    own: dict[str, set[int]] = {}
+    for i, (_, kws) in enumerate(vocab):
+        for kw in kws:
+            own.setdefault(kw, set()).add(i)
+    out = {}
+    for kw in own:
+        heads = (kw[:n] for n in range(1, len(kw) + 1) if not whole_word or n == len(kw) or not kw[n].isalnum())
+        out[kw] = sorted(set().union(*[own.get(h, ()) for h in heads]))
+    return out
+
+
+def _looked_up(found: Column, topics: dict[str, list[int]]) -> Column:
+    """The topics of the keywords in ``found``. A keyword's bucket is its checksum's; a bucket holds
+    a few, so that looking one up takes the same time in any vocabulary."""
+    n = max(1, len(topics) // 2)
+    buckets: list[dict] = [{} for _ in range(n)]
+    for kw, ids in topics.items():
+        buckets[zlib.crc32(kw.encode()) % n][kw] = ids
+    table = F.from_json(F.lit(json.dumps(buckets)), "array<map<string,array<int>>>")   # folded into the plan
+    return F.flatten(F.transform(found, lambda k: F.try_element_at(F.get(table, F.pmod(F.crc32(k.cast("binary")), F.lit(n)).cast("int")), k)))
+
+
+def _tag_by_trie(df: DataFrame, text_col: str, vocab, whole_word: bool, out_col: str) -> DataFrame:
     topics = [t for t, _ in vocab]
-    words = [(kw[:GRAM], kw, whole_word_pattern(kw), i) for i, (_, kws) in enumerate(vocab) for kw in kws if kw]
-    always = sorted({i for i, (_, kws) in enumerate(vocab) if "" in kws})
-    if not words:
-        return df.withColumn(out_col, F.array(*[F.lit(topics[i]) for i in always]).cast("array<string>"))
-    anchors = spark.createDataFrame(words, "_gram string, _kw string, _pattern string, _topic int")
-    # grams travel with the text's key, not with the text; equal texts are looked up as one
-    keys = [F.xxhash64("_low").alias("_k"), F.length("_low").alias("_l")]
-    low = df.withColumn("_low", lowered_text(text_col))
-    lengths = sorted({len(w[0]) for w in words})
-    chars = low.select(*keys, F.split("_low", "").alias("_chars"))
-    grams = chars.select("_k", "_l", F.explode(F.flatten(F.array(*[_char_grams(F.col("_chars"), n) for n in lengths]))).alias("_gram"))
-    maybe = grams.join(anchors, "_gram").groupBy("_k", "_l").agg(
-        F.collect_set(F.struct("_kw", "_pattern", "_topic")).alias("_maybe"))
-    tagged = low.select("*", *keys).join(maybe, ["_k", "_l"], "left")
-    sure = F.filter(F.coalesce("_maybe", F.array().cast(maybe.schema["_maybe"].dataType)),
-                    lambda x: F.col("_low").contains(x["_kw"]) & (F.rlike(F.col("_low"), x["_pattern"]) if whole_word else F.lit(True)))
-    ids = F.transform(sure, lambda x: x["_topic"])
-    ids = F.sort_array(F.array_distinct(F.concat(ids, F.array(*[F.lit(i) for i in always]).cast("array<int>"))))
+    blank = keyword_match(F.col("_lowered_text"), "", whole_word)    # the empty keyword is in every text
+    always = F.array_compact(F.array(*[F.when(blank, F.lit(i)) for i, (_, kws) in enumerate(vocab) if "" in kws])).cast("array<int>")
+    known = _keyword_topics([(t, [k for k in kws if k]) for t, kws in vocab], whole_word)
+    if known:
+        firsts = "".join(sorted({"\\" + k[0] if k[0] in "[]^-&\\" else k[0] for k in known}))
+        edge = r"[\p{L}\p{N}]"
+        before, after = (f"(?<!{edge})", f"(?!{edge})") if whole_word else ("", "")
+        # a look ahead takes no characters, so keywords may overlap
+        pattern = f"{before}(?=[{firsts}])(?=({trie_pattern(known)}){after})"
+        found = F.array_distinct(F.regexp_extract_all(F.col("_lowered_text"), F.lit(pattern), F.lit(1)))
+        ids = F.concat(_looked_up(found, known), always)
+    else:
+        ids = always
     names = F.array(*[F.lit(t) for t in topics])
-    return (tagged.withColumn(out_col, F.transform(ids, lambda i: F.element_at(names, i + 1)))
-            .select(*[c for c in df.columns if c != out_col], out_col))
+    return (df.withColumn("_lowered_text", lowered_text(text_col))
+            .withColumn(out_col, F.transform(F.array_sort(F.array_distinct(ids)), lambda i: F.element_at(names, i + 1)))
+            .drop("_lowered_text"))
 
 
 def tag_topics(df: DataFrame, text_col: str = "content", vocabulary=None, lower_keywords: bool = True,
@@ -99,8 +111,8 @@ def tag_topics(df: DataFrame, text_col: str = "content", vocabulary=None, lower_
                 .withColumn(out_col, topics_expr(lc, vocab, lower_keywords=False, whole_word=whole_word,
                                                  already_lowered=True))
                 .drop(lc))
-    if method == "join":
-        return _tag_by_join(df, text_col, vocab, whole_word, out_col)
+    if method == "trie":
+        return _tag_by_trie(df, text_col, vocab, whole_word, out_col)
     raise ValueError(f"unknown method {method!r}")
 
 

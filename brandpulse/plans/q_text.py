@@ -258,10 +258,14 @@ def q_topic_tagging_whole_word(spark, sf_dir):
     return _tagged(spark, sf_dir, TEST_VOCABULARY, whole_word=True)
 
 
-@register("topic_tagging_automaton", "U5 J6 (large-vocabulary path)", _tagging_sql(TEST_VOCABULARY))
-def q_topic_tagging_automaton(spark, sf_dir):
-    """The join of character grams; the name is kept from the path it replaces."""
-    return _tagged(spark, sf_dir, TEST_VOCABULARY, method="join")
+@register("topic_tagging_trie", "U5 J6 (large-vocabulary path)", _tagging_sql(TEST_VOCABULARY))
+def q_topic_tagging_trie(spark, sf_dir):
+    return _tagged(spark, sf_dir, TEST_VOCABULARY, method="trie")
+
+
+@register("topic_tagging_trie_whole_word", "U5 J6 Q4 (large-vocabulary path, whole words)", _tagging_sql(TEST_VOCABULARY, whole_word=True))
+def q_topic_tagging_trie_whole_word(spark, sf_dir):
+    return _tagged(spark, sf_dir, TEST_VOCABULARY, whole_word=True, method="trie")
 
 
 # Rule: every ordered pair of these syllables is a keyword, 1,296 in all; a topic per first one.
@@ -273,7 +277,7 @@ LARGE_VOCABULARY = [(f"{a}-", [a + b for b in _SYLLABLES]) for a in _SYLLABLES]
 
 @register("topic_tagging_large_vocab", "U5 J6 (1,296 keywords)", _tagging_sql(LARGE_VOCABULARY))
 def q_topic_tagging_large_vocab(spark, sf_dir):
-    return _tagged(spark, sf_dir, LARGE_VOCABULARY, method="join")
+    return _tagged(spark, sf_dir, LARGE_VOCABULARY, method="trie")
 
 
 @register("topic_tagging_explode_counts", "U5 F19 A3", with_(TEXTS_CTE) + f"""

@@ -6,9 +6,9 @@ import tempfile
 import pytest
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-sys.path.insert(0, ROOT)
+sys.path[:0] = [ROOT, os.path.join(ROOT, "tests")]
 
-AS_OF = "2024-01-30 12:30:00"
+from clock import AS_OF  # noqa: E402
 
 
 @pytest.fixture(scope="session")

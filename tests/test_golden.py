@@ -1,6 +1,6 @@
 """Golden outputs on the seed rows (FIXTURES §6)."""
 
-from conftest import AS_OF
+from clock import AS_OF
 
 from brandpulse.operators import jobs as JB
 from brandpulse.operators import serving as SV

@@ -78,7 +78,7 @@ def test_building_a_batch_query_starts_no_job(spark):
     spark.sparkContext.setJobGroup("build-only", "no job may start")
     SE.score_sentiment(texts, lex)
     TP.tag_topics(texts)
-    TP.tag_topics(texts, method="join")
+    TP.tag_topics(texts, method="trie")
     JB.detect_shift_series(topic, "2024-01-10 00:00:00", "2024-01-12 00:00:00")
     SV.top_topics(topic, sentiment, AD.AS_OF)
     assert not spark.sparkContext.statusTracker().getJobIdsForGroup("build-only")

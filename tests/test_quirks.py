@@ -3,7 +3,7 @@
 import datetime as dt
 
 import pytest
-from conftest import AS_OF
+from clock import AS_OF
 from pyspark.sql import functions as F
 
 from brandpulse import schemas as S
@@ -90,10 +90,10 @@ def test_topics_in_vocabulary_order_once(spark):
     assert _tags(spark, None) == [] and _tags(spark, "nothing relevant") == []
 
 
-def test_gram_join_equals_expression(spark):
+def test_trie_equals_expression(spark):
     text = "Great support but the price; new feature and carbon neutral, CEO update"
-    assert _tags(spark, text, method="join") == _tags(spark, text, method="expr")
-    assert _tags(spark, text, method="join", whole_word=True) == _tags(spark, text, method="expr", whole_word=True)
+    assert _tags(spark, text, method="trie") == _tags(spark, text, method="expr")
+    assert _tags(spark, text, method="trie", whole_word=True) == _tags(spark, text, method="expr", whole_word=True)
 
 
 def _topic_rows(spark, rows):
