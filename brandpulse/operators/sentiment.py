@@ -8,32 +8,40 @@ Plan shape:
 
 1. per-post features computed in-row from the whole text (tokens, each token's three
    predecessors, ALL-CAPS differential, first "but", ``!`` and ``?`` counts);
-2. ``explode`` to one narrow row per token, which carries the post's key and never its text,
-   joined with the lexicon (statistics and AQE choose how);
-3. modifier rules as column arithmetic, one projection per rule;
+2. ``explode`` to one narrow row per token, which carries the post's key and never its text, and one
+   header row per post, which carries its counts; an *inner* join with the lexicon keeps the headers and the
+   tokens that have a valence. The lexicon's size is known (:func:`lexicon_frame`, or a
+   stored table), so Spark broadcasts it up to its threshold and shuffles it beyond;
+3. modifier rules as column arithmetic on what is left, one projection per rule;
 4. sums of numbers per key: a hash aggregate whose partial half collapses a post's tokens in
-   the task that made them, so about one narrow row per post is shuffled;
+   the task that made them, so about one narrow row per post is shuffled. Tokens without
+   valence are neutral: they are the header's count without the others;
 5. one join with the posts on the key.
 
+Terms of several words and symbols (":)", "to die for") are ``phrases``: the tokenizer takes the longest
+one at a place as one token, from left to right, so a phrase covers the words in it, and rules see
+it as the one word it stands for. Blanks in a phrase match any white space.
+:func:`phrase_terms` lists those of a lexicon.
+
 Tiers: 1 = lexicon sum + normalisation (SQL-checkable); 2 = + ALL-CAPS emphasis, degree
 words and negation over the three preceding tokens; 3 = + contrastive "but" and ``!``/``?``
 emphasis. The key is the id with a hash of the text, so rows that share an id but not a text
 are scored each by itself, and rows that share both get one score each.
-
-Terms of the lexicon that are not one token (several words, symbols) can't match a token;
-:func:`unmatched_terms` lists them.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from brandpulse import schemas as S
 from brandpulse.functions import scoring as SC
-from brandpulse.functions.text import count_char, tokens
+from brandpulse.functions.text import WORD_CHAR, count_char, tokens, trie_pattern
+
+SPACES = r"[ \t\r\n\f]+"
 
 
 @dataclass(frozen=True)
@@ -64,34 +72,50 @@ def _literal_map(d: dict) -> Column | None:
     return F.create_map(*kv)
 
 
-def _token_rows(posts: DataFrame, id_col: str, text_col: str, but_word: str = "but", tier: int = 3) -> DataFrame:
-    """One row per token with the post's key and its scalars.
+#: What stands for a post's header row in the lexicon: no token is empty.
+_HEADER = ""
+
+
+def _tokens(text: Column, phrases) -> Column:
+    """The tokens of a text; the longest phrase at a place is one, its white space single blanks."""
+    phrases = {" ".join(p.lower().split()) for p in phrases} - {""}
+    if not phrases:
+        return tokens(text)
+    inside = r"[\p{L}\p{N}']"
+    words = [p for p in phrases if WORD_CHAR.match(p[0])]
+    parts = [f"(?<!{inside}){trie_pattern(words, f'(?!{inside})', SPACES)}"] if words else []
+    if len(words) < len(phrases):
+        parts.append(trie_pattern(phrases.difference(words), f"(?!{inside})", SPACES))
+    found = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(f"(?iu)(?:{'|'.join(parts)})|{inside}+"), F.lit(0))
+    return F.transform(found, lambda t: F.regexp_replace(t, SPACES, " "))
+
+
+def _token_rows(posts: DataFrame, id_col: str, text_col: str, but_word: str = "but", tier: int = 3, phrases=()) -> DataFrame:
+    """One row per token with the post's key, and a header row per post (its
+    ``pos`` is minus the number of tokens, less one).
 
     Built in stages so that the token array is computed once per post, and every per-post
     value used after the explode is a number (an array column kept across ``explode`` would
     be copied into every token row)."""
     text = F.col(text_col)
-    base = posts.select(
-        F.col(id_col).alias("_id"), F.xxhash64(text).alias("_text"),
-        tokens(text).alias("_toks"),
-        count_char(text, "!").alias("_n_excl"),
-        count_char(text, "?").alias("_n_q"),
-    )
-    with_low = base.withColumn("_low", F.transform("_toks", F.lower))
-    n_caps = F.size(F.filter("_toks", lambda t: (t == F.upper(t)) & (t != F.lower(t))))
-    feats = with_low.select(
-        "*",
-        ((n_caps > 0) & (n_caps < F.size("_toks"))).alias("_cap_diff"),
-        (F.array_position(F.col("_low"), F.lit(but_word.lower())) - F.lit(1)).alias("_but_pos"),  # -1: none
-    )
+    base = posts.select(F.col(id_col).alias("_id"), F.xxhash64(text).alias("_text"), _tokens(text, phrases).alias("_toks"))
+    feats = base.withColumn("_low", F.transform("_toks", F.lower))
+    if tier >= 2:
+        n_caps = F.size(F.filter("_toks", lambda t: (t == F.upper(t)) & (t != F.lower(t))))
+        feats = feats.withColumns({
+            "_cap_diff": (n_caps > 0) & (n_caps < F.size("_toks")),
+            "_but_pos": F.array_position(F.col("_low"), F.lit(but_word.lower())) - F.lit(1)})  # -1: none
 
     def element(t, i):
         before = [F.get(F.col("_low"), i - k).alias(f"p{k}") for k in (1, 2, 3)] if tier >= 2 else []
         caps = [((t == F.upper(t)) & (t != F.lower(t))).alias("caps")] if tier >= 2 else []
         return F.struct(i.alias("pos"), F.get(F.col("_low"), i).alias("term"), *caps, *before)
 
-    return feats.select("_id", "_text", "_cap_diff", "_n_excl", "_n_q", "_but_pos",
-                        F.explode(F.transform("_toks", element)).alias("_t"))
+    none = F.lit(None).cast("string")
+    extra = [F.lit(False).alias("caps"), *[none.alias(f"p{k}") for k in (1, 2, 3)]] if tier >= 2 else []
+    header = F.array(F.struct((-F.size("_toks") - 1).alias("pos"), F.lit(_HEADER).alias("term"), *extra))
+    kept = ["_cap_diff", "_but_pos"] if tier >= 2 else []
+    return feats.select("_id", "_text", *kept, F.explode(F.concat(header, F.transform("_toks", element))).alias("_t"))
 
 
 def _adjusted_valence(df: DataFrame, rules: Rules, tier: int) -> DataFrame:
@@ -128,36 +152,37 @@ def _adjusted_valence(df: DataFrame, rules: Rules, tier: int) -> DataFrame:
 
 
 def score_sentiment(posts: DataFrame, lexicon: DataFrame, text_col: str = "content", id_col: str = "post_id",
-                    tier: int = 3, rules: Rules | None = None, details: bool = False) -> DataFrame:
+                    tier: int = 3, rules: Rules | None = None, details: bool = False, phrases=()) -> DataFrame:
     """``posts`` + ``sentiment_label``, ``sentiment_score`` (0..1), ``confidence``
-    (+ ``compound``, ``pos``, ``neu``, ``neg`` when ``details``)."""
+    (+ ``compound``, ``pos``, ``neu``, ``neg`` when ``details``). ``phrases``: the lexicon's terms that
+    are not one word, see :func:`phrase_terms`; without them such terms match nothing."""
     rules = rules or Rules()
-    lex = (lexicon.select(F.lower("term").alias("_term"), F.col("valence").alias("_valence"))
-           .groupBy("_term").agg(F.avg("_valence").alias("_valence")))
-    toks = _token_rows(posts, id_col, text_col, rules.but_word, tier)
-    scored = toks.join(lex, F.col("_t.term") == F.col("_term"), "left")
-    scored = scored.withColumn("_v", F.coalesce(F.col("_valence"), F.lit(0.0)))
-    scored = _adjusted_valence(scored, rules, tier)
+    term = F.regexp_replace(F.trim(F.lower("term")), SPACES, " ")
+    one = lexicon.groupBy(term.alias("_term")).agg(F.avg("valence").alias("_v")).where(F.col("_term") != _HEADER)
+    lex = one.unionByName(lexicon.sparkSession.range(1).select(F.lit(_HEADER).alias("_term"), F.lit(0.0).alias("_v")))
+    toks = _token_rows(posts, id_col, text_col, rules.but_word, tier, phrases)
+    scored = _adjusted_valence(toks.join(lex, F.col("_t.term") == F.col("_term")), rules, tier)
+    is_header = F.col("_t.pos") < 0
     # One row per key; numbers only, so both halves are hash aggregates.
     agg = (scored.groupBy("_id", "_text")
            .agg(F.sum("_v").alias("_s"),
                 F.sum(F.when(F.col("_v") > 0, F.col("_v") + F.lit(1.0)).otherwise(F.lit(0.0))).alias("_pos"),
                 F.sum(F.when(F.col("_v") < 0, F.col("_v") - F.lit(1.0)).otherwise(F.lit(0.0))).alias("_neg"),
-                F.count_if(F.col("_v") == 0).alias("_neu"), F.count(F.lit(1)).alias("_count"),
-                F.max("_n_excl").alias("_n_excl"), F.max("_n_q").alias("_n_q"),
-                F.count_if(F.col("_t.pos") == 0).alias("_rows")))
+                (F.sum(F.when(is_header, -F.col("_t.pos") - 1).otherwise(0)) - F.count_if(F.col("_v") != 0)).alias("_neu"),
+                F.count_if(is_header).alias("_rows")))
     # rows that repeat id and text are summed together: each has its share
-    agg = agg.select("_id", "_text", "_n_excl", "_n_q", *[(F.col(c) / F.col("_rows")).alias(c) for c in ("_s", "_pos", "_neg", "_neu")])
+    agg = agg.select("_id", "_text", *[(F.col(c) / F.col("_rows")).alias(c) for c in ("_s", "_pos", "_neg", "_neu")])
     base_cols = [c for c in posts.columns if c != id_col]
-    keyed = posts.withColumn("_hash", F.xxhash64(text_col))
+    # what the result needs of the text is worked out before the join, which moves it only if it is asked for
+    text = F.col(text_col)
+    keyed = posts.withColumns({"_hash": F.xxhash64(text), "_blank": SC.is_blank(text), "_n_excl": count_char(text, "!"), "_n_q": count_char(text, "?")})
     agg = keyed.join(agg, keyed[id_col].eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_text")), "left").select(
-        id_col, *base_cols, F.coalesce("_neu", F.lit(0.0)).alias("_neu"), F.coalesce("_n_excl", F.lit(0)).alias("_n_excl"),
-        F.coalesce("_n_q", F.lit(0)).alias("_n_q"), F.coalesce("_s", F.lit(0.0)).alias("_s"),
+        id_col, *base_cols, "_blank", "_n_excl", "_n_q", F.coalesce("_neu", F.lit(0.0)).alias("_neu"), F.coalesce("_s", F.lit(0.0)).alias("_s"),
         F.coalesce("_pos", F.lit(0.0)).alias("_pos"), F.coalesce("_neg", F.lit(0.0)).alias("_neg"))
     # Sums are snapped to a 1e-6 grid so that summation order (task layout) can change
     # neither the sign tests below nor the rounded outputs.
     snap = lambda c: SC.round_binary(c, 6)
-    agg = agg.select(id_col, *base_cols, "_neu", "_n_excl", "_n_q",
+    agg = agg.select(id_col, *base_cols, "_blank", "_neu", "_n_excl", "_n_q",
                      F.coalesce(snap(F.col("_s")), F.lit(0.0)).alias("_s"),
                      snap(F.col("_pos")).alias("_pos"), snap(F.col("_neg")).alias("_neg"))
     if tier >= 3:
@@ -169,16 +194,16 @@ def score_sentiment(posts: DataFrame, lexicon: DataFrame, text_col: str = "conte
                .otherwise(F.lit(rules.question_cap)))
         amp = ep + qp
         abs_neg = F.abs(neg_sum)
-        agg = agg.select(id_col, *base_cols, "_neu",
+        agg = agg.select(id_col, *base_cols, "_blank", "_neu",
                          snap(F.when(s > 0, s + amp).when(s < 0, s - amp).otherwise(s)).alias("_s"),
                          snap(F.when(pos_sum > abs_neg, pos_sum + amp).otherwise(pos_sum)).alias("_pos"),
                          snap(F.when(pos_sum < abs_neg, neg_sum - amp).otherwise(neg_sum)).alias("_neg"))
     compound = SC.round_binary(F.col("_s") / F.sqrt(F.col("_s") * F.col("_s") + F.lit(rules.alpha)), 4)
     total = F.col("_pos") + F.abs(F.col("_neg")) + F.col("_neu")
     share = lambda c: F.coalesce(SC.round_binary(F.abs(F.try_divide(c, total)), 3), F.lit(0.0))
-    joined = agg.select(id_col, *base_cols, compound.alias("compound"), share(F.col("_pos")).alias("pos"),
+    joined = agg.select(id_col, *base_cols, "_blank", compound.alias("compound"), share(F.col("_pos")).alias("pos"),
                         share(F.col("_neu")).alias("neu"), share(F.col("_neg")).alias("neg"))
-    blank = SC.is_blank(F.col(text_col))
+    blank = F.col("_blank")
     comp = F.coalesce(F.col("compound"), F.lit(0.0))
     label = F.when(blank, F.lit(S.BLANK_RESULT[0])).otherwise(SC.label_from_compound(comp))
     score = F.when(blank, F.lit(S.BLANK_RESULT[1])).otherwise(SC.rescale_compound(comp))
@@ -194,11 +219,19 @@ def score_sentiment(posts: DataFrame, lexicon: DataFrame, text_col: str = "conte
 
 
 def unmatched_terms(lexicon: DataFrame) -> DataFrame:
-    """The lexicon's terms that no token can equal: several words, symbols, blanks."""
+    """The lexicon's terms that no word can equal: several words, symbols, blanks."""
     t = tokens(F.lower(F.col("term")))
     return lexicon.where(F.col("term").isNotNull() & ((F.size(t) != 1) | (t[0] != F.lower(F.col("term")))))
 
 
+def phrase_terms(lexicon: DataFrame) -> list[str]:
+    """The phrases and symbols of a lexicon, for ``score_sentiment(phrases=...)``: part of its plan, as the
+    keywords of a vocabulary are."""
+    return sorted(r.term for r in unmatched_terms(lexicon).select("term").distinct().collect() if r.term.strip())
+
+
 def lexicon_frame(spark, rows) -> DataFrame:
-    """A lexicon DataFrame from ``(term, valence)`` pairs."""
-    return spark.createDataFrame([(str(t), float(v)) for t, v in rows], S.LEXICON)
+    """A lexicon DataFrame from ``(term, valence)`` pairs, of known size."""
+    rows = list(rows)
+    table = pa.table({"term": pa.array([str(t) for t, _ in rows], pa.string()), "valence": pa.array([float(v) for _, v in rows], pa.float64())})
+    return spark.createDataFrame(table)

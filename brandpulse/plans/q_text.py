@@ -113,7 +113,43 @@ TEST_RULES = SE.Rules(degree={"is": 0.293, "in": 0.293, "die": 0.293, "le": -0.2
                       negations=("a", "zu", "el", "un"), but_word="for")
 
 
-def _rules_sql(rows, rules: SE.Rules) -> str:
+_WORD_TOKENS_SQL = f"""
+tk AS (
+  SELECT post_id, coalesce(content, '') AS c,
+         list_filter(regexp_split_to_array(coalesce(content, ''), {_sql_str(TOKEN_SPLIT)}), lambda t: t <> '') AS toks
+  FROM texts
+),"""
+
+
+def _phrase_tokens_sql(phrases) -> str:
+    """Tokens with phrases, from pieces (a word or one other character, with the white space before it): matches
+    are runs of pieces, and a fold over a text's matches keeps those that begin behind the last one kept."""
+    values = ", ".join(f"({_sql_str(p)})" for p in phrases)
+    return rf"""
+ph(term) AS (VALUES {values}),
+phk AS (SELECT term, len(regexp_extract_all(term, '[ \t\r\n\f]*(?:[\p{{L}}\p{{N}}'']+|[^\p{{L}}\p{{N}}'' \t\r\n\f])')) AS k FROM ph),
+pcs AS (SELECT post_id, coalesce(content, '') AS c,
+               regexp_extract_all(coalesce(content, ''), '[ \t\r\n\f]*(?:[\p{{L}}\p{{N}}'']+|[^\p{{L}}\p{{N}}'' \t\r\n\f])') AS raw FROM texts),
+pcn AS (SELECT post_id, c, list_transform(raw, lambda x: regexp_replace(x, '^[ \t\r\n\f]+', ' ')) AS p FROM pcs),
+pos AS (SELECT post_id, unnest(generate_series(1, len(p))) AS i, p FROM pcn),
+hit AS (SELECT post_id, i, max(phk.k) AS k FROM pos, phk
+        WHERE lower(ltrim(array_to_string(p[i:i + phk.k - 1], ''))) = phk.term GROUP BY ALL),
+seq AS (SELECT post_id, list_prepend({{'i': 0::BIGINT, 'k': 0::BIGINT, 'e': 0::BIGINT, 'kept': []::BIGINT[]}},
+                 list({{'i': i::BIGINT, 'k': k::BIGINT, 'e': 0::BIGINT, 'kept': []::BIGINT[]}} ORDER BY i)) AS m FROM hit GROUP BY post_id),
+kept AS (SELECT post_id, unnest(list_reduce(m, lambda a, x: CASE WHEN x.i >= a.e
+           THEN {{'i': 0::BIGINT, 'k': 0::BIGINT, 'e': x.i + x.k, 'kept': list_append(a.kept, x.i)}} ELSE a END).kept) AS i FROM seq),
+took AS (SELECT post_id, i, k FROM kept JOIN hit USING (post_id, i)),
+cover AS (SELECT post_id, unnest(generate_series(i, i + k - 1)) AS i FROM took),
+toked AS (
+  SELECT post_id, i, ltrim(array_to_string(p[i:i + k - 1], '')) AS t FROM took JOIN pos USING (post_id, i)
+  UNION ALL
+  SELECT post_id, i, ltrim(p[i]) FROM pos ANTI JOIN cover USING (post_id, i) WHERE regexp_matches(ltrim(p[i]), '^[\p{{L}}\p{{N}}'']')
+),
+tkl AS (SELECT post_id, list(t ORDER BY i) AS toks FROM toked GROUP BY post_id),
+tk AS (SELECT post_id, c, coalesce(toks, []) AS toks FROM pcs LEFT JOIN tkl USING (post_id)),"""
+
+
+def _rules_sql(rows, rules: SE.Rules, tokens_sql: str = _WORD_TOKENS_SQL) -> str:
     """Tiers 2-3 in SQL: per-token steps in the same order and arithmetic as the Spark job."""
     r = rules
     f1, f2, f3 = (float(x) for x in r.distance_factors)
@@ -130,12 +166,7 @@ def _rules_sql(rows, rules: SE.Rules) -> str:
 , {_lexicon_values_sql(rows)},
 lexg AS (SELECT lower(term) AS term, avg(valence) AS valence FROM lex GROUP BY 1),
 deg(term, scalar) AS (VALUES {deg_values}),
-negs(term) AS (VALUES {neg_values}),
-tk AS (
-  SELECT post_id, coalesce(content, '') AS c,
-         list_filter(regexp_split_to_array(coalesce(content, ''), {_sql_str(TOKEN_SPLIT)}), lambda t: t <> '') AS toks
-  FROM texts
-),
+negs(term) AS (VALUES {neg_values}),{tokens_sql}
 tk2 AS (
   SELECT post_id, toks, list_transform(toks, lambda t: lower(t)) AS low,
          len(list_filter(toks, lambda t: t = upper(t) AND t <> lower(t))) AS n_caps,
@@ -215,6 +246,45 @@ def q_lexicon_sentiment_rules(spark, sf_dir):
         "post_id", "brand", "sentiment_label", "sentiment_score", "confidence", "compound")
 
 
+# Phrases and symbols, one within another, with texts that end in some of them.
+PHRASE_LEXICON = TEST_LEXICON + [
+    (":)", 2.0), (":-(", -1.9), ("to die for", 2.9), ("die", -2.9), ("die for", -1.1), ("of the", 1.3), ("of the th", -0.9),
+    ("and the", -1.2), ("!", 0.3), ("que la", 1.1), ("der und", 0.7), ("...", -0.4)]
+PHRASES = [t for t, _ in PHRASE_LEXICON if " " in t or not t[0].isalnum()]
+_ENDINGS = ["to die for :)", "Not TO  DIE\tfor!:-(", "to die, for", "die for of the the... :-)", ""]
+
+
+def _phrase_texts(spark, sf_dir):
+    t = AD.texts_table(spark, sf_dir)
+    ends = F.array(*[F.lit(e) for e in _ENDINGS])
+    at = (F.col("post_id").cast("long") % len(_ENDINGS)).cast("int")
+    return t.withColumn("content", F.concat_ws(" ", "content", F.get(ends, at)))
+
+
+_PHRASE_TEXTS_CTE = """
+texts AS (
+  SELECT CAST(doc_id AS VARCHAR) AS post_id, source, lang AS brand,
+         concat_ws(' ', text, [""" + ", ".join("'" + e.replace("\t", "' || chr(9) || '") + "'" for e in _ENDINGS) + f"""][doc_id % {len(_ENDINGS)} + 1]) AS content
+  FROM documents
+)"""
+
+
+@register("lexicon_sentiment_phrases", "U1 J6 tiers 1-3 (terms of several words and symbols)",
+          with_(_PHRASE_TEXTS_CTE) + _rules_sql(PHRASE_LEXICON, TEST_RULES, _phrase_tokens_sql(PHRASES)) + """
+SELECT post_id, brand,
+       CASE WHEN blank THEN 'NEUTRAL' WHEN c >= 0.05 THEN 'POSITIVE' WHEN c <= -0.05 THEN 'NEGATIVE'
+            ELSE 'NEUTRAL' END AS sentiment_label,
+       CASE WHEN blank THEN 0.5 ELSE (c + 1.0) / 2.0 END AS sentiment_score,
+       CASE WHEN blank THEN 0.0 ELSE greatest(pos, neu, neg) END AS confidence,
+       CASE WHEN blank THEN 0.0 ELSE c END AS compound
+FROM scored
+""")
+def q_lexicon_sentiment_phrases(spark, sf_dir):
+    lex = SE.lexicon_frame(spark, PHRASE_LEXICON)
+    return SE.score_sentiment(_phrase_texts(spark, sf_dir), lex, tier=3, rules=TEST_RULES, details=True, phrases=PHRASES).select(
+        "post_id", "brand", "sentiment_label", "sentiment_score", "confidence", "compound")
+
+
 # ------------------------------------------------------------------------------------ U5
 def _topics_sql(vocabulary, lower_keywords=True, whole_word=False) -> str:
     items = []

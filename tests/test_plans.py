@@ -90,3 +90,30 @@ def test_topic_explode_evaluates_tagging_once(spark):
     plan = catalog.REGISTRY["topic_tagging_explode_counts"].run(spark, SF)._jdf.queryExecution().optimizedPlan()
     filters = [l for l in plan.toString().splitlines() if "Filter" in l]
     assert not any("Contains" in l for l in filters)
+
+
+@pytest.mark.parametrize("name", ["lexicon_sentiment", "lexicon_sentiment_rules", "lexicon_sentiment_phrases", "label_distribution_by_lang"])
+def test_tokens_meet_the_lexicon_without_a_shuffle(spark, name):
+    df = catalog.REGISTRY[name].run(spark, SF)
+    df.write.format("noop").mode("overwrite").save()
+    df.collect()
+    plan = _plan(df)
+    final = plan.split("Initial Plan")[0]
+    exchanges = [x for x in final.splitlines() if "Exchange hashpartitioning" in x]
+    assert exchanges and not any("term" in x for x in exchanges)
+    # and what is joined back is narrow
+    assert not any("content" in x for x in final.splitlines() if "Exchange" in x)
+    assert "BroadcastHashJoin" in final
+
+
+def test_a_large_lexicon_is_shuffled(spark):
+    texts = AD.texts_table(spark, SF)
+    lex = SE.lexicon_frame(spark, [("the", 1.0)])
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    was = spark.conf.get(key)
+    spark.conf.set(key, -1)
+    try:
+        plan = _plan(SE.score_sentiment(texts, lex, tier=1))
+    finally:
+        spark.conf.set(key, was)
+    assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan

@@ -92,3 +92,29 @@ def test_no_python_in_plan(spark):
     plan = SE.score_sentiment(df, SE.lexicon_frame(spark, LEX), rules=RULES)._jdf.queryExecution() \
         .executedPlan().toString()
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+PHRASE_LEX = LEX + [(":)", 2.0), (":-))", 2.4), ("To  die for", 2.9), ("die", -2.9), ("die for", -1.0), ("for good", 1.5)]
+PHRASE_CASES = [
+    ("it is to die for", 2.9), ("to die,for", -2.9), ("to DIE\n for it", 2.9), ("die for good", -1.0 + 1.9), ("for good", 1.5),
+    ("fine:)", 2.0), ("fine :-)) :)", 2.4 + 2.0), (": )", 0.0), ("not to die for", 2.9 * -0.74), ("undie for", 0.0), ("never was a :)", 2.0 * -0.74),
+    ("very to die for", 2.9 + 0.293),
+]
+
+
+def test_phrases_are_single_tokens(spark):
+    lex = SE.lexicon_frame(spark, PHRASE_LEX)
+    phrases = SE.phrase_terms(lex)
+    assert phrases == [":)", ":-))", "To  die for", "die for", "for good"]
+    df = spark.createDataFrame([(str(i), t) for i, (t, _) in enumerate(PHRASE_CASES)], "post_id string, content string")
+    got = {r.post_id: r.compound for r in SE.score_sentiment(df, lex, tier=2, rules=RULES, details=True, phrases=phrases).collect()}
+    for i, (text, s) in enumerate(PHRASE_CASES):
+        assert got[str(i)] == pytest.approx(_compound(s), abs=1e-9), text
+
+
+def test_rows_that_repeat_share_their_sums(spark):
+    df = spark.createDataFrame([("1", "good"), ("1", "good"), ("1", "bad"), (None, "good day"), (None, "x"), ("2", None)], "post_id string, content string")
+    rows = SE.score_sentiment(df, SE.lexicon_frame(spark, LEX), tier=1, details=True).collect()
+    assert sorted((r.post_id or "", r.content or "", r.compound, r.neu) for r in rows) == [
+        ("", "good day", _compound(1.9), round(1 / 3.9, 3)), ("", "x", 0.0, 1.0), ("1", "bad", _compound(-2.5), 0.0),
+        ("1", "good", _compound(1.9), 0.0), ("1", "good", _compound(1.9), 0.0), ("2", "", 0.0, 0.0)]
