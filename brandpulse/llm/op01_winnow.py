@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from brandpulse.llm.common import documents, words, written
+from brandpulse.llm.common import ROW, boxed, documents, unboxed, words, written
 from brandpulse.llm.ordering import ordered, with_position
 
 K = 5
@@ -42,9 +42,16 @@ def _steps(n: int) -> list[int]:
 
 
 def fingerprint(df: DataFrame, text: str, out: str, k: int = K, w: int = W) -> DataFrame:
-    """Adds ``<out>_hashes`` and ``<out>_positions`` (arrays of bigint and int, by position)."""
+    """Adds ``<out>_hashes`` and ``<out>_positions`` (arrays of bigint and int, by position); columns
+    of these names are replaced, all others stay."""
+    new = f"{out}_hashes", f"{out}_positions"
+    return unboxed(_winnowed(boxed(df, F.col(f"`{text}`").alias("_t")), "_t", out, k, w), df.columns, *new)
+
+
+def _winnowed(d: DataFrame, text: str, out: str, k: int = K, w: int = W) -> DataFrame:
+    """:func:`fingerprint` of a frame whose column names are this module's."""
     g, v = "_grams", "_window"
-    d = df.withColumn(g, F.transform(words(F.col(text)), lambda x: F.xxhash64(x)))
+    d = d.withColumn(g, F.transform(words(F.col(text)), lambda x: F.xxhash64(x)))
     grams = F.when(F.size(g) == 0, 0).otherwise(F.greatest(F.size(g) - (k - 1), F.lit(1)))
     d = d.withColumn("_n", grams)
     for step in _steps(k):  # past the end there is nothing to add
@@ -84,33 +91,40 @@ def successors(docs: DataFrame) -> DataFrame:
     return t.join(after, "_pos").drop("_pos")
 
 
+_NEW = ("n_chars", "edited", "own_hashes", "own_positions", "next_hashes", "edited_hashes", "edited_positions")
+
+
 def edited(docs: DataFrame) -> DataFrame:
-    """Every row's text with its own and the next document's fingerprint and the edited text.
+    """The columns of ``docs`` (``doc_id, text``, others), each text's length and fingerprint, the next
+    document's hashes, the edited text and its fingerprint; input columns of those names are replaced.
 
     Of several rows with one id the smallest text stands for the id as the next document.
     Texts are shuffled once by id; what a document needs from the next, the start of its text
-    and its hashes, is sent to it.
+    and its hashes, is sent to it. Null ids count as one id that comes last, a null text is empty,
+    an empty table gives no rows.
     """
-    link = written(successors(docs), "winnow-link")
-    src = docs
-    if link.count() < docs.count():  # some ids occur more than once
-        src = docs.groupBy("doc_id").agg(F.min("text").alias("text"))
-    heard = link.select(F.col("next_id").alias("_id"), F.col("doc_id").alias("_to"), "half")
-    far = fingerprint(src.join(heard, src["doc_id"].eqNullSafe(F.col("_id"))), "text", "next")
-    sent = far.select("_to", F.substring("text", F.lit(1), F.col("half")).alias("_start"),
+    rows = boxed(docs, F.col("doc_id").alias("id"), F.coalesce("text", F.lit("")).alias("text"))
+    src = rows.select("id", "text")
+    link = written(successors(src.withColumnRenamed("id", "doc_id")), "winnow-link")
+    if link.count() < src.count():  # some ids occur more than once
+        src = src.groupBy("id").agg(F.min("text").alias("text"))
+    heard = link.select(F.col("next_id").alias("at"), F.col("doc_id").alias("to"), "half")
+    far = _winnowed(src.join(heard, src["id"].eqNullSafe(F.col("at"))), "text", "next")
+    sent = far.select("to", F.substring("text", F.lit(1), F.col("half")).alias("begin"),
                       F.array_distinct("next_hashes").alias("next_hashes"))
-    d = docs.join(sent, docs["doc_id"].eqNullSafe(F.col("_to"))).drop("_to")
+    d = rows.join(sent, rows["id"].eqNullSafe(F.col("to")))
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
     d = d.withColumn("n_chars", n.cast("long")).withColumn("edited", F.concat(
-        F.substring("text", F.lit(1), n - half), F.substring("_start", F.lit(1), half))).drop("_start")
-    return fingerprint(fingerprint(d, "text", "own"), "edited", "edited")
+        F.substring("text", F.lit(1), n - half), F.substring("begin", F.lit(1), half)))
+    d = _winnowed(_winnowed(d.select(ROW, "text", "n_chars", "edited", "next_hashes"), "text", "own"), "edited", "edited")
+    return unboxed(d, docs.columns, *_NEW)
 
 
 def op1_fingerprints(spark, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    d = edited(docs)
+    d = edited(documents(spark, sf_dir).select("doc_id", "text"))
     return d.select("doc_id", "n_chars", F.sha2(F.encode("edited", "utf-8"), 256).alias("edited_sha256"),
                     digest("own").alias("fingerprint"), digest("edited").alias("edited_fingerprint"),
                     likeness(F.col("own_hashes"), F.col("edited_hashes")).alias("near_edited"),
-                    likeness(F.col("own_hashes"), F.col("next_hashes")).alias("near_next"))
+                    likeness(F.col("own_hashes"), F.col("next_hashes")).alias("near_next"),
+                    F.col("own_hashes").alias("hashes"), F.col("own_positions").alias("positions"))

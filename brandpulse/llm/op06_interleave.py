@@ -8,7 +8,7 @@ differ by one at most. Texts never move: only ids, sizes and hashes are sorted.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from brandpulse.llm.common import ROW, boxed, documents, null_key, unboxed, written
@@ -42,9 +42,20 @@ def interleave(rows: DataFrame, stratum: Column, key: Column, shards: int = SHAR
     return unboxed(placed, rows.columns, "shard", "slot")
 
 
-def write_shards(rows: DataFrame, placed: DataFrame, key: str, path: str) -> None:
-    """Writes whole rows as one folder per shard, each file sorted by slot."""
-    out = rows.join(placed.select(key, "shard", "slot"), key)
+def write_shards(rows: DataFrame, stratum: str, key: str, path: str, shards: int = SHARDS, seed: int = SEED) -> None:
+    """Writes whole rows as one folder per shard, each file sorted by slot; ``shard`` and ``slot`` replace
+    input columns of those names.
+
+    Only the stratum, the key and a hash of each row are sorted. Rows meet their places by key, hash and, as rows
+    may repeat, a number among equals; so every row is written once, whatever its key."""
+    equal = Window.partitionBy("_k", "_h").orderBy(F.lit(0))
+    told = boxed(rows, F.col(f"`{stratum}`").alias("_s"), F.col(f"`{key}`").alias("_k"), F.xxhash64(F.struct(*[F.col(f"`{c}`") for c in rows.columns])).alias("_h"))
+    narrow = written(told.select("_s", "_k", "_h"), "interleave-rows")
+    placed = written(interleave(narrow, F.col("_s"), F.col("_k"), shards, seed), "interleave-placed")
+    places = placed.withColumn("_nth", F.row_number().over(equal)).alias("p")
+    whole = told.withColumn("_nth", F.row_number().over(equal)).alias("w")
+    same = F.col("w._k").eqNullSafe(F.col("p._k")) & (F.col("w._h") == F.col("p._h")) & (F.col("w._nth") == F.col("p._nth"))
+    out = unboxed(whole.join(places, same).select(ROW, "shard", "slot"), rows.columns, "shard", "slot")
     (out.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot")
      .write.partitionBy("shard").parquet(path))
 

@@ -4,8 +4,11 @@ The unknowns are how often each pattern (a multiset of piece lengths that fits a
 used; every length must be covered as often as it occurs. The program knows the corpus only
 through its histogram of lengths, so its size is bounded by the sequence length. It is solved by
 multiplicative weights: a length's price falls with the share of its demand that is covered, and
-a knapsack dynamic program prices the best pattern. Multiplicities are rounded down; what is
-left over is filled by the same pricing with each length's remaining count as its bound.
+a knapsack dynamic program prices the best pattern. Multiplicities are rounded down, the largest
+first, and the program is solved again for what is left, while that places much of it. The rest,
+of which there are too few pieces for a fractional solution to say anything, is filled by the same
+pricing with each length's remaining count as its bound, a pattern being used until a
+length of it runs out.
 
 The plan says, per length, which ranks go to which sequences and places. Ranks come from one
 range sort of the narrow rows; tasks look their rows up in the plan. Texts and ids never move.
@@ -29,6 +32,8 @@ CAPACITY = 1024
 #: Pricing rounds, how fast a covered length loses value, and the exponent of a length's first price
 #: (over 1, so that long lengths, which are hard to place, go first).
 ROUNDS, STEP, POWER = 256, 0.5, 1.2
+#: The program is solved again while rounding places at least this share of what was open.
+AGAIN = 0.1
 _RANKS = 40
 
 
@@ -70,45 +75,41 @@ def patterns(histogram: np.ndarray, rounds: int = ROUNDS) -> list[tuple[int, np.
         full[capacity] = 1
         out.append((int(need[capacity]), full))
         need[capacity] = 0
-    size = (np.arange(capacity + 1) / capacity) ** POWER
-    covered = np.zeros(capacity + 1)
-    used: dict[bytes, list] = {}
-    for _ in range(min(rounds, 2 * int((need > 0).sum()))):
-        price = size * np.exp(-STEP * covered)
-        pattern = best_pattern(price, _bounded(need, capacity), capacity)
-        at = np.flatnonzero(pattern)
-        share = (pattern[at] / need[at]).max()
-        covered[at] += pattern[at] / need[at] / share
-        used.setdefault(pattern.tobytes(), [0.0, pattern])[0] += 1 / share
-    if used:
-        level = max(covered[need > 0].max(), 1.0)  # no length is covered more than once at this scale
-        for times, pattern in used.values():
+    value = (np.arange(capacity + 1) / capacity) ** POWER
+    open_ = int(need.sum())
+    while need.any():
+        for times, pattern in _solved(need, value, rounds):
             at = np.flatnonzero(pattern)
-            whole = min(int(times / level), int((need[at] // pattern[at]).min()))
+            whole = min(int(times), int((need[at] // pattern[at]).min()))
             if whole > 0:
                 need -= whole * pattern
                 out.append((whole, pattern))
-    return out + _best_fit(need)
+        left = int(need.sum())
+        if open_ - left < AGAIN * open_:
+            break
+        open_ = left
+    while need.any():  # every turn uses up a length, or lowers its bound
+        pattern = best_pattern(value, _bounded(need, capacity), capacity)
+        at = np.flatnonzero(pattern)
+        times = int((need[at] // pattern[at]).min())
+        need -= times * pattern
+        out.append((times, pattern))
+    return out
 
 
-def _best_fit(need: np.ndarray) -> list[tuple[int, np.ndarray]]:
-    """Best-fit decreasing of what rounding leaves, on the histogram: sequences of one content
-    are filled together, so the work follows the number of lengths, not of pieces."""
+def _solved(need: np.ndarray, value: np.ndarray, rounds: int) -> list[tuple[float, np.ndarray]]:
+    """(times, pattern) of the program's fractional solution for ``need``, most used first."""
     capacity = len(need) - 1
-    room: list[list[tuple[int, np.ndarray]]] = [[] for _ in range(capacity + 1)]
-    for n in range(capacity, 0, -1):
-        left = int(need[n])
-        while left > 0:
-            at = next((r for r in range(n, capacity + 1) if room[r]), capacity)
-            times, pattern = room[at].pop() if room[at] else (left, np.zeros(capacity + 1, np.int64))
-            some = min(times, left)
-            if times > some:
-                room[at].append((times - some, pattern))
-            more = pattern.copy()
-            more[n] += 1
-            room[at - n].append((some, more))
-            left -= some
-    return [x for r in room for x in r]
+    covered = np.zeros(capacity + 1)
+    used: dict[bytes, list] = {}
+    for _ in range(min(rounds, 2 * int((need > 0).sum()))):
+        pattern = best_pattern(value * np.exp(-STEP * covered), _bounded(need, capacity), capacity)
+        at = np.flatnonzero(pattern)
+        share = (pattern[at] / need[at]).max()
+        covered[at] += pattern[at] / need[at] / share
+        used.setdefault(pattern.tobytes(), [0.0, pattern])[0] += 1 / share
+    level = max(covered[need > 0].max(), 1.0)  # no length is covered more than once at this scale
+    return sorted(((times / level, pattern) for times, pattern in used.values()), key=lambda x: -x[0])
 
 
 def plan(histogram: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -141,12 +142,13 @@ def pack(pieces: DataFrame, key: list[str], capacity: int = CAPACITY) -> DataFra
     histogram = np.zeros(capacity + 1, np.int64)
     for r in counted.collect():  # capacity rows at most
         histogram[r.length] = r.n
-    starts, sequences, offsets = spark.sparkContext.broadcast(plan(histogram)).value
+    sent = spark.sparkContext.broadcast(plan(histogram))
     first = np.cumsum(histogram) - histogram
     keyed = boxed(pieces, F.col("length"), *[F.col(c).alias(f"_key{i}") for i, c in enumerate(key)])
     t = with_position(ordered(keyed, [F.col("length"), *[F.col(f"_key{i}") for i in range(len(key))]], "pack-order"))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        starts, sequences, offsets = sent.value
         for b in batches:
             n = b.column(b.schema.get_field_index("length")).to_numpy()
             rank = b.column(b.schema.get_field_index("_pos")).to_numpy() - first[n]

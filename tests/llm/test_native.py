@@ -68,7 +68,12 @@ def test_fingerprint_query(spark, sf):
         text, add = docs[r.doc_id], docs[after[r.doc_id]]
         half = len(text) // 2
         assert r.edited_sha256 == hashlib.sha256((text[:len(text) - half] + add[:half]).encode()).hexdigest()
-        assert 0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1
+        if len(text) < 20_000:
+            own, new, near = _winnow(text), _winnow(text[:len(text) - half] + add[:half]), _winnow(add)
+            assert (r.hashes, r.positions) == own
+            for got, other in ((r.near_edited, new), (r.near_next, near)):
+                both = set(own[0]) | set(other[0])
+                assert got == (len(set(own[0]) & set(other[0])) / len(both) if both else 1.0)
     same = defaultdict(set)
     for r in rows:
         same[docs[r.doc_id]].add(r.fingerprint)
@@ -76,8 +81,17 @@ def test_fingerprint_query(spark, sf):
 
 
 def test_winnow_edges(spark, edge, empty):
-    rows = W.edited(edge.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))).collect()
+    odd = edge
+    for c in ("half", "_start", "_to", "_id", "_n", "_grams", "_window", "to", "at", "id", "begin", "edited", "next_id", "own_hashes"):
+        odd = odd.withColumn(c, F.lit("mine"))
+    d = W.edited(odd)
+    assert set(odd.columns) <= set(d.columns) and len(d.columns) == len(set(d.columns))
+    rows = d.collect()
     assert len(rows) == 11
+    assert all(r.half == r._n == r._grams == r.id == r.begin == "mine" and r.edited != "mine" for r in rows)
+    assert W.fingerprint(odd, "text", "f").select("_n", "_grams", "_window").distinct().count() == 1
+    none = spark.createDataFrame([(None, "a b c"), (None, None), (3, "d e f g"), (3, "d e f g"), (None, "a b c")], "doc_id long, text string")
+    assert W.edited(none).count() == 5
     assert W.edited(empty.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))).count() == 0
     one = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
     assert [r.edited for r in W.edited(one).collect()] == ["a a"]  # the only document is its own next
@@ -109,13 +123,49 @@ def test_interleave_edges(spark, edge, empty):
         I.interleave(edge, F.col("source"), F.col("doc_id"), shards=0)
 
 
-def test_interleave_writes_whole_shards(spark, sf):
+def _places(rows, shards, seed=I.SEED):
+    """Brute force of ranks within sources, fractional ranks and cuts: doc_id to (shard, slot)."""
+    def mixed(key):
+        h = xxhash.xxh64_intdigest(seed.to_bytes(4, "little"), seed=42)
+        h = xxhash.xxh64_intdigest(key.to_bytes(8, "little", signed=True), seed=h)
+        return h - (1 << 64) if h >> 63 else h
+
+    by = defaultdict(list)
+    for doc, source in rows:
+        by["n" if source is None else "s" + source].append((mixed(doc), doc))
+    line = sorted(((r + 0.5) / len(some), name, h, doc) for name, some in by.items() for r, (h, doc) in enumerate(sorted(some)))
+    out, total = {}, len(line)
+    for p, (_, _, _, doc) in enumerate(line):
+        s = p * shards // total
+        out[doc] = (s, p - (s * total + shards - 1) // shards)
+    return out
+
+
+def test_interleave_equals_brute_force(spark, sf):
+    docs = [(r.doc_id, r.source) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "source").collect()]
+    assert {r.doc_id: (r.shard, r.slot) for r in I.op6_sharding(spark, sf).collect()} == _places(docs, 8)
+    odd = [(i, [None, "", "a", "n"][i % 7 % 4]) for i in range(-40, 61)]
+    df = spark.createDataFrame(odd, "doc_id long, source string")
+    assert {r.doc_id: (r.shard, r.slot) for r in I.interleave(df, F.col("source"), F.col("doc_id"), 5).collect()} == _places(odd, 5)
+
+
+def test_interleave_writes_whole_shards(spark, sf, edge):
     from brandpulse.llm.common import shared_dir
     docs = spark.read.parquet(f"{sf}/documents.parquet")
-    placed = I.interleave(docs.select("doc_id", "source"), F.col("source"), F.col("doc_id"), shards=4)
     path = shared_dir(spark, "test-shards")
-    I.write_shards(docs, placed, "doc_id", path)
-    assert spark.read.parquet(path).groupBy("shard").count().count() == 4 and spark.read.parquet(path).count() == docs.count()
+    I.write_shards(docs, "source", "doc_id", path, shards=4)
+    got = spark.read.parquet(path)
+    assert got.groupBy("shard").count().count() == 4 and got.drop("shard", "slot").exceptAll(docs).count() == 0 and got.count() == docs.count()
+    assert {r.doc_id: (r.shard, r.slot) for r in got.collect()} == _places([(r.doc_id, r.source) for r in docs.collect()], 4)
+    # repeated and null keys, equal rows
+    rows = [(1, "a", "x"), (1, "a", "x"), (1, "b", "y"), (None, "a", "z"), (None, None, "z"), (None, None, None)]
+    path = shared_dir(spark, "test-shards")
+    I.write_shards(spark.createDataFrame(rows, "doc_id long, source string, text string"), "source", "doc_id", path, shards=2)
+    got = spark.read.parquet(path).collect()
+    assert Counter((r.doc_id, r.source, r.text) for r in got) == Counter(rows) and sorted((r.shard, r.slot) for r in got) == [(s, k) for s in (0, 1) for k in range(3)]
+    path = shared_dir(spark, "test-shards")
+    I.write_shards(edge, "source", "doc_id", path, shards=2)
+    assert spark.read.parquet(path).count() == 11
 
 
 def test_quality_matches_sql(spark, sf):

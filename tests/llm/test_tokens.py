@@ -104,6 +104,45 @@ def test_patterns_hold_every_piece_once(n):
     assert used <= least * 1.01 + 4
 
 
+def _fewest(sizes, capacity):
+    """The least number of sequences, by trying all."""
+    best = [len(sizes)]
+
+    def put(i, rooms):
+        if len(rooms) >= best[0]:
+            return
+        if i == len(sizes):
+            best[0] = len(rooms)
+            return
+        for k in range(len(rooms)):
+            if rooms[k] >= sizes[i] and rooms[k] not in rooms[:k]:
+                put(i + 1, rooms[:k] + [rooms[k] - sizes[i]] + rooms[k + 1:])
+        put(i + 1, [*rooms, capacity - sizes[i]])
+
+    put(0, [])
+    return best[0]
+
+
+def test_packing_against_brute_force():
+    rnd = random.Random(12)
+    more = 0
+    for _ in range(60):
+        capacity = rnd.choice([10, 17, 30])
+        sizes = sorted((rnd.randint(1, capacity) for _ in range(rnd.randint(1, 10))), reverse=True)
+        used = sum(t for t, _ in P.patterns(np.bincount(sizes, minlength=capacity + 1)))
+        least = _fewest(sizes, capacity)
+        assert least <= used <= least + 1
+        more += used - least
+    assert more <= 3
+
+
+def test_the_program_places_what_rounding_can_say(monkeypatch):
+    rng = np.random.default_rng(3)
+    h = np.bincount(np.clip(rng.lognormal(5.5, 0.8, 60_000).astype(int), 1, 1024), minlength=1025)
+    used = sum(t for t, _ in P.patterns(h))
+    assert used <= -(-int((h * np.arange(1025)).sum()) // 1024) * 1.0005 + 1
+
+
 def test_pricing_finds_the_best_pattern():
     rnd = random.Random(1)
     value = np.array([0.0] + [rnd.random() for _ in range(12)])
