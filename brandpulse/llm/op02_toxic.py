@@ -10,7 +10,9 @@ label explains:
   one number per voter; these numbers are fitted on the pairs that aren't correlated;
 * pairs whose covariance exceeds that product are correlated; they are left out of the fit, which
   is repeated, and a voter's evidence is divided among its correlated partners;
-* rates on the labelled sample enter as prior counts.
+* how often a voter's texts are those of others gives its precision, and with it both rates. A voter
+  that meets no other keeps the precision that all were chosen by. Labelled rows choose the
+  voters and give the class balance; their rates are kept beside the model's, but enter nothing.
 
 The model's posterior labels a bounded sample of unlabelled texts, and a linear classifier is
 trained on these posteriors with the words and beginnings most associated with them. Its score
@@ -46,8 +48,8 @@ MIN_PRECISION = 0.8
 MAX_OTHER = 0.05
 #: Covariance beyond the label's, as a correlation, from which two voters count as correlated.
 CORRELATED = 0.2
-#: Weight of the corpus estimate against labelled rows, in rows.
-PRIOR_ROWS = 50.0
+#: Co-firings that a voter's precision is assumed before any are counted.
+PRIOR_MET = 5.0
 DEFAULT_PRIOR = 0.1
 #: Insults of everyday English.
 LEXICON = (
@@ -171,16 +173,23 @@ class LabelModel:
             for _ in range(40):
                 top = (use * corr) @ load
                 load = np.clip(top / np.maximum(use @ (load ** 2), 1e-9), 0, 1) * 0.5 + load * 0.5
-        #: Covariance with the label is load * scale * sqrt(prior * (1 - prior)).
-        shift = load * scale
-        toxic = rate + shift * np.sqrt((1 - prior) / prior)
-        other = rate - shift * np.sqrt(prior / (1 - prior))
-        had = np.isfinite(counts[:, 0])
-        pos, neg = labelled * prior, labelled * (1 - prior)
-        c = np.where(had[:, None], counts, 0)
-        weight = np.where(had, 1.0, 0.0)
-        toxic = (np.clip(toxic, 0, 1) * PRIOR_ROWS + c[:, 0]) / (PRIOR_ROWS + weight * pos)
-        other = (np.clip(other, 0, 1) * PRIOR_ROWS + c[:, 1]) / (PRIOR_ROWS + weight * neg)
+        # Of n texts on which a voter fires, a part is toxic, its precision; the others that are free of it
+        # fire on these at their toxic rates, on the rest at their other rates. So the co-firings counted
+        # over the corpus tell the precision. All voters start from the one that they were chosen by.
+        # Voters that meet more seldom than by chance (those of two languages) are correlated too, the other way.
+        free = ~self.linked & ~own & (cov > 0)
+        met = (free * both).sum(1)
+        fired = np.diag(both)
+        sure = np.clip(MIN_PRECISION + 0 * load, 0, 1)
+        for _ in range(50):
+            toxic, other = np.minimum(sure * rate / prior, 0.98), (1 - sure) * rate / (1 - prior)
+            each = free @ np.maximum(toxic - other, 0)
+            new = (met - fired * (free @ other) + PRIOR_MET * MIN_PRECISION) / (fired * np.maximum(each, 0) + PRIOR_MET)
+            sure = 0.5 * sure + 0.5 * np.clip(new, 0.01, 0.995)
+        toxic, other = sure * rate / prior, (1 - sure) * rate / (1 - prior)
+        #: Rates that the labelled rows show, for comparison: they enter nothing (nan: not mined).
+        rows = np.array([labelled * prior, labelled * (1 - prior)])
+        self.seen = counts / np.maximum(rows, 1)
         self.toxic = np.clip(toxic, 2 / (n + 4), 0.98)
         self.other = np.clip(other, 0.5 / (n + 4), 0.98)
         # a voter that doesn't fire abstains; that none fires is one more piece of evidence, its
@@ -197,7 +206,6 @@ class LabelModel:
         out = np.full(len(corr), 0.1)
         for j, row in enumerate(corr):
             k = np.flatnonzero(row > 1e-3)
-            k = k[np.argsort(-row[k])][:64]
             of = corr[np.ix_(k, k)]
             ok = np.triu(of > 1e-3, 1)
             if ok.any():

@@ -300,10 +300,39 @@ def test_label_model_recovers_rates():
     model = T.LabelModel(votes.T @ votes, n, np.full((6, 2), np.nan), prior, 0)
     assert np.abs(model.toxic[:5] - toxic).max() < 0.06 and np.abs(model.other[:5] - other).max() < 0.03
     assert model.linked[0, 5] and not model.linked[0, 1]
+    # labelled rows that say the opposite change nothing but what is reported of them
+    wrong = np.c_[np.full(6, 3.0), np.full(6, 900.0)]
+    again = T.LabelModel(votes.T @ votes, n, wrong, prior, 1000)
+    assert np.array_equal(again.toxic, model.toxic) and np.array_equal(again.other, model.other)
+    assert np.allclose(again.seen, [3 / 200, 900 / 800])
     one = model.posterior(np.array([[1, 0, 0, 0, 0, 0], [1, 0, 0, 0, 0, 1], [0, 0, 0, 0, 0, 0.0]]))
     assert one[1] < one[0] + 0.05 and one[2] < prior
 
 
+def test_label_model_knows_nothing_of_independent_voters():
+    rng = np.random.default_rng(4)
+    n, prior = 80_000, 0.1
+    rate = np.array([0.05, 0.1, 0.08, 0.06, 0.12, 0.09])
+    votes = (rng.random((n, 6)) < rate).astype(float)
+    labels = np.c_[rate * 120, rate * 20]  # as if nearly all that fires were toxic
+    model = T.LabelModel(votes.T @ votes, n, labels, prior, 1200)
+    sure = model.toxic * prior / (model.toxic * prior + model.other * (1 - prior))
+    assert (sure < 0.3).all() and (model.posterior(np.eye(6)) < 0.5).all()
+
+
+def test_label_model_with_two_languages():
+    rng = np.random.default_rng(5)
+    n, prior = 80_000, 0.1
+    y, second = rng.random(n) < prior, rng.random(n) < 0.2
+    toxic = np.where(second[:, None], [0, 0, 0, 0, 0.3, 0.4, 0.2, 0.3], [0.3, 0.25, 0.4, 0.2, 0, 0, 0, 0])
+    votes = (rng.random((n, 8)) < np.where(y[:, None], toxic, 0.002)).astype(float)
+    model = T.LabelModel(votes.T @ votes, n, np.full((8, 2), np.nan), prior, 0)
+    sure = model.toxic * prior / (model.toxic * prior + model.other * (1 - prior))
+    assert (sure > 0.75).all()
+    q = model.posterior(votes)
+    assert ((q > 0.5) == y)[votes.any(1)].mean() > 0.8
+
+
 def test_toxicity_edges(spark, edge, empty):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     rows = T.score(edge, none).collect()
