@@ -52,9 +52,12 @@ def hours_before(as_of_col: Column, hours: float) -> Column:
 def within_last(df: DataFrame, time_col: str, as_of, hours: float) -> Column:
     """P5: ``as_of - hours <= time_col <= as_of``. The dashboards bound the range from below
     alone because their clock is the server's, past every stored row; with an explicit clock
-    the upper bound keeps later rows out."""
+    the upper bound keeps later rows out. A table in day partitions of ``time_col`` is read from those days alone."""
     a = as_of_for(df, time_col, as_of)
-    return (F.col(time_col) >= hours_before(a, hours)) & (F.col(time_col) <= a)
+    low = hours_before(a, hours)
+    inside = (F.col(time_col) >= low) & (F.col(time_col) <= a)
+    day = f"{time_col}_day"
+    return inside & F.col(day).between(F.to_date(low), F.to_date(a)) if day in df.columns else inside
 
 
 def in_band(df: DataFrame, time_col: str, as_of, start_minutes: float, end_minutes: float) -> Column:

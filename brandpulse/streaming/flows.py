@@ -4,10 +4,10 @@ Hop 1 — ``start_ingest`` (S1 S2 S6 S10 T4 T5 T6 T9-T11, U1 U5 in the batch bod
     source -> decode -> watermark on ingest time -> ``dropDuplicatesWithinWatermark``
     (post ids seen within the horizon are dropped, in the RocksDB state store; malformed
     rows are keyed by their text, so equal ones within the horizon are kept once) ->
-    ``foreachBatch``: persist once, then write quarantine, bronze, silver.sentiment and
-    silver.topic. Every write goes to its own ``batch_id=N`` folder and is skipped when
-    that folder is already committed, so a replayed batch never writes twice, and the
-    folders stay append-only for the next hop's file source. Errors propagate (Q6):
+    ``foreachBatch``: persist once, then publish quarantine, bronze, its key index, silver.sentiment
+    and silver.topic, the last two in day partitions. Every write is one ``batch_id=N`` folder that appears
+    whole and is skipped if it is there (:mod:`brandpulse.sources.layout`), so a replayed batch never writes
+    twice, and folders stay append-only for the next hop's file source. Errors propagate (Q6):
     a failed batch is retried, never committed half-done.
 
 Hop 2 — ``start_window_counts`` (A8 T1 T2 T3): a file stream over silver.sentiment,
@@ -23,42 +23,32 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.utils import AnalysisException
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from brandpulse import schemas as S
 from brandpulse.functions import time as TM
 from brandpulse.operators import sentiment as SE
 from brandpulse.operators import topics as TP
 from brandpulse.sources import ingest as IN
+from brandpulse.sources import layout as LY
+from brandpulse.sources import tables as TB
 
-BATCH_COL = "batch_id"
+BATCH_COL = LY.BATCH_COL
 
 
-def with_batch_col(schema: T.StructType) -> T.StructType:
-    return T.StructType(list(schema.fields) + [T.StructField(BATCH_COL, T.LongType())])
+def with_batch_col(schema: T.StructType, time_col: str | None = None) -> T.StructType:
+    day = [T.StructField(LY.day_column(time_col), T.DateType())] if time_col else []
+    return T.StructType([*schema.fields, T.StructField(BATCH_COL, T.LongType()), *day])
 
 
-SENTIMENT_STREAM = with_batch_col(S.SENTIMENT)
-TOPIC_STREAM = with_batch_col(S.TOPIC)
+SENTIMENT_STREAM = with_batch_col(S.SENTIMENT, "created_at")
+TOPIC_STREAM = with_batch_col(S.TOPIC, "created_at")
 
 
-def _committed(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.text(f"{path}/_SUCCESS").schema
-        return True
-    except AnalysisException:
-        return False
-
-
-def write_batch_folder(df: DataFrame, root: str, batch_id: int) -> bool:
-    """Write ``df`` to ``root/batch_id=N`` unless that folder is already committed.
-    Returns whether it wrote. Readers see ``batch_id`` as a partition column."""
-    target = f"{root.rstrip('/')}/{BATCH_COL}={int(batch_id)}"
-    if _committed(df.sparkSession, target):
-        return False
-    df.write.mode("overwrite").parquet(target)
-    return True
+def write_batch_folder(df: DataFrame, root: str, batch_id: int, time_col: str | None = None) -> bool:
+    """Publishes ``df`` as ``root/batch_id=N`` unless that batch is committed. Returns whether it
+    wrote. Readers see ``batch_id`` (and the day of ``time_col``) as partition columns."""
+    return LY.write_batch(df, root, batch_id, time_col)
 
 
 def window_counts(df: DataFrame, time_col: str = "created_at", width: str = S.STREAM_WINDOW,
@@ -74,37 +64,27 @@ def window_counts(df: DataFrame, time_col: str = "created_at", width: str = S.ST
                     "count", "avg_sentiment_score", source_col)
 
 
-def _bronze_ids(spark: SparkSession, path: str, batch_id: int) -> DataFrame | None:
-    """Post ids that batches before ``batch_id`` wrote, or None if there is no table yet."""
-    schema = T.StructType([T.StructField("post_id", T.StringType()), T.StructField(BATCH_COL, T.LongType())])
-    try:
-        stored = spark.read.schema(schema).parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
-    return stored.filter(F.col(BATCH_COL) < int(batch_id)).select("post_id").distinct()
-
-
 def _fan_out(base: str, lexicon: DataFrame, vocabulary, tier: int, rules, now):
     def run(batch: DataFrame, batch_id: int) -> None:
         b = batch.persist()          # one evaluation of the micro-batch feeds every write
-        staged = None
+        staged = kept = None
         try:
             if b.isEmpty():          # P12: an empty micro-batch writes nothing
                 return
             good, bad = IN.split_quarantine(b)
             # Bronze is the authority on what has been ingested: posts of earlier batches are
-            # dropped however long ago they came. Only the ids are read.
-            known = _bronze_ids(b.sparkSession, f"{base}/bronze", batch_id)
+            # dropped however long ago they came. Only index folders that may hold them are read.
+            known = LY.known_keys(good.select("post_id"), f"{base}/bronze_keys", batch_id)
             if known is not None:
-                good = good.join(known, "post_id", "left_anti")
+                good = good.join(known.select(F.col("key").alias("post_id")), "post_id", "left_anti")
+            kept = good.persist()
             write_batch_folder(bad.select("raw", "ingested_at"), f"{base}/quarantine", batch_id)
             write_batch_folder(
-                good.select("post_id", "source", "title", "content", "author", "url", "created_at",
+                kept.select("post_id", "source", "title", "content", "author", "url", "created_at",
                             "ingested_at", F.col("raw").alias("raw_metadata"), "brand"),
                 f"{base}/bronze", batch_id)
-            posts = good.select("post_id", "content", "source", "brand", "created_at", "ingested_at")
+            LY.index_keys(kept.select("post_id"), f"{base}/bronze_keys", batch_id)
+            posts = kept.select("post_id", "content", "source", "brand", "created_at", "ingested_at")
             scored = SE.score_sentiment(posts, lexicon, tier=tier, rules=rules)
             sentiment = scored.select(
                 "post_id", "content", "sentiment_label", "sentiment_score", "confidence",
@@ -113,15 +93,16 @@ def _fan_out(base: str, lexicon: DataFrame, vocabulary, tier: int, rules, now):
             # Scored rows are kept once and feed both silver tables; a lost block is
             # recomputed from the persisted batch (deterministic: fixed clock, pure scoring).
             staged = sentiment.persist()
-            write_batch_folder(staged, f"{base}/silver_sentiment", batch_id)
+            write_batch_folder(staged, f"{base}/silver_sentiment", batch_id, "created_at")
             topics = TP.explode_topics(TP.tag_topics(staged, vocabulary=vocabulary))
             write_batch_folder(
                 topics.select("post_id", "topic", "confidence", "sentiment_score", "analyzed_at",
                               "created_at", "brand"),
-                f"{base}/silver_topic", batch_id)
+                f"{base}/silver_topic", batch_id, "created_at")
         finally:
-            if staged is not None:
-                staged.unpersist()
+            for d in (staged, kept):
+                if d is not None:
+                    d.unpersist()
             b.unpersist()
     return run
 
@@ -170,6 +151,74 @@ def start_window_counts(spark: SparkSession, silver_sentiment: str, out_path: st
             .trigger(**(trigger or {"availableNow": True})).start())
 
 
+MINUTE_KEY = ["hour_bucket", "sentiment_label", "source"]
+
+
+def _merge_counts(out_path: str):
+    """Replaces the groups of a micro-batch in the stored table. An update row holds its group's whole
+    aggregate, so merging a replayed batch again changes nothing. A null label or source is stored as the empty text."""
+    def run(batch: DataFrame, batch_id: int) -> None:
+        rows = batch.withColumns({k: F.coalesce(k, F.lit("")) for k in MINUTE_KEY[1:]}).withColumn(LY.day_column("hour_bucket"), F.to_date("hour_bucket"))
+        b = rows.persist()
+        try:
+            if not b.isEmpty():
+                TB.upsert_table(b.sparkSession, b, out_path, MINUTE_KEY, [LY.day_column("hour_bucket")])
+        finally:
+            b.unpersist()
+    return run
+
+
+def start_window_counts_update(spark: SparkSession, silver_sentiment: str, out_path: str, checkpoint: str,
+                               width: str = S.STREAM_WINDOW, watermark: str = S.STREAM_WATERMARK,
+                               query_name: str | None = "brandpulse_window_updates",
+                               trigger: dict | None = None, max_files_per_trigger: int | None = None) -> StreamingQuery:
+    """Hop 2 in update mode: every window that changed is merged into a keyed table at once, so the table
+    holds open windows too (T3 emits them only when the watermark has passed them)."""
+    r = spark.readStream.schema(SENTIMENT_STREAM)
+    if max_files_per_trigger is not None:
+        r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    w = window_counts(r.parquet(silver_sentiment), watermark=watermark, width=width).writeStream.outputMode("update")
+    if query_name:
+        w = w.queryName(query_name)
+    return (w.option("checkpointLocation", checkpoint).foreachBatch(_merge_counts(out_path))
+            .trigger(**(trigger or {"availableNow": True})).start())
+
+
+class BatchMetrics(StreamingQueryListener):
+    """Keeps the figures that a query observes (``rows``, ``valid_rows``) as a table, one row per
+    micro-batch that had input. Rows wait on the driver until :meth:`flush` appends them."""
+
+    SCHEMA = "query string, run_id string, batch_id long, at string, observed string, rows long, valid_rows long"
+
+    def __init__(self, path: str):
+        self.path = path
+        self.waiting: list[tuple] = []
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        for name, row in (p.observedMetrics or {}).items():
+            figures = row.asDict()
+            if figures.get("rows"):
+                self.waiting.append((p.name, str(p.runId), int(p.batchId), p.timestamp, name, int(figures["rows"]), int(figures.get("valid_rows", 0))))
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+    def flush(self, spark: SparkSession) -> int:
+        """Appends what waits, once the listener bus has delivered it."""
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(60_000)
+        rows, self.waiting = self.waiting, []
+        if rows:
+            spark.createDataFrame(rows, self.SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
+        return len(rows)
+
+
 def start_console(source: DataFrame, rows: int = 5, query_name: str = "brandpulse_console",
                   checkpoint: str | None = None, trigger: dict | None = None) -> StreamingQuery:
     """A second, independent query printing decoded posts (5 rows, untruncated)."""
