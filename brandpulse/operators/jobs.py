@@ -136,11 +136,10 @@ def detect_shift_series(topic: DataFrame, start, end, step_minutes: float = 60,
     Rows are then combined to (topic, bucket), a bucket being as wide as the greatest common
     divisor of the step and the band limits; every band is a run of whole buckets. Only
     buckets are routed to the grid points whose bands contain them — no cross join with the grid.
-    Runs on the grid cannot suppress each other when ``step > cooldown``; alerts already
-    in ``alerts`` suppress the grid points within ``cooldown`` after them.
+    Alerts already in ``alerts`` suppress the grid points within ``cooldown`` after them. With
+    ``step <= cooldown`` runs suppress each other too: of a topic's candidates, in time order, one is
+    kept if the last one kept is further back than the cool-down, as in runs made one after another.
     """
-    if step_minutes <= cooldown_minutes:
-        raise ValueError("step_minutes must exceed cooldown_minutes: closer runs depend on each other's output")
     dtype = TM.col_type(topic, time_col)
     s0 = TM._as_text(start)
     step = int(round(step_minutes * 60e6))          # microseconds
@@ -198,7 +197,24 @@ def detect_shift_series(topic: DataFrame, start, end, step_minutes: float = 60,
                            .alias("detected_at"))
                    .distinct())
         out = out.join(blocked, ["affected_topic", "detected_at"], "left_anti")
-    return out
+    return _kept_in_turn(out, cooldown_minutes) if step_minutes <= cooldown_minutes else out
+
+
+def _kept_in_turn(candidates: DataFrame, cooldown_minutes: float) -> DataFrame:
+    """The alerts that runs made one after another would raise: a fold over each topic's candidates,
+    which are no more than the grid has points."""
+    row = F.struct("detected_at", *[c for c in candidates.columns if c not in ("detected_at", "affected_topic")])
+    by = candidates.groupBy("affected_topic").agg(F.array_sort(F.collect_list(row)).alias("_rows"))
+    kind = by.schema["_rows"].dataType
+    gap = F.lit(_dt.timedelta(minutes=cooldown_minutes))
+    none = F.array().cast(kind)
+
+    def step(kept, x):
+        last = F.try_element_at(kept, F.lit(-1))["detected_at"]
+        return F.when((F.size(kept) == 0) | (x["detected_at"] > last + gap), F.concat(kept, F.array(x))).otherwise(kept)
+
+    kept = by.select("affected_topic", F.explode(F.aggregate("_rows", none, step)).alias("_r"))
+    return kept.select("affected_topic", "_r.*").select(*candidates.columns)
 
 
 # ------------------------------------------------------------------------------------ A12 W3
@@ -224,15 +240,7 @@ def topic_daily_stats(topic: DataFrame, eps: float = 0.05, time_col: str = "crea
     return g.withColumn("sentiment_trend", trend)
 
 
-# ------------------------------------------------------------------------------------ A14
-def with_row_count(df: DataFrame, name: str = "rows"):
-    """Attach an ``Observation`` counting the rows that flow through ``df`` when it is
-    written (no extra job). Returns ``(df, observation)``; read ``observation.get`` after the write."""
-    from pyspark.sql import Observation
-    obs = Observation(name)
-    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
-
-
+# ------------------------------------------------------------------------------------ P3
 def stamp(df: DataFrame, column: str, as_of, dtype: T.DataType | None = None) -> DataFrame:
     """Add a fixed clock column (``computed_at``, ``analyzed_at``...)."""
     return df.withColumn(column, TM.ts_lit(as_of, dtype or T.TimestampType()))

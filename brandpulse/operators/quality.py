@@ -94,6 +94,34 @@ def constraint_report(df: DataFrame, rules: list[Rule]) -> DataFrame:
     return out
 
 
+def violations(df: DataFrame, rules: list[Rule], key: str) -> DataFrame:
+    """One row ``(rule, key, value)`` per violation; ``key`` names the rows of ``df``.
+
+    All row rules are one array per row, emptied of what holds before it is exploded: any number of
+    rules is one pass over the table. A UNIQUE rule gives a row per repeated key (``value``: its number of
+    rows), a foreign key one per orphan.
+    """
+    text = lambda c: F.col(c).cast("string")
+    parts = []
+    row_rules = [r for r in rules if r.kind in ("not_null", "max_length", "in_set")]
+    if row_rules:
+        every = F.array(*[F.when(_row_violation(r), F.struct(F.lit(f"{r.kind}({r.label})").alias("rule"), text(key).alias("key"),
+                                                             text(r.columns[0]).alias("value"))) for r in row_rules])
+        parts.append(df.select(F.explode(F.array_compact(every)).alias("_v")).select("_v.*"))
+    for r in rules:
+        name = F.lit(f"{r.kind}({r.label})").alias("rule")
+        if r.kind == "unique":
+            parts.append(duplicate_keys(df, r.columns).select(name, F.concat_ws("|", *[text(c) for c in r.columns]).alias("key"),
+                                                              F.col("rows").cast("string").alias("value")))
+        elif r.kind == "foreign_key":
+            parent, pcol = r.arg
+            parts.append(orphans(df, parent, r.columns[0], pcol).select(name, text(key).alias("key"), text(r.columns[0]).alias("value")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def apply_defaults(df: DataFrame, defaults: dict[str, Column]) -> DataFrame:
     """Fill NULLs with column defaults on write (a server default never applies to an
     explicit NULL; this does, which is what the tables' NOT NULL columns need)."""

@@ -79,6 +79,8 @@ def kpi_summary(sentiment: DataFrame, as_of, hours: float = 24, brand: str | Non
         "positive_pct",
         SC.kpi_band("score_unweighted").alias("kpi_band"),
         F.format_number(F.coalesce(F.col("total_mentions"), F.lit(0).cast("long")), 0).alias("total_mentions_text"),
+        F.format_string("%.2f", F.round("score_unweighted", 6)).alias("score_text"),
+        F.concat(F.format_string("%.1f", F.col("positive_pct")), F.lit("%")).alias("positive_text"),
     )
 
 

@@ -12,7 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from brandpulse.plans import q_ingest, q_jobs, q_serving, q_text  # noqa: F401  (registration side effects)
+from brandpulse.plans import q_ingest, q_jobs, q_serving, q_storage, q_text  # noqa: F401  (registration side effects)
 from brandpulse.plans.registry import REGISTRY, Query  # noqa: F401
 
 

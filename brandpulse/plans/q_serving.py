@@ -7,19 +7,20 @@ from pyspark.sql import functions as F
 from brandpulse.operators import serving as SV
 from brandpulse.plans import adapters as AD
 from brandpulse.plans.oracle import AS_OF_SQL, REANALYZED_CTE, SENTIMENT_CTE, TOPIC_CTE, with_
-from brandpulse.plans.registry import AS_OF, BRAND, register
+from brandpulse.plans.registry import AS_OF, BRAND, positioned, register
 from brandpulse.plans.registry import window_sql as _window_sql
 
 # ======================================================================== serving
 @register("sentiment_overview", "A1 W1 P5 P8 F3 L1", with_(SENTIMENT_CTE) + f"""
 SELECT sentiment_label, count(*) AS count, round(avg(sentiment_score), 3) AS avg_score,
-       round(CAST(count(*) AS DOUBLE) * 100 / sum(count(*)) OVER (), 1) AS percentage
+       round(CAST(count(*) AS DOUBLE) * 100 / sum(count(*)) OVER (), 1) AS percentage,
+       row_number() OVER (ORDER BY count(*) DESC, sentiment_label)::INT AS position
 FROM sentiment
 WHERE {_window_sql('analyzed_at', 168)} AND brand = '{BRAND}'
 GROUP BY sentiment_label
 """)
 def q_sentiment_overview(spark, sf_dir):
-    return SV.sentiment_overview(AD.sentiment_table(spark, sf_dir), AS_OF, hours=168, brand=BRAND)
+    return positioned(SV.sentiment_overview(AD.sentiment_table(spark, sf_dir), AS_OF, hours=168, brand=BRAND))
 
 
 @register("sentiment_last24h_view", "A1 S12", with_(SENTIMENT_CTE) + f"""
@@ -36,13 +37,14 @@ def q_sentiment_last24h_view(spark, sf_dir):
 
 @register("sentiment_hourly_series", "A2 F2", with_(SENTIMENT_CTE) + f"""
 SELECT date_trunc('hour', analyzed_at) AS hour, sentiment_label, count(*) AS count,
-       round(avg(sentiment_score), 3) AS avg_score
+       round(avg(sentiment_score), 3) AS avg_score,
+       row_number() OVER (ORDER BY date_trunc('hour', analyzed_at) DESC, sentiment_label)::INT AS position
 FROM sentiment
 WHERE {_window_sql('analyzed_at', 720)} AND brand = '{BRAND}'
 GROUP BY 1, 2
 """)
 def q_sentiment_hourly_series(spark, sf_dir):
-    return SV.hourly_series(AD.sentiment_table(spark, sf_dir), AS_OF, hours=720, brand=BRAND)
+    return positioned(SV.hourly_series(AD.sentiment_table(spark, sf_dir), AS_OF, hours=720, brand=BRAND))
 
 
 @register("sentiment_trend", "A10 Q14", with_(SENTIMENT_CTE) + f"""
@@ -74,7 +76,9 @@ SELECT round(avg(avg_score), 6) AS score_unweighted, round(sum(s) / sum(n), 6) A
        CAST(coalesce(sum(count), 0) AS BIGINT) AS total_mentions,
        coalesce(max(CASE WHEN sentiment_label = 'POSITIVE' THEN percentage END), 0.0) AS positive_pct,
        CASE WHEN avg(avg_score) > 0.6 THEN 'good' WHEN avg(avg_score) > 0.4 THEN 'mid' ELSE 'bad' END AS kpi_band,
-       format('{{:,}}', CAST(coalesce(sum(count), 0) AS BIGINT)) AS total_mentions_text
+       format('{{:,}}', CAST(coalesce(sum(count), 0) AS BIGINT)) AS total_mentions_text,
+       printf('%.2f', round(avg(avg_score), 6)) AS score_text,
+       printf('%.1f', coalesce(max(CASE WHEN sentiment_label = 'POSITIVE' THEN percentage END), 0.0)) || '%' AS positive_text
 FROM g
 """)
 def q_kpi_summary(spark, sf_dir):
@@ -110,12 +114,13 @@ def q_top_topics(spark, sf_dir):
 @register("topic_bubble", "A3 F7 F11 L6", with_(SENTIMENT_CTE, TOPIC_CTE) + f"""
 , tt AS ({_top_topics_sql("sentiment", 10)})
 SELECT topic, mentions, avg_sentiment, round(sqrt(mentions) * 3, 6) AS bubble_size,
-       CASE WHEN avg_sentiment > 0.6 THEN 'good' WHEN avg_sentiment < 0.4 THEN 'bad' ELSE 'mid' END AS score_band
+       CASE WHEN avg_sentiment > 0.6 THEN 'good' WHEN avg_sentiment < 0.4 THEN 'bad' ELSE 'mid' END AS score_band,
+       row_number() OVER (ORDER BY mentions, topic)::INT AS position
 FROM tt
 """)
 def q_topic_bubble(spark, sf_dir):
-    return SV.topic_bubble(AD.topic_table(spark, sf_dir), AD.sentiment_table(spark, sf_dir),
-                           AS_OF, hours=168, brand=BRAND, limit=10)
+    return positioned(SV.topic_bubble(AD.topic_table(spark, sf_dir), AD.sentiment_table(spark, sf_dir),
+                                      AS_OF, hours=168, brand=BRAND, limit=10))
 
 
 @register("top_topics_7d_view", "A5 L2 S12", with_(SENTIMENT_CTE, TOPIC_CTE) + f"""
@@ -134,13 +139,13 @@ def q_top_topics_7d_view(spark, sf_dir):
 
 
 @register("sentiment_by_source", "A4 L5", with_(SENTIMENT_CTE) + f"""
-SELECT source, sentiment_label, count(*) AS count
+SELECT source, sentiment_label, count(*) AS count, row_number() OVER (ORDER BY source, sentiment_label)::INT AS position
 FROM sentiment
 WHERE {_window_sql('analyzed_at', 720)} AND brand = '{BRAND}'
 GROUP BY source, sentiment_label
 """)
 def q_sentiment_by_source(spark, sf_dir):
-    return SV.sentiment_by_source(AD.sentiment_table(spark, sf_dir), AS_OF, hours=720, brand=BRAND)
+    return positioned(SV.sentiment_by_source(AD.sentiment_table(spark, sf_dir), AS_OF, hours=720, brand=BRAND))
 
 
 @register("source_label_pivot", "A11", with_(SENTIMENT_CTE) + f"""
@@ -194,7 +199,7 @@ def q_mention_cards(spark, sf_dir):
 
 
 @register("available_brands", "A13 P10", with_(SENTIMENT_CTE) + """
-SELECT DISTINCT brand FROM sentiment WHERE brand IS NOT NULL
+SELECT brand, row_number() OVER (ORDER BY brand)::INT AS position FROM (SELECT DISTINCT brand FROM sentiment WHERE brand IS NOT NULL)
 """)
 def q_available_brands(spark, sf_dir):
-    return SV.available_brands(AD.sentiment_table(spark, sf_dir))
+    return positioned(SV.available_brands(AD.sentiment_table(spark, sf_dir)))

@@ -115,7 +115,7 @@ def read_live(spark: SparkSession, root: str, schema: T.StructType, time_col: st
     _, upto, folders = manifest(spark, root)
     parts = []
     if folders:
-        parts.append(spark.read.schema(stored).parquet(*folders).select(*stored.names))
+        parts.append(spark.read.option("basePath", f"{root}_days").schema(stored).parquet(*folders).select(*stored.names))
     if any(n > upto for n in numbered(spark, root, BATCH_COL)):
         parts.append(spark.read.schema(stored).parquet(root).where(F.col(BATCH_COL) > upto).select(*stored.names))
     if not parts:
@@ -221,11 +221,15 @@ def may_hold(keys: DataFrame, root: str, before: int) -> list[str]:
     return sorted({f"{r.path.rsplit('/filters/', 1)[0]}/keys/bucket={r.bucket}" for r in rows})
 
 
+def _keys(spark: SparkSession, folders: list[str]) -> DataFrame:
+    return spark.read.option("recursiveFileLookup", "true").schema("key string").parquet(*folders)
+
+
 def known_keys(keys: DataFrame, root: str, before: int) -> DataFrame | None:
     """Stored keys of batches before ``before``, among them all of ``keys`` (one column) that are
     stored; None if no filter may hold one."""
     folders = may_hold(keys.toDF("key"), root, before)
-    return keys.sparkSession.read.schema("key string").parquet(*folders) if folders else None
+    return _keys(keys.sparkSession, folders) if folders else None
 
 
 def fold_index(spark: SparkSession, root: str) -> int:
@@ -236,7 +240,7 @@ def fold_index(spark: SparkSession, root: str) -> int:
     if not new:
         return version
     parts = _parts(spark, root, new[-1] + 1)
-    keys = spark.read.schema("key string").parquet(*[f"{p}/keys" for p in parts])
+    keys = _keys(spark, [f"{p}/keys" for p in parts])
     folder = f"{root}_days/version={version + 1}-{uuid.uuid4().hex[:8]}"
     _add(keys, folder, keys.count())
     row = spark.createDataFrame([(new[-1], [folder])], "upto long, folders array<string>").coalesce(1)

@@ -8,7 +8,7 @@ first, then swapped in with dynamic partition overwrite.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
@@ -59,7 +59,7 @@ def merge_upsert(target: DataFrame, new: DataFrame, keys: list[str]) -> DataFram
     return target.join(new.select(*keys), keys, "left_anti").select(*target.columns).unionByName(new.select(*target.columns))
 
 
-def _stored(spark: SparkSession, path: str, schema) -> DataFrame | None:
+def stored(spark: SparkSession, path: str, schema) -> DataFrame | None:
     """The table at ``path`` in its declared types (partition folders are not guessed at), or
     None if there is no such path. Any other error is raised."""
     try:
@@ -70,9 +70,12 @@ def _stored(spark: SparkSession, path: str, schema) -> DataFrame | None:
         raise
 
 
-def _staged(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once under the shared scratch folder and read back."""
+def _staged(df: DataFrame, name: str, observation: Observation | None = None) -> DataFrame:
+    """``df`` written once under the shared scratch folder and read back; ``observation`` gets its
+    ``rows`` from that write."""
     path = work_dir(df.sparkSession, name)
+    if observation is not None:
+        df = df.observe(observation, F.count(F.lit(1)).alias("rows"))
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -97,16 +100,17 @@ def _touched_partitions(target: DataFrame, new: DataFrame, partition_by: list[st
 
 
 def upsert_table(spark: SparkSession, new: DataFrame, path: str, keys: list[str],
-                 partition_by: list[str]) -> DataFrame:
+                 partition_by: list[str], observation: Observation | None = None) -> DataFrame:
     """S11 on a parquet table partitioned by ``partition_by``: key columns, or columns that a key
     determines (the day of an hour bucket).
 
     ``new`` is staged once and must have one row per key. Only partitions it touches are read,
     merged and rewritten (dynamic partition overwrite); the merged partitions are staged before
-    the overwrite, so the job never reads from the files it replaces. Returns the staged rows.
+    the overwrite, so the job never reads from the files it replaces. Returns the staged rows;
+    ``observation`` gets the number of rows in ``new``.
     """
-    batch = _staged(_one_per_key(new, keys), "upsert-batch")
-    target = _stored(spark, path, new.schema)
+    batch = _staged(_one_per_key(new, keys), "upsert-batch", observation)
+    target = stored(spark, path, new.schema)
     if target is None:
         batch.write.mode("errorifexists").partitionBy(*partition_by).parquet(path)
         return batch
@@ -117,19 +121,20 @@ def upsert_table(spark: SparkSession, new: DataFrame, path: str, keys: list[str]
 
 
 def append_if_absent(spark: SparkSession, new: DataFrame, path: str, keys: list[str],
-                     partition_by: list[str] | None = None) -> DataFrame:
-    """Append rows of ``new`` whose key is not stored yet; returns the appended rows.
+                     partition_by: list[str] | None = None, observation: Observation | None = None) -> DataFrame:
+    """Append rows of ``new`` whose key is not stored yet; returns the appended rows, and
+    their number in ``observation``.
 
     When the partition columns are part of the key, only the touched partitions' keys are
     read. The batch and the rows to append are staged under the shared scratch folder: the
     append copies durable files, and the returned rows don't change once the table has them."""
     batch = _staged(new, "append-batch")
-    stored = _stored(spark, path, new.schema)
-    if stored is None:
-        stored = batch.limit(0)
+    had = stored(spark, path, new.schema)
+    if had is None:
+        had = batch.limit(0)
     elif partition_by and set(partition_by) <= set(keys):
-        stored = _touched_partitions(stored.select(*new.columns), batch, partition_by)
-    staged = _staged(append_new(batch, stored, keys), "append-stage")
+        had = _touched_partitions(had.select(*new.columns), batch, partition_by)
+    staged = _staged(append_new(batch, had, keys), "append-stage", observation)
     w = staged.write.mode("append")
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -151,6 +156,13 @@ def read_table(spark: SparkSession, path: str, schema=None) -> DataFrame:
     return r.parquet(path)
 
 
+def write_bucketed(df: DataFrame, table: str, path: str, key: str, buckets: int) -> DataFrame:
+    """``df`` as the table ``table``, bucketed and sorted by ``key``: tables of equal key and number of buckets join,
+    and group by that key, where they are."""
+    df.write.mode("errorifexists").option("path", path).bucketBy(buckets, key).sortBy(key).saveAsTable(table)
+    return df.sparkSession.table(table)
+
+
 # ------------------------------------------------------------------------------ S7 S8
 def jdbc_options(url: str, table: str, user: str | None = None, password: str | None = None,
                  driver: str | None = None, batchsize: int = 10_000, num_partitions: int | None = None,
