@@ -24,6 +24,7 @@ from brandpulse.sources import ingest as IN
 from brandpulse.sources import layout as LY
 from brandpulse.sources import maintenance as MT
 from brandpulse.sources import tables as TB
+from brandpulse.sources import views as VW
 from brandpulse.streaming import flows as FL
 
 SILVER_DAY = "created_at"
@@ -184,3 +185,22 @@ def q_constraint_violations(spark, sf_dir):
     brands = spark.range(5).select(F.concat(F.lit("brand_"), F.col("id").cast("string")).alias("brand"))
     rules = [QA.not_null("source"), QA.max_length("content", 8), QA.in_set("label2", S.LABELS), QA.unique("post_id"), QA.foreign_key("brand", brands)]
     return QA.violations(s2, rules, "post_id")
+
+
+# ------------------------------------------------------------------------------------ S12 A5
+VIEW_CLOCKS = ("2024-01-29 10:20:00", "2024-01-29 23:10:00", "2024-01-30 02:40:00", "2024-01-30 20:40:00")
+
+
+@register("top_topics_7d_incremental", "A5 S12 (view refreshed by what entered and left its window)", with_(SENTIMENT_CTE, TOPIC_CTE) + f"""
+SELECT topic, count(*) AS mentions, round(avg(sentiment_score), 3) AS avg_sentiment,
+       count(CASE WHEN sentiment_score > 0.6 THEN 1 END) AS positive_mentions,
+       count(CASE WHEN sentiment_score < 0.4 THEN 1 END) AS negative_mentions, TIMESTAMP '{VIEW_CLOCKS[-1]}' AS computed_at
+FROM topic WHERE created_at BETWEEN TIMESTAMP '{VIEW_CLOCKS[-1]}' - INTERVAL 168 HOUR AND TIMESTAMP '{VIEW_CLOCKS[-1]}'
+GROUP BY topic
+""")
+def q_top_topics_7d_incremental(spark, sf_dir):
+    root = work_dir(spark, "q-sliding") + "/topics"
+    view = VW.SlidingView("topic", 168)
+    for clock in VIEW_CLOCKS:
+        view.refresh(AD.topic_table(spark, sf_dir), root, clock)
+    return VW.read_view(spark, root)

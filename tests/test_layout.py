@@ -162,3 +162,33 @@ def test_violations_are_one_scan(spark):
     df = QA.violations(s, rules, "post_id")
     assert _plan(df).count("FileScan") == 1 and "Exchange" not in _plan(df)
     assert df.where("rule = 'in_set(sentiment_label)'").count() == s.count()
+
+
+def test_a_view_slides_by_what_entered_and_left(spark, monkeypatch):
+    from brandpulse.sources import views as VW
+    root = work_dir(spark, "t-view") + "/v"
+    topic = AD.topic_table(spark, SF)
+    view = VW.SlidingView("topic", 48)
+    clocks = ["2024-01-20 10:20:00", "2024-01-20 10:50:00", "2024-01-20 13:05:00", "2024-01-22 09:00:00", "2024-02-20 00:00:00", "2024-01-21 00:00:00"]
+    read, opened = [], None
+    real = VW.SlidingView.stored_partials
+
+    def seen(self, s, r, low, high):
+        read.append((low, high))
+        return real(self, s, r, low, high)
+
+    monkeypatch.setattr(VW.SlidingView, "stored_partials", seen)
+    for n, clock in enumerate(clocks, 1):
+        read.clear()
+        assert view.refresh(topic, root, clock) == n
+        want = SV.top_topics_7d_view(topic, clock, days=2, limit=99).collect()
+        got = VW.read_view(spark, root).collect()
+        cols = ["topic", "mentions", "avg_sentiment", "positive_mentions", "negative_mentions"]
+        assert sorted(tuple(r[c] for c in cols) for r in got) == sorted(tuple(r[c] for c in cols) for r in want), clock
+        if n == 1:
+            opened, first = VW.read_view(spark, root), sorted(map(tuple, got))
+        if n in (2, 3):    # none and three hours entered; none and three left
+            assert sum(b - a for a, b in read) == {2: 0, 3: 6}[n]
+    assert sorted(map(tuple, opened.collect())) == first
+    view.refresh(topic.limit(0), root, clocks[-1], rebuild=True)
+    assert VW.read_view(spark, root).count() == 0
