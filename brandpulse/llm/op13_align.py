@@ -44,6 +44,8 @@ PIECES = "piece_bpe_32k.model"
 WORK = 1 << 16
 #: Bytes of text in a stretch.
 CHUNK = 2 << 20
+#: Units that each of a worker's two encoders remembers.
+MEMO = 400_000
 #: Links of a group above which equal ids are put together before they are paired.
 WIDE = 4096
 _made: dict[tuple[str, str], tuple[Encoder, Encoder]] = {}
@@ -60,6 +62,8 @@ def _byte_of() -> dict[str, int]:
 class ByteTokens(Encoder):
     """Byte-level BPE that takes special tokens' strings as text."""
 
+    memo = MEMO
+
     def __init__(self, path: str):
         super().__init__(path)
         self.tokenizer.encode_special_tokens = True
@@ -73,6 +77,8 @@ class PieceTokens(Encoder):
     """A sentencepiece model on texts that begin with the space it would add. None of its pieces goes
     on behind a space or beyond a line feed, so it encodes units like the other."""
 
+    memo = MEMO
+
     def __init__(self, path: str):
         import sentencepiece
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -258,7 +264,7 @@ def _stretches(a: str, b: str, size: int):
                 for k in ("place", "times"):
                     one[k] = pa.array([_squeezed(x[k])], pa.binary())
                 yield pa.RecordBatch.from_arrays([one[k] for k in _COLUMNS], _COLUMNS)
-        trim()
+            trim()
     return run
 
 

@@ -21,7 +21,7 @@ from brandpulse.llm.words import chunks, lanes, runs, span_hashes, trim
 
 TOKENIZER = "byte_bpe_50k.json"
 END = 2
-#: Units remembered by a worker.
+#: Units that an encoder of a worker remembers, unless it says otherwise.
 MEMO = 1_500_000
 _SPLIT = np.zeros(256, bool)
 _SPLIT[[0x20, 0x0A]] = True
@@ -41,6 +41,9 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
 
 
 class Encoder:
+    #: Units that this encoder remembers.
+    memo = MEMO
+
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -120,7 +123,7 @@ class Encoder:
         place, known = self._find(seen)
         if not known.all():
             new = np.flatnonzero(~known)
-            if len(self.hashes) + len(new) > MEMO:
+            if len(self.hashes) + len(new) > self.memo:
                 self.forget()
                 new = np.arange(len(seen))
             new = new[np.argsort(seen[new])]
