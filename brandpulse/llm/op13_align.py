@@ -43,9 +43,9 @@ PIECES = "piece_bpe_32k.model"
 #: Steps of a merge (ends of A and B) in one piece.
 WORK = 1 << 16
 #: Bytes of text in a stretch.
-CHUNK = 2 << 20
+CHUNK = 1 << 20
 #: Units that each of a worker's two encoders remembers.
-MEMO = 400_000
+MEMO = 900_000
 #: Links of a group above which equal ids are put together before they are paired.
 WIDE = 4096
 _made: dict[tuple[str, str], tuple[Encoder, Encoder]] = {}
