@@ -31,6 +31,8 @@ PROBES = 4
 BITS = 32_768
 #: Folders of one batch or generation.
 BUCKETS = 256
+#: Rows of a batch that one task writes.
+TASK_ROWS = 50_000
 
 
 # ------------------------------------------------------------------------------------ folders
@@ -73,10 +75,22 @@ def day_column(time_col: str) -> str:
     return f"{time_col}_day"
 
 
-def with_day(df: DataFrame, time_col: str) -> DataFrame:
-    """Adds the day partition of ``time_col``, rows of a day brought together."""
-    day = day_column(time_col)
-    return df.withColumn(day, F.to_date(time_col)).hint("rebalance", day)
+def _tasks(spark: SparkSession, wanted: int) -> int:
+    return max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), wanted))
+
+
+def with_day(df: DataFrame, time_col: str, rows: int | None = None) -> DataFrame:
+    """Adds the day partition of ``time_col``, rows of a day brought together; a large day takes several tasks.
+
+    The batches of a stateful stream run without adaptive execution, where Spark drops the hint and every
+    task would write a file of every day. There the rows are dealt by range of the day and their hash,
+    ``TASK_ROWS`` to a task where their number is known."""
+    spark, day = df.sparkSession, day_column(time_col)
+    dated = df.withColumn(day, F.to_date(time_col))
+    if spark.conf.get("spark.sql.adaptive.enabled") == "true":
+        return dated.hint("rebalance", day)
+    n = _tasks(spark, 1 << 31 if rows is None else -(-rows // TASK_ROWS))
+    return dated.repartitionByRange(n, day, F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
 
 
 # ------------------------------------------------------------------------------------ batches
@@ -85,12 +99,16 @@ def committed(spark: SparkSession, root: str, batch_id: int) -> bool:
 
 
 def write_batch(df: DataFrame, root: str, batch_id: int, time_col: str | None = None) -> bool:
-    """Publishes a batch, in day partitions of ``time_col`` if given, unless it is committed."""
+    """Publishes a batch, in day partitions of ``time_col`` if given, unless it is committed. A frame
+    that has the day column already (:func:`with_day`) is written as it lies."""
     root = root.rstrip("/")
     if committed(df.sparkSession, root, batch_id):
         return False
     target = f"{root}/{BATCH_COL}={int(batch_id)}"
-    return publish(with_day(df, time_col), target, [day_column(time_col)]) if time_col else publish(df, target)
+    if not time_col:
+        return publish(df, target)
+    day = day_column(time_col)
+    return publish(df if day in df.columns else with_day(df, time_col), target, [day])
 
 
 def manifest(spark: SparkSession, root: str) -> tuple[int, int, list[str]]:
@@ -172,11 +190,13 @@ def _add(keys: DataFrame, path: str, n: int) -> None:
     slots = _slots(n)
     buckets = min(slots, BUCKETS)
     slot = F.pmod(_hash(F.col("key"), 0), F.lit(slots)).cast("int")
-    placed = keys.select("key", slot.alias("slot")).withColumn("bucket", F.col("slot") % buckets)
-    publish(placed.select("key", "bucket").hint("rebalance", "bucket"), f"{path}/keys", ["bucket"])
+    # A bucket's keys go to one task, which writes them in one file and builds their filters from them; filters
+    # made by every task of the batch would be as many times their size to shuffle and sort.
+    placed = keys.select("key", slot.alias("slot")).withColumn("bucket", F.col("slot") % buckets).repartition(_tasks(keys.sparkSession, buckets), "bucket")
+    publish(placed.select("key", "bucket"), f"{path}/keys", ["bucket"])
     bit = F.explode(F.array(*[F.pmod(_hash(F.col("key"), i), F.lit(BITS)) for i in range(1, PROBES + 1)]))
     filters = placed.select("slot", "bucket", bit.alias("bit")).groupBy("slot", "bucket").agg(F.bitmap_construct_agg("bit").alias("bits"))
-    publish(filters.select(F.lit(slots).alias("slots"), "slot", "bucket", "bits").coalesce(1), f"{path}/filters")
+    publish(filters.select(F.lit(slots).alias("slots"), "slot", "bucket", "bits"), f"{path}/filters")
 
 
 def index_keys(keys: DataFrame, root: str, batch_id: int) -> None:

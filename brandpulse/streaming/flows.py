@@ -93,11 +93,12 @@ def _fan_out(base: str, lexicon: DataFrame, vocabulary, tier: int, rules, now):
             # Scored rows are kept once and feed both silver tables; a lost block is
             # recomputed from the persisted batch (deterministic: fixed clock, pure scoring).
             staged = sentiment.persist()
-            write_batch_folder(staged, f"{base}/silver_sentiment", batch_id, "created_at")
-            topics = TP.explode_topics(TP.tag_topics(staged, vocabulary=vocabulary))
+            days = LY.with_day(staged, "created_at", kept.count())   # topics stay where their posts lie
+            write_batch_folder(days, f"{base}/silver_sentiment", batch_id, "created_at")
+            topics = TP.explode_topics(TP.tag_topics(days, vocabulary=vocabulary))
             write_batch_folder(
                 topics.select("post_id", "topic", "confidence", "sentiment_score", "analyzed_at",
-                              "created_at", "brand"),
+                              "created_at", "brand", LY.day_column("created_at")),
                 f"{base}/silver_topic", batch_id, "created_at")
         finally:
             for d in (staged, kept):

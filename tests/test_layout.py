@@ -1,6 +1,7 @@
 """Published batches, compaction, the key index, composed jobs, update mode."""
 
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -192,3 +193,32 @@ def test_a_view_slides_by_what_entered_and_left(spark, monkeypatch):
     assert sorted(map(tuple, opened.collect())) == first
     view.refresh(topic.limit(0), root, clocks[-1], rebuild=True)
     assert VW.read_view(spark, root).count() == 0
+
+
+def _files(root):
+    return sorted(os.path.relpath(os.path.join(d, f), root) for d, _, fs in os.walk(root) for f in fs if f.endswith(".parquet"))
+
+
+def test_batches_of_a_stream_lie_in_few_files(spark):
+    """A stateful stream's batches run without adaptive execution, where Spark drops the rebalance hint."""
+    root = work_dir(spark, "t-stream-files")
+    rows = spark.range(24_000, numPartitions=8).select(F.concat(F.lit("k"), F.col("id")).alias("key"), F.expr(
+        "timestamp'2024-01-01 00:00:00' + make_interval(0, 0, 0, id % 3)").alias("at"))
+    was = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        LY.index_keys(rows.select("key"), f"{root}/keys", 0)
+        known = LY.known_keys(rows.select("key"), f"{root}/keys", 1)
+        assert known.count() == known.distinct().count() == 24_000
+        LY.write_batch(LY.with_day(rows, "at", 24_000), f"{root}/known", 0, "at")
+        LY.write_batch(rows, f"{root}/unknown", 0, "at")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", was)
+    buckets = [f.split("/")[0] for f in _files(f"{root}/keys/batch_id=0/keys")]
+    assert len(buckets) == len(set(buckets)) == 16                   # one file to a bucket: 16 filters of 2,500 keys
+    assert len(_files(f"{root}/keys/batch_id=0/filters")) > 1        # made where their keys lie, not in one task
+    assert len(_files(f"{root}/known")) == 3                         # one file to a day
+    days = [f.split("/")[1] for f in _files(f"{root}/unknown")]
+    assert len(set(days)) == 3 < len(days) <= 8 + 2                  # a day takes several tasks, a task few days
+    for name in ("known", "unknown"):
+        assert spark.read.parquet(f"{root}/{name}").select("key").distinct().count() == 24_000
