@@ -82,7 +82,7 @@ def successors(docs: DataFrame) -> DataFrame:
     """``doc_id, next_id, half``: the next document in descending doc_id (after the last: the
     first) and half the code points of the longest text with that id. Null ids come last, and
     equal ids count as one document."""
-    ids = written(docs.select("doc_id", F.length("text").alias("n")), "winnow-ids")
+    ids = written(docs.select("doc_id", F.length(F.coalesce("text", F.lit(""))).alias("n")), "winnow-ids")
     ids = ids.groupBy("doc_id").agg(F.floor(F.max("n") / 2).cast("int").alias("half"))
     t = written(with_position(ordered(ids, [F.col("doc_id")], "winnow-order")).select(
         "doc_id", "half", "_pos"), "winnow-line")
@@ -99,26 +99,33 @@ def edited(docs: DataFrame) -> DataFrame:
     document's hashes, the edited text and its fingerprint; input columns of those names are replaced.
 
     Of several rows with one id the smallest text stands for the id as the next document.
-    Texts are shuffled once by id; what a document needs from the next, the start of its text
-    and its hashes, is sent to it. Null ids count as one id that comes last, a null text is empty,
-    an empty table gives no rows.
+    Texts are shuffled once by id, in one exchange that both joins read where ``docs`` has no other
+    columns; what a document needs from the next, the start of its text and its hashes, is sent to it.
+    Null ids count as one id that comes last, a null text is empty, an empty table gives no rows.
     """
-    rows = boxed(docs, F.col("doc_id").alias("id"), F.coalesce("text", F.lit("")).alias("text"))
-    src = rows.select("id", "text")
-    link = written(successors(src.withColumnRenamed("id", "doc_id")), "winnow-link")
+    # ids and texts move as they are and once; only the other columns are boxed
+    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
+    box = [F.struct(*[F.col(f"`{c}`") for c in rest]).alias(ROW)] if rest else []
+    rows = docs.select(*box, F.col("doc_id").alias("id"), F.col("text").alias("given"))
+    src = rows.select("id", "given")
+    link = written(successors(src.toDF("doc_id", "text")), "winnow-link")
     if link.count() < src.count():  # some ids occur more than once
-        src = src.groupBy("id").agg(F.min("text").alias("text"))
+        src = src.groupBy("id").agg(F.min(F.coalesce("given", F.lit(""))).alias("given"))
     heard = link.select(F.col("next_id").alias("at"), F.col("doc_id").alias("to"), "half")
-    far = _winnowed(src.join(heard, src["id"].eqNullSafe(F.col("at"))), "text", "next")
+    met = src.join(heard, src["id"].eqNullSafe(F.col("at"))).withColumn("text", F.coalesce("given", F.lit("")))
+    far = _winnowed(met, "text", "next")
     sent = far.select("to", F.substring("text", F.lit(1), F.col("half")).alias("begin"),
                       F.array_distinct("next_hashes").alias("next_hashes"))
-    d = rows.join(sent, rows["id"].eqNullSafe(F.col("to")))
+    d = rows.join(sent, rows["id"].eqNullSafe(F.col("to"))).withColumn("text", F.coalesce("given", F.lit("")))
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
     d = d.withColumn("n_chars", n.cast("long")).withColumn("edited", F.concat(
         F.substring("text", F.lit(1), n - half), F.substring("begin", F.lit(1), half)))
-    d = _winnowed(_winnowed(d.select(ROW, "text", "n_chars", "edited", "next_hashes"), "text", "own"), "edited", "edited")
-    return unboxed(d, docs.columns, *_NEW)
+    d = d.select(*([ROW] if rest else []), "id", "given", "text", "n_chars", "edited", "next_hashes")
+    d = _winnowed(_winnowed(d, "text", "own"), "edited", "edited")
+    taken = {"doc_id": "id", "text": "given"}
+    old = [F.col(taken[c]).alias(c) if c in taken else F.col(ROW).getField(c).alias(c) for c in docs.columns if c.lower() not in _NEW]
+    return d.select(*old, *_NEW)
 
 
 def op1_fingerprints(spark, sf_dir: str) -> DataFrame:

@@ -80,6 +80,23 @@ def test_fingerprint_query(spark, sf):
     assert all(len(x) == 1 for x in same.values()) and len({r.fingerprint for r in rows}) > 0.9 * len(same)
 
 
+def test_texts_are_shuffled_once(spark, sf, no_broadcast):
+    was = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = W.op1_fingerprints(spark, sf)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", was)
+    assert plan.count("ReusedExchange") == 1 and "_input_row" not in plan
+
+
+def test_winnow_keeps_null_texts_and_other_columns(spark):
+    d = W.edited(spark.createDataFrame([(1, None, "x"), (2, "abcd", "y"), (2, "ab", "z")], "doc_id long, text string, note string"))
+    assert d.columns[:3] == ["doc_id", "text", "note"]
+    assert sorted((r.doc_id, r.text, r.note, r.edited) for r in d.collect() if r.text) == [(2, "ab", "z", "a"), (2, "abcd", "y", "ab")]
+    assert [(r.doc_id, r.note, r.n_chars, r.edited) for r in d.collect() if r.text is None] == [(1, "x", 0, "")]
+
+
 def test_winnow_edges(spark, edge, empty):
     odd = edge
     for c in ("half", "_start", "_to", "_id", "_n", "_grams", "_window", "to", "at", "id", "begin", "edited", "next_id", "own_hashes"):
