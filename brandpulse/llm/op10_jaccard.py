@@ -291,12 +291,15 @@ def extra(n: int, low: int, alone: int, counts: np.ndarray) -> int:
     them; for these the whole set is verified, for all the prefix is moved."""
     met = np.cumsum(counts.astype(np.float64) - 1)
     best, cost = 0, None
-    near = met[max(n - low + 1 - alone, 1) - 1]  # candidates come from the prefix for one match
+
+    def candidates(length: int) -> float:  # a prefix of nothing but shingles of its own meets nobody
+        return met[length - alone - 1] if length > alone else 0.0
+
+    near = candidates(n - low + 1)  # candidates come from the prefix for one match
     for ratio in RATIOS:
         more = min(int(n * ratio), low - 1)
         length = n - low + 1 + more
-        pairs = met[max(length - alone, 1) - 1]
-        c = near * length + VERIFY_COST * n * min(near, pairs / (1 + more))
+        c = near * length + VERIFY_COST * n * min(near, candidates(length) / (1 + more))
         if cost is None or c < cost:
             best, cost = more, c
     return best
