@@ -9,11 +9,24 @@ gets a fresh temporary folder, registered as the context's checkpoint folder.
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+_STORE = "spark.sql.streaming.stateStore"
+#: State of streams lies in RocksDB, on the executors' disks. Its memory has one bound for all the stores of an executor,
+#: where Spark's default provider holds every key in two versions on the heap.
+STATE_STORE = {
+    f"{_STORE}.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    f"{_STORE}.rocksdb.boundedMemoryUsage": "true",
+    f"{_STORE}.rocksdb.maxMemoryUsageMB": "96",
+    f"{_STORE}.rocksdb.writeBufferSizeMB": "16",
+}
+_starting = threading.RLock()
 
 
 def get_spark(master: str | None = None, app: str = "brandpulse", shuffle_partitions: int | None = None,
@@ -37,8 +50,7 @@ def get_spark(master: str | None = None, app: str = "brandpulse", shuffle_partit
         # A broadcast side must have a known bound; 32 MB covers lexicons, keyword
         # tables and alert tables while keeping executors safe.
         "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
-        "spark.sql.streaming.stateStore.providerClass":
-            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        **STATE_STORE,
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
@@ -50,6 +62,21 @@ def get_spark(master: str | None = None, app: str = "brandpulse", shuffle_partit
     return spark
 
 
+@contextmanager
+def state_store(spark: SparkSession) -> Iterator[None]:
+    """Streams that are started inside keep their state as :data:`STATE_STORE` says, in whichever session the
+    submitter made. What that session sets itself holds, and a checkpoint keeps the provider it began with."""
+    with _starting:    # a query takes its copy of the settings when it starts
+        unset = [k for k in STATE_STORE if spark.conf.get(k, None) is None]
+        for k in unset:
+            spark.conf.set(k, STATE_STORE[k])
+        try:
+            yield
+        finally:
+            for k in unset:
+                spark.conf.unset(k)
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared scratch root that ``spark.checkpoint.dir`` names.
 

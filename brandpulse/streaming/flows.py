@@ -20,6 +20,7 @@ stateful streaming aggregate inside a stream; in ``foreachBatch`` it is a batch
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,11 +30,15 @@ from brandpulse import schemas as S
 from brandpulse.functions import time as TM
 from brandpulse.operators import sentiment as SE
 from brandpulse.operators import topics as TP
+from brandpulse.session import state_store
 from brandpulse.sources import ingest as IN
 from brandpulse.sources import layout as LY
 from brandpulse.sources import tables as TB
 
 BATCH_COL = LY.BATCH_COL
+#: Where the rows of a batch wait between its writes: a batch may be larger than the executors' heaps, which blocks
+#: in memory would fill up to the share that Spark grants them, beside the tasks' own buffers.
+KEPT = StorageLevel.DISK_ONLY
 
 
 def with_batch_col(schema: T.StructType, time_col: str | None = None) -> T.StructType:
@@ -66,8 +71,8 @@ def window_counts(df: DataFrame, time_col: str = "created_at", width: str = S.ST
 
 def _fan_out(base: str, lexicon: DataFrame, vocabulary, tier: int, rules, now):
     def run(batch: DataFrame, batch_id: int) -> None:
-        b = batch.persist()          # one evaluation of the micro-batch feeds every write
-        staged = kept = None
+        b = batch.persist(KEPT)      # one evaluation of the micro-batch feeds every write
+        staged = unknown = None
         try:
             if b.isEmpty():          # P12: an empty micro-batch writes nothing
                 return
@@ -76,8 +81,8 @@ def _fan_out(base: str, lexicon: DataFrame, vocabulary, tier: int, rules, now):
             # dropped however long ago they came. Only index folders that may hold them are read.
             known = LY.known_keys(good.select("post_id"), f"{base}/bronze_keys", batch_id)
             if known is not None:
-                good = good.join(known.select(F.col("key").alias("post_id")), "post_id", "left_anti")
-            kept = good.persist()
+                unknown = good.join(known.select(F.col("key").alias("post_id")), "post_id", "left_anti").persist(KEPT)
+            kept = good if unknown is None else unknown
             write_batch_folder(bad.select("raw", "ingested_at"), f"{base}/quarantine", batch_id)
             write_batch_folder(
                 kept.select("post_id", "source", "title", "content", "author", "url", "created_at",
@@ -92,7 +97,7 @@ def _fan_out(base: str, lexicon: DataFrame, vocabulary, tier: int, rules, now):
                 (F.col("ingested_at") if now is None else TM.ts_lit(now)).alias("analyzed_at"), "created_at", "source", "brand")
             # Scored rows are kept once and feed both silver tables; a lost block is
             # recomputed from the persisted batch (deterministic: fixed clock, pure scoring).
-            staged = sentiment.persist()
+            staged = sentiment.persist(KEPT)
             days = LY.with_day(staged, "created_at", kept.count())   # topics stay where their posts lie
             write_batch_folder(days, f"{base}/silver_sentiment", batch_id, "created_at")
             topics = TP.explode_topics(TP.tag_topics(days, vocabulary=vocabulary))
@@ -101,7 +106,7 @@ def _fan_out(base: str, lexicon: DataFrame, vocabulary, tier: int, rules, now):
                               "created_at", "brand", LY.day_column("created_at")),
                 f"{base}/silver_topic", batch_id, "created_at")
         finally:
-            for d in (staged, kept):
+            for d in (staged, unknown):
                 if d is not None:
                     d.unpersist()
             b.unpersist()
@@ -131,7 +136,8 @@ def start_ingest(source: DataFrame, base: str, checkpoint: str, lexicon: DataFra
     w = (w.option("checkpointLocation", checkpoint)                     # T6: one folder per query
          .foreachBatch(_fan_out(base, lexicon, vocabulary, tier, rules, now)))
     w = w.trigger(**(trigger or {"availableNow": True}))
-    return w.start()
+    with state_store(source.sparkSession):
+        return w.start()
 
 
 def start_window_counts(spark: SparkSession, silver_sentiment: str, out_path: str, checkpoint: str,

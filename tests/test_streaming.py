@@ -5,7 +5,7 @@ import json
 from pyspark.sql import functions as F
 
 from brandpulse.operators import sentiment as SE
-from brandpulse.session import work_dir
+from brandpulse.session import STATE_STORE, state_store, work_dir
 from brandpulse.sources import ingest as IN
 from brandpulse.streaming import flows as FL
 
@@ -95,3 +95,50 @@ def test_empty_batch_writes_nothing(spark):
     run(empty, 0)
     import os
     assert not os.path.exists(base.replace("file:", "") + "/silver_sentiment")
+
+
+def test_dedup_state_is_off_the_heap_in_any_session(spark):
+    """A session that :func:`get_spark` didn't make names no provider; Spark's own keeps all keys on the heap."""
+    base = work_dir(spark, "t-state")
+    _write(spark, f"{base}/in", [_msg("p1", "2025-01-06T10:00:00Z"), _msg("p1", "2025-01-06T10:00:00Z")])
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    was = {k: spark.conf.get(k, None) for k in STATE_STORE}
+    try:
+        for k in STATE_STORE:
+            spark.conf.unset(k)
+        q = FL.start_ingest(IN.posts_source(spark, "files", f"{base}/in"), f"{base}/tables", f"{base}/ck",
+                            SE.lexicon_frame(spark, LEX), tier=1, now="2025-01-06 11:00:00", query_name=None)
+        assert all(spark.conf.get(k, None) is None for k in STATE_STORE)     # the session is as it was
+        FL.run_to_end(q)
+        # a submitter's own choice holds
+        spark.conf.set(provider, "other")
+        with state_store(spark):
+            assert spark.conf.get(provider) == "other"
+        assert spark.conf.get(provider) == "other"
+    finally:
+        for k, v in was.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+    state = q.recentProgress[0]["stateOperators"][0]
+    assert state["numRowsTotal"] == 1 and any(m.startswith("rocksdb") for m in state["customMetrics"])
+    assert spark.read.parquet(f"{base}/tables/bronze").count() == 1
+
+
+def test_rows_of_a_batch_wait_on_disk(spark, monkeypatch):
+    base = work_dir(spark, "t-kept")
+    sc = spark.sparkContext._jsc.sc()
+    others = {i.id() for i in sc.getRDDStorageInfo()}
+    seen, real = [], FL.write_batch_folder
+
+    def write(df, root, *a):
+        done = real(df, root, *a)
+        seen.append([(i.memSize(), i.diskSize()) for i in sc.getRDDStorageInfo() if i.id() not in others])
+        return done
+
+    monkeypatch.setattr(FL, "write_batch_folder", write)
+    run = FL._fan_out(f"{base}/tables", SE.lexicon_frame(spark, LEX), None, 1, None, "2025-01-06 11:00:00")
+    for batch_id, ids in enumerate((("p1", "p2"), ("p2", "p3"))):      # p2 is known to bronze the second time
+        rows = spark.createDataFrame([(_msg(p, "2025-01-06T10:00:00Z"),) for p in ids], "value string")
+        run(IN.decode_posts(rows, now="2025-01-06 11:00:00"), batch_id)
+    assert len(seen) == 8 and all(kept and all(mem == 0 < disk for mem, disk in kept) for kept in seen)
+    assert max(map(len, seen[:4])) == 2      # what bronze has nothing of isn't kept a second time
+    assert sorted(r.post_id for r in spark.read.parquet(f"{base}/tables/bronze").collect()) == ["p1", "p2", "p3"]
